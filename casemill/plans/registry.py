@@ -13,9 +13,9 @@ from casemill.operators import (
     similar, taxonomy, topics, words,
 )
 from casemill.params import Params
-from casemill.plans.summaries import Analysis, staged_analysis
-from casemill.session import configure
-from casemill.sources.complaints import NARRATIVE
+from casemill.plans.summaries import Analysis, run_all, staged_analysis
+from casemill.session import configure, stage
+from casemill.sources.complaints import NARRATIVE, save_summary
 from casemill.sources.star import cases, document_narratives, table
 
 # The floors and the growth threshold that suit the size of the tables.
@@ -184,6 +184,20 @@ def _(spark, folder):
     return recommend.executive_rollup(a.risk, a.top_drivers, a.product_growth, a.issue_growth, a.forecast_summary)
 
 
+SUMMARY_COLUMNS = (*ANALYSIS_COLUMNS, "State", "Submitted via", "Consumer_Group", RESPONSE, "Has_Narrative",
+                   "Narrative_Word_Count")
+
+
+def run_summaries(spark: SparkSession, folder: str, out: str | None = None) -> dict[str, DataFrame]:
+    """Every summary table of the star schema: the joined view is stored once and read from there."""
+    view = stage(cases(configure(spark), folder, SUMMARY_COLUMNS), "cases")
+    tables = run_all(view, P, out)
+    texts = words.top_words(document_narratives(spark, folder), NARRATIVE)
+    if out:
+        save_summary(texts, out, "top_narrative_words")
+    return {**tables, "top_narrative_words": texts}
+
+
 # Cleaning, features, profiles ----------------------------------------------------------------------
 
 
