@@ -6,18 +6,34 @@ from pyspark.sql import Column, functions as F
 
 MICROS_PER_DAY = 86_400_000_000
 
-# Date layouts tried in this order after ISO 8601.
-DATE_FORMATS = (
-    "M/d/yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy h:mm a", "M/d/yyyy h:mm:ss a",
-    "yyyy/M/d", "yyyy/M/d H:mm:ss", "M-d-yyyy", "yyyyMMdd", "d-MMM-yyyy", "d MMM yyyy",
-    "MMM d, yyyy", "MMMM d, yyyy", "d MMMM yyyy",
+# The shape of a text and the date layout that reads it. The shape picks the one layout to try,
+# because a failed attempt costs far more than a match.
+_TIME = r"\d{1,2}:\d{2}"
+DATE_LAYOUTS = (
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+    (rf"^\d{{1,2}}/\d{{1,2}}/\d{{4}} {_TIME}$", "M/d/yyyy H:mm"),
+    (rf"^\d{{1,2}}/\d{{1,2}}/\d{{4}} {_TIME}:\d{{2}}$", "M/d/yyyy H:mm:ss"),
+    (rf"^\d{{1,2}}/\d{{1,2}}/\d{{4}} {_TIME} [AP]M$", "M/d/yyyy h:mm a"),
+    (rf"^\d{{1,2}}/\d{{1,2}}/\d{{4}} {_TIME}:\d{{2}} [AP]M$", "M/d/yyyy h:mm:ss a"),
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    (rf"^\d{{4}}/\d{{1,2}}/\d{{1,2}} {_TIME}:\d{{2}}$", "yyyy/M/d H:mm:ss"),
+    (r"^\d{1,2}-\d{1,2}-\d{4}$", "M-d-yyyy"),
+    (r"^\d{8}$", "yyyyMMdd"),
+    (r"^\d{1,2}-[A-Z][a-z]{2}-\d{4}$", "d-MMM-yyyy"),
+    (r"^\d{1,2} [A-Z][a-z]{2} \d{4}$", "d MMM yyyy"),
+    (r"^\d{1,2} [A-Z][a-z]{3,} \d{4}$", "d MMMM yyyy"),
+    (r"^[A-Z][a-z]{2} \d{1,2}, \d{4}$", "MMM d, yyyy"),
+    (r"^[A-Z][a-z]{3,} \d{1,2}, \d{4}$", "MMMM d, yyyy"),
 )
+ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}"
 
 
 def parse_timestamp(c: Column) -> Column:
     """Timestamp from text in mixed layouts; unreadable text gives null."""
-    iso = F.when(c.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), c.try_cast("timestamp"))
-    return F.coalesce(iso, *[F.try_to_timestamp(c, F.lit(f)) for f in DATE_FORMATS])
+    parsed = F.when(c.rlike(ISO_DATE), c.try_cast("timestamp"))
+    for shape, layout in DATE_LAYOUTS:
+        parsed = parsed.when(c.rlike(shape), F.try_to_timestamp(c, F.lit(layout)))
+    return parsed
 
 
 def calendar_parts(c: Column) -> dict[str, Column]:

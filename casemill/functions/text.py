@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
+from casemill.functions.arrays import let
+
 # The tokens that mean "no value" in a CSV field.
 NA_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -25,15 +27,19 @@ STOP_WORDS = tuple(
     """.split()
 )
 
-# White space as a Unicode-aware language sees it: Java's White_Space class plus the four separators.
+# White space in the Unicode sense plus the four separators, as characters and as a class.
+WHITE_SPACE = "".join(
+    map(chr, (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F,
+              0x3000))
+)
 _SPACE = r"\s\x1c-\x1f"
 _NOT_WORD_BEFORE = r"(?<![\p{L}\p{N}_])"
 _NOT_WORD_AFTER = r"(?![\p{L}\p{N}_])"
 
 
 def strip(c: Column) -> Column:
-    """Remove white space of any kind at both ends (``trim`` would remove blanks only)."""
-    return F.regexp_replace(c, rf"(?U)^[{_SPACE}]+|[{_SPACE}]+$", "")
+    """Remove white space of any kind at both ends (plain ``trim`` would remove blanks only)."""
+    return F.trim(c, F.lit(WHITE_SPACE))
 
 
 def null_tokens(c: Column, tokens: Sequence[str] = NA_TOKENS) -> Column:
@@ -51,8 +57,11 @@ def word_count(c: Column) -> Column:
 
 def clean_text(c: Column) -> Column:
     """Lower-case letters a-z only, redaction words (``xx``, ``xxxx``) out, one blank between words."""
-    no_redaction = F.regexp_replace(F.lower(c), rf"{_NOT_WORD_BEFORE}xx+{_NOT_WORD_AFTER}", " ")
-    return F.trim(F.regexp_replace(no_redaction, "[^a-z]+", " "))
+    def cleaned(t: Column) -> Column:
+        no_redaction = F.regexp_replace(t, rf"{_NOT_WORD_BEFORE}xx+{_NOT_WORD_AFTER}", " ")
+        return F.trim(F.regexp_replace(F.when(t.contains("xx"), no_redaction).otherwise(t), "[^a-z]+", " "))
+
+    return let(F.lower(c), cleaned)
 
 
 def ascii_words(c: Column, min_length: int = 3) -> Column:
@@ -73,13 +82,19 @@ def drop_stop_words(words: Column, stop_words: Sequence[str] = STOP_WORDS) -> Co
 def ngrams(words: Column, n: int) -> Column:
     if n == 1:
         return words
+    return let(words, lambda w: _ngrams(w, n))
+
+
+def _ngrams(words: Column, n: int) -> Column:
     starts = F.sequence(F.lit(1), F.size(words) - F.lit(n - 1))
     joined = F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
     return F.when(F.size(words) >= n, joined).otherwise(F.array().cast("array<string>"))
 
 
 def ngrams_up_to(words: Column, n: int) -> Column:
-    return F.concat(*[ngrams(words, i) for i in range(1, n + 1)])
+    if n == 1:
+        return words
+    return let(words, lambda w: F.concat(w, *[_ngrams(w, i) for i in range(2, n + 1)]))
 
 
 def two_decimals(c: Column) -> Column:

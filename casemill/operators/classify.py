@@ -72,13 +72,14 @@ def class_counts(df: DataFrame, target: str) -> DataFrame:
 
 def _prepare(df: DataFrame, p: Params) -> DataFrame:
     rows = keep_frequent(df, "label", p.min_class_rows)
-    return stage(with_terms(rows, ngram_max=p.ngram_max), "training")
+    rows = stage(with_terms(rows, ngram_max=p.ngram_max), "training")
+    if rows.select("label").distinct().limit(2).count() < 2:
+        raise ValueError("Not enough classes remain to train a classifier")
+    return rows
 
 
 def _fit(train: DataFrame, tfidf: PipelineModel, p: Params, candidate: Candidate, rows: int) -> tuple[PipelineModel, list[str]]:
     indexer = StringIndexer(inputCol="label", outputCol="_y", stringOrderType="alphabetAsc").fit(train)
-    if len(indexer.labels) < 2:
-        raise ValueError("Not enough classes remain to train a classifier")
     data = indexer.transform(tfidf.transform(train)).select(FEATURES, "_y", "label")
     estimator = LogisticRegression(
         featuresCol=FEATURES, labelCol="_y", family="multinomial", standardization=False,

@@ -85,6 +85,23 @@ def _output(rows: DataFrame, keys: Sequence[str], date: Column, value: Column, y
     )
 
 
+def _models(rows: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
+    """The fitted model of every series in one row; the seasons are a map of at most twelve months."""
+    return rows.groupBy(*keys).agg(
+        F.max(F.make_date("Year", "Month", F.lit(1))).alias("last"), F.max("t").alias("t"),
+        F.max("full_slope").alias("slope"), F.max("full_intercept").alias("intercept"),
+        F.max("_sigma").alias("_sigma"),
+        F.map_from_entries(F.collect_set(F.struct("Month", "full_season"))).alias("seasons"), *more,
+    )
+
+
+def _ahead(step: Column) -> tuple[Column, Column]:
+    """Date and prediction ``step`` months after the last one."""
+    date = F.add_months("last", step)
+    season = F.coalesce(F.try_element_at("seasons", F.month(date)), F.lit(0.0))
+    return date, F.col("intercept") + F.col("slope") * (F.col("t") + step) + season
+
+
 def forecast(
     monthly: DataFrame, series: Sequence[str] = (), p: Params = DEFAULTS, strict: bool = True,
 ) -> DataFrame:
@@ -95,15 +112,9 @@ def forecast(
     month_start = F.make_date("Year", "Month", F.lit(1))
     past = _output(rows, keys, month_start, F.col("Complaints").cast("long"), F.col("full_yhat"), "Actual")
 
-    model = rows.groupBy(*keys).agg(
-        F.max(month_start).alias("last"), F.max("t").alias("t"), F.max("full_slope").alias("slope"),
-        F.max("full_intercept").alias("intercept"), F.max("_sigma").alias("_sigma"),
-        F.map_from_entries(F.collect_set(F.struct("Month", "full_season"))).alias("seasons"),
-    )
-    ahead = model.select("*", F.explode(F.sequence(F.lit(1), F.lit(p.forecast_periods))).alias("step"))
-    date = F.add_months("last", F.col("step"))
-    season = F.coalesce(F.try_element_at("seasons", F.month(date)), F.lit(0.0))
-    yhat = F.col("intercept") + F.col("slope") * (F.col("t") + F.col("step")) + season
+    steps = F.sequence(F.lit(1), F.lit(p.forecast_periods))
+    ahead = _models(rows, keys).select("*", F.explode(steps).alias("step"))
+    date, yhat = _ahead(F.col("step"))
     future = _output(ahead, keys, date, labels.whole_count(yhat), yhat, "Forecast")
     result = past.unionByName(future)
     return (result if series else result.drop(ALL)).orderBy(*series, "Date")
@@ -139,38 +150,32 @@ def _errors(rows: DataFrame, keys: Sequence[str], p: Params) -> DataFrame:
 def forecast_summary(
     monthly: DataFrame, series: Sequence[str] = (), p: Params = DEFAULTS, strict: bool = True,
 ) -> DataFrame:
-    """One row per series: the training span, the next months, the expected change and the errors."""
+    """One row per series: the training span, the next months, the expected change and the errors. The next
+    months are computed inside the row of the model, so the fitted months are grouped just once."""
     keys = _keys(series)
     rows = fitted(_enough(training_months(monthly, series, p), strict), series, p)
     mae, mape = _error_columns(p)
-    past = rows.groupBy(*keys).agg(
+    models = _models(
+        rows, keys,
         F.max("_latest").alias("Training_End_Year"), F.max("_partial").alias("Excluded_Partial_Year"),
         F.max(F.when(F.col("_back") == 1, F.col("Complaints"))).cast("long").alias("Latest_Actual_Complaints"),
         mae.alias("Validation_MAE"), mape.alias("Validation_MAPE"),
     )
-    future = forecast(monthly, series, p, strict)
-    future = (future if series else future.withColumn(ALL, F.lit("all"))).filter(F.col("Type") == "Forecast")
-    step = F.row_number().over(W.partitionBy(*keys).orderBy("Date"))
-    future = future.withColumn("step", step)
+    steps = F.sequence(F.lit(1), F.lit(p.forecast_periods))
+    models = models.withColumn("ahead", F.transform(steps, lambda s: labels.whole_count(_ahead(s)[1])))
 
     def next_months(n: int) -> Column:
-        return F.sum(F.when(F.col("step") <= n, F.col("Complaints"))).cast("long").alias(
-            "Next_Month_Forecast" if n == 1 else f"Next_{n}_Month_Forecast"
-        )
+        return F.aggregate(F.slice("ahead", 1, n), F.lit(0).cast("long"), lambda a, x: a + x)
 
-    ahead = future.groupBy(*keys).agg(next_months(1), next_months(3), next_months(6))
+    models = models.withColumn("Next_Month_Forecast", next_months(1))
     latest, following = F.col("Latest_Actual_Complaints"), F.col("Next_Month_Forecast")
     change = F.when(latest != 0, (following - latest) / latest * 100).otherwise(0.0)
-    return (
-        past.join(ahead, keys)
-        .withColumn("Expected_Change_Pct", change)
-        .select(
-            *series,
-            F.lit(MODEL).alias("Model"),
-            (F.col("Training_End_Year") - p.training_years + 1).alias("Training_Start_Year"),
-            "Training_End_Year", "Excluded_Partial_Year", "Latest_Actual_Complaints",
-            "Next_Month_Forecast", "Next_3_Month_Forecast", "Next_6_Month_Forecast", "Expected_Change_Pct",
-            labels.trend_label(F.col("Expected_Change_Pct"), p).alias("Forecast_Trend"),
-            "Validation_MAE", "Validation_MAPE",
-        )
+    return models.withColumn("Expected_Change_Pct", change).select(
+        *series,
+        F.lit(MODEL).alias("Model"),
+        (F.col("Training_End_Year") - p.training_years + 1).alias("Training_Start_Year"),
+        "Training_End_Year", "Excluded_Partial_Year", "Latest_Actual_Complaints", "Next_Month_Forecast",
+        next_months(3).alias("Next_3_Month_Forecast"), next_months(6).alias("Next_6_Month_Forecast"),
+        "Expected_Change_Pct", labels.trend_label(F.col("Expected_Change_Pct"), p).alias("Forecast_Trend"),
+        "Validation_MAE", "Validation_MAPE",
     )

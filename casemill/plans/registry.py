@@ -14,7 +14,7 @@ from casemill.operators import (
 )
 from casemill.params import Params
 from casemill.plans.summaries import Analysis, run_all, staged_analysis
-from casemill.session import configure, stage
+from casemill.session import configure, spread, stage
 from casemill.sources.complaints import NARRATIVE, save_summary
 from casemill.sources.star import cases, document_narratives, table
 
@@ -23,8 +23,7 @@ P = Params(growth_floor=100, emerging_growth=0.005)
 TIMELY, RESPONSE = "Timely response?", "Company response to consumer"
 RISK_COLUMNS = ("Company", TIMELY, "Resolution_Delay")
 ANALYSIS_COLUMNS = (*RISK_COLUMNS, "Product", "Issue", "Sub-issue", "Year", "Month")
-KPI_COLUMNS = (*RISK_COLUMNS, "Product", "State", "Issue", "Submitted via", "Year", "Has_Narrative",
-               "Narrative_Word_Count")
+KPI_COLUMNS = (*RISK_COLUMNS, "Product", "State", "Issue", "Submitted via", "Year", "Has_Narrative")
 FEATURE_COLUMNS = ("Year", "Product", "Has_Narrative", "Narrative_Word_Count")
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -205,6 +204,7 @@ def raw_complaints(spark: SparkSession, folder: str) -> DataFrame:
     """The star schema as raw complaint text: padded names, missing markers, mixed and unreadable dates."""
     df = cases(spark, folder, ["Complaint ID", "Date received", "Date sent to company", "Product", "Issue", "Sub-issue",
                                "Company", "State", "Tags", "Submitted via", RESPONSE, TIMELY])
+    df = spread(df)
     received, line = F.col("Date received"), F.col("Complaint ID") % 10
     segment, response = F.col("Tags"), F.col(RESPONSE)
     return df.select(
@@ -507,7 +507,7 @@ query("rare_class_filter")(lambda spark, folder: sampling.keep_frequent(
 def _(spark, folder):
     """For every benchmark text the five most similar documents, with every term that at least three hold."""
     texts = table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    corpus = table(spark, folder, "documents").select("doc_id", "text")
+    corpus = spread(table(spark, folder, "documents").select("doc_id", "text"))
     return similar.similar_texts(texts, corpus, "text", p=Params(vocabulary=1 << 20)).select(
         "query_id", "doc_id", "rank", "similarity"
     )

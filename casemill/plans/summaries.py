@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -138,6 +139,13 @@ def run_all(df: DataFrame, p: Params = DEFAULTS, folder: str | None = None) -> d
     shared: CubeFacts = cube(df)
     tables = {**count_tables(shared, p), **analysis_tables(Analysis(shared, p)), **row_tables(df, p)}
     if folder:
-        for name, table in tables.items():
-            save_summary(table, folder, name)
+        save_all(tables, folder)
     return tables
+
+
+def save_all(tables: dict[str, DataFrame], folder: str, at_once: int = 8) -> None:
+    """The tables do not depend on each other, so several write jobs are submitted at the same time."""
+    with ThreadPoolExecutor(at_once) as pool:
+        jobs = [pool.submit(save_summary, table, folder, name) for name, table in tables.items()]
+        for job in jobs:
+            job.result()

@@ -33,6 +33,13 @@ def build_session(app: str = "casemill", master: str | None = None, **settings:
     return configure(builder.getOrCreate())
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan with fewer splits than cores to all cores, before costly work per row. A table of a size
+    that matters has more splits than cores and stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def checkpoint_folder(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only on a local master."""
     context = spark.sparkContext

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from casemill.functions import dates, text
 from casemill.operators.ingest import consumer_group
+from casemill.session import spread
 from casemill.sources.complaints import NARRATIVE
 
 
@@ -65,7 +66,7 @@ def cases(spark: SparkSession, folder: str, columns: Iterable[str]) -> DataFrame
         rows = rows.join(table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     if "documents" in needed:
         # The features are taken before the join, so that three integers travel and not the text.
-        features = table(spark, folder, "documents").select(
+        features = spread(table(spark, folder, "documents").select("doc_id", "text")).select(
             "doc_id", "text", F.lit(1).alias("has_text"), text.char_count(F.col("text")).alias("n_chars_text"),
             text.word_count(F.col("text")).alias("n_words"),
         )
@@ -75,6 +76,6 @@ def cases(spark: SparkSession, folder: str, columns: Iterable[str]) -> DataFrame
 
 def document_narratives(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as narratives: id, text, Product (language) and Issue (source)."""
-    return table(spark, folder, "documents").select(
+    return spread(table(spark, folder, "documents").select("doc_id", "text", "lang", "source")).select(
         "doc_id", F.col("text").alias(NARRATIVE), F.col("lang").alias("Product"), F.col("source").alias("Issue")
     )
