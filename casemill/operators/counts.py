@@ -6,18 +6,24 @@ Ties are always broken the same way: larger count first, then keys in ascending
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from casemill.functions import labels
-from casemill.operators.facts import CUBE_KEYS, Facts, as_facts, CubeFacts, grouped_sets
+from casemill.operators.facts import SET_ID, CubeFacts, Facts, as_facts, grouped_sets, set_id
 from casemill.params import DEFAULTS, Params
+from casemill.session import stage
 
 Source = DataFrame | Facts
 
 
 def present(df: DataFrame, *keys: str) -> DataFrame:
-    return df.na.drop(subset=list(keys))
+    return df.filter(_all_present(keys))
+
+
+def _all_present(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
 def ranked(df: DataFrame, by: str, *keys: str) -> DataFrame:
@@ -36,16 +42,6 @@ def value_counts(
     return result if k is None else result.limit(k)
 
 
-def top_keys(source: Source, key: str, k: int) -> DataFrame:
-    """The ``k`` most frequent values of ``key``: at most ``k`` rows."""
-    return value_counts(source, key, k=k).select(key)
-
-
-def keep_keys(df: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows whose key is in a table of at most k keys (the bound makes the broadcast safe)."""
-    return df.join(F.broadcast(keys), keys.columns, "left_semi")
-
-
 def shares(
     source: Source, key: str, out: str | None = None, share: str = "Share_Pct", k: int | None = None,
     digits: int | None = None,
@@ -63,12 +59,26 @@ def shares(
 def cross_counts(
     source: Source, keys: Sequence[str], count: str = "Count", top: dict[str, int] | None = None,
 ) -> DataFrame:
-    """Rows per combination of keys; ``top`` keeps only the k most frequent values of a key."""
-    facts = as_facts(source)
-    rows = present(facts.by(*keys), *keys).select(*keys, F.col("rows").alias(count))
-    for key, k in (top or {}).items():
-        rows = keep_keys(rows, top_keys(facts, key, k))
-    return rows
+    """Rows per combination of keys; ``top`` keeps only the k most frequent values of a key.
+
+    The most frequent values come from the same grouped table, as an array of k values, so the rows are read
+    and shuffled once. That table still holds combinations with a null, which count for the frequency of their
+    other key; testing the count instead of the keys keeps the test above the aggregation, where all share it.
+    """
+    grouped = as_facts(source).by(*keys).select(*keys, "rows")
+    if not top:
+        return present(grouped, *keys).withColumnRenamed("rows", count)
+    wanted = _all_present(keys)
+    for key, k in top.items():
+        wanted = wanted & F.array_contains(_most_frequent(grouped, key, k), F.col(key))
+    return grouped.select(*keys, F.when(wanted, F.col("rows")).alias(count)).filter(F.col(count).isNotNull())
+
+
+def _most_frequent(grouped: DataFrame, key: str, k: int) -> Column:
+    """Scalar array of the ``k`` most frequent values of ``key``."""
+    totals = grouped.groupBy(key).agg(F.sum("rows").alias("_rows"))
+    known = totals.withColumn("_rows", F.when(F.col(key).isNotNull(), F.col("_rows"))).filter(F.col("_rows").isNotNull())
+    return ranked(known, "_rows", key).limit(k).agg(F.collect_list(key)).scalar()
 
 
 def yearly_trend(source: Source, count: str = "Complaints") -> DataFrame:
@@ -84,8 +94,10 @@ def trend_by(source: Source, key: str, k: int | None = None, count: str = "Compl
 def pivot_counts(
     source: Source, index: str, column: str, values: Sequence | None = None, top: dict[str, int] | None = None,
 ) -> DataFrame:
-    """Wide cross-table, 0 where a combination does not occur. The columns should be few."""
+    """Wide cross-table, 0 where a combination does not occur. The columns should be few; when they are not
+    given, the counts are stored first, since Spark then looks them up in a job of its own."""
     rows = cross_counts(source, [index, column], "Count", top)
+    rows = stage(rows, "cross-table") if values is None else rows
     return rows.groupBy(index).pivot(column, values).agg(F.sum("Count")).na.fill(0).orderBy(index)
 
 
@@ -133,7 +145,6 @@ def kpis(source: Source) -> DataFrame:
     else:
         sets = [(), *[(k,) for k in singles]]
         facts = CubeFacts(grouped_sets(as_facts(source).df, sets))
-    from casemill.operators.facts import SET_ID, set_id
 
     def is_set(*keys: str) -> Column:
         return F.col(SET_ID) == set_id(keys, facts.keys)

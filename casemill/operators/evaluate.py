@@ -10,6 +10,7 @@ from casemill.functions.arrays import let
 from casemill.functions.text import shared_words
 from casemill.operators.counts import ranked
 from casemill.params import DEFAULTS, Params
+from casemill.session import stage
 
 # Explanations of a confused pair.
 SAME_WORDING = (
@@ -33,7 +34,8 @@ def confusion(df: DataFrame, true: str = "y_true", pred: str = "y_pred") -> Data
 
 def confusion_matrix(pairs: DataFrame, labels: Sequence[str] | None = None) -> DataFrame:
     """Dense form: one row and one column per label of the union, 0 where a pair does not occur."""
-    both = pairs.select(F.col("true_label").alias("true_label"), "predicted_label", "n")
+    pairs = stage(pairs, "pairs") if labels is None else pairs
+    both = pairs.select("true_label", "predicted_label", "n")
     zero = F.lit(0).cast("long")
     every = pairs.select(F.explode(F.array("true_label", "predicted_label")).alias("true_label")).distinct()
     filled = both.unionByName(every.select("true_label", F.col("true_label").alias("predicted_label"), zero.alias("n")))

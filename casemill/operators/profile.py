@@ -63,7 +63,7 @@ def distinct_and_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct values and null share per column. Each column is counted per value in its own grouping set,
     so the distinct values are spread over the tasks."""
     sets = df.groupingSets([[F.col(c)] for c in columns], *[F.col(c) for c in columns]).agg(
-        F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("n")
+        F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_rows")
     )
     ids = {c: sum(1 << (len(columns) - 1 - i) for i in range(len(columns)) if i != j)
            for j, c in enumerate(columns)}
@@ -73,7 +73,7 @@ def distinct_and_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         sets.groupBy(name.alias("Column"))
         .agg(
             F.count_if(~value_missing).alias("Distinct_Values"),
-            (F.sum(F.when(value_missing, F.col("n")).otherwise(0)) / F.sum("n")).alias("Null_Share"),
+            (F.sum(F.when(value_missing, F.col("_rows")).otherwise(0)) / F.sum("_rows")).alias("Null_Share"),
         )
         .orderBy("Column")
     )

@@ -1,8 +1,9 @@
 """Reproducible exact samples and stratified splits without collecting a stratum anywhere.
 
-Rows are ordered by a digest of seed and id, which spreads evenly. The digest's leading hex digits name a
-bucket; counts per bucket tell which buckets are taken whole and which single bucket is cut. Only the rows of
-that one bucket per stratum are sorted, so a stratum with a third of all rows is no problem. Ids are unique.
+Rows are ordered by a digest of seed and id, which spreads evenly. Counts per leading hex digits tell which rows
+are taken whole; the digits where the quota falls are looked at more closely in a second step. Each step has few
+groups per stratum, so every task adds up its own rows before the shuffle, and only the rows of the last prefix,
+about one in a million, are sorted. A stratum with a third of all rows is no problem. Ids are unique.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from casemill.params import DEFAULTS
 
-HEX_DIGITS = 3
+LEVELS = (2, 5)  # leading hex digits looked at in each step
 _ONE = "_all"
 
 
@@ -19,33 +20,46 @@ def digest(id_column: Column, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), id_column.cast("string")))
 
 
-def first_by_digest(df: DataFrame, id_column: str, quota: Column, seed: int, stratum: str = _ONE) -> tuple[DataFrame, Column]:
-    """``df`` with the marker of the rows that are among the first ``quota`` ones of their stratum. The quota
-    may refer to ``_total``, the rows of the stratum."""
-    df = df if stratum in df.columns else df.withColumn(stratum, F.lit(1))
-    rows = df.withColumn("_digest", digest(F.col(f"`{id_column}`"), seed))
-    rows = rows.withColumn("_bucket", F.substring("_digest", 1, HEX_DIGITS))
-    counts = rows.groupBy(stratum, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    # At most 16 ** HEX_DIGITS buckets per stratum.
-    up_to = W.partitionBy(stratum).orderBy("_bucket")
-    counts = counts.withColumn("_upto", F.sum("_n").over(up_to))
-    counts = counts.withColumn("_total", F.sum("_n").over(W.partitionBy(stratum)))
-    counts = counts.withColumn("_quota", quota).withColumn("_before", F.col("_upto") - F.col("_n"))
-    cut = counts.filter((F.col("_upto") >= F.col("_quota")) & (F.col("_before") < F.col("_quota")))
-    cut = cut.select(F.col(stratum).alias("_s"), F.col("_bucket").alias("_cut"),
-                     (F.col("_quota") - F.col("_before")).alias("_need"))
-    return rows.join(cut, F.col(stratum).eqNullSafe(F.col("_s")), "left"), F.col("_cut")
+def _prefix(length: int) -> Column:
+    return F.substring("_digest", 1, length)
+
+
+def _cuts(rows: DataFrame, quota: Column, stratum: str) -> DataFrame:
+    """Per stratum the prefix where the quota falls and how many of its rows still belong to it. The quota may
+    refer to ``_total``, the rows of the stratum."""
+    keys = rows.select(F.col(stratum).alias("_s"), "_digest")
+    cut = None
+    for i, length in enumerate(LEVELS):
+        level = keys
+        if cut is not None:
+            same = keys["_s"].eqNullSafe(cut["_stratum"])
+            level = keys.join(cut, same).filter(_prefix(LEVELS[i - 1]) == F.col("_cut"))
+        need = [] if cut is None else [F.max("_need").alias("_need")]
+        counts = level.groupBy("_s", _prefix(length).alias("_p")).agg(F.count(F.lit(1)).alias("_n"), *need)
+        # A few thousand prefixes per stratum at most.
+        counts = counts.withColumn("_upto", F.sum("_n").over(W.partitionBy("_s").orderBy("_p")))
+        if cut is None:
+            counts = counts.withColumn("_total", F.sum("_n").over(W.partitionBy("_s"))).withColumn("_need", quota)
+        before = F.col("_upto") - F.col("_n")
+        cut = counts.filter((F.col("_upto") >= F.col("_need")) & (before < F.col("_need"))).select(
+            F.col("_s").alias("_stratum"), F.col("_p").alias("_cut"), (F.col("_need") - before).alias("_need")
+        )
+    return cut
 
 
 def _split(df: DataFrame, id_column: str, quota: Column, seed: int, stratum: str) -> tuple[DataFrame, DataFrame]:
-    rows, cut = first_by_digest(df, id_column, quota, seed, stratum)
-    inside = F.coalesce(F.col("_bucket") < cut, F.lit(False))
-    edge = rows.filter(F.col("_bucket") == cut)
-    w = W.partitionBy(stratum, "_bucket").orderBy("_digest", f"`{id_column}`")
+    """The first ``quota`` rows of every stratum, and the other rows."""
+    rows = df if stratum in df.columns else df.withColumn(stratum, F.lit(1))
+    rows = rows.withColumn("_digest", digest(F.col(f"`{id_column}`"), seed))
+    cut = _cuts(rows, quota, stratum)
+    rows = rows.join(cut, rows[stratum].eqNullSafe(cut["_stratum"]), "left").withColumn("_p", _prefix(LEVELS[-1]))
+    edge = rows.filter(F.col("_p") == F.col("_cut"))
+    w = W.partitionBy(stratum, "_p").orderBy("_digest", f"`{id_column}`")
     edge = edge.withColumn("_rn", F.row_number().over(w))
     taken, rest = F.col("_rn") <= F.col("_need"), F.col("_rn") > F.col("_need")
-    first = rows.filter(inside).select(*df.columns).unionByName(edge.filter(taken).select(*df.columns))
-    beyond = rows.filter(F.coalesce(F.col("_bucket") > cut, F.lit(True)))
+    inside = rows.filter(F.col("_p") < F.col("_cut"))
+    beyond = rows.filter(F.coalesce(F.col("_p") > F.col("_cut"), F.lit(True)))
+    first = inside.select(*df.columns).unionByName(edge.filter(taken).select(*df.columns))
     second = beyond.select(*df.columns).unionByName(edge.filter(rest).select(*df.columns))
     return first, second
 

@@ -127,7 +127,7 @@ over_cases("company_risk_score", RISK_COLUMNS, risk.company_risk)
 over_cases("top_risk_companies", RISK_COLUMNS, lambda df: risk.company_risk(df).limit(20))
 over_cases("risk_level_counts", RISK_COLUMNS, lambda df: risk.risk_level_counts(risk.company_risk(df)))
 over_cases("risk_breakdown_unpivot", RISK_COLUMNS, lambda df: risk.risk_factors(risk.company_risk(df)))
-over_cases("driver_analysis", drivers.KEYS, lambda df: drivers.drivers_of_top_products(drivers.all_drivers(df)))
+over_cases("driver_analysis", drivers.KEYS, drivers.drivers_of_top_products)
 over_cases("top_complaint_drivers", drivers.KEYS, lambda df: drivers.top_drivers(drivers.all_drivers(df)))
 over_cases("product_driver_summary", drivers.KEYS, lambda df: drivers.top_drivers_per_product(drivers.all_drivers(df)))
 over_cases("driver_rollup", drivers.KEYS, lambda df: counts.rollup_counts(df, drivers.KEYS))

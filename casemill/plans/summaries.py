@@ -105,7 +105,7 @@ def analysis_tables(a: Analysis) -> dict[str, DataFrame]:
     rows = stage(a.recommendation_rows, "recommendations")
     return {
         "company_risk_score": a.risk,
-        "driver_analysis": drivers.drivers_of_top_products(a.drivers, a.p),
+        "driver_analysis": drivers.drivers_of_top_products(a.facts, a.p),
         "top_complaint_drivers": a.top_drivers,
         "product_driver_summary": drivers.top_drivers_per_product(a.drivers, a.p),
         "product_growth": a.product_growth,

@@ -20,39 +20,53 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def _sources() -> dict[str, tuple[set[str], object]]:
-    received, sent = F.col("o_orderdate").cast("timestamp"), F.col("l_shipdate").cast("timestamp")
-    columns = {
-        "Complaint ID": ({"lineitem"}, F.col("l_orderkey") * 10 + F.col("l_linenumber")),
-        "Date received": ({"orders"}, received),
-        "Date sent to company": ({"lineitem"}, sent),
-        "Timely response?": (
-            {"lineitem"}, F.when(F.col("l_linestatus") == "O", "Yes").when(F.col("l_linestatus") == "F", "No")
-        ),
-        "Company response to consumer": ({"lineitem"}, F.col("l_returnflag")),
-        "Submitted via": ({"orders"}, F.col("o_orderpriority")),
-        "Resolution_Delay": ({"orders"}, dates.whole_days_between(received, sent)),
-        "Product": ({"part"}, F.col("p_type")),
-        "Issue": ({"part"}, F.col("p_brand")),
-        "Sub-issue": ({"part"}, F.col("p_name")),
-        "Company": ({"supplier"}, F.col("s_name")),
-        "State": ({"supplier", "nation"}, F.col("n_name")),
-        "Tags": ({"orders", "customer"}, F.col("c_mktsegment")),
-        "Consumer_Group": ({"orders", "customer"}, consumer_group(F.col("c_mktsegment"))),
-        NARRATIVE: ({"documents"}, F.col("text")),
-        "Has_Narrative": ({"documents"}, F.coalesce(F.col("has_text"), F.lit(0))),
-        "Narrative_Length": ({"documents"}, F.coalesce(F.col("n_chars_text"), F.lit(0))),
-        "Narrative_Word_Count": ({"documents"}, F.coalesce(F.col("n_words"), F.lit(0))),
-    }
-    for name, expr in dates.calendar_parts(received).items():
-        columns[name] = ({"orders"}, expr)
-    return columns
+def _received():
+    return F.col("o_orderdate").cast("timestamp")
+
+
+def _sent():
+    return F.col("l_shipdate").cast("timestamp")
+
+
+def _part(name: str):
+    return lambda: dates.calendar_parts(_received())[name]
+
+
+def _or_zero(name: str):
+    return lambda: F.coalesce(F.col(name), F.lit(0))
+
+
+# Column of the view: the tables besides the order lines that it needs, and its expression.
+COLUMNS = {
+    "Complaint ID": ((), lambda: F.col("l_orderkey") * 10 + F.col("l_linenumber")),
+    "Date received": (("orders",), _received),
+    "Date sent to company": ((), _sent),
+    "Timely response?": (
+        (), lambda: F.when(F.col("l_linestatus") == "O", "Yes").when(F.col("l_linestatus") == "F", "No")
+    ),
+    "Company response to consumer": ((), lambda: F.col("l_returnflag")),
+    "Submitted via": (("orders",), lambda: F.col("o_orderpriority")),
+    "Resolution_Delay": (("orders",), lambda: dates.whole_days_between(_received(), _sent())),
+    **{part: (("orders",), _part(part)) for part in ("Year", "Month", "Quarter", "Day", "Day_Name")},
+    "Product": (("part",), lambda: F.col("p_type")),
+    "Issue": (("part",), lambda: F.col("p_brand")),
+    "Sub-issue": (("part",), lambda: F.col("p_name")),
+    "Company": (("supplier",), lambda: F.col("s_name")),
+    "State": (("supplier", "nation"), lambda: F.col("n_name")),
+    "Tags": (("orders", "customer"), lambda: F.col("c_mktsegment")),
+    "Consumer_Group": (("orders", "customer"), lambda: consumer_group(F.col("c_mktsegment"))),
+    NARRATIVE: (("documents",), lambda: F.col("text")),
+    "Has_Narrative": (("documents",), _or_zero("has_text")),
+    "Narrative_Length": (("documents",), _or_zero("n_chars_text")),
+    "Narrative_Word_Count": (("documents",), _or_zero("n_words")),
+}
+COSTLY = {"Narrative_Word_Count"}
 
 
 def cases(spark: SparkSession, folder: str, columns: Iterable[str]) -> DataFrame:
     """The complaint view with the given columns."""
-    wanted = {name: _sources()[name] for name in columns}
-    needed = set().union(*[tables for tables, _ in wanted.values()])
+    wanted = {name: COLUMNS[name] for name in columns}
+    needed = {t for tables, _ in wanted.values() for t in tables}
     rows = table(spark, folder, "lineitem")
     if "orders" in needed:
         rows = rows.join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
@@ -66,12 +80,13 @@ def cases(spark: SparkSession, folder: str, columns: Iterable[str]) -> DataFrame
         rows = rows.join(table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     if "documents" in needed:
         # The features are taken before the join, so that three integers travel and not the text.
-        features = spread(table(spark, folder, "documents").select("doc_id", "text")).select(
+        documents = table(spark, folder, "documents").select("doc_id", "text")
+        features = (spread(documents) if COSTLY & set(wanted) else documents).select(
             "doc_id", "text", F.lit(1).alias("has_text"), text.char_count(F.col("text")).alias("n_chars_text"),
             text.word_count(F.col("text")).alias("n_words"),
         )
         rows = rows.join(features, F.col("l_orderkey") == F.col("doc_id"), "left")
-    return rows.select(*[expr.alias(name) for name, (_, expr) in wanted.items()])
+    return rows.select(*[expr().alias(name) for name, (_, expr) in wanted.items()])
 
 
 def document_narratives(spark: SparkSession, folder: str) -> DataFrame:
