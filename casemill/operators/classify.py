@@ -70,12 +70,17 @@ def class_counts(df: DataFrame, target: str) -> DataFrame:
     )
 
 
-def _prepare(df: DataFrame, p: Params) -> DataFrame:
+def _prepare(df: DataFrame, id_column: str, p: Params) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows with their terms. Both are stored, because fitting reads them many times and the
+    split should not be worked out again each time."""
     rows = keep_frequent(df, "label", p.min_class_rows)
-    rows = stage(with_terms(rows, ngram_max=p.ngram_max), "training")
+    rows = stage(rows.select(id_column, "label", "clean_text"), "labelled")
     if rows.select("label").distinct().limit(2).count() < 2:
         raise ValueError("Not enough classes remain to train a classifier")
-    return rows
+    train, test = stratified_split(rows, "label", id_column, seed=p.seed)
+    parts = train.withColumn("_test", F.lit(False)).unionByName(test.withColumn("_test", F.lit(True)))
+    parts = stage(with_terms(parts, ngram_max=p.ngram_max).drop("clean_text"), "training")
+    return parts.filter(~F.col("_test")).drop("_test"), parts.filter("_test").drop("_test")
 
 
 def _fit(train: DataFrame, tfidf: PipelineModel, p: Params, candidate: Candidate, rows: int) -> tuple[PipelineModel, list[str]]:
@@ -98,8 +103,7 @@ def train_classifier(
     p: Params = DEFAULTS, candidate: Candidate = Candidate(),
 ) -> Classifier:
     """Train on canonical labels; vocabulary, weights and model come from the training rows only."""
-    rows = _prepare(labelled(df, target, canonical), p)
-    train, test = stratified_split(rows, "label", id_column, seed=p.seed)
+    train, test = _prepare(labelled(df, target, canonical), id_column, p)
     tfidf = fit_tfidf(train, p, candidate.vocabulary)
     model, classes = _fit(train, tfidf, p, candidate, train.count())
     scored = model.transform(test).withColumn("probability", vector_to_array("probability"))
@@ -110,8 +114,7 @@ def tune_classifier(
     df: DataFrame, target: str, id_column: str, p: Params = DEFAULTS, grid: Sequence[Candidate] = GRID,
 ) -> tuple[Classifier, DataFrame]:
     """Every grid point on raw labels and the same split; the first of the best hold-out accuracies wins."""
-    rows = _prepare(labelled(df, target), p)
-    train, test = stratified_split(rows, "label", id_column, seed=p.seed)
+    train, test = _prepare(labelled(df, target), id_column, p)
     n = train.count()
     tfidf = {size: fit_tfidf(train, p, size) for size in {g.vocabulary for g in grid}}
     best, best_accuracy, report = None, -1.0, []
