@@ -7,11 +7,13 @@ best n per text. What is shuffled is n rows per text and task. A larger set of t
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from casemill.operators.vectors import FEATURES, features, fit_tfidf, sparse_parts, with_terms
@@ -19,6 +21,9 @@ from casemill.operators.words import with_clean_text
 from casemill.params import DEFAULTS, Params
 from casemill.session import stage
 
+# The scoring code travels with the tasks, so that executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BLOCK_TEXTS = 256
 DOCS_PER_STEP = 256
 DIGITS = 9

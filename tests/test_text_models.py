@@ -1,7 +1,10 @@
 import math
+import subprocess
+import sys
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from casemill.operators import classify, evaluate, predictions, sampling, similar, taxonomy, topics, words
@@ -139,6 +142,17 @@ def test_similar_is_exact_with_copies(spark, monkeypatch):
             assert got[q, rank][0] == doc and got[q, rank][1] == pytest.approx(-score, abs=1e-9)
 
 
+def test_scoring_code_needs_no_package_on_the_executors(tmp_path):
+    block = similar.TextBlock(np.array([1]), [np.array([0, 2])], [np.array([0.6, 0.8])])
+    (tmp_path / "task").write_bytes(cloudpickle.dumps(similar._score_partition(block, 2)))
+    code = (
+        "import pickle, pandas as pd; run = pickle.load(open('task', 'rb'));"
+        "docs = pd.DataFrame({'doc_id': [5, 6, 7], 'indices': [[0], [2], [1]], 'values': [[1.0], [1.0], [1.0]]});"
+        "out = next(run(iter([docs]))); assert out['doc_id'].tolist() == [6, 5] and out['similarity'].tolist() == [0.8, 0.6]"
+    )
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True)
+
+
 @pytest.fixture(scope="module")
 def letters(spark):
     kinds = {"Credit card": "card charge fee", "Prepaid card": "card charge fee", "Mortgage": "house loan bank", "Debt collection": "call agent debt"}
