@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from casemill.llm.decontaminate import overlaps
 from casemill.llm.near_dup import near_duplicates
+from casemill.llm.quality import COUNTS, quality
+from casemill.llm.substrings import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,6 +25,85 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op7_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    verdict = quality(table(spark, sf_dir, "documents"))
+    return verdict.select("doc_id", *COUNTS, "base_failed", "kept", "boilerplate_words")
+
+
 @query
 def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+WORD_LISTS = r"""
+docs AS (SELECT doc_id, source, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents)
+"""
+
+ORACLE["op7_quality_lines"] = rf"""
+WITH {WORD_LISTS},
+lines AS (SELECT doc_id, coalesce(source, '') AS host, text, unnest(string_split(text, chr(10))) AS raw FROM docs),
+normal AS (SELECT doc_id, host, text, raw,
+    len(regexp_extract_all(raw, '[^\x20\x09-\x0D]+')) AS words,
+    array_to_string(regexp_extract_all(regexp_replace(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[0-9]', '0', 'g'), '[^\x20\x09-\x0D]+'), ' ') AS line
+    FROM lines WHERE regexp_matches(raw, '[^\x20\x09-\x0D]')),
+again AS (SELECT doc_id, count(*) - count(DISTINCT raw) AS n_dup_lines FROM normal GROUP BY doc_id),
+texts AS (SELECT coalesce(source, '') AS host, count(DISTINCT text) AS texts FROM docs GROUP BY 1),
+frequent AS (SELECT host, line FROM normal JOIN texts USING (host) GROUP BY host, line, texts
+    HAVING count(DISTINCT text) > 10 AND count(DISTINCT text) > 0.1 * texts),
+gone AS (SELECT doc_id, sum(words) AS boilerplate_words FROM normal JOIN frequent USING (host, line) GROUP BY doc_id),
+wins AS (SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS k
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM docs WHERE len(w) >= 8)),
+twice AS (SELECT doc_id, k FROM wins GROUP BY doc_id, k HAVING count(*) > 1),
+cover AS (SELECT DISTINCT doc_id, i + o AS at FROM wins JOIN twice USING (doc_id, k), range(8) AS t(o)),
+rep AS (SELECT doc_id, count(*) AS n_repeat_words FROM cover GROUP BY doc_id),
+base AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+    CAST(coalesce(boilerplate_words, 0) AS BIGINT) AS boilerplate_words
+    FROM docs LEFT JOIN again USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN gone USING (doc_id)),
+failed AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM base)
+SELECT *, NOT base_failed AND n_words - boilerplate_words >= 0.3 * n_words AS kept FROM failed
+"""
+
+ORACLE["op3_substring_dedup"] = rf"""
+WITH {WORD_LISTS},
+wins AS (SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS k
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM docs WHERE len(w) >= 35)),
+twice AS (SELECT k FROM wins GROUP BY k HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, i + o AS pos FROM wins JOIN twice USING (k), range(35) AS t(o)),
+words AS (SELECT doc_id, w[i] AS word, i AS pos FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM docs)),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS text, count(*) AS n
+    FROM words ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+    sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE["op10_near_dup"] = rf"""
+WITH RECURSIVE docs AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS k
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM docs WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+    FROM sets a JOIN sets b ON a.k = b.k AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * common.n >= 85 * (x.n + y.n - common.n)),
+reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT doc_id, b FROM reach JOIN links ON a = other)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id, n
+"""
