@@ -53,12 +53,12 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir() or folder
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` once as a Parquet table in the shared folder and read it back.
 
     Used where several results start from one intermediate table: the lineage is cut, a lost
     executor costs no recomputation, and the readers get column pruning, push-down and true sizes.
     """
     path = f"{checkpoint_folder(df.sparkSession).rstrip('/')}/casemill/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.options(**options).mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
