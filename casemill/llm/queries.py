@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from casemill.llm.decontaminate import overlaps
+from casemill.llm.mixing import mixing_rates
 from casemill.llm.near_dup import near_duplicates
 from casemill.llm.quality import COUNTS, quality
 from casemill.llm.substrings import remove_repeats
+from casemill.llm.token_shards import token_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,6 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_shards(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
@@ -41,6 +48,11 @@ def op7_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdict.select("doc_id", *COUNTS, "base_failed", "kept", "boilerplate_words")
 
 
+@query
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

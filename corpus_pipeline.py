@@ -1,6 +1,66 @@
-"""placeholder"""
+"""From documents to training shards: five stages, each over all that the one before kept.
+
+quality rules (documents they reject go, boilerplate lines are cut from the others), near duplicates (one document of each group stays), benchmark
+decontamination (documents with an overlap go), mixing to target weights (a document comes as often as its rate says),
+token shards. All but the last return the columns of ``documents``. Each operator's module says what null, empty,
+repeated and very long texts give.
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from casemill.llm.decontaminate import decontaminated
+from casemill.llm.mixing import mixed
+from casemill.llm.near_dup import near_duplicates
+from casemill.llm.quality import quality, without_boilerplate
+from casemill.llm.token_shards import token_shards
+from casemill.session import checkpoint_folder
+
+# Not expressible in SQL: the fitted mixing rates and the tokenizer.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return without_boilerplate(docs, quality(docs))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group stays; of several equal rows with its id, one. A row without id stays."""
+    gone = near_duplicates(docs).where("not kept").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns).distinct()
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixed(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def write_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return token_shards(docs)
+
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", quality_rules),
+    ("MinHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontaminate),
+    ("mixing sources to target weights", mix_sources),
+    ("token-ID / binary output", write_shards),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; every stage is written as Parquet to the shared folder and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    folder = f"{checkpoint_folder(spark).rstrip('/')}/casemill/pipeline-{uuid.uuid4().hex}"
+    for k, (_, step) in enumerate(STAGES):
+        step(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+        docs = spark.read.parquet(f"{folder}/{k}")
+    return docs
