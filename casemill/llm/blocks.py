@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from casemill.llm.textbatch import U
+from casemill.llm.textbatch import U, contains
 
 KEYS = "block int, bucket int, names array<bigint>"
 ANSWERS = "block int, names array<bigint>"
@@ -38,6 +38,18 @@ def marked(keys: np.ndarray) -> np.ndarray:
     return found | (count > 1).astype(U)
 
 
+def merged(parts: list[np.ndarray]) -> np.ndarray:
+    """Marked keys of parts as marked keys of the whole."""
+    if len(parts) == 1:
+        return parts[0]
+    keys = np.concatenate(parts) if parts else np.zeros(0, U)
+    once = marked(keys)
+    twice = keys[(keys & U(1)).astype(bool)]
+    if len(twice):
+        once |= contains(np.unique(twice & ~U(1)), once & ~U(1)).astype(U)
+    return once
+
+
 def by_bucket(keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Bucket numbers that occur, and where each begins in the sorted ``keys`` (total at the end)."""
     bucket = ((keys >> U(32)) * U(n) >> U(32)).astype(np.int64)

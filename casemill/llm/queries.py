@@ -11,6 +11,7 @@ from casemill.llm.mixing import mixing_rates
 from casemill.llm.near_dup import near_duplicates
 from casemill.llm.quality import COUNTS, quality
 from casemill.llm.substrings import remove_repeats
+from casemill.llm.suffixes import remove_earlier
 from casemill.llm.token_shards import token_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +38,11 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_earlier(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -119,3 +125,20 @@ reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT doc_id, b F
 SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
 FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id, n
 """
+
+ORACLE["op4_suffix_dedup"] = """
+WITH docs AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+wins AS (SELECT doc_id, i, hash(substr(h, 2 * i + 1, 100)) AS k, md5_number_lower(substr(h, 2 * i + 1, 100)) AS k2
+    FROM (SELECT doc_id, h, unnest(range(n - 49)) AS i FROM docs WHERE n >= 50)),
+least_ids AS (SELECT k, k2, min(doc_id) AS m FROM wins GROUP BY k, k2 HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, i + o AS pos FROM wins JOIN least_ids USING (k, k2), range(50) AS t(o) WHERE m < doc_id),
+runs AS (SELECT doc_id, count(*) AS n_removed, count(*) FILTER (WHERE lag_pos IS NULL OR lag_pos < pos - 1) AS n_spans
+    FROM (SELECT doc_id, pos, lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS lag_pos FROM gone) GROUP BY doc_id),
+bytes AS (SELECT doc_id, i AS pos, substr(h, 2 * i + 1, 2) AS b
+    FROM (SELECT doc_id, h, unnest(range(n)) AS i FROM docs JOIN runs USING (doc_id))),
+kept AS (SELECT doc_id, string_agg(b, '' ORDER BY pos) AS h FROM bytes ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+SELECT docs.doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+    CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+    sha256(unhex(CASE WHEN n_removed IS NULL THEN docs.h ELSE coalesce(kept.h, '') END)) AS kept_sha256
+FROM docs LEFT JOIN runs USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""

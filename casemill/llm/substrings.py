@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from casemill.llm.blocks import (
-    ANSWERS, BLOCKS_PER_PARTITION, KEYS, by_block, each_block, flat, key_table, marked, partitions, repeated, with_answers,
+    ANSWERS, BLOCKS_PER_PARTITION, KEYS, by_block, each_block, flat, key_table, marked, merged, partitions, repeated, with_answers,
 )
 from casemill.llm.textbatch import U, Words, chunks, column_bytes, contains, covered, mix, starts_inside, window_hashes, words_of
 
@@ -124,13 +124,13 @@ def remove_repeats(docs: DataFrame, p: Substrings = Substrings(), text: bool = F
         for _, texts in chunks(here.column("doc_id").to_pylist(), column_bytes(here, "text")):
             _, _, anchor, new = _windows(texts, p)
             found.append(marked(anchor[new]))
-        return key_table(block, _merge(found), n)
+        return key_table(block, merged(found), n)
 
     def name_windows(block: int, here: pa.Table, there: pa.Table) -> pa.Table:
         known, found = np.sort(flat(there.column("names"))[0]), []
         for _, texts in chunks(here.column("doc_id").to_pylist(), column_bytes(here, "text")):
             found.append(marked(_candidates(*_windows(texts, p), known, p)[1]))
-        return key_table(block, _merge(found), n)
+        return key_table(block, merged(found), n)
 
     def cut(block: int, here: pa.Table, anchors_: pa.Table, windows: pa.Table) -> pa.Table:
         known, hits = np.sort(flat(anchors_.column("names"))[0]), np.sort(flat(windows.column("names"))[0])
@@ -171,15 +171,3 @@ def _candidates(w: Words, starts, anchor, new, known, p: Substrings) -> tuple[np
     on = contains(known, anchor[new])[np.cumsum(new) - 1]
     at = starts[on]
     return at, mix(window_hashes(w.names, p.window)[at] + anchor[on])
-
-
-def _merge(parts: list[np.ndarray]) -> np.ndarray:
-    """Marked keys of parts as marked keys of the whole."""
-    if len(parts) == 1:
-        return parts[0]
-    keys = np.concatenate(parts) if parts else np.zeros(0, U)
-    once = marked(keys)
-    twice = keys[(keys & U(1)).astype(bool)]
-    if len(twice):
-        once |= contains(np.unique(twice & ~U(1)), once & ~U(1)).astype(U)
-    return once
