@@ -6,8 +6,8 @@ with the smallest ``doc_id`` it can reach.
 
 Rows
     Null text and text without words: empty set, linked with nothing, its own component. Rows with a null ``doc_id``
-    are left out: they can not be named in the result. A ``doc_id`` on several rows with different texts: those rows
-    are one node, with one result row each. Empty table: no rows. Other columns are ignored.
+    are left out: they can not be named in the result. Repeated rows give a result row each. Rows of one ``doc_id`` with
+    different texts: each text reaches what its own set reaches. Empty table: no rows. Other columns are ignored.
 
 Method
     * ``symbols`` minhashes of 8 bits each. Documents at the limit differ in 15 % of the symbols on average; ``errors``
@@ -17,8 +17,12 @@ Method
       each symbol left out. Documents that share a key are candidates; signatures and set sizes are compared next.
     * Documents with equal sets are one representative from the start. In a bucket every member is first compared
       with the members that lie in the largest buckets (the originals of a group of copies); confirmed links are
-      joined into components. Only pairs of different components are compared after that, in tiles of bounded size, and
-      handed on as lists. Pairs that would join what is already joined are never made.
+      joined into components. Only pairs of different components are compared after that, in tiles of bounded size,
+      by a longer signature with the same margin, and handed on as lists. Pairs that would join what is already
+      joined are never made.
+    * Sets of representatives that share a bucket are computed once more from the texts and stored; a link is
+      confirmed by sending the set of one side, once, to each block of sets that holds some of the others. The joins
+      on the way to the texts are never broadcast, so the plan is the same at every size.
 """
 
 from __future__ import annotations
@@ -31,7 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from casemill.llm.components import components
-from casemill.llm.textbatch import LOWER, U, chunks, column_bytes, mix, words_of
+from casemill.llm.blocks import partitions
+from casemill.llm.textbatch import LOWER, U, chunks, column_bytes, contains, mix, words_of
 from casemill.session import stage
 
 
@@ -39,14 +44,18 @@ from casemill.session import stage
 class NearDup:
     shingle: int = 5
     percent: int = 85
-    symbols: int = 64
+    symbols: int = 65
+    long_symbols: int = 384
     centres: int = 3
     tile: int = 2048
 
+    def allowed(self, symbols: int) -> int:
+        p = 1 - self.percent / 100
+        return int(symbols * p + 5.5 * (symbols * p * (1 - p)) ** 0.5)
+
     @property
     def errors(self) -> int:
-        p = 1 - self.percent / 100
-        return int(self.symbols * p + 5.5 * (self.symbols * p * (1 - p)) ** 0.5)
+        return self.allowed(self.symbols)
 
     @property
     def chunks(self) -> list[tuple[int, int]]:
@@ -79,9 +88,15 @@ def shingle_sets(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray
     return (np.concatenate(sets) if sets else full[:0]), begin
 
 
-def _signatures(values: np.ndarray, begin: np.ndarray, k: int) -> np.ndarray:
+def _digests(values: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit digests of each set; none of the sets is empty."""
+    a = mix(np.add.reduceat(values, edges[:-1]) + np.diff(edges).astype(U))
+    return a, mix(np.add.reduceat(mix(values ^ U(0x5851F42D4C957F2D)), edges[:-1]))
+
+
+def _signatures(values: np.ndarray, begin: np.ndarray, k: int, skip: int = 0) -> np.ndarray:
     """Low bytes of k minhashes for documents with sets that are not empty."""
-    factors = mix(np.arange(1, k + 1, dtype=U) * U(0xD1342543DE82EF95)) | U(1)
+    factors = mix(np.arange(skip + 1, skip + k + 1, dtype=U) * U(0xD1342543DE82EF95)) | U(1)
     out = np.empty((len(begin) - 1, k), np.uint8)
     for j, f in enumerate(factors):
         out[:, j] = (mix(np.minimum.reduceat(values * f ^ (values >> U(29)), begin[:-1])) & U(255)).astype(np.uint8)
@@ -102,8 +117,7 @@ def signatures(docs: DataFrame, p: NearDup) -> DataFrame:
                 sig: list[bytes | None] = [None] * len(n)
                 if len(has):
                     edges = np.append(begin[:-1][has], begin[-1])
-                    a[has] = mix(np.add.reduceat(values, edges[:-1]) + n[has].astype(U))
-                    b[has] = mix(np.add.reduceat(mix(values ^ U(0x5851F42D4C957F2D)), edges[:-1]))
+                    a[has], b[has] = _digests(values, edges)
                     for row, s in zip(has, _signatures(values, edges, p.symbols)):
                         sig[row] = s.tobytes()
                 yield pa.RecordBatch.from_arrays([
@@ -133,13 +147,13 @@ def bucket_keys(reps: DataFrame, p: NearDup) -> DataFrame:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
                 sig = np.frombuffer(b"".join(part.column("signature").to_pylist()), np.uint8).reshape(-1, p.symbols)
-                ids = part.column("id").to_numpy()
+                ids = part.column("rep").to_numpy()
                 yield pa.RecordBatch.from_arrays([
                     pa.array(_chunk_keys(sig, p).view(np.int64).ravel()), pa.array(np.repeat(ids, p.symbols)),
                     pa.array(np.tile(np.arange(p.symbols, dtype=np.int16), len(ids))),
-                ], names=["key", "id", "left_out"])
+                ], names=["key", "rep", "left_out"])
 
-    return reps.select("id", "signature").mapInArrow(task, "key bigint, id bigint, left_out smallint")
+    return reps.select("rep", "signature").mapInArrow(task, "key bigint, rep bigint, left_out smallint")
 
 
 def _different(p: NearDup, a: str, b: str) -> F.Column:
@@ -148,52 +162,58 @@ def _different(p: NearDup, a: str, b: str) -> F.Column:
     return F.size(F.filter(F.sequence(F.lit(0), F.lit(p.symbols - 1)), lambda i: F.substr(x, i * 2 + 1, F.lit(2)) != F.substr(y, i * 2 + 1, F.lit(2))))
 
 
-CONFIRMED = "a bigint, b bigint"
+SETS = "rep bigint, values array<bigint>, long binary"
+
 
+def stored_sets(docs: DataFrame, ids: DataFrame, p: NearDup) -> DataFrame:
+    """Sets and long signatures of the documents named by ``ids(doc_id)``, with a block number."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, texts in chunks(batch.column("doc_id").to_pylist(), column_bytes(batch, "text")):
+                values, begin = shingle_sets(texts, p.shingle)
+                edges = np.append(begin[:-1][np.diff(begin) > 0], begin[-1])
+                if len(edges) < 2:
+                    continue
+                rep = _digests(values, edges)[0].view(np.int64)
+                long = [x.tobytes() for x in _signatures(values, edges, p.long_symbols, skip=p.symbols)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(rep), pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(values.view(np.int64))),
+                    pa.array(long, pa.binary()),
+                ], names=["rep", "values", "long"])
 
-def confirm(docs: DataFrame, wanted: DataFrame, p: NearDup, name: str) -> DataFrame:
-    """Links among ``wanted(a, others array<bigint>)``, on the full sets.
+    rows = docs.where("doc_id is not null").select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi")
+    found = rows.mapInArrow(task, SETS).withColumn("block", _block(F.col("rep"), docs))
+    return stage(found, "near-sets")
 
-    The set of ``a`` is sent once to each block of documents that holds some of the others.
-    """
-    from casemill.llm.blocks import by_block, partitions
 
-    wanted = stage(wanted, f"{name}-wanted")
-    involved = wanted.select(F.col("a").alias("doc_id")).union(wanted.select(F.explode("others"))).distinct()
-    texts = docs.where("doc_id is not null").select("doc_id", "text").join(involved, "doc_id", "left_semi")
+def _block(rep: F.Column, docs: DataFrame) -> F.Column:
+    return F.pmod(F.hash(rep), F.lit(partitions(docs))).cast("int")
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for ids, part in chunks(batch.column("doc_id").to_pylist(), column_bytes(batch, "text")):
-                values, begin = shingle_sets(part, p.shingle)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(ids, pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(values.view(np.int64))),
-                ], names=["doc_id", "values"])
 
-    full = stage(by_block(texts.mapInArrow(sets, "doc_id bigint, values array<bigint>")), f"{name}-sets")
-    n = 4 * partitions(docs)
-    sent = (wanted.select("a", F.explode("others").alias("other"))
-            .groupBy("a", F.pmod(F.hash("other"), F.lit(n)).cast("int").alias("block")).agg(F.collect_set("other").alias("others")))
-    sent = sent.join(full.select(F.col("doc_id").alias("a"), F.col("values").alias("sent")), "a").select("block", "a", "others", "sent")
+def confirm(sets: DataFrame, wanted: DataFrame, p: NearDup) -> DataFrame:
+    """Links among ``wanted(a, others array<bigint>)``, on the full sets."""
+    wanted = stage(wanted, "near-wanted")
+    others = wanted.select("a", F.explode("others").alias("other"))
+    sent = others.groupBy("a", _block(F.col("other"), sets).alias("block")).agg(F.collect_set("other").alias("others"))
+    lefts = sets.select(F.col("rep").alias("a"), F.col("values").alias("sent"))
+    sent = sent.hint("merge").join(lefts, "a").select("block", "a", "others", "sent")
+    here = sets.select("block", "rep", "values").join(others.select(F.col("other").alias("rep")).distinct().hint("merge"), "rep", "left_semi")
 
     def check(here: pa.Table, there: pa.Table) -> pa.Table:
         own: dict[int, list[np.ndarray]] = {}
-        for i, v in zip(here.column("doc_id").to_pylist(), here.column("values")):
+        for i, v in zip(here.column("rep").to_pylist(), here.column("values")):
             own.setdefault(i, []).append(v.values.to_numpy().view(U))
         links = []
-        for a, others, v in zip(there.column("a").to_pylist(), there.column("others").to_pylist(), there.column("sent")):
+        for a, many, v in zip(there.column("a").to_pylist(), there.column("others").to_pylist(), there.column("sent")):
             left = v.values.to_numpy().view(U)
-            for b in others:
-                for right in own.get(b, ()):
-                    if len(left) * 100 < p.percent * len(right) or len(right) * 100 < p.percent * len(left):
-                        continue
-                    both = len(left) + len(right) - len(np.union1d(left, right))
-                    if 100 * both >= p.percent * (len(left) + len(right) - both):
+            for b in many:
+                for right in own.get(b, ())[:1]:
+                    common = int(contains(left, right).sum())
+                    if 100 * common >= p.percent * (len(left) + len(right) - common):
                         links.append((a, b))
         return pa.table([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], names=["a", "b"])
 
-    return full.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(check, CONFIRMED)
+    return here.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(check, "a bigint, b bigint")
 
 
 def across_components(members: DataFrame, p: NearDup) -> DataFrame:
@@ -202,45 +222,46 @@ def across_components(members: DataFrame, p: NearDup) -> DataFrame:
     A bucket of more than ``tile`` members is compared in pairs of tiles, each a group of its own.
     """
     tiles = F.ceil(F.col("size") / p.tile).cast("int")
-    own = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
+    own = F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int")
     rows = members.withColumn("tiles", tiles).withColumn("own", own)
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    rows = rows.select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "id",
-                       "left_out", "component", "n_shingles", "signature")
-    limit = p.errors
+    rows = rows.select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "rep",
+                       "left_out", "component", "n_shingles", "signature", "long")
+    edges = np.array([a for a, _ in p.chunks])
+    allowed = p.allowed(p.long_symbols)
 
     def compare(group: pa.Table) -> pa.Table:
-        ids = group.column("id").to_numpy()
+        reps = group.column("rep").to_numpy()
         low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
         own, comp, size = (group.column(c).to_numpy() for c in ("own", "component", "n_shingles"))
-        sig = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint8).reshape(-1, p.symbols)
+        sig, long = (np.frombuffer(b"".join(group.column(c).to_pylist()), np.uint8).reshape(len(reps), -1) for c in ("signature", "long"))
         at = group.column("left_out")[0].as_py()
-        a0, b0 = next(c for c in p.chunks if c[0] <= at < c[1])
-        found, lists = [], []
+        chunk = int(np.searchsorted(edges, at, side="right") - 1)
+        a0, b0 = p.chunks[chunk]
+        found, many = [], []
         right = np.flatnonzero(own == high)
         for i in np.flatnonzero(own == low):
             j = right[(comp[right] != comp[i]) & (size[right] * 100 >= size[i] * p.percent) & (size[i] * 100 >= size[right] * p.percent)]
             if low == high:
-                j = j[ids[j] > ids[i]]
+                j = j[reps[j] > reps[i]]
             if not len(j):
                 continue
+            # each pair once: with the first different symbol of the chunk (or its first symbol) left out ...
             differ = sig[j] != sig[i]
-            near = differ.sum(axis=1) <= limit
-            j, differ = j[near], differ[near]
-            if not len(j):
-                continue
-            # each pair once: in the first chunk with one error at most, with that error (or the first symbol) left out
-            errors = np.stack([differ[:, a:b].sum(axis=1) for a, b in p.chunks], axis=1)
-            first = np.argmax(errors <= 1, axis=1)
-            here = first == p.chunks.index((a0, b0))
             inside = differ[:, a0:b0]
-            place = np.where(inside.any(axis=1), np.argmax(inside, axis=1), 0) + a0
-            j = j[here & (place == at)]
+            on = (np.where(inside.any(axis=1), np.argmax(inside, axis=1), 0) + a0 == at) & (differ.sum(axis=1) <= p.errors)
+            j, differ = j[on], differ[on]
+            # ... and in the first chunk with one error at most
+            if chunk and len(j):
+                earlier = np.add.reduceat(differ[:, :a0].astype(np.uint8), edges[:chunk], axis=1)
+                j = j[(earlier > 1).all(axis=1)]
+            if len(j):
+                j = j[(long[j] != long[i]).sum(axis=1) <= allowed]
             if len(j):
-                found.append(ids[i])
-                lists.append(ids[j])
-        begin = np.cumsum([0] + [len(x) for x in lists]).astype(np.int32)
-        flat = np.concatenate(lists) if lists else np.zeros(0, np.int64)
+                found.append(reps[i])
+                many.append(reps[j])
+        begin = np.cumsum([0] + [len(x) for x in many]).astype(np.int32)
+        flat = np.concatenate(many) if many else np.zeros(0, np.int64)
         return pa.table([pa.array(np.array(found, np.int64)), pa.ListArray.from_arrays(pa.array(begin), pa.array(flat))], names=["a", "others"])
 
     return rows.groupBy("key", "low", "high").applyInArrow(compare, "a bigint, others array<bigint>")
@@ -251,34 +272,38 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     signed = stage(signatures(docs, p), "near-signatures")
     filled = signed.where("n_shingles > 0")
     reps = stage(filled.groupBy("set_a", "set_b").agg(
-        F.min("doc_id").alias("id"), F.min("n_shingles").alias("n_shingles"), F.min("signature").alias("signature")), "near-sets")
+        F.min("doc_id").alias("id"), F.min("n_shingles").alias("n_shingles"), F.min("signature").alias("signature"),
+    ).withColumn("rep", F.col("set_a")), "near-representatives")
     keys = bucket_keys(reps, p)
     sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = stage(keys.join(sizes, "key"), "near-buckets")
-    weight = members.groupBy("id").agg(F.sum("size").alias("weight"))
-    weighted = members.join(weight, "id")
-    # the members of each bucket that lie in the largest buckets: a bounded list, combined before the shuffle
-    best, ranked = None, weighted.select("key", F.struct("weight", "id").alias("w"))
+    weight = members.groupBy("rep").agg(F.sum("size").alias("weight"))
+    # the members of each bucket that lie in the largest buckets, best first; combined before the shuffle
+    best, ranked = None, members.join(weight, "rep").select("key", F.struct("weight", "rep").alias("w"))
     for _ in range(p.centres):
         top = ranked.groupBy("key").agg(F.max("w").alias("w"))
         best = top if best is None else best.union(top)
         ranked = ranked.join(top.withColumnRenamed("w", "top"), "key").where("w < top").drop("top")
-    stars = (members.join(best.select("key", F.col("w.id").alias("centre")), "key").where("id <> centre")
-             .select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct())
-    facts = reps.select("id", "n_shingles", "signature")
-    left, right = (facts.select(F.col("id").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("signature").alias(f"s_{c}"))
+    stars = (members.join(best.select("key", F.col("w.rep").alias("a")), "key").where("rep <> a")
+             .select("a", F.col("rep").alias("b")).distinct())
+    facts = reps.select("rep", "n_shingles", "signature")
+    left, right = (facts.select(F.col("rep").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("signature").alias(f"s_{c}"))
                    for c in "ab")
     close = (stars.join(left, "a").join(right, "b")
              .where(f"n_a * 100 >= n_b * {p.percent} and n_b * 100 >= n_a * {p.percent}")
              .where(_different(p, "s_a", "s_b") <= p.errors))
-    wanted = close.groupBy("a").agg(F.collect_set("b").alias("others"))
-    first = stage(confirm(docs, wanted, p, "near-first"), "near-links")
+    inside = members.select("rep").distinct()
+    sets = stored_sets(docs, reps.join(inside, "rep").select(F.col("id").alias("doc_id")).distinct(), p)
+    first = stage(confirm(sets, close.groupBy("a").agg(F.collect_set("b").alias("others")), p), "near-links")
     found = components(first, "near-first")
-    labelled = members.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    labelled = members.join(found.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    open_ = labelled.join(mixed.select("key"), "key", "left_semi").join(facts, "id")
-    rest = stage(confirm(docs, across_components(open_, p), p, "near-rest"), "near-links")
-    joined = components(first.union(rest), "near-all")
+    open_ = labelled.join(mixed.select("key"), "key", "left_semi").join(facts, "rep").join(sets.select("rep", "long").distinct(), "rep")
+    rest = stage(confirm(sets, across_components(open_, p), p), "near-links")
+    ids = reps.select("rep", "id")
+    links = first.union(rest).join(ids.select(F.col("rep").alias("a"), F.col("id").alias("x")), "a").join(
+        ids.select(F.col("rep").alias("b"), F.col("id").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    joined = components(links, "near-all")
     classes = reps.select("set_a", "set_b", "id").join(joined, "id", "left").select(
         "set_a", "set_b", F.coalesce("component", "id").alias("component"))
     out = signed.join(classes, ["set_a", "set_b"], "left")
