@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from casemill.llm.decontaminate import overlaps
 from casemill.llm.mixing import mixing_rates
 from casemill.llm.near_dup import near_duplicates
+from casemill.llm.pii import personal_data
 from casemill.llm.quality import COUNTS, quality
 from casemill.llm.substrings import remove_repeats
 from casemill.llm.suffixes import remove_earlier
@@ -59,6 +60,11 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
