@@ -14,6 +14,7 @@ from casemill.llm.quality import COUNTS, quality
 from casemill.llm.substrings import remove_repeats
 from casemill.llm.suffixes import remove_earlier
 from casemill.llm.token_shards import token_shards
+from casemill.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -49,6 +50,11 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op7_quality_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdict = quality(table(spark, sf_dir, "documents"))
