@@ -11,6 +11,7 @@ from casemill.llm.mixing import mixing_rates
 from casemill.llm.near_dup import near_duplicates
 from casemill.llm.pii import personal_data
 from casemill.llm.quality import COUNTS, quality
+from casemill.llm.secrets import secret_scan
 from casemill.llm.substrings import remove_repeats
 from casemill.llm.suffixes import remove_earlier
 from casemill.llm.token_shards import token_shards
@@ -35,6 +36,11 @@ def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
