@@ -159,7 +159,8 @@ def mixed(docs: DataFrame, labels: DataFrame, p: Mixing = Mixing()) -> DataFrame
         F.max_by("rate", F.struct("n_tokens", "rate")).alias("rate"))
     dice = F.pmod(F.xxhash64("doc_id", F.lit(p.seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     times = (F.floor("rate") + F.when(dice < F.col("rate") - F.floor("rate"), 1).otherwise(0)).cast("int")
-    counts = rates.select(F.col("doc_id").alias("_id"), times.alias("_times"))
-    out = docs.join(counts, F.col("doc_id") == F.col("_id"), "left").withColumn("_times", F.coalesce("_times", F.lit(1)))
-    out = out.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_times"))))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    # the rows of docs travel as one column, so that none of their names can clash
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    out = rows.join(rates.select("doc_id", times.alias("times")), F.col("doc.doc_id") == F.col("doc_id"), "left")
+    out = out.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.coalesce("times", F.lit(1)))))
+    return out.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])

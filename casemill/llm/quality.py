@@ -123,9 +123,6 @@ def quality(docs: DataFrame, host: str = "source", p: Quality = Quality()) -> Da
 
 def without_boilerplate(docs: DataFrame, verdict: DataFrame, host: str = "source") -> DataFrame:
     """The kept documents, without the lines found to be boilerplate. All columns stay; ``n_chars`` follows the text."""
-    found = verdict.select("doc_id", "host", "boilerplate_lines", "kept").distinct()
-    key = F.coalesce(F.col(host), F.lit(""))
-
     @F.pandas_udf("string")
     def cut(text, lines):
         def one(t, gone):
@@ -135,10 +132,12 @@ def without_boilerplate(docs: DataFrame, verdict: DataFrame, host: str = "source
             return "\n".join(x for x in t.split("\n") if not x.split() or line_hash(x.encode()) not in hit)
         return text.combine(lines, one)
 
-    named = found.select(F.col("doc_id").alias("_id"), F.col("host").alias("_host"), "boilerplate_lines", "kept")
-    out = docs.join(named, docs["doc_id"].eqNullSafe(F.col("_id")) & (key == F.col("_host"))).where("kept")
-    text = F.when(F.size("boilerplate_lines") > 0, cut("text", "boilerplate_lines")).otherwise(F.col("text"))
-    out = out.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast("bigint"))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    # the rows of docs travel as one column, so that none of their names can clash
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    found = verdict.select("doc_id", "host", "boilerplate_lines", "kept").distinct()
+    same = F.col("doc.doc_id").eqNullSafe(F.col("doc_id")) & (F.coalesce(F.col("doc").getField(host), F.lit("")) == F.col("host"))
+    out = rows.join(found, same).where("kept")
+    text = F.when(F.size("boilerplate_lines") > 0, cut("doc.text", "boilerplate_lines")).otherwise(F.col("doc.text"))
+    changed = {"text": text, "n_chars": F.when(F.size("boilerplate_lines") > 0, F.length(text).cast("bigint")).otherwise(F.col("doc.n_chars"))
+               if "n_chars" in docs.columns else None}
+    return out.select(*[changed[c].alias(c) if c in changed else F.col("doc").getField(c).alias(c) for c in docs.columns])

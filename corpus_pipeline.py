@@ -29,9 +29,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group stays; of several equal rows with its id, one. A row without id stays."""
+    """The document with the smallest id of each group stays; rows with one id are one document. A row without id stays."""
     gone = near_duplicates(docs).where("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns).distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
