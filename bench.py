@@ -15,12 +15,10 @@ from casemill.session import build_session  # noqa: E402
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-# Model training is timed in the tests of the models, not here.
-SKIP = {"tfidf_classifier", "classifier_grid", "scored_texts", "lda_topics", "doc_topic"}
 
 
 def main() -> None:
-    names = [n for n in QUERIES if n not in SKIP]
+    names = list(QUERIES)
     if os.environ.get("BENCH_QUERIES"):
         names = os.environ["BENCH_QUERIES"].split(",")
     spark = build_session(

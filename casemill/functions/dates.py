@@ -10,6 +10,7 @@ MICROS_PER_DAY = 86_400_000_000
 # because a failed attempt costs far more than a match.
 _TIME = r"\d{1,2}:\d{2}"
 DATE_LAYOUTS = (
+    (r"^(1[3-9]|2\d|3[01])/\d{1,2}/\d{4}$", "d/M/yyyy"),  # no month is above 12
     (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
     (rf"^\d{{1,2}}/\d{{1,2}}/\d{{4}} {_TIME}$", "M/d/yyyy H:mm"),
     (rf"^\d{{1,2}}/\d{{1,2}}/\d{{4}} {_TIME}:\d{{2}}$", "M/d/yyyy H:mm:ss"),
@@ -19,6 +20,9 @@ DATE_LAYOUTS = (
     (rf"^\d{{4}}/\d{{1,2}}/\d{{1,2}} {_TIME}:\d{{2}}$", "yyyy/M/d H:mm:ss"),
     (r"^\d{1,2}-\d{1,2}-\d{4}$", "M-d-yyyy"),
     (r"^\d{8}$", "yyyyMMdd"),
+    (r"^\d{4}\.\d{1,2}\.\d{1,2}$", "yyyy.M.d"),
+    (r"^[A-Z][a-z]{2} \d{1,2} \d{4}$", "MMM d yyyy"),
+    (r"^[A-Z][a-z]{3,} \d{1,2} \d{4}$", "MMMM d yyyy"),
     (r"^\d{1,2}-[A-Z][a-z]{2}-\d{4}$", "d-MMM-yyyy"),
     (r"^\d{1,2} [A-Z][a-z]{2} \d{4}$", "d MMM yyyy"),
     (r"^\d{1,2} [A-Z][a-z]{3,} \d{4}$", "d MMMM yyyy"),

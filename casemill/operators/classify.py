@@ -10,7 +10,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from casemill.functions import text as text_functions
 from casemill.operators import evaluate
@@ -45,15 +45,16 @@ class Classifier:
     test: DataFrame
 
     def predict(self, df: DataFrame) -> DataFrame:
-        """Probabilities (array in class order) and the predicted label for rows with ``clean_text``."""
-        out = self.model.transform(with_terms(df))
+        """Probabilities (array in class order) and the predicted label for rows with ``clean_text``, or with terms
+        made before."""
+        out = self.model.transform(df if TERMS in df.columns else with_terms(df))
         out = out.withColumn("probability", vector_to_array("probability"))
-        return out.drop(TERMS, COUNTS, WEIGHTED, FEATURES, "rawPrediction", "prediction", "_y")
+        return out.drop(*(() if TERMS in df.columns else (TERMS,)), COUNTS, WEIGHTED, FEATURES, "rawPrediction", "prediction", "_y")
 
 
-def training_rows(df: DataFrame, narrative: str, id_column: str, sample: int, seed: int, drop_empty: bool = False) -> DataFrame:
-    """At most ``sample`` rows with cleaned text."""
-    return with_clean_text(sample_rows(df, sample, id_column, seed), narrative, drop_empty)
+def text_rows(df: DataFrame, narrative: str, drop_empty: bool = False) -> DataFrame:
+    """All rows with cleaned text. Only fitting a classifier takes a sample of them."""
+    return with_clean_text(df, narrative, drop_empty)
 
 
 def labelled(df: DataFrame, target: str, canonical: Callable[[Column], Column] | None = None) -> DataFrame:
@@ -70,10 +71,10 @@ def class_counts(df: DataFrame, target: str) -> DataFrame:
     )
 
 
-def _prepare(df: DataFrame, id_column: str, p: Params) -> tuple[DataFrame, DataFrame]:
-    """Training and test rows with their terms. Both are stored, because fitting reads them many times and the
-    split should not be worked out again each time."""
-    rows = keep_frequent(df, "label", p.min_class_rows)
+def _prepare(df: DataFrame, id_column: str, p: Params, sample: int) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows of at most ``sample`` labelled rows, with their terms. Both are stored, because fitting
+    reads them many times and the split should not be worked out again each time."""
+    rows = keep_frequent(sample_rows(df, sample, id_column, p.seed), "label", p.min_class_rows)
     rows = stage(rows.select(id_column, "label", "clean_text"), "labelled")
     if rows.select("label").distinct().limit(2).count() < 2:
         raise ValueError("Not enough classes remain to train a classifier")
@@ -103,7 +104,7 @@ def train_classifier(
     p: Params = DEFAULTS, candidate: Candidate = Candidate(),
 ) -> Classifier:
     """Train on canonical labels; vocabulary, weights and model come from the training rows only."""
-    train, test = _prepare(labelled(df, target, canonical), id_column, p)
+    train, test = _prepare(labelled(df, target, canonical), id_column, p, p.training_sample)
     tfidf = fit_tfidf(train, p, candidate.vocabulary)
     model, classes = _fit(train, tfidf, p, candidate, train.count())
     scored = model.transform(test).withColumn("probability", vector_to_array("probability"))
@@ -114,7 +115,7 @@ def tune_classifier(
     df: DataFrame, target: str, id_column: str, p: Params = DEFAULTS, grid: Sequence[Candidate] = GRID,
 ) -> tuple[Classifier, DataFrame]:
     """Every grid point on raw labels and the same split; the first of the best hold-out accuracies wins."""
-    train, test = _prepare(labelled(df, target), id_column, p)
+    train, test = _prepare(labelled(df, target), id_column, p, p.tuning_sample)
     n = train.count()
     tfidf = {size: fit_tfidf(train, p, size) for size in {g.vocabulary for g in grid}}
     best, best_accuracy, report = None, -1.0, []
@@ -134,6 +135,21 @@ def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+def save_classifier(classifier: Classifier, path: str) -> None:
+    """The model, its classes in order and its test predictions."""
+    folder = path.rstrip("/")
+    save_model(classifier.model, f"{folder}/model")
+    spark = classifier.test.sparkSession
+    spark.createDataFrame(list(enumerate(classifier.classes)), "position int, label string").write.mode("overwrite").parquet(f"{folder}/classes")
+    classifier.test.write.mode("overwrite").parquet(f"{folder}/test")
+
+
+def load_classifier(spark: SparkSession, path: str) -> Classifier:
+    folder = path.rstrip("/")
+    classes = [r["label"] for r in spark.read.parquet(f"{folder}/classes").orderBy("position").collect()]
+    return Classifier(PipelineModel.load(f"{folder}/model"), classes, spark.read.parquet(f"{folder}/test"))
+
+
 def score_texts(classifier: Classifier, df: DataFrame, canonical: dict[str, str], p: Params = DEFAULTS) -> DataFrame:
     """Prediction record and multi-issue record for rows with ``clean_text``; rows whose text is empty drop out."""
     scored = classifier.predict(df.filter(F.length("clean_text") > 0))
@@ -152,7 +168,7 @@ class TopicModel:
 
     def distribution(self, df: DataFrame) -> DataFrame:
         """Topic weights (array) for rows with ``clean_text``."""
-        out = self.model.transform(with_terms(df))
+        out = self.model.transform(df if TERMS in df.columns else with_terms(df))
         return out.withColumn("topics", vector_to_array("topicDistribution")).drop(TERMS, COUNTS, "topicDistribution")
 
     def predict(self, df: DataFrame) -> DataFrame:
@@ -177,11 +193,24 @@ def train_topics(df: DataFrame, p: Params = DEFAULTS, stop_words: Sequence[str]
     return TopicModel(PipelineModel([vocabulary, model]), words)
 
 
+def save_topics(topics: TopicModel, path: str) -> None:
+    """The model and the words of each topic."""
+    folder = path.rstrip("/")
+    save_model(topics.model, f"{folder}/model")
+    topics.words.write.mode("overwrite").parquet(f"{folder}/words")
+
+
+def load_topics(spark: SparkSession, path: str) -> TopicModel:
+    folder = path.rstrip("/")
+    return TopicModel(PipelineModel.load(f"{folder}/model"), spark.read.parquet(f"{folder}/words"))
+
+
 def analyze_texts(
     df: DataFrame, product: Classifier, issue: Classifier, topics: TopicModel, product_names: dict[str, str],
     issue_names: dict[str, str], p: Params = DEFAULTS,
 ) -> DataFrame:
     """Product record, issue record with extra candidates, and topic of every text, as one projection."""
+    df = with_terms(df, ngram_max=p.ngram_max)  # once for all three models
     out = score_texts(product, df, product_names, p).withColumnRenamed("prediction", "product").drop("multi_issue")
     out = score_texts(issue, out, issue_names, p).withColumnRenamed("prediction", "issue")
     return topics.predict(out)

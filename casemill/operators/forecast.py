@@ -45,7 +45,9 @@ def _enough(rows: DataFrame, strict: bool) -> DataFrame:
     if not strict:
         return rows.filter(enough)
     message = F.lit("Not enough monthly data available for forecasting.")
-    return rows.filter(F.when(enough, True).otherwise(F.raise_error(message).cast("boolean")))
+    # as a scalar, so that it is reached when no row is left
+    known = rows.agg(F.when(F.count(F.lit(1)) > 0, True).otherwise(F.raise_error(message).cast("boolean"))).scalar()
+    return rows.filter(known & F.when(enough, True).otherwise(F.raise_error(message).cast("boolean")))
 
 
 def _line(fit: Column, by, t: Column) -> tuple[Column, Column]:

@@ -31,7 +31,8 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, column: str) -> DataFrame:
-    """Count, mean, deviation, minimum, exact quartiles and maximum of an integer column.
+    """Count, mean, deviation, minimum, exact quartiles and maximum of a number column. Whole numbers are summed
+    exactly, others as doubles around their mean.
 
     Rows are counted per value first; the quartile step then works on the distinct values with their
     frequencies, whose number is bounded by the range of the column and not by the number of rows.
@@ -40,7 +41,11 @@ def describe(df: DataFrame, column: str) -> DataFrame:
         F.count(F.lit(1)).alias("n")
     )
     v, n = F.col("v"), F.col("n")
-    x = v.cast("decimal(19,0)")
+    if df.schema[column].dataType.typeName() in ("float", "double", "decimal"):
+        middle = values.agg(F.sum(v.cast("double") * n) / F.sum(n)).scalar()
+        x, centre = v.cast("double") - middle, middle
+    else:
+        x, centre = v.cast("decimal(19,0)"), F.lit(0.0)
     sums = values.agg(
         F.sum(n).alias("count"), F.sum(x * n).alias("s1"), F.sum(x * x * n).alias("s2"),
         F.min(v).alias("min"), F.max(v).alias("max"),
@@ -49,7 +54,7 @@ def describe(df: DataFrame, column: str) -> DataFrame:
     count, s1, s2 = F.col("count"), F.col("s1").cast("double"), F.col("s2").cast("double")
     variance = F.try_divide(s2 - s1 * s1 / count, count - 1)
     return sums.select(
-        "count", (s1 / count).alias("mean"), F.sqrt(F.greatest(variance, F.lit(0.0))).alias("std"), "min",
+        "count", (s1 / count + centre).alias("mean"), F.sqrt(F.greatest(variance, F.lit(0.0))).alias("std"), "min",
         F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max",
     )
 

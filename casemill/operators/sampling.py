@@ -14,6 +14,7 @@ from casemill.params import DEFAULTS
 
 LEVELS = (2, 5)  # leading hex digits looked at in each step
 _ONE = "_all"
+LITERALS = 1000
 
 
 def digest(id_column: Column, seed: int) -> Column:
@@ -47,12 +48,28 @@ def _cuts(rows: DataFrame, quota: Column, stratum: str) -> DataFrame:
     return cut
 
 
+def _with_cut(rows: DataFrame, cut: DataFrame, stratum: str) -> DataFrame:
+    """Rows with the cut of their stratum. The cuts are one short row per stratum; as literals they turn into a filter
+    of the scan, so no text is shuffled. A label with too many values is joined."""
+    known = cut.limit(LITERALS + 1).collect()
+    if len(known) > LITERALS:
+        return rows.join(cut, rows[stratum].eqNullSafe(cut["_stratum"]), "left")
+    label = F.coalesce(F.concat(F.lit("="), F.col(stratum).cast("string")), F.lit(""))
+    text = lambda r: "" if r["_stratum"] is None else f"={r['_stratum']}"
+    if any(isinstance(r["_stratum"], float) for r in known):
+        return rows.join(F.broadcast(cut), rows[stratum].eqNullSafe(cut["_stratum"]), "left")
+    if not known:
+        return rows.withColumns({"_cut": F.lit(None).cast("string"), "_need": F.lit(None).cast("long")})
+    cuts = F.create_map(*[F.lit(x) for r in known for x in (text(r), r["_cut"])])
+    needs = F.create_map(*[F.lit(x) for r in known for x in (text(r), int(r["_need"]))])
+    return rows.withColumns({"_cut": cuts[label], "_need": needs[label]})
+
+
 def _split(df: DataFrame, id_column: str, quota: Column, seed: int, stratum: str) -> tuple[DataFrame, DataFrame]:
     """The first ``quota`` rows of every stratum, and the other rows."""
     rows = df if stratum in df.columns else df.withColumn(stratum, F.lit(1))
     rows = rows.withColumn("_digest", digest(F.col(f"`{id_column}`"), seed))
-    cut = _cuts(rows, quota, stratum)
-    rows = rows.join(cut, rows[stratum].eqNullSafe(cut["_stratum"]), "left").withColumn("_p", _prefix(LEVELS[-1]))
+    rows = _with_cut(rows, _cuts(rows, quota, stratum), stratum).withColumn("_p", _prefix(LEVELS[-1]))
     edge = rows.filter(F.col("_p") == F.col("_cut"))
     w = W.partitionBy(stratum, "_p").orderBy("_digest", f"`{id_column}`")
     edge = edge.withColumn("_rn", F.row_number().over(w))
@@ -82,4 +99,8 @@ def stratified_split(
 def keep_frequent(df: DataFrame, label: str, min_rows: int) -> DataFrame:
     """Rows whose label has at least ``min_rows`` rows."""
     counts = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    return df.join(counts.filter(F.col("_n") >= min_rows).select(label), label, "left_semi")
+    frequent = counts.filter(F.col("_n") >= min_rows).select(label)
+    known = frequent.limit(LITERALS + 1).collect()
+    if len(known) > LITERALS:
+        return df.join(frequent, label, "left_semi")
+    return df.filter(F.col(label).isin([r[0] for r in known]) if known else F.lit(False))

@@ -97,13 +97,26 @@ def dimension(spark: SparkSession, field: str) -> DataFrame:
                                        "rationale string")
 
 
+BROADCAST_LABELS = 100_000
+
+
 def canonicalize_by(df: DataFrame, column: str, labels: DataFrame, out: str = "canonical") -> DataFrame:
-    """As ``canonical``, with the labels of any table ``(raw_label, canonical)`` of unknown size."""
+    """As ``canonical``, with the labels of any table ``(raw_label, canonical)``. A small table, by count, goes to the
+    tasks; rows of a hot label are only shuffled for a larger one."""
     key = labels.select(F.col("raw_label").alias("_raw"), F.col("canonical").alias("_canonical"))
+    if key.limit(BROADCAST_LABELS + 1).count() <= BROADCAST_LABELS:
+        key = F.broadcast(key)
     joined = df.withColumn("_label", strip(F.col(f"`{column}`"))).join(key, F.col("_label") == F.col("_raw"), "left")
     return joined.withColumn(out, F.coalesce("_canonical", "_label")).drop("_label", "_raw", "_canonical")
 
 
+def canonical_counts(source: Source, column: str, labels: DataFrame, out: str, n: str = "Count") -> DataFrame:
+    """Rows per canonical label: counted per raw label first, so that only the counts meet the labels."""
+    raw = value_counts(source, column, "label", n)
+    named = canonicalize_by(raw, "label", labels, out)
+    return named.groupBy(out).agg(F.sum(n).alias(n)).orderBy(F.desc(n), out)
+
+
 def report(spark: SparkSession, field: str) -> DataFrame:
     """One row per canonical label with the raw labels behind it."""
     return dimension(spark, field).groupBy(F.col("canonical").alias("canonical_label")).agg(

@@ -137,10 +137,10 @@ over_cases("issue_growth", ["Year", "Issue"], lambda df: growth.yoy_growth(df, "
 
 @query("emerging_keys")
 def _(spark, folder):
-    """Companies seen through each order: a pair of company and channel is new when it had no row the year before."""
+    """Routes (company, channel and issue): a triple is new when it had no row the year before."""
     df = cases(spark, folder, ["Year", "Company", "Submitted via", "Issue"])
-    pair = F.concat_ws(" / ", "Company", "Submitted via", "Issue")
-    found = growth.yoy_growth(df.withColumn("Route", pair), "Route", Params(growth_floor=1))
+    route = F.concat_ws(" / ", "Company", "Submitted via", "Issue")
+    found = growth.yoy_growth(df.withColumn("Route", route), "Route", Params(growth_floor=1))
     return growth.emerging(found, 1)
 
 
@@ -204,7 +204,6 @@ def raw_complaints(spark: SparkSession, folder: str) -> DataFrame:
     """The star schema as raw complaint text: padded names, missing markers, mixed and unreadable dates."""
     df = cases(spark, folder, ["Complaint ID", "Date received", "Date sent to company", "Product", "Issue", "Sub-issue",
                                "Company", "State", "Tags", "Submitted via", RESPONSE, TIMELY])
-    df = spread(df)
     received, line = F.col("Date received"), F.col("Complaint ID") % 10
     segment, response = F.col("Tags"), F.col(RESPONSE)
     return df.select(
@@ -332,8 +331,7 @@ def _(spark, folder):
 
 @query("canonicalize_by_table")
 def _(spark, folder):
-    df = taxonomy.canonicalize_by(named_cases(spark, folder), "Issue", taxonomy.dimension(spark, "Issue"))
-    return counts.value_counts(df, "canonical", "Issue_canonical")
+    return taxonomy.canonical_counts(named_cases(spark, folder), "Issue", taxonomy.dimension(spark, "Issue"), "Issue_canonical")
 
 
 def _audit(field: str, fn: Callable[[Column], Column]) -> Query:
@@ -515,12 +513,12 @@ def _(spark, folder):
 
 # Trained models ------------------------------------------------------------------------------------
 
-MODEL = Params(max_iter=20, min_class_rows=20)
+MODEL = Params(min_class_rows=20)
 
 
-def _texts(spark: SparkSession, folder: str, p: Params = MODEL, drop_empty: bool = False) -> DataFrame:
+def _texts(spark: SparkSession, folder: str, drop_empty: bool = False) -> DataFrame:
     df = document_narratives(spark, folder)
-    return classify.training_rows(df, NARRATIVE, "doc_id", p.training_sample, p.seed, drop_empty).select(
+    return classify.text_rows(df, NARRATIVE, drop_empty).select(
         "doc_id", "clean_text", "Product", "Issue"
     )
 

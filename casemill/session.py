@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import re
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,22 +38,24 @@ def build_session(app: str = "casemill", master: str | None = None, **settings:
     return configure(builder.getOrCreate())
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan with fewer splits than cores to all cores, before costly work per row. A table of a size
-    that matters has more splits than cores and stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+def spread(scan: DataFrame) -> DataFrame:
+    """Give a table of fewer files than cores to all cores, before costly work per row. Only for a plain scan; the
+    files are listed, nothing is run."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if len(scan.inputFiles()) >= cores else scan.repartition(cores)
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only on a local master."""
+    """The shared folder the cluster names; a temporary one, removed at exit, only where driver and tasks are one
+    process."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="casemill-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     context.setCheckpointDir(folder)
     return context.getCheckpointDir() or folder
 
@@ -60,5 +67,24 @@ def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
     executor costs no recomputation, and the readers get column pruning, push-down and true sizes.
     """
     path = f"{checkpoint_folder(df.sparkSession).rstrip('/')}/casemill/{name}-{uuid.uuid4().hex}"
+    for kept in _scopes:
+        kept.append(path)
     df.write.options(**options).mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def staged_tables_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what ``stage`` stores inside the block. Use it where the results are written before it ends."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        for path in paths:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

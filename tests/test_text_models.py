@@ -163,7 +163,7 @@ def letters(spark):
 
 def test_classifier_learns_canonical_labels(spark, letters, tmp_path):
     p = Params(min_class_rows=10, max_iter=30)
-    texts = classify.training_rows(letters, "narrative", "id", 1000, 42)
+    texts = classify.text_rows(letters, "narrative")
     rows = classify.labelled(texts, "Product", taxonomy.canonical_product)
     assert tuple(classify.class_counts(rows, "Product").first()) == (4, 3)
     model = classify.train_classifier(texts, "Product", "id", taxonomy.canonical_product, p)
@@ -184,14 +184,14 @@ def test_classifier_learns_canonical_labels(spark, letters, tmp_path):
 
 def test_grid_takes_the_first_best(letters):
     p = Params(min_class_rows=10, max_iter=10)
-    texts = classify.training_rows(letters, "narrative", "id", 1000, 42, drop_empty=True)
+    texts = classify.text_rows(letters, "narrative", drop_empty=True)
     grid = (classify.Candidate(1.0), classify.Candidate(2.0, True))
     best, table = classify.tune_classifier(texts, "Product", "id", p, grid)
     assert table.count() == 2 and len(best.classes) == 4
 
 
 def test_rare_classes_leave(letters):
-    texts = classify.training_rows(letters, "narrative", "id", 1000, 42)
+    texts = classify.text_rows(letters, "narrative")
     with pytest.raises(ValueError, match="Not enough classes"):
         classify.train_classifier(texts, "Product", "id", None, Params(min_class_rows=1000))
 
