@@ -42,7 +42,7 @@ class Mixing:
     epoch: float = 1.1
     fit_rows: int = 20_000
     slots: int = 256
-    steps: int = 40
+    steps: int = 24
     ridge: float = 0.02
     seed: int = 7
 
@@ -115,18 +115,26 @@ def memberships(docs: DataFrame, weights: np.ndarray, p: Mixing) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(task, "doc_id bigint, n_tokens bigint, p array<double>")
 
 
-def _rate(steps: list[list[float]], ridge: float, step: float) -> Column:
-    """The rate after the steps so far. A step subtracts the gradient per token, then cuts at 0."""
-    rate = F.lit(1.0)
+def _rate(steps: list[list[float]], ridge: float, step: float, ahead: bool = False) -> Column:
+    """The rate after the steps so far, or the point ahead of it where the next gradient is taken.
+
+    A step subtracts the gradient per token at the point ahead, then cuts at 0; the next point ahead goes on in the
+    direction of the step (the accelerated form of projected gradient)."""
     if not steps:
-        return rate
-    history = F.array(*[F.array(*[F.lit(float(v)) for v in g]) for g in steps])
+        return F.lit(1.0)
+    history = F.array(*[F.array(*[F.lit(float(v)) for v in (*g, _momentum(t))]) for t, g in enumerate(steps)])
+    start = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
 
-    def follow(r: Column, g: Column) -> Column:
+    def follow(s: Column, g: Column) -> Column:
         pull = sum((F.get("p", F.lit(k)) * F.get(g, F.lit(k)) for k in range(len(DOMAINS))), F.lit(0.0))
-        return F.greatest(F.lit(0.0), r - F.lit(step) * (pull + F.lit(ridge) * (r - F.lit(1.0))))
+        new = F.greatest(F.lit(0.0), s["ahead"] - F.lit(step) * (pull + F.lit(ridge) * (s["ahead"] - F.lit(1.0))))
+        return F.struct(new.alias("rate"), (new + F.get(g, F.lit(len(DOMAINS))) * (new - s["rate"])).alias("ahead"))
+
+    return F.aggregate(history, start, follow)["ahead" if ahead else "rate"]
+
 
-    return F.aggregate(history, rate, follow)
+def _momentum(t: int) -> float:
+    return t / (t + 3.0)
 
 
 def mixing_rates(docs: DataFrame, labels: DataFrame, p: Mixing = Mixing()) -> DataFrame:
@@ -146,7 +154,8 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, p: Mixing = Mixing()) -> Da
     step = 1.0 / (float(np.linalg.eigvalsh(gram / np.outer(scale, scale))[-1]) + p.ridge)
     steps: list[list[float]] = []
     for _ in range(p.steps):
-        now = members.agg(*[F.sum(_rate(steps, p.ridge, step) * parts[i]).alias(f"s{i}") for i in k]).first()
+        now = members.withColumn("_r", _rate(steps, p.ridge, step, ahead=True)).agg(
+            *[F.sum(F.col("_r") * parts[i]).alias(f"s{i}") for i in k]).first()
         steps.append([(float(now[f"s{i}"]) - target[i]) / tokens / scale[i] ** 2 for i in k])
     return members.select("doc_id", "n_tokens", *[F.get("p", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(DOMAINS)],
                           _rate(steps, p.ridge, step).alias("rate"))

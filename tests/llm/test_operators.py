@@ -177,7 +177,7 @@ def test_rates_meet_the_targets(spark, frame):
     good, bad = "fine clear prose about rivers and hills ", "zzz### qqq!!! zzz### "
     rows = [(i, (good if i % 3 else bad) * (5 + i % 7), None) for i in range(600)]
     labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(400)], "doc_id bigint, quality int, toxic int")
-    p = mixing.Mixing(weights=(0.8, 0.2, 0.0), epoch=1.0, steps=120, ridge=1e-3)
+    p = mixing.Mixing(weights=(0.8, 0.2, 0.0), epoch=1.0, steps=40, ridge=1e-3)
     r = mixing.mixing_rates(frame(rows), labels, p).toPandas()
     tokens = r["n_tokens"].sum()
     share = [(r["rate"] * r["n_tokens"] * r[c]).sum() / tokens for c in ("p_good", "p_weak")]
@@ -199,7 +199,7 @@ def luhn(s):
 
 def base_spans(t):
     found = [("email", m) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
-    found += [("ip", m) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x) <= 255 for x in m[0].split("."))]
+    found += [("ip", m) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(len(x.lstrip("0")) <= 3 and int(x.lstrip("0") or 0) <= 255 for x in m[0].split("."))]
     for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t):
         d = re.sub("[^0-9]", "", m[0])
         found += [("card", m)] if 16 <= len(d) <= 19 and luhn(d) else []
