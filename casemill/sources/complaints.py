@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -55,17 +58,47 @@ def drop_overlong(df: DataFrame) -> DataFrame:
 
 
 def read_raw_csv(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
-    """All columns as text, plus ``_row_order`` (file, position) for keep-first de-duplication.
+    """All columns as text, plus ``_row_order`` (file, position) for keep-first de-duplication. Columns are matched by
+    name: files may have other column orders and further columns; a file without a required one is an error.
 
     A multi-line CSV file cannot be split, so the input should come as many files; set
     ``multi_line=False`` for splittable reads when no field holds a line break.
     """
-    names = spark.read.options(header=True, multiLine=multi_line, quote='"', escape='"').csv(path).columns
-    reader = csv_options(spark.read.schema(raw_schema(names)), multi_line)
+    parts = [
+        _read_as(spark, files, names, multi_line) for names, files in _files_by_header(spark, path).items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _files_by_header(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files of each header: one more pass over the raw lines, in which each task keeps the first line of a file. A row
+    per distinct header comes back, with the names of its files."""
+    first = F.substring_index(F.substring_index("value", "\n", 1), "\r", 1)
+    paths = [path] if isinstance(path, str) else path
+    lines = spark.read.text(paths, wholetext=False).withColumn("file", F.col("_metadata.file_path"))
+    lines = lines.withColumn("at", F.col("_metadata.file_block_start"))
+    heads = lines.where("at = 0").withColumn("n", F.monotonically_increasing_id()).groupBy("file").agg(
+        F.min_by(first, "n").alias("head"))
+    groups = heads.groupBy("head").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("head").collect()
+    found: dict[tuple[str, ...], list[str]] = {}
+    for r in groups:
+        names = next(csv.reader([r["head"].removeprefix("\ufeff")]), [])
+        found.setdefault(tuple(names), []).extend(r["files"])
+    if not found:
+        raise ValueError(f"no rows under {path}")
+    return found
+
+
+def _read_as(spark: SparkSession, files: list[str], names: tuple[str, ...], multi_line: bool) -> DataFrame:
+    """Files with one header; each of them must have the required columns, in any order."""
+    missing = [n for n in RAW_COLUMNS if n not in names]
+    if missing:
+        raise ValueError(f"Missing required columns: {missing} in {files[0]}")
     order = F.struct(
         F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("position")
     )
-    return require_columns(drop_overlong(reader.csv(path).withColumn(ROW_ORDER, order)))
+    reader = csv_options(spark.read.schema(raw_schema(names)), multi_line)
+    return drop_overlong(reader.csv([unquote(f) if "%" in f else f for f in files]).withColumn(ROW_ORDER, order))
 
 
 def first_rows(df: DataFrame, n: int = 500_000) -> DataFrame:

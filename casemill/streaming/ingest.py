@@ -7,20 +7,22 @@ the stored table keeps the first row of each (the stored rows carry step, file a
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from casemill.operators.ingest import dedupe_first, preprocess
-from casemill.sources.complaints import RAW_COLUMNS, ROW_ORDER, csv_options, drop_overlong, raw_schema, save_table
+from casemill.sources.complaints import ROW_ORDER, read_raw_csv, save_table
 
 FILE, STEP = "_file", "step"
 
 
-def raw_stream(spark: SparkSession, folder: str, multi_line: bool = True, files_per_step: int = 64) -> DataFrame:
-    """New CSV files of ``folder``, with the required columns in the standard order."""
-    reader = csv_options(spark.readStream.schema(raw_schema(RAW_COLUMNS)), multi_line)
-    rows = reader.option("maxFilesPerTrigger", files_per_step).csv(folder)
-    return rows.withColumn(FILE, F.col("_metadata.file_path"))
+def raw_stream(spark: SparkSession, folder: str, files_per_step: int = 64) -> DataFrame:
+    """The lines of new CSV files of ``folder``. A step only takes the file names from it and reads the files by
+    their own headers."""
+    lines = spark.readStream.option("maxFilesPerTrigger", files_per_step).text(folder)
+    return lines.select(F.col("_metadata.file_path").alias(FILE))
 
 
 def ingest_available(
@@ -30,11 +32,12 @@ def ingest_available(
     """Process what has arrived since the last call, add it to ``target``, and stop."""
 
     def write(step: DataFrame, number: int) -> None:
-        order = F.struct(F.col(FILE).alias("file"), F.monotonically_increasing_id().alias("position"))
-        rows = drop_overlong(step.withColumn(ROW_ORDER, order).drop(FILE))
-        save_table(preprocess(rows), f"{target.rstrip('/')}/{STEP}={number}")
+        # at most files_per_step names
+        files = sorted(unquote(r[FILE]) if "%" in r[FILE] else r[FILE] for r in step.distinct().collect())
+        if files:
+            save_table(preprocess(read_raw_csv(step.sparkSession, files, multi_line)), f"{target.rstrip('/')}/{STEP}={number}")
 
-    stream = raw_stream(spark, source, multi_line, files_per_step)
+    stream = raw_stream(spark, source, files_per_step)
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(
         availableNow=True
     ).start()

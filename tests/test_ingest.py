@@ -89,3 +89,30 @@ def test_incremental_ingest(spark, tmp_path):
     ingest_available(spark, str(source), target, state).awaitTermination()
     out = {r["Complaint ID"]: r for r in stored_cases(spark, target).collect()}
     assert set(out) == {"1", "2", "3"} and out["1"]["Product"] == "sample"
+
+
+def write_as(path, names, rows):
+    with open(path, "w", newline="") as f:
+        writer = csv.DictWriter(f, names)
+        writer.writeheader()
+        writer.writerows([{n: r.get(n, "surplus") for n in names} for r in rows])
+
+
+def test_files_are_read_by_their_own_headers(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    write(source / "a.csv", [record()])
+    write_as(source / "b.csv", RAW_COLUMNS[::-1], [record(**{"Complaint ID": "2", "Product": "reversed"})])
+    write_as(source / "c d.csv", ["Extra", *RAW_COLUMNS[3:], *RAW_COLUMNS[:3]], [record(**{"Complaint ID": "3", "Product": "wider"})])
+    out = {r["Complaint ID"]: r for r in ingest(read_raw_csv(spark, str(source))).collect()}
+    assert {k: r["Product"] for k, r in out.items()} == {"1": "sample", "2": "reversed", "3": "wider"}
+    assert all(r["Resolution_Delay"] == 2 for r in out.values()) and out["3"]["Extra"] == "surplus" and out["1"]["Extra"] is None
+    target, state = str(tmp_path / "out"), str(tmp_path / "state")
+    ingest_available(spark, str(source), target, state).awaitTermination()
+    stored = {r["Complaint ID"]: r["Product"] for r in stored_cases(spark, target).collect()}
+    assert stored == {"1": "sample", "2": "reversed", "3": "wider"}
+    write_as(source / "d.csv", RAW_COLUMNS[1:], [record()])
+    with pytest.raises(ValueError, match="Date received"):
+        read_raw_csv(spark, str(source))
+    with pytest.raises(Exception, match="Date received"):
+        ingest_available(spark, str(source), target, state).awaitTermination()
