@@ -71,6 +71,13 @@ def class_counts(df: DataFrame, target: str) -> DataFrame:
     )
 
 
+def balance(df: DataFrame) -> DataFrame:
+    """``label, n, weight``: weights that give every class the same say, with a mean of 1."""
+    sizes = df.filter(F.col("label").isNotNull()).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    total = sizes.agg((F.sum("n") / F.count(F.lit(1))).alias("mean")).scalar()
+    return sizes.select("label", "n", (total / F.col("n")).alias("weight"))
+
+
 def _prepare(df: DataFrame, id_column: str, p: Params, sample: int) -> tuple[DataFrame, DataFrame]:
     """Training and test rows of at most ``sample`` labelled rows, with their terms. Both are stored, because fitting
     reads them many times and the split should not be worked out again each time."""
@@ -92,8 +99,7 @@ def _fit(train: DataFrame, tfidf: PipelineModel, p: Params, candidate: Candidate
         regParam=1.0 / (candidate.c * rows), maxIter=p.max_iter,
     )
     if candidate.balanced:
-        sizes = train.groupBy("label").agg((F.lit(rows / len(indexer.labels)) / F.count(F.lit(1))).alias("weight"))
-        data = data.join(sizes, "label")
+        data = data.join(balance(train).select("label", "weight"), "label")
         estimator = estimator.setWeightCol("weight")
     names = IndexToString(inputCol="prediction", outputCol="y_pred", labels=indexer.labels)
     return PipelineModel([*tfidf.stages, estimator.fit(data), names]), list(indexer.labels)

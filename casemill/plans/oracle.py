@@ -531,4 +531,17 @@ SELECT doc_id, lang AS "Product", CASE WHEN rn <= q THEN 'test' ELSE 'train' END
     "rare_class_filter": """SELECT doc_id, lang AS "Product" FROM documents
   WHERE lang IN (SELECT lang FROM documents GROUP BY 1 HAVING count(*) >= 100)""",
     "similar_topn": SIMILAR,
+    "narrative_issue_length": mean_words("Issue") + " ORDER BY 2 DESC, 1 LIMIT 15",
+    "column_fallback": """SELECT p_type AS "Product", round(avg(length(text)), 6) AS "Avg_Word_Count"
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN documents ON l_orderkey = doc_id GROUP BY 1""",
+    "narrative_extract": """SELECT doc_id, lang AS "Product", source AS "Issue" FROM documents JOIN labels USING (doc_id)
+  WHERE quality IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL AND source IS NOT NULL""",
+    "report_rows": f"""{PAIRS} SELECT label, round(pr, 2) AS precision, round(rc, 2) AS recall, round(f1, 2) AS f1_score,
+  CAST(support AS BIGINT) AS support FROM pc""",
+    "report_headlines": f"""{PAIRS} SELECT 'new' AS format, round(avg(f1), 4) AS macro_f1, round(avg(pr), 4) AS macro_precision,
+  round(avg(rc), 4) AS macro_recall FROM pc""",
+    "training_class_counts": f"""{NAMED} SELECT CAST(count(DISTINCT "Issue") AS BIGINT) AS raw_classes,
+  CAST(count(DISTINCT {canonical('"Issue"', 'Issue')}) AS BIGINT) AS canonical_classes FROM named""",
+    "class_balance": f"""WITH c AS (SELECT lang AS label, {ROWS} AS n FROM documents GROUP BY 1)
+SELECT label, n, round((SELECT avg(n) FROM c) / n, 6) AS weight FROM c""",
 }

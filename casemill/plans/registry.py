@@ -15,7 +15,8 @@ from casemill.operators import (
 from casemill.params import Params
 from casemill.plans.summaries import Analysis, run_all, staged_analysis
 from casemill.session import configure, spread, stage
-from casemill.sources.complaints import NARRATIVE, save_summary
+from casemill.sources import reports
+from casemill.sources.complaints import NARRATIVE, narratives, save_summary
 from casemill.sources.star import cases, document_narratives, table
 
 # The floors and the growth threshold that suit the size of the tables.
@@ -107,6 +108,11 @@ over_cases("narrative_word_count", ["Narrative_Word_Count"], counts.narrative_wo
 over_cases("narrative_length_trend", FEATURE_COLUMNS, counts.narrative_length_trend)
 over_cases("narrative_complexity", FEATURE_COLUMNS, counts.narrative_complexity)
 over_cases("narrative_product_length", FEATURE_COLUMNS, lambda df: counts.narrative_length_by(df, "Product", 15))
+over_cases("narrative_issue_length", ("Issue", "Has_Narrative", "Narrative_Word_Count"),
+           lambda df: counts.narrative_length_by(df, "Issue", 15))
+# Without word counts the text length takes their place.
+over_cases("column_fallback", ("Product", "Has_Narrative", "Narrative_Length"),
+           lambda df: counts.narrative_length_by(df, "Product"))
 over_cases("narrative_product_availability", FEATURE_COLUMNS, lambda df: counts.narrative_availability_by(
     df, "Product", 15))
 
@@ -511,6 +517,51 @@ def _(spark, folder):
     )
 
 
+@query("narrative_extract")
+def _(spark, folder):
+    """Documents with a label as narratives that have text, product and issue; the product is missing without a label."""
+    labels = table(spark, folder, "labels").select("doc_id", "quality")
+    df = document_narratives(spark, folder).join(labels, "doc_id", "left")
+    df = df.withColumn("Product", F.when(F.col("quality").isNotNull(), F.col("Product")))
+    return narratives(df, ["doc_id"]).select("doc_id", "Product", "Issue")
+
+
+def _report_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Per-class rows of the stand-in predictions as the lines of a saved report."""
+    rows = evaluate.per_class(_pairs(spark, folder))
+    cells = [F.format_string("%.2f", F.round(c, 2)) for c in ("precision", "recall", "f1_score")]
+    return rows.select(F.lit("report").alias("file"), F.concat_ws("  ", F.lit(" "), "label", *cells, F.col("support").cast("string")).alias("value"))
+
+
+@query("report_rows")
+def _(spark, folder):
+    return reports.parse_class_rows(_report_lines(spark, folder)).drop("file")
+
+
+@query("report_headlines")
+def _(spark, folder):
+    """Accuracy of the stand-in predictions, written as the head of a report and read back, per half of the labels' support."""
+    rows = evaluate.per_class(_pairs(spark, folder)).agg(
+        F.avg("f1_score").alias("macro"), F.avg("precision").alias("precision"), F.avg("recall").alias("recall"))
+    line = lambda name, c: F.concat(F.lit(f"{name}: "), F.format_string("%.4f", F.round(c, 4)))
+    text = F.concat_ws("\n", line("Accuracy", "recall"), line("Macro F1", "macro"), line("Weighted F1", "macro"),
+                       line("Macro Precision", "precision"), line("Macro Recall", "recall"))
+    heads = reports.parse_headlines(rows.select(F.lit("report").alias("file"), text.alias("text")))
+    return heads.select("format", "macro_f1", "macro_precision", "macro_recall")
+
+
+@query("training_class_counts")
+def _(spark, folder):
+    df = named_cases(spark, folder).withColumn("clean_text", F.lit("text"))
+    return classify.class_counts(classify.labelled(df, "Issue", taxonomy.canonical_issue), "Issue")
+
+
+@query("class_balance")
+def _(spark, folder):
+    """Rows and balanced weight of each label, as the classifier uses them."""
+    return classify.balance(document_narratives(spark, folder).select(F.col("Product").alias("label")))
+
+
 # Trained models ------------------------------------------------------------------------------------
 
 MODEL = Params(min_class_rows=20)

@@ -19,11 +19,14 @@ PAIR_LINE = r"True='(.+?)'\s+->\s+Predicted='(.+?)'\s+\(x(\d+)\)[^\n]*(?:\n([^\n
 
 def class_rows(spark: SparkSession, path: str) -> DataFrame:
     """Per-class precision, recall, F1 and support of every report under ``path``."""
+    return parse_class_rows(spark.read.text(path).withColumn("file", F.input_file_name()))
+
+
+def parse_class_rows(lines: DataFrame) -> DataFrame:
+    """The same from a table ``(file, value)`` of report lines."""
     line = F.col("value")
     return (
-        spark.read.text(path)
-        .withColumn("file", F.input_file_name())
-        .filter(line.rlike(CLASS_ROW))
+        lines.filter(line.rlike(CLASS_ROW))
         .select(
             "file",
             F.regexp_extract(line, CLASS_ROW, 1).alias("label"),
@@ -49,6 +52,11 @@ def _headline(name: str, is_new):
 
 def headlines(spark: SparkSession, path: str) -> DataFrame:
     """Format, accuracy and averaged scores of every report; scores a format lacks are null."""
+    return parse_headlines(_reports(spark, path))
+
+
+def parse_headlines(reports: DataFrame) -> DataFrame:
+    """The same from a table ``(file, text)`` of whole reports."""
     is_new = F.col("text").rlike(r"(?m)^Macro F1:")
     legacy = F.regexp_extract("text", r"(?m)^Best Accuracy:\s*([\d.]+)", 1)
     top_k = F.transform(
@@ -58,7 +66,7 @@ def headlines(spark: SparkSession, path: str) -> DataFrame:
             F.regexp_extract(s, TOP_K_LINE, 2).cast("double").alias("accuracy"),
         ),
     )
-    return _reports(spark, path).select(
+    return reports.select(
         "file",
         F.when(is_new, "new").otherwise("legacy").alias("format"),
         F.coalesce(_headline("Accuracy", is_new), F.when(~is_new & (legacy != ""), legacy.try_cast("double")))
