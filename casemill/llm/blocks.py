@@ -3,8 +3,8 @@
 Documents are dealt into blocks by ``doc_id``. A block names each of its keys once (bit 0 of the key tells whether
 it has the key more than once), so however often a key occurs, no more rows meet than there are blocks. Keys are
 dealt into buckets by their top bits. A bucket answers each block with those of its keys that are repeated.
-Blocks and buckets are as many as a multiple of ``spark.sql.shuffle.partitions``, which a user sets in proportion to
-the data; every group handled in one task is then of one partition's size at most.
+There are two blocks and half a bucket to each of ``spark.sql.shuffle.partitions``, which a user sets in proportion to
+the data; every group handled in one task is then about as large as a partition.
 """
 
 from __future__ import annotations
@@ -19,13 +19,17 @@ from casemill.llm.textbatch import U, contains
 
 KEYS = "block int, bucket int, names array<bigint>"
 ANSWERS = "block int, names array<bigint>"
-BLOCKS_PER_PARTITION = 4
+BLOCKS_PER_PARTITION = 2
 
 
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def buckets(df: DataFrame) -> int:
+    return max(1, partitions(df) // 2)
+
+
 def by_block(docs: DataFrame) -> DataFrame:
     """Rows with their block number; a text is null-safe, a row without ``doc_id`` has a block too."""
     n = BLOCKS_PER_PARTITION * partitions(docs)

@@ -34,12 +34,14 @@ def word_names(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def seeds(names: Column, p: Decontaminate) -> Column:
-    """For each mask one hash per word position; those that begin too near the end are of fewer words."""
-    def one(k: int, mask: tuple[int, ...]) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.size(names) - 1),
-                           lambda i: F.xxhash64(F.lit(k), *[F.get(names, i + o) for o in mask]))
-    return F.flatten(F.array(*[one(k, m) for k, m in enumerate(p.masks)]))
+def seeds(rows: DataFrame, p: Decontaminate) -> DataFrame:
+    """Rows of ``id, names`` as ``id, n, at, mask, seed``: one for each word position and mask. A seed that begins too
+    near the end is of fewer words."""
+    at = rows.select("id", "names", F.size("names").alias("n"), F.posexplode("names").alias("at", "_name"))
+    hashes = []
+    for k, mask in enumerate(p.masks):
+        hashes += [F.lit(k), F.xxhash64(F.lit(k), *[F.get("names", F.col("at") + o) for o in mask])]
+    return at.select("id", "n", "at", F.stack(F.lit(len(p.masks)), *hashes).alias("mask", "seed"))
 
 
 def named(table: DataFrame, key: str) -> DataFrame:
@@ -51,18 +53,18 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, p: Decontaminate = Decontami
     """``doc_id, item_id, first_word, n_words, n_equal`` of the best overlap of each document and item."""
     items = named(benchmark, "item_id").distinct()
     spans = F.array(*[F.lit(m[-1]) for m in p.masks])
-    own = items.select(F.col("id").alias("item_id"), F.size("names").alias("n"), F.posexplode(seeds(F.col("names"), p)).alias("at", "seed"))
-    own = own.select("item_id", "seed", (F.col("at") % F.col("n")).alias("item_at"), "n",
-                     F.get(spans, F.floor(F.col("at") / F.col("n")).cast("int")).alias("span"))
-    own = own.where(F.col("item_at") + F.col("span") < F.col("n")).select("item_id", "item_at", "seed").distinct()
+    own = seeds(items, p).where(F.col("at") + F.get(spans, F.col("mask")) < F.col("n"))
+    own = own.select(F.col("id").alias("item_id"), F.col("at").alias("item_at"), "seed").distinct()
     # the benchmark is a table of its own and usually small; it is sent to all tasks only if it is
     small = own.limit(p.broadcast_seeds + 1).count() <= p.broadcast_seeds
     texts = named(docs, "doc_id")
-    theirs = texts.select(F.col("id").alias("doc_id"), F.size("names").alias("m"), F.posexplode(seeds(F.col("names"), p)).alias("at", "seed"))
+    theirs = seeds(texts, p).select(F.col("id").alias("doc_id"), "at", "seed")
     hits = theirs.join(F.broadcast(own) if small else own, "seed")
-    hits = hits.select("doc_id", "item_id", (F.col("at") % F.col("m") - F.col("item_at")).alias("shift")).distinct()
-    words = texts.select(F.col("id").alias("doc_id"), F.col("names").alias("theirs")).distinct()
-    pairs = hits.join(words, "doc_id").join(items.select(F.col("id").alias("item_id"), "names"), "item_id")
+    hits = hits.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
+    # the words of a text are made again only where it was hit
+    hits = hits.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "shift")).alias("hits"))
+    pairs = docs.select("doc_id", "text").join(hits, "doc_id").select("doc_id", word_names(F.col("text")).alias("theirs"), F.inline("hits"))
+    pairs = pairs.join(items.select(F.col("id").alias("item_id"), "names"), "item_id")
     equal = F.transform("names", lambda w, q: F.when(F.get("theirs", F.col("shift") + q) == w, 1).otherwise(0))
     pairs = pairs.select("doc_id", "item_id", "shift", F.transform(equal, lambda e: F.coalesce(e, F.lit(0))).alias("equal"))
     width = F.least(F.size("equal"), F.lit(p.window))

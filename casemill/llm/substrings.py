@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from casemill.llm.blocks import (
-    ANSWERS, BLOCKS_PER_PARTITION, KEYS, by_block, each_block, flat, key_table, marked, merged, partitions, repeated, with_answers,
+    KEYS, buckets, by_block, each_block, flat, key_table, marked, merged, repeated, with_answers,
 )
 from casemill.llm.textbatch import U, Words, chunks, column_bytes, contains, covered, mix, starts_inside, window_hashes, words_of
 
@@ -116,7 +116,7 @@ def _windows(texts: list[bytes], p: Substrings):
 
 def remove_repeats(docs: DataFrame, p: Substrings = Substrings(), text: bool = False) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256``, and the kept words as ``text`` if asked for."""
-    n = BLOCKS_PER_PARTITION * partitions(docs)
+    n = buckets(docs)
     rows = by_block(docs.select("doc_id", "text"))
 
     def name_anchors(block: int, here: pa.Table) -> pa.Table:

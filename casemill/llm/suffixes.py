@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from casemill.llm.blocks import (
-    BLOCKS_PER_PARTITION, KEYS, by_block, by_bucket, each_block, flat, key_table, lists, marked, merged, partitions, repeated,
+    KEYS, buckets, by_block, by_bucket, each_block, flat, key_table, lists, marked, merged, repeated,
     with_answers,
 )
 from casemill.llm.textbatch import BYTE_NAMES, U, chunks, column_bytes, contains, covered, mix, powers
@@ -46,24 +46,39 @@ class Suffixes:
     gram: int = 16
 
 
+def _sorted_with_place(key: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of ``key``, and the sorted keys. Keys of ``bits`` bits that leave room for the position are sorted as one
+    number, which is several times faster than sorting positions."""
+    place = max(len(key) - 1, 1).bit_length()
+    if bits + place <= 64:
+        both = np.sort((key.astype(U) << U(place)) | np.arange(len(key), dtype=U))
+        return (both & U((1 << place) - 1)).astype(np.int64), both >> U(place)
+    order = np.argsort(key, kind="stable")
+    return order, key[order]
+
+
 def suffix_order(t: np.ndarray, depth: int) -> np.ndarray:
     """Positions ordered by at least the ``depth`` symbols that follow; symbols are 0 to 256. Prefix doubling."""
-    n, width = len(t), 7
+    n = len(t)
+    present = np.bincount(t, minlength=257) > 0
+    code = (np.cumsum(present) - present[0]).astype(np.int64)  # 0 stays 0
+    bits = int(code[-1]).bit_length() or 1
+    width = max(1, (63 - max(n - 1, 1).bit_length()) // bits)
+    code = code[t]
     key = np.zeros(n, np.int64)
     for j in range(width):
-        key[: n - j] += t[j:].astype(np.int64) << (9 * (width - 1 - j))
+        key[: n - j] += code[j:] << (bits * (width - 1 - j))
+    used = bits * width
     while True:
-        order = np.argsort(key)
-        s = key[order]
+        order, s = _sorted_with_place(key, used)
         if width >= depth:
             return order
-        new = np.zeros(n, np.int64)
-        new[1:] = s[1:] != s[:-1]
         rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(new) + 1
-        key = rank << 32
+        rank[order] = np.cumsum(np.concatenate([[1], (s[1:] != s[:-1])]))
+        half = int(rank[order[-1]]).bit_length()
+        key = rank << half
         key[: max(n - width, 0)] |= rank[width:]
-        width *= 2
+        used, width = 2 * half, 2 * width
 
 
 def boundaries(t: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
@@ -75,8 +90,12 @@ def boundaries(t: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
     """
     n = len(t)
     bwt = t[order - 1]
+    by_symbol, _ = _sorted_with_place(bwt.astype(np.int64), 9)
     last_to_first = np.empty(n, np.int64)
-    last_to_first[np.argsort(bwt, kind="stable")] = np.arange(n)
+    last_to_first[by_symbol] = np.arange(n)
+    first = t[order]
+    begins = np.ones(n, bool)  # the first suffix with its first symbol
+    begins[1:] = first[1:] != first[:-1]
     edge = np.zeros(n + 1, bool)
     edge[0] = edge[n] = True
     lb, rb = np.array([0]), np.array([n])
@@ -84,26 +103,33 @@ def boundaries(t: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
         if not len(lb):
             break
         width = rb - lb
-        ends = np.cumsum(width)
-        at = np.arange(ends[-1]) + np.repeat(lb - (ends - width), width)
-        of = np.repeat(np.arange(len(lb)), width)
-        symbol = bwt[at]
-        keep = symbol != 0
-        to, of = last_to_first[at[keep]], of[keep]
-        if not len(to):
-            break
-        by = np.argsort(to)
-        to, of = to[by], of[by]
-        symbol = symbol[keep][by]
-        new = np.ones(len(to), bool)
-        new[1:] = (to[1:] != to[:-1] + 1) | (of[1:] != of[:-1]) | (symbol[1:] != symbol[:-1])
-        begin = np.flatnonzero(new)
-        lb, rb = to[begin], to[np.append(begin[1:], len(to)) - 1] + 1
+        if int(width.max()) == 1:
+            to = last_to_first[lb[bwt[lb] != 0]]
+            lb, rb = to, to + 1
+        else:
+            at = _ranges(lb, width)
+            of = np.repeat(np.arange(len(lb)), width)
+            keep = bwt[at] != 0
+            to, of = last_to_first[at[keep]], of[keep]
+            if not len(to):
+                break
+            if len(to) > n // 6:  # most ranks are hit: lay them out
+                owner = np.full(n, -1, np.int64)
+                owner[to] = of
+                to = np.flatnonzero(owner >= 0)
+                of = owner[to]
+            else:
+                both = np.sort((to << 32) | of)
+                to, of = both >> 32, both & 0xFFFFFFFF
+            new = np.ones(len(to), bool)
+            new[1:] = (to[1:] != to[:-1] + 1) | (of[1:] != of[:-1]) | begins[to[1:]]
+            begin = np.flatnonzero(new)
+            lb, rb = to[begin], to[np.append(begin[1:], len(to)) - 1] + 1
         fresh = ~edge[rb]
         lb, rb = lb[fresh], rb[fresh]
         edge[rb] = True
     # strings of separators only: every suffix that begins with one stands apart
-    zero = t[order] == 0
+    zero = first == 0
     edge[:n] |= zero
     edge[1:] |= zero
     return edge[:n]
@@ -200,39 +226,60 @@ def _segments(here: pa.Table, known: np.ndarray, p: Suffixes, text: bool) -> _Se
     return _Segments(key[order][at], size[order][at], least, joined, [(*r[:-1], which[r[-1]], doc[r[-1]]) for r in runs])
 
 
-SEGMENTS = "block int, bucket int, sizes array<int>, least array<bigint>, text binary"
+SEGMENTS = "block int, bucket int, parts binary, sizes array<int>, least array<bigint>, text binary"
+BATCH_BYTES = 1 << 20
 REPLIES = "block int, bucket int, names array<bigint>, below binary"
 OUT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 
 
-def _settle(group: pa.Table, p: Suffixes) -> pa.Table:
-    """Which strings of the segments of one group have a smaller document elsewhere."""
-    sizes, per_row = flat(group.column("sizes").cast(pa.list_(pa.int64())))
-    sizes = sizes.view(np.int64)
-    least = flat(group.column("least"))[0].view(np.int64)
-    data = b"".join(group.column("text").to_pylist())
-    ends = np.cumsum(sizes)
-    index: dict[bytes, int] = {}
-    which = np.array([index.setdefault(data[e - s : e], len(index)) for e, s in zip(ends.tolist(), sizes.tolist())], np.int64)
-    size = np.array([len(x) for x in index], np.int64)
-    low = np.full(len(index), LAST)
-    np.minimum.at(low, which, least)
+def _smallest(texts: list[bytes], low: np.ndarray, p: Suffixes) -> np.ndarray:
+    """For the strings of distinct segments, one segment after another: the smallest document of equal strings."""
+    size = np.array([len(x) for x in texts], np.int64)
     t = np.zeros(int(size.sum()) + len(size), np.int16)
     begin = np.cumsum(np.append(0, size[:-1] + 1))
-    t[_ranges(begin, size)] = np.frombuffer(b"".join(index), np.uint8).astype(np.int16) + 1
+    t[_ranges(begin, size)] = np.frombuffer(b"".join(texts), np.uint8).astype(np.int16) + 1
     order = suffix_order(t, p.length)
-    group_of = np.cumsum(boundaries(t, order, p.length)) - 1
+    edge = boundaries(t, order, p.length)
     strings = size - p.length + 1
+    at = _ranges(begin, strings)
     doc = np.full(len(t), LAST)
-    doc[_ranges(begin, strings)] = np.repeat(low, strings)
-    smallest = np.full(int(group_of[-1]) + 1, LAST)
-    np.minimum.at(smallest, group_of, doc[order])
+    doc[at] = np.repeat(low, strings)
+    begins = np.flatnonzero(edge)
+    least = np.minimum.reduceat(doc[order], begins)
     found = np.empty(len(t), np.int64)
-    found[order] = smallest[group_of]
+    found[order] = np.repeat(least, np.diff(np.append(begins, len(t))))
+    return found[at]
+
+
+def _settle(group: pa.Table, p: Suffixes) -> pa.Table:
+    """Which strings of the segments of one group have a smaller document elsewhere.
+
+    A group is worked off in batches of neighbouring key ranges (``parts``), each of about ``BATCH_BYTES``."""
+    sizes, per_row = flat(group.column("sizes").cast(pa.list_(pa.int64())))
+    sizes = sizes.view(np.int64)
+    least = flat(group.column("least"))[0].view(np.int64)
+    part = np.frombuffer(b"".join(group.column("parts").to_pylist()), np.uint8)
+    data = b"".join(group.column("text").to_pylist())
+    ends = np.cumsum(sizes)
+    volume = np.bincount(part, weights=sizes, minlength=256)
+    batch_of = (np.cumsum(volume) - volume) // BATCH_BYTES
+    batch = batch_of[part]
     count = sizes - p.length + 1
-    below = found[_ranges(begin[which], count)] < np.repeat(least, count)
-    row_end = np.cumsum(per_row)
-    cut = np.append(0, np.cumsum(count))[np.append(0, row_end)]
+    first = np.append(0, np.cumsum(count))
+    below = np.zeros(int(first[-1]), bool)
+    order = np.argsort(batch, kind="stable")
+    cuts = np.flatnonzero(np.concatenate([[True], batch[order][1:] != batch[order][:-1]])) if len(order) else np.zeros(0, int)
+    for rows in np.split(order, cuts[1:]) if len(order) else []:
+        index: dict[bytes, int] = {}
+        which = np.array([index.setdefault(data[e - s : e], len(index)) for e, s in zip(ends[rows].tolist(), sizes[rows].tolist())], np.int64)
+        low = np.full(len(index), LAST)
+        np.minimum.at(low, which, least[rows])
+        texts = list(index)
+        strings = np.array([len(x) for x in texts]) - p.length + 1
+        found = _smallest(texts, low, p)
+        at = _ranges((np.cumsum(strings) - strings)[which], count[rows])
+        below[_ranges(first[rows], count[rows])] = found[at] < np.repeat(least[rows], count[rows])
+    cut = first[np.append(0, np.cumsum(per_row))]
     bits = [np.packbits(below[a:b]).tobytes() for a, b in zip(cut[:-1], cut[1:])]
     return pa.table([
         group.column("block").combine_chunks(), group.column("bucket").combine_chunks(),
@@ -242,7 +289,7 @@ def _settle(group: pa.Table, p: Suffixes) -> pa.Table:
 
 def remove_earlier(docs: DataFrame, p: Suffixes = Suffixes(), spans: bool = False) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256``, and the removed byte ranges as ``spans`` if asked for."""
-    n = BLOCKS_PER_PARTITION * partitions(docs)
+    n = buckets(docs)
     rows = by_block(docs.select("doc_id", "text"))
 
     def name_anchors(block: int, here: pa.Table) -> pa.Table:
@@ -251,12 +298,14 @@ def remove_earlier(docs: DataFrame, p: Suffixes = Suffixes(), spans: bool = Fals
     def send(block: int, here: pa.Table, there: pa.Table) -> pa.Table:
         s = _segments(here, np.sort(flat(there.column("names"))[0]), p, text=True)
         numbers, begin = by_bucket(s.key, n)
+        parts = (((s.key >> U(32)) * U(n)) >> U(24)).astype(np.uint8)  # the range of the key within its bucket
         cut = np.append(0, np.cumsum(s.size))[begin]
         return pa.table([
             pa.array(np.full(len(numbers), block, np.int32)), pa.array(numbers.astype(np.int32)),
+            pa.array([parts[a:b].tobytes() for a, b in zip(begin[:-1], begin[1:])], pa.binary()),
             pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(s.size.astype(np.int32))),
             lists(s.least.view(U), begin), pa.array([s.text[a:b] for a, b in zip(cut[:-1], cut[1:])], pa.binary()),
-        ], names=["block", "bucket", "sizes", "least", "text"])
+        ], names=["block", "bucket", "parts", "sizes", "least", "text"])
 
     def cut(block: int, here: pa.Table, there: pa.Table) -> pa.Table:
         bits = there.column("below")
