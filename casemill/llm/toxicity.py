@@ -2,7 +2,7 @@
 
 The lexicon is learnt: whole words and word beginnings that mark toxic documents in a bounded sample of labelled rows
 (``fit_rows``, those with the smallest hash of the id; rows held out are never used). A word hits an entry exactly, or
-within one edit (insert, delete, replace, swap) of an entry of at least ``fuzzy_from`` letters: the automaton of the
+within one edit (insert, delete, replace, swap) of an entry of at least ``fuzzy_from`` letters (``fuzzy_beginnings_from`` for beginnings): the automaton of the
 word runs down the trie and gives up a branch as soon as no entry below it can be near enough. Entries that are word
 beginnings accept when some beginning of the word is near enough.
 
@@ -39,6 +39,7 @@ class Toxicity:
     beginnings: tuple[int, ...] = (3, 4, 5, 6, 7)
     longest: int = 14
     fuzzy_from: int = 5
+    fuzzy_beginnings_from: int = 6
     window: int = 12
     threshold: float = 0.3
     cache: int = 300_000
@@ -124,13 +125,13 @@ class Lexicon:
         self.weights, self.p, self.root = [w for _, w in entries], p, _Node()
         self.exact: dict[str, int] = {}
         self.known: dict[str, tuple[int, bool] | None] = {}
-        self.lengths: set[int] = set()
+        self.start_lengths = {len(t) for t, _ in entries if not t.endswith("$")}
+        self.longest = max((len(t.rstrip("$")) for t, _ in entries), default=0)
         fuzzy_words, fuzzy_starts = [], []
         for i, (term, _) in enumerate(entries):
             bare = term.rstrip("$")
             self.exact[term] = i
-            self.lengths.add(len(bare))
-            if len(bare) < p.fuzzy_from:
+            if len(bare) < (p.fuzzy_from if bare != term else p.fuzzy_beginnings_from):
                 continue
             node = self.root
             for c in bare:
@@ -142,16 +143,30 @@ class Lexicon:
                 node.beginning = i
                 fuzzy_starts.append(bare)
         # One edit leaves the first or the second half of an entry as it is; a swap across the middle leaves both ends.
-        self.heads = {w[: len(w) // 2] for w in fuzzy_words + fuzzy_starts}
-        self.tails = {w[len(w) // 2 :] for w in fuzzy_words}
-        self.inner = {(len(w) // 2, w[len(w) // 2 :]) for w in fuzzy_starts}
-        self.ends = {(len(w), w[0], w[-1]) for w in fuzzy_words}
-        self.head_sizes, self.tail_sizes = {len(h) for h in self.heads}, {len(t) for t in self.tails}
+        # By the length of the entry: first halves, second halves, both ends.
+        self.near_words: dict[int, tuple[set[str], set[str], set[str]]] = {}
+        for w in fuzzy_words:
+            heads, tails, ends = self.near_words.setdefault(len(w), (set(), set(), set()))
+            heads.add(w[: len(w) // 2])
+            tails.add(w[len(w) // 2 :])
+            ends.add(w[0] + w[-1])
+        self.near_starts: dict[int, tuple[set[str], set[str]]] = {}
+        for w in fuzzy_starts:
+            heads, tails = self.near_starts.setdefault(len(w), (set(), set()))
+            heads.add(w[: len(w) // 2])
+            tails.add(w[len(w) // 2 :])
 
     def _may_be_near(self, w: str) -> bool:
-        return (any(w[:k] in self.heads for k in self.head_sizes) or any(w[-k:] in self.tails for k in self.tail_sizes)
-                or (len(w), w[0], w[-1]) in self.ends
-                or any(w[a + d : a + d + len(t)] == t for a, t in self.inner for d in (-1, 0, 1)))
+        for n in (len(w) - 1, len(w), len(w) + 1):
+            if n in self.near_words:
+                heads, tails, ends = self.near_words[n]
+                if w[: n // 2] in heads or w[n // 2 - n :] in tails or (n == len(w) and w[0] + w[-1] in ends):
+                    return True
+        for n, (heads, tails) in self.near_starts.items():
+            h = n // 2
+            if w[:h] in heads or any(w[h + d : n + d] in tails for d in (-1, 0, 1)):
+                return True
+        return False
 
     def hit(self, w: str) -> tuple[int, bool] | None:
         """Entry and whether the word is spelt as the entry."""
@@ -160,7 +175,7 @@ class Lexicon:
         found = None
         i = self.exact.get(w + "$")
         if i is None:
-            i = max((self.exact[w[:k]] for k in self.lengths if w[:k] in self.exact and len(w) >= k), key=lambda j: self.weights[j], default=None)
+            i = max((j for k in self.start_lengths if (j := self.exact.get(w[:k])) is not None), key=self.weights.__getitem__, default=None)
         if i is not None:
             found = (i, True)
         elif len(w) >= self.p.fuzzy_from - 1 and self._may_be_near(w):
@@ -175,6 +190,7 @@ class Lexicon:
         """The heaviest entry within one edit: the trie is walked with the states of the word's automaton, the
         distances of all its beginnings; states above one edit are dead."""
         best: int | None = None
+        word = word[: self.longest + 2]  # what comes later can not bring it nearer
         stack = [(self.root, "", list(range(len(word) + 1)), None)]
         while stack:
             node, last, row, before = stack.pop()
