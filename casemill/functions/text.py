@@ -14,7 +14,8 @@ NA_TOKENS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-# Default English stop words (pass another list for another language or a longer list).
+# Default English stop words, those of Spark's StopWordsRemover with contractions as the pieces that the
+# tokens have, and a few more (pass another list for another language).
 STOP_WORDS = tuple(
     """
     i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her
@@ -23,7 +24,8 @@ STOP_WORDS = tuple(
     because as until while of at by for with about against between into through during before after
     above below to from up down in out on off over under again further then once here there when where
     why how all any both each few more most other some such no nor not only own same so than too very
-    can will just should now would could may might must shall also ever however cannot us upon
+    can will just should now would could may might must shall also ever however cannot us upon ought let
+    don ll ve re isn aren wasn weren haven hasn hadn doesn didn won wouldn shan shouldn mustn couldn
     """.split()
 )
 

@@ -1,121 +1,66 @@
 """Most similar documents of given texts, exact, by TF-IDF cosine.
 
-A pair table of texts and documents would grow with their product. Here a block of the looked-up texts, of
-bounded size, goes to every task as a sparse index; a task scores its own documents against it and keeps the
-best n per text. What is shuffled is n rows per text and task. A larger set of texts is served block by block.
+Everything is a join on terms: document frequencies are counted over the corpus, terms below the threshold drop out (there
+is no other limit on the vocabulary), and only corpus terms that a looked-up text holds take part in the products. A term
+that very many documents hold meets the texts that hold it; adaptive execution splits such a term's rows, and the
+products are added up per text and document before they are shuffled.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
-from functools import reduce
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window as W, functions as F
-
-from casemill.operators.vectors import FEATURES, features, fit_tfidf, sparse_parts, with_terms
+from casemill.operators.vectors import with_terms
 from casemill.operators.words import with_clean_text
 from casemill.params import DEFAULTS, Params
 from casemill.session import stage
 
-# The scoring code travels with the tasks, so that executors need not have this package installed.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-BLOCK_TEXTS = 256
-DOCS_PER_STEP = 256
 DIGITS = 9
 
 
-class TextBlock:
-    """Inverted index over the vectors of one block: for every term the texts that hold it."""
+def term_counts(df: DataFrame, text: str, id_column: str, p: Params) -> DataFrame:
+    """``id, term, n`` for every term of every text."""
+    terms = with_terms(with_clean_text(df, text), ngram_max=p.ngram_max).select(F.col(id_column).cast("long").alias("id"), F.explode("terms").alias("term"))
+    return terms.groupBy("id", "term").agg(F.count(F.lit(1)).alias("n"))
 
-    def __init__(self, ids: np.ndarray, indices: list[np.ndarray], values: list[np.ndarray]):
-        self.ids = ids
-        owner = np.repeat(np.arange(len(ids)), [len(i) for i in indices])
-        terms = np.concatenate(indices) if len(ids) else np.zeros(0, dtype=np.int64)
-        weights = np.concatenate(values) if len(ids) else np.zeros(0)
-        order = np.argsort(terms, kind="stable")
-        self.terms, starts = np.unique(terms[order], return_index=True)
-        self.starts = np.append(starts, len(terms))
-        self.owner, self.weights = owner[order], weights[order]
 
-    def scores(self, indices: np.ndarray, values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Dot products, one row per document and one column per text."""
-        docs, width = len(lengths), len(self.ids)
-        out = np.zeros((docs, width))
-        if not len(self.terms) or not len(indices):
-            return out
-        doc = np.repeat(np.arange(docs), lengths)
-        at = np.minimum(np.searchsorted(self.terms, indices), len(self.terms) - 1)
-        known = self.terms[at] == indices
-        at, doc, values = at[known], doc[known], values[known]
-        fan = self.starts[at + 1] - self.starts[at]
-        entry = np.repeat(self.starts[at] - (np.cumsum(fan) - fan), fan) + np.arange(fan.sum())
-        cell = np.repeat(doc, fan) * width + self.owner[entry]
-        flat = np.bincount(cell, weights=np.repeat(values, fan) * self.weights[entry], minlength=docs * width)
-        return flat.reshape(docs, width)
+def term_weights(counts: DataFrame, documents: Column, p: Params = DEFAULTS) -> DataFrame:
+    """``term, idf`` of the terms that at least ``min_df`` documents hold: 1 + smoothed inverse document frequency."""
+    held = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= p.min_df)
+    return held.select("term", (F.log((documents + 1) / (F.col("df") + 1)) + 1).alias("idf"))
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    order = np.lexsort((ids, -scores), axis=-1)[:, :n]
-    return np.take_along_axis(scores, order, 1), np.take_along_axis(ids, order, 1)
+def weighted(counts: DataFrame, weights: DataFrame) -> DataFrame:
+    """``id, term, w``: counts times idf, not yet scaled."""
+    return counts.join(weights, "term").select("id", "term", (F.col("n") * F.col("idf")).alias("w"))
 
 
-def _score_partition(block: TextBlock, n: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        width = len(block.ids)
-        scores, ids = np.zeros((width, 0)), np.zeros((width, 0), dtype=np.int64)
-        for batch in batches:
-            for start in range(0, len(batch), DOCS_PER_STEP):
-                part = batch.iloc[start : start + DOCS_PER_STEP]
-                lengths = part["indices"].map(len).to_numpy()
-                new = block.scores(
-                    np.concatenate(part["indices"].to_list()).astype(np.int64),
-                    np.concatenate(part["values"].to_list()).astype(float), lengths,
-                )
-                new_ids = np.broadcast_to(part["doc_id"].to_numpy(dtype=np.int64), (width, len(part)))
-                scores, ids = _best(
-                    np.hstack([scores, np.round(new.T, DIGITS)]), np.hstack([ids, new_ids]), n
-                )
-        yield pd.DataFrame(
-            {"query_id": np.repeat(block.ids, ids.shape[1]), "doc_id": ids.ravel(), "similarity": scores.ravel()}
-        )
-
-    return run
-
-
-def top_similar(queries: DataFrame, corpus: DataFrame, n: int = DEFAULTS.similar_rows) -> DataFrame:
-    """For every row ``(query_id, features)`` the ``n`` rows ``(doc_id, features)`` with the largest cosine;
-    ties by id. Vectors have length 1, ids are whole numbers."""
-    q_idx, q_val = sparse_parts(F.col(FEATURES))
-    queries = stage(
-        queries.select(F.col("query_id").cast("long").alias("query_id"), q_idx.alias("indices"), q_val.alias("values")),
-        "similar-texts",
-    )
-    d_idx, d_val = sparse_parts(F.col(FEATURES))
-    docs = corpus.select(F.col("doc_id").cast("long").alias("doc_id"), d_idx.alias("indices"), d_val.alias("values"))
-    blocks = max(1, -(-queries.count() // BLOCK_TEXTS))
-    block_of = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
-    schema = "query_id long, doc_id long, similarity double"
-    parts = []
-    for b in range(blocks):
-        rows = queries.filter(block_of == b).toPandas().sort_values("query_id")
-        block = TextBlock(rows["query_id"].to_numpy(), rows["indices"].to_list(), rows["values"].to_list())
-        parts.append(docs.mapInPandas(_score_partition(block, n), schema))
-    w = W.partitionBy("query_id").orderBy(F.desc("similarity"), F.asc("doc_id"))
-    ranked = reduce(DataFrame.unionByName, parts).withColumn("rank", F.row_number().over(w))
-    return ranked.filter(F.col("rank") <= n)
+def lengths(vectors: DataFrame) -> DataFrame:
+    return vectors.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
 
 
 def similar_texts(
     queries: DataFrame, corpus: DataFrame, text: str, n: int = DEFAULTS.similar_rows, p: Params = DEFAULTS,
 ) -> DataFrame:
-    """``top_similar`` from raw texts ``(query_id, text)`` and ``(doc_id, text)``; the vocabulary and the weights
-    come from the corpus, whose terms are prepared once."""
-    terms = stage(with_terms(with_clean_text(corpus, text), ngram_max=p.ngram_max).select("doc_id", "terms"), "terms")
-    model = fit_tfidf(terms, p)
-    looked_up = with_terms(with_clean_text(queries, text), ngram_max=p.ngram_max).select("query_id", "terms")
-    return top_similar(features(model, looked_up), features(model, terms), n)
+    """For every row ``(query_id, text)`` the ``n`` rows of ``(doc_id, text)`` with the largest cosine; ties by id. Ids are
+    whole numbers. Texts without a common term have similarity 0, and fill up in the order of their ids."""
+    counts = stage(term_counts(corpus, text, "doc_id", p), "similar-terms")
+    documents = corpus.agg(F.count(F.lit(1))).scalar()
+    weights = stage(term_weights(counts, documents, p), "similar-weights")
+    theirs = weighted(counts, weights)
+    asked = stage(weighted(term_counts(queries, text, "query_id", p), weights), "similar-texts")
+    asked_lengths = lengths(asked).select(F.col("id").alias("query_id"), F.col("length").alias("_q"))
+    products = theirs.join(asked.select(F.col("id").alias("query_id"), "term", F.col("w").alias("v")), "term")
+    dots = products.groupBy("query_id", F.col("id").alias("doc_id")).agg(F.sum(F.col("w") * F.col("v")).alias("dot"))
+    # only documents that share a term need their length
+    scored = dots.join(lengths(theirs).withColumnRenamed("id", "doc_id"), "doc_id").join(asked_lengths, "query_id").select(
+        "query_id", "doc_id", F.round(F.col("dot") / (F.col("length") * F.col("_q")), DIGITS).alias("similarity"))
+    by_score = W.partitionBy("query_id").orderBy(F.desc("similarity"), F.asc("doc_id"))
+    best = scored.withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= n).drop("rank")
+    # the n smallest ids, as candidates with similarity 0
+    first = corpus.select(F.col("doc_id").cast("long").alias("doc_id")).orderBy("doc_id").limit(n)
+    ids = first.agg(F.array_sort(F.collect_list("doc_id"))).scalar()
+    filler = queries.select(F.col("query_id").cast("long").alias("query_id"), F.explode(ids).alias("doc_id"), F.lit(0.0).alias("similarity"))
+    both = best.unionByName(filler).groupBy("query_id", "doc_id").agg(F.max("similarity").alias("similarity"))
+    ranked = both.withColumn("rank", F.row_number().over(by_score))
+    return ranked.filter(F.col("rank") <= n)

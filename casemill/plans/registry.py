@@ -14,9 +14,9 @@ from casemill.operators import (
 )
 from casemill.params import Params
 from casemill.plans.summaries import Analysis, run_all, staged_analysis
-from casemill.session import configure, spread, stage
+from casemill.session import configure, spread, stage, staged_tables_removed
 from casemill.sources import reports
-from casemill.sources.complaints import NARRATIVE, narratives, save_summary
+from casemill.sources.complaints import NARRATIVE, narratives, save_summary, summary_path
 from casemill.sources.star import cases, document_narratives, table
 
 # The floors and the growth threshold that suit the size of the tables.
@@ -195,12 +195,14 @@ SUMMARY_COLUMNS = (*ANALYSIS_COLUMNS, "State", "Submitted via", "Consumer_Group"
 
 def run_summaries(spark: SparkSession, folder: str, out: str | None = None) -> dict[str, DataFrame]:
     """Every summary table of the star schema: the joined view is stored once and read from there."""
-    view = stage(cases(configure(spark), folder, SUMMARY_COLUMNS), "cases")
-    tables = run_all(view, P, out)
     texts = words.top_words(document_narratives(spark, folder), NARRATIVE)
-    if out:
+    if not out:
+        view = stage(cases(configure(spark), folder, SUMMARY_COLUMNS), "cases")
+        return {**run_all(view, P), "top_narrative_words": texts}
+    with staged_tables_removed(spark):
+        tables = run_all(stage(cases(configure(spark), folder, SUMMARY_COLUMNS), "cases"), P, out)
         save_summary(texts, out, "top_narrative_words")
-    return {**tables, "top_narrative_words": texts}
+    return {**tables, "top_narrative_words": spark.read.parquet(summary_path(out, "top_narrative_words"))}
 
 
 # Cleaning, features, profiles ----------------------------------------------------------------------
@@ -512,7 +514,7 @@ def _(spark, folder):
     """For every benchmark text the five most similar documents, with every term that at least three hold."""
     texts = table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     corpus = spread(table(spark, folder, "documents").select("doc_id", "text"))
-    return similar.similar_texts(texts, corpus, "text", p=Params(vocabulary=1 << 20)).select(
+    return similar.similar_texts(texts, corpus, "text").select(
         "query_id", "doc_id", "rank", "similarity"
     )
 

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame
 from casemill.operators import counts, drivers, forecast, growth, recommend, risk, words
 from casemill.operators.facts import CubeFacts, Facts, as_facts, cube
 from casemill.params import DEFAULTS, Params
-from casemill.session import stage
-from casemill.sources.complaints import NARRATIVE, save_summary
+from casemill.session import stage, staged_tables_removed
+from casemill.sources.complaints import NARRATIVE, save_summary, summary_path
 
 RECOMMENDATION_SETS = (
     ("Company",), ("Product", "Issue", "Sub-issue"), ("Year", "Product"), ("Year", "Issue"), ("Year", "Month"),
@@ -134,13 +134,20 @@ def run_all(df: DataFrame, p: Params = DEFAULTS, folder: str | None = None) -> d
     """All 40 summaries of a processed complaint table; written to ``folder`` if one is given.
 
     The 36 tables that follow from counts share one cube, so ``df`` is read once for them and once more for
-    each of the tables that need rows. ``df`` should be a stored table; a derived one is better staged first.
+    each of the tables that need rows. ``df`` should be a stored table; a derived one is better staged first. With a
+    ``folder`` the staged tables are removed once all are written, and the written ones are returned.
     """
-    shared: CubeFacts = cube(df)
-    tables = {**count_tables(shared, p), **analysis_tables(Analysis(shared, p)), **row_tables(df, p)}
-    if folder:
+    if not folder:
+        return _tables(df, p)
+    with staged_tables_removed(df.sparkSession):
+        tables = _tables(df, p)
         save_all(tables, folder)
-    return tables
+    return {name: df.sparkSession.read.parquet(summary_path(folder, name)) for name in tables}
+
+
+def _tables(df: DataFrame, p: Params) -> dict[str, DataFrame]:
+    shared: CubeFacts = cube(df)
+    return {**count_tables(shared, p), **analysis_tables(Analysis(shared, p)), **row_tables(df, p)}
 
 
 def save_all(tables: dict[str, DataFrame], folder: str, at_once: int = 8) -> None:

@@ -123,5 +123,9 @@ def save_table(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> No
     df.write.mode("overwrite").option("compression", "snappy").partitionBy(*partition_by).parquet(path)
 
 
+def summary_path(folder: str, name: str) -> str:
+    return f"{folder.rstrip('/')}/{name}.parquet"
+
+
 def save_summary(df: DataFrame, folder: str, name: str) -> None:
-    save_table(df, f"{folder.rstrip('/')}/{name}.parquet")
+    save_table(df, summary_path(folder, name))

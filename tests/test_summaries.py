@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,6 +8,7 @@ from casemill.operators.facts import cube
 from casemill.params import Params
 from casemill.plans.registry import SUMMARY_COLUMNS, cases
 from casemill.plans.summaries import Analysis, count_tables, run_all
+from casemill.session import checkpoint_folder
 
 ROWS = [
     ("A", "x", "Yes", 2020, 1), ("A", "y", "No", 2020, 2), ("B", "x", None, 2021, 1), ("B", None, "Yes", 2021, 3),
@@ -133,6 +136,9 @@ def test_cube_gives_the_same_tables_as_rows(spark, data):
 
 
 def test_run_all_writes_every_table(spark, data, tmp_path):
+    staged = f"{checkpoint_folder(spark)}/casemill".removeprefix("file:")
+    before = set(os.listdir(staged)) if os.path.isdir(staged) else set()
     tables = run_all(cases(spark, data, SUMMARY_COLUMNS), Params(growth_floor=10), str(tmp_path))
+    assert set(os.listdir(staged)) - before == set()
     assert len(tables) == 39  # the 40th, word counts, needs the narrative column
     assert {p.name.removesuffix(".parquet") for p in tmp_path.iterdir()} == set(tables)
