@@ -96,7 +96,7 @@ def _fit(train: DataFrame, tfidf: PipelineModel, p: Params, candidate: Candidate
     data = indexer.transform(tfidf.transform(train)).select(FEATURES, "_y", "label")
     estimator = LogisticRegression(
         featuresCol=FEATURES, labelCol="_y", family="multinomial", standardization=False,
-        regParam=1.0 / (candidate.c * rows), maxIter=p.max_iter,
+        regParam=1.0 / (candidate.c * rows), maxIter=p.max_iter, tol=p.tolerance,
     )
     if candidate.balanced:
         data = data.join(balance(train).select("label", "weight"), "label")

@@ -566,7 +566,8 @@ def _(spark, folder):
 
 # Trained models ------------------------------------------------------------------------------------
 
-MODEL = Params(min_class_rows=20)
+# The tolerance ends a fit; the bound is only for one that does not settle.
+MODEL = Params(min_class_rows=20, max_iter=100)
 
 
 def _texts(spark: SparkSession, folder: str, drop_empty: bool = False) -> DataFrame:
