@@ -30,9 +30,9 @@ def odd_rows():
         (1, " ".join(base), "s0"), (2, " ".join(base), "s0"), (2, " ".join(base), "s0"),
         (3, " ".join(base[:60] + ["changed"] + base[61:]), None), (4, None, "s1"), (5, "", "s1"), (6, " \n\t ", "s1"),
         (7, "one", "s1"), (8, "one two three", "s1"), (9, "one two three", None), (10, " ".join(long), "s2"),
-        (11, " ".join(long[2000:2100]), "s2"), (12, "x " * 5000, "s2"), (13, "y" * 200_000, "s2"), (None, " ".join(base), "s0"),
+        (11, " ".join(long[2000:2100]), "s2"), (12, "x " * 5000, "s2"), (13, "y" * 20_000, "s2"), (None, " ".join(base), "s0"),
         (None, None, None), (14, "\n".join(" ".join(base[i : i + 10]) for i in range(0, 120, 10)), "s0"), (15, "a b c d e", "s1"),
-        (16, "\x00\x01 \x0b a\x0cb \x1c c", "s1"), (17, "9" * 30_000 + " +" + "1" * 20_000, "s2"),
+        (16, "\x00\x01 \x0b a\x0cb \x1c c", "s1"), (17, "9" * 6_000 + " +" + "1" * 4_000, "s2"),
     ]
     rows += [(100 + i, " ".join(words(rnd, rnd.randint(1, 80)) + base[i : i + 40]), f"s{i % 3}") for i in range(40)]
     return rows

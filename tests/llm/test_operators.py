@@ -209,7 +209,7 @@ def base_spans(t):
 
 ODD = [
     "éé a@b.c_d@e.f x@y a.b@c.d.e.", "1.2.3.4.5 999.1.1.1 007.008.009.010 1.2.3 256.1.1.1", "4111 1111 1111 1111 x 4111-1111-1111-1112 4111111111111111",
-    "+1 (555) 123-4567 +49 30 1234567 +1 +123 +123456789012345678", "a" * 60_000 + "@b.co " + "7" * 50_000 + ".1.1.1", "@@@..+++ 1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6", "", None,
+    "+1 (555) 123-4567 +49 30 1234567 +1 +123 +123456789012345678", "a" * 6_000 + "@b.co " + "7" * 5_000 + ".1.1.1", "@@@..+++ 1 2 3 4 5 6 7 8 9 0 1 2 3 4 5 6", "", None,
 ]
 
 
