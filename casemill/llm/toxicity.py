@@ -39,7 +39,7 @@ class Toxicity:
     beginnings: tuple[int, ...] = (3, 4, 5, 6, 7)
     longest: int = 14
     fuzzy_from: int = 5
-    fuzzy_beginnings_from: int = 6
+    fuzzy_beginnings_from: int = 8  # above the default beginnings: near ones of fewer letters are in too many words
     window: int = 12
     threshold: float = 0.3
     cache: int = 300_000
