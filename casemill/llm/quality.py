@@ -9,17 +9,20 @@ kept, if less than ``remainder`` of its words are left without the boilerplate l
 Rows
     Null and empty text: all counts 0, ``base_failed`` true. Null host: a host of its own. Repeated rows and null ids
     are documents of their own. A document exactly at a limit passes. Empty table: no rows. Other columns are ignored.
+    A verdict follows from host and text alone; it is joined back by id, host and a digest of the text, so rows that
+    share an id, or have none, each get their own and come once.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from casemill.llm.textbatch import LOWER, U, chunks, column_bytes, covered, mix, starts_inside, window_hashes, words_of
 from casemill.session import stage
@@ -45,6 +48,11 @@ MEASURED = (
 )
 
 
+def content_of(text: Column) -> Column:
+    """The ``content`` of ``measure`` as a column: the first half of the SHA-256."""
+    return F.unhex(F.substring(F.sha2(F.coalesce(text, F.lit("")), 256), 1, 32))
+
+
 def line_hash(line: bytes) -> int:
     """Hash of a normalised line as a signed 64-bit number."""
     h = xxhash.xxh3_64_intdigest(b" ".join(line.translate(_NORMAL).split()))
@@ -89,7 +97,7 @@ def measure(docs: DataFrame, host: str, p: Quality) -> DataFrame:
                            np.array([a for a, _ in lines]), sums(repeated, w.first)]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.string()),
-                    pa.array([xxhash.xxh3_128_digest(t) for t in texts], pa.binary()),
+                    pa.array([hashlib.sha256(t).digest()[:16] for t in texts], pa.binary()),
                     *[pa.array(c.astype(np.int64)) for c in columns],
                     pa.array([x for _, x in lines], pa.list_(pa.struct([("line", pa.int64()), ("words", pa.int64())]))),
                 ], names=["doc_id", "host", "content", *COUNTS, "lines"])
@@ -113,7 +121,7 @@ def quality(docs: DataFrame, host: str = "source", p: Quality = Quality()) -> Da
     lines = measured.select("row", "host", F.explode("lines").alias("l")).select("row", "host", "l.line", "l.words")
     gone = lines.join(boilerplate(measured, p), ["host", "line"]).groupBy("row").agg(
         F.sum("words").alias("boilerplate_words"), F.collect_set("line").alias("boilerplate_lines"))
-    out = measured.drop("content", "lines").join(gone, "row", "left")
+    out = measured.drop("lines").join(gone, "row", "left")
     out = out.withColumn("boilerplate_words", F.coalesce("boilerplate_words", F.lit(0).cast("bigint")))
     failed = (F.col("n_words") < p.min_words) | (100 * F.col("n_repeat_words") > p.repeat_percent * F.col("n_words"))
     left = F.col("n_words") - F.col("boilerplate_words")
@@ -133,10 +141,13 @@ def without_boilerplate(docs: DataFrame, verdict: DataFrame, host: str = "source
         return text.combine(lines, one)
 
     # the rows of docs travel as one column, so that none of their names can clash
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
-    found = verdict.select("doc_id", "host", "boilerplate_lines", "kept").distinct()
-    same = F.col("doc.doc_id").eqNullSafe(F.col("doc_id")) & (F.coalesce(F.col("doc").getField(host), F.lit("")) == F.col("host"))
-    out = rows.join(found, same).where("kept")
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(doc.alias("doc"), content_of(F.col("text")).alias("own"))
+    keys = ["doc_id", "host", "content"]
+    found = verdict.where("kept").select(*keys, "boilerplate_lines").dropDuplicates(keys)
+    same = (F.col("doc.doc_id").eqNullSafe(F.col("doc_id")) & (F.coalesce(F.col("doc").getField(host), F.lit("")) == F.col("host"))
+            & (F.col("own") == F.col("content")))
+    out = rows.join(found, same)
     text = F.when(F.size("boilerplate_lines") > 0, cut("doc.text", "boilerplate_lines")).otherwise(F.col("doc.text"))
     changed = {"text": text, "n_chars": F.when(F.size("boilerplate_lines") > 0, F.length(text).cast("bigint")).otherwise(F.col("doc.n_chars"))
                if "n_chars" in docs.columns else None}

@@ -1,9 +1,10 @@
 """Cases that the operators once did by halves."""
 
 import random
+from collections import Counter
 
 import corpus_pipeline
-from casemill.llm import near_dup
+from casemill.llm import near_dup, quality
 
 
 # ------------------------------------------------------------ pipeline, near duplicates
@@ -23,3 +24,17 @@ def test_near_dedup_stage_links_from_four_fifths(spark, frame):
     assert near_dup.near_duplicates(frame(rows)).where("kept").count() == len(rows)
     # chunks stay as selective as at 85 %
     assert min(b - a for a, b in corpus_pipeline.NEAR.chunks) >= 5 and 2 * len(corpus_pipeline.NEAR.chunks) > corpus_pipeline.NEAR.errors
+
+
+# ------------------------------------------------------------ pipeline, quality rules
+
+def test_rows_without_id_get_their_own_verdict(frame, clashing):
+    own = [" ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}x{j}" for j in range(30)) for i in range(40)]
+    lines = ["Subscribe to our newsletter", "All rights reserved"]
+    rows = [(None, f"{own[i]}\n{lines[i % 2]}", "h") for i in range(30)]
+    rows += [(None, "too short", "h"), (None, own[30], "h"), (None, own[30], "h"), (None, None, "h"), (None, own[30], None)]
+    rows += [(7, "short as well", "h"), (7, own[31], "h"), (7, f"{own[32]}\n{lines[0]}", "h"), (7, f"{own[32]}\n{lines[0]}", "h")]
+    docs = clashing(frame(rows))
+    got = Counter((r["doc_id"], r["text"], r["source"]) for r in quality.without_boilerplate(docs, quality.quality(docs)).collect())
+    want = Counter((i, t if t in own else t.split("\n")[0], s) for i, t, s in rows if t and len(t) > 40)
+    assert got == want
