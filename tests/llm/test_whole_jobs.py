@@ -1,10 +1,11 @@
 """Cases that the operators once did by halves."""
 
+import itertools
 import random
 from collections import Counter
 
 import corpus_pipeline
-from casemill.llm import near_dup, quality
+from casemill.llm import decontaminate, near_dup, quality
 
 
 # ------------------------------------------------------------ pipeline, near duplicates
@@ -38,3 +39,33 @@ def test_rows_without_id_get_their_own_verdict(frame, clashing):
     got = Counter((r["doc_id"], r["text"], r["source"]) for r in quality.without_boilerplate(docs, quality.quality(docs)).collect())
     want = Counter((i, t if t in own else t.split("\n")[0], s) for i, t, s in rows if t and len(t) > 40)
     assert got == want
+
+
+# ------------------------------------------------------------ 5
+
+def test_masks_hit_every_pattern_of_replaced_words():
+    p = decontaminate.Decontaminate()
+    for n in range(1, p.window + 1):
+        equal = next(k for k in range(n + 1) if k >= p.agree * n)
+        for gone in itertools.combinations(range(n), n - equal):
+            assert any(not {at + o for o in m} & set(gone) for m in decontaminate.masks_for(n, p) for at in range(n - m[-1])), (n, gone)
+    wide = decontaminate.Decontaminate(window=12, agree=0.5)  # 6 of 12: no set does, so runs of one word
+    assert decontaminate.masks_for(12, wide) == ((0,),)
+
+
+def test_overlaps_at_any_pattern_and_length(spark, frame):
+    items = {n: [f"i{n}w{k}" for k in range(n)] for n in (*range(1, 16), 20)}
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id bigint, text string")
+    rows, want = [], set()
+    for n, w in items.items():
+        width = min(n, 15)
+        spare = width - next(k for k in range(width + 1) if k >= 0.8 * width)
+        for gone in itertools.combinations(range(width), spare):
+            at = len(rows)
+            changed = ["other" if k in gone or k >= width else x for k, x in enumerate(w)]
+            rows.append((at, " ".join(["before", *changed, "after"]), None))
+            want.add((at, n, width - spare))
+        more = tuple(range(0, spare + 1))  # one replaced word too many
+        rows.append((len(rows), " ".join("other" if k in more or k >= width else x for k, x in enumerate(w)), None))
+    got = {(r["doc_id"], r["item_id"], r["n_equal"]) for r in decontaminate.overlaps(frame(rows), bench).collect()}
+    assert got == want
