@@ -5,13 +5,15 @@ Patterns (``email ip card phone``) are found leftmost and without overlap per ki
 so that a long run of one character class is read once.
 
 Information-theoretic sanitisation: the protected entities are the values found. A term is a lower-cased run of at
-least ``term_letters`` letters within ``context`` characters of an entity. With documents as the events,
+least ``term_letters`` letters, anywhere in a document. With documents as the events,
 
     disclosure(term, entity) = log(n_both * N / (n_term * n_entity)) / log(N / n_entity)
 
 tells how much of the entity's information content the term gives away (1: whoever knows the term knows the entity).
-Counts run over all documents. A term with a disclosure of at least ``disclosure`` that stands by the entity in at least
-``support`` different texts is a span of kind ``term`` wherever it stands by that entity.
+All counts are of whole documents. A term with a disclosure of at least ``disclosure`` that shares at least ``support``
+different texts with the entity is a span of kind ``term`` wherever it stands in a document that holds the entity, unless
+it lies inside a span of the patterns. As ``n_both`` is at most ``n_entity``, a term in more than
+``N ** (1 - disclosure) * n_entity ** disclosure`` documents can not tell the entity: such pairs are never made.
 
 Offsets are code points, ends exclusive.
 
@@ -43,7 +45,6 @@ _NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 
 @dataclass(frozen=True)
 class Pii:
-    context: int = 64
     term_letters: int = 4
     support: int = 2
     disclosure: float = 0.8
@@ -102,44 +103,61 @@ def entities(base: DataFrame) -> DataFrame:
     return _placed(hits, ["row", "kind"]).where(valid(F.col("kind"), F.col("hit"))).select("row", "kind", "first", "end", "hit")
 
 
-def neighbours(base: DataFrame, found: DataFrame, p: Pii) -> DataFrame:
-    """Terms around each entity: ``row, content, entity, term, first, end``."""
-    texts = base.where("text is not null").select("row", "content", "text")
-    near = found.select("row", F.concat_ws(":", "kind", F.lower("hit")).alias("entity"), F.col("first").alias("from"), F.col("end").alias("to"))
-    begin = F.greatest(F.lit(0), F.col("from") - p.context)
-    sides = F.array(
-        F.struct(begin.alias("offset"), F.expr("substring(text, int(greatest(0, `from` - {0})) + 1, int(`from` - greatest(0, `from` - {0})))".format(p.context)).alias("part")),
-        F.struct(F.col("to").alias("offset"), F.expr(f"substring(text, int(`to`) + 1, {p.context})").alias("part")),
-    )
-    parts = near.join(texts, "row").select("row", "content", "entity", "from", F.inline(sides))
-    words = parts.select("row", "content", "entity", "from", "offset", F.inline(_found(F.col("part"), "term", rf"\p{{L}}{{{p.term_letters},}}")))
-    placed = _placed(words, ["row", "entity", "from", "offset"])
-    return placed.select("row", "content", "entity", F.lower("hit").alias("term"),
-                         (F.col("offset") + F.col("first")).alias("first"), (F.col("offset") + F.col("end")).alias("end"))
-
-
-def disclosures(docs: DataFrame, near: DataFrame, found: DataFrame, p: Pii) -> DataFrame:
-    """``entity, term, disclosure`` of the pairs with enough support."""
-    pairs = near.groupBy("entity", "term", "content").agg(F.count_distinct("row").alias("n"))
-    pairs = pairs.groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= p.support)
-    having = found.select("row", F.concat_ws(":", "kind", F.lower("hit")).alias("entity")).distinct().groupBy("entity").agg(
-        F.count(F.lit(1)).alias("n_entity"))
-    letters = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))
-    terms = docs.where("text is not null").select(F.explode(letters).alias("term")).where(F.length("term") >= p.term_letters)
-    terms = terms.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+def _term(p: Pii) -> str:
+    return rf"\p{{L}}{{{p.term_letters},}}"
+
+
+def _distinct_terms(text: Column, p: Pii) -> Column:
+    long = F.filter(F.split(text, r"[^\p{L}]+"), lambda w: F.length(w) >= p.term_letters)
+    return F.array_distinct(F.transform(long, lambda w: F.lower(w)))
+
+
+def _entity() -> Column:
+    return F.concat_ws(":", "kind", F.lower("hit")).alias("entity")
+
+
+def telling_terms(docs: DataFrame, base: DataFrame, found: DataFrame, p: Pii) -> DataFrame:
+    """``entity, term`` of the pairs with enough support and disclosure. Copies of a text are counted through one of them."""
     n = float(docs.count())
+    texts = base.where("text is not null").groupBy("content").agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("n"))
+    held = found.select("row", _entity()).join(texts, "row").select("content", "row", "n", "entity").distinct()
+    having = held.groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count(F.lit(1)).alias("texts"))
+    having = having.where((F.col("texts") >= p.support) & (F.col("n_entity") < n)).drop("texts")
+    held = stage(held.join(having, "entity"), "pii-held")
+    # a term in more documents tells none of the entities of its text; the margin is for rounding
+    most = F.pow(F.lit(n), F.lit(1 - p.disclosure)) * F.pow(F.col("n_entity"), F.lit(p.disclosure)) * 1.000001
+    open_ = held.groupBy("row", "content").agg(F.max(most).alias("most"))
+    words = open_.join(base.select("row", "text"), "row").select("content", "most", F.explode(_distinct_terms(F.col("text"), p)).alias("term"))
+    every = docs.where("text is not null").select(F.explode(_distinct_terms(F.col("text"), p)).alias("term"))
+    n_term = every.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")).where(F.col("n_term") >= p.support)
+    words = words.join(n_term, "term").where(F.col("n_term") <= F.col("most")).select("content", "term", "n_term")
+    pairs = held.select("content", "n", "entity", "n_entity").join(words, "content").where(F.col("n_term") <= most)
+    pairs = pairs.groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("texts"),
+                                                F.first("n_term").alias("n_term"), F.first("n_entity").alias("n_entity"))
     gain = F.log(F.col("n_both") * n / (F.col("n_term") * F.col("n_entity"))) / F.log(F.lit(n) / F.col("n_entity"))
-    return pairs.join(having, "entity").join(terms, "term").where(F.col("n_entity") < n).select(
-        "entity", "term", gain.alias("disclosure"))
+    return pairs.where((F.col("texts") >= p.support) & (gain >= p.disclosure)).select("entity", "term")
+
+
+def occurrences(base: DataFrame, found: DataFrame, telling: DataFrame, p: Pii) -> DataFrame:
+    """``row, kind, first, end`` of the telling terms in the documents that hold their entity."""
+    by_entity = telling.groupBy("entity").agg(F.collect_list("term").alias("terms"))
+    wanted = stage(found.select("row", _entity()).distinct().join(by_entity, "entity").select("row", F.explode("terms").alias("term")).distinct(),
+                   "pii-wanted")
+    texts = base.select("row", "text").join(wanted.select("row").distinct(), "row")
+    placed = _placed(texts.select("row", F.inline(_found(F.col("text"), "term", _term(p)))), ["row"])
+    placed = placed.withColumn("term", F.lower("hit")).join(wanted, ["row", "term"]).select("row", F.lit("term").alias("kind"), "first", "end")
+    # those inside a span of the patterns are generalised with it
+    both = placed.union(found.join(wanted.select("row").distinct(), "row", "left_semi").select("row", "kind", "first", "end"))
+    before = Window.partitionBy("row").orderBy("first", F.col("kind") == "term").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    covered = F.max(F.when(F.col("kind") != "term", F.col("end"))).over(before)
+    return both.withColumn("covered", covered).where("kind = 'term' and (covered is null or end > covered)").drop("covered")
 
 
 def personal_data(docs: DataFrame, p: Pii = Pii()) -> DataFrame:
     """Counts and spans of every document."""
     base = _base(docs)
     found = stage(entities(base), "pii-entities")
-    near = stage(neighbours(base, found, p), "pii-terms")
-    telling = disclosures(docs, near, found, p).where(F.col("disclosure") >= p.disclosure).select("entity", "term")
-    extra = near.join(telling, ["entity", "term"]).select("row", F.lit("term").alias("kind"), "first", "end").distinct()
+    extra = occurrences(base, found, stage(telling_terms(docs, base, found, p), "pii-telling"), p)
     order = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")).alias("order")
     spans = found.select("row", "kind", "first", "end").union(extra).groupBy("row").agg(
         F.sort_array(F.collect_list(F.struct(order, "first", "end", "kind"))).alias("all"))

@@ -5,7 +5,7 @@ import random
 from collections import Counter
 
 import corpus_pipeline
-from casemill.llm import decontaminate, near_dup, quality
+from casemill.llm import decontaminate, near_dup, pii, quality
 
 
 # ------------------------------------------------------------ pipeline, near duplicates
@@ -69,3 +69,47 @@ def test_overlaps_at_any_pattern_and_length(spark, frame):
         rows.append((len(rows), " ".join("other" if k in more or k >= width else x for k, x in enumerate(w)), None))
     got = {(r["doc_id"], r["item_id"], r["n_equal"]) for r in decontaminate.overlaps(frame(rows), bench).collect()}
     assert got == want
+
+
+# ------------------------------------------------------------ 9
+
+def test_terms_far_from_the_entity(frame):
+    gap = "and then the usual filler words of every letter come here again and again " * 3
+    rows = [(i, f"Marguerite wrote {gap} to m@marguerite.org {gap} signed MARGUERITE {i}", None) for i in range(4)]
+    rows += [(10 + i, f"filler {gap} wrote signed number {i}", None) for i in range(30)]
+    rows += [(50 + i, f"Marguerittes other@site{i}.org {gap}", None) for i in range(3)]
+    got = {r["doc_id"]: r["spans"].split(",") for r in pii.personal_data(frame(rows)).collect()}
+    for i, text, _ in rows[:4]:
+        spans = [(int(a), int(b)) for k, a, b in (s.split(":") for s in got[i]) if k == "term"]
+        assert [text[a:b] for a, b in spans] == ["Marguerite", "MARGUERITE"]
+    assert all("term" not in s for i in got if i >= 4 for s in got[i])
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitised(frame(rows)).collect()}
+    assert "arguerite" not in clean[0] and "MARGUERITE" not in clean[0]
+
+
+def test_disclosure_equals_brute_force(frame):
+    import math
+    import re
+
+    rnd = random.Random(3)
+    people = [(f"p{k}@x{k}.org", f"name{chr(97 + k) * 2}") for k in range(8)]
+    rows = []
+    for i in range(200):
+        w = [f"word{chr(97 + rnd.randrange(26))}" for _ in range(30)]
+        for mail, name in rnd.sample(people, rnd.randrange(3)):
+            w[rnd.randrange(30)] = mail
+            w[rnd.randrange(30)] = name if rnd.random() < 0.9 else "nobody"
+        rows.append((i, " ".join(w), None))
+    rows += [(1000 + k, rows[3][1], None) for k in range(5)]
+    mails = [set(re.findall(r"p\d@x\d\.org", t)) for _, t, _ in rows]
+    terms = [set(re.findall(r"[a-z]{4,}", t)) for _, t, _ in rows]
+    n, want = len(rows), set()
+    for e in set().union(*mails):
+        for t in set().union(*terms):
+            both = [i for i in range(n) if e in mails[i] and t in terms[i]]
+            n_e, n_t = sum(e in m for m in mails), sum(t in m for m in terms)
+            if len({rows[i][1] for i in both}) >= 2 and math.log(len(both) * n / (n_t * n_e)) / math.log(n / n_e) >= 0.8:
+                want |= {(rows[i][0], m.start(), m.end()) for i in both for m in re.finditer(r"[a-z]{4,}", rows[i][1]) if m[0] == t}
+    spans = {(r["doc_id"], *map(int, s.split(":")[1:])) for r in pii.personal_data(frame(rows)).collect()
+             for s in r["spans"].split(",") if s.startswith("term")}
+    assert spans == want and len(want) > 50
