@@ -2,9 +2,11 @@
 
 The lexicon is learnt: whole words and word beginnings that mark toxic documents in a bounded sample of labelled rows
 (``fit_rows``, those with the smallest hash of the id; rows held out are never used). A word hits an entry exactly, or
-within one edit (insert, delete, replace, swap) of an entry of at least ``fuzzy_from`` letters (``fuzzy_beginnings_from`` for beginnings): the automaton of the
-word runs down the trie and gives up a branch as soon as no entry below it can be near enough. Entries that are word
-beginnings accept when some beginning of the word is near enough.
+within one edit (insert, delete, replace, swap) of an entry of at least ``fuzzy_from`` letters (``fuzzy_beginnings_from`` for beginnings); a whole word of
+``short_from`` letters up to that takes a replaced, swapped or doubled letter. A whole word that gives way to its beginning stays an entry for
+near matches only (its name ends with ``~``). The automaton of the word runs down the trie and gives up a branch as soon as no entry below it can be near enough. Entries that are word
+beginnings accept when some beginning of the word is near enough. It runs only for words that share a form with an
+entry after one letter at most is left out of either, as all words within one edit do.
 
 Hits are weighted by their log-odds and summed over windows of ``window`` words; a hit between quotation marks counts as
 quoted, not as abuse. The sums, the densest window and the kind of hits are the inputs of a logistic regression on
@@ -39,7 +41,8 @@ class Toxicity:
     beginnings: tuple[int, ...] = (3, 4, 5, 6, 7)
     longest: int = 14
     fuzzy_from: int = 5
-    fuzzy_beginnings_from: int = 8  # above the default beginnings: near ones of fewer letters are in too many words
+    short_from: int = 4
+    fuzzy_beginnings_from: int = 5
     window: int = 12
     threshold: float = 0.3
     cache: int = 300_000
@@ -93,7 +96,16 @@ def learn_lexicon(sample: DataFrame, p: Toxicity) -> list[tuple[str, float]]:
     odds = F.log((F.col("pos") + 0.5) / (n_pos + 1)) - F.log((F.col("neg") + 0.5) / (n_neg + 1))
     best = (sums.where(F.col("pos") >= max(p.min_documents, n_pos // 250)).withColumn("odds", odds).where(F.col("odds") >= p.min_odds)
             .orderBy(F.desc(F.col("odds") * F.sqrt("pos")), "term").limit(8 * p.entries).collect())
-    return _distinct({r["term"]: (r["pos"], r["odds"]) for r in best})[: p.entries]
+    found = {r["term"]: (r["pos"], r["odds"]) for r in best}
+    entries = _distinct(found)[: p.entries]
+    return entries + _near_only(found, entries, p)
+
+
+def _near_only(found: dict[str, tuple[int, float]], entries: list[tuple[str, float]], p: Toxicity) -> list[tuple[str, float]]:
+    """Whole words that gave way to a beginning among the entries."""
+    have = {t for t, _ in entries}
+    words = sorted(t for t in found if t.endswith("$") and t not in have and len(t) > p.short_from)
+    return [(t[:-1] + "~", float(found[t][1])) for t in words if any(t[:k] in have for k in range(2, len(t)))]
 
 
 def _distinct(found: dict[str, tuple[int, float]]) -> list[tuple[str, float]]:
@@ -120,53 +132,48 @@ class _Node:
     beginning: int = -1
 
 
+def _without_one(w: str) -> list[str]:
+    return [w, *[w[:j] + w[j + 1 :] for j in range(len(w))]]
+
+
 class Lexicon:
     def __init__(self, entries: list[tuple[str, float]], p: Toxicity):
         self.weights, self.p, self.root = [w for _, w in entries], p, _Node()
         self.exact: dict[str, int] = {}
         self.known: dict[str, tuple[int, bool] | None] = {}
-        self.start_lengths = {len(t) for t, _ in entries if not t.endswith("$")}
-        self.longest = max((len(t.rstrip("$")) for t, _ in entries), default=0)
-        fuzzy_words, fuzzy_starts = [], []
+        self.start_lengths = {len(t) for t, _ in entries if t[-1] not in "$~"}
+        self.longest = max((len(t.rstrip("$~")) for t, _ in entries), default=0)
+        # entries and what is left of them without one letter
+        self.around_words: set[str] = set()
+        self.around_starts: set[str] = set()
+        self.word_lengths: set[int] = set()
+        self.beginning_lengths: set[int] = set()
         for i, (term, _) in enumerate(entries):
-            bare = term.rstrip("$")
-            self.exact[term] = i
-            if len(bare) < (p.fuzzy_from if bare != term else p.fuzzy_beginnings_from):
+            bare = term.rstrip("$~")
+            if not term.endswith("~"):
+                self.exact[term] = i
+            if len(bare) < (p.short_from if bare != term else p.fuzzy_beginnings_from):
                 continue
             node = self.root
             for c in bare:
                 node = node.below.setdefault(c, _Node())
+            around, lengths = (self.around_words, self.word_lengths) if bare != term else (self.around_starts, self.beginning_lengths)
             if bare != term:
                 node.word = i
-                fuzzy_words.append(bare)
             else:
                 node.beginning = i
-                fuzzy_starts.append(bare)
-        # One edit leaves the first or the second half of an entry as it is; a swap across the middle leaves both ends.
-        # By the length of the entry: first halves, second halves, both ends.
-        self.near_words: dict[int, tuple[set[str], set[str], set[str]]] = {}
-        for w in fuzzy_words:
-            heads, tails, ends = self.near_words.setdefault(len(w), (set(), set(), set()))
-            heads.add(w[: len(w) // 2])
-            tails.add(w[len(w) // 2 :])
-            ends.add(w[0] + w[-1])
-        self.near_starts: dict[int, tuple[set[str], set[str]]] = {}
-        for w in fuzzy_starts:
-            heads, tails = self.near_starts.setdefault(len(w), (set(), set()))
-            heads.add(w[: len(w) // 2])
-            tails.add(w[len(w) // 2 :])
+            around.update(_without_one(bare))
+            lengths.update((len(bare) - 1, len(bare), len(bare) + 1))
 
     def _may_be_near(self, w: str) -> bool:
-        for n in (len(w) - 1, len(w), len(w) + 1):
-            if n in self.near_words:
-                heads, tails, ends = self.near_words[n]
-                if w[: n // 2] in heads or w[n // 2 - n :] in tails or (n == len(w) and w[0] + w[-1] in ends):
-                    return True
-        for n, (heads, tails) in self.near_starts.items():
-            h = n // 2
-            if w[:h] in heads or any(w[h + d : n + d] in tails for d in (-1, 0, 1)):
-                return True
-        return False
+        if len(w) in self.word_lengths and not self.around_words.isdisjoint(_without_one(w)):
+            return True
+        return any(n <= len(w) and not self.around_starts.isdisjoint(_without_one(w[:n])) for n in self.beginning_lengths)
+
+    def _accepts(self, bare: str, word: str) -> bool:
+        """Of a short whole word only a replaced, swapped or doubled letter is near."""
+        return (len(bare) >= self.p.fuzzy_from or len(word) == len(bare)
+                or any(word[j] == word[j - 1] and word[:j] + word[j + 1 :] == bare for j in range(1, len(word))))
 
     def hit(self, w: str) -> tuple[int, bool] | None:
         """Entry and whether the word is spelt as the entry."""
@@ -178,7 +185,7 @@ class Lexicon:
             i = max((j for k in self.start_lengths if (j := self.exact.get(w[:k])) is not None), key=self.weights.__getitem__, default=None)
         if i is not None:
             found = (i, True)
-        elif len(w) >= self.p.fuzzy_from - 1 and self._may_be_near(w):
+        elif len(w) >= min(self.p.fuzzy_from, self.p.fuzzy_beginnings_from) - 1 and self._may_be_near(w):
             i = self._near(w)
             found = None if i is None else (i, False)
         if len(self.known) > self.p.cache:
@@ -193,8 +200,9 @@ class Lexicon:
         word = word[: self.longest + 2]  # what comes later can not bring it nearer
         stack = [(self.root, "", list(range(len(word) + 1)), None)]
         while stack:
-            node, last, row, before = stack.pop()
-            for e in ([node.word] if row[-1] <= 1 else []) + ([node.beginning] if min(row) <= 1 else []):
+            node, so_far, row, before = stack.pop()
+            last = so_far[-1:]
+            for e in ([node.word] if row[-1] <= 1 and self._accepts(so_far, word) else []) + ([node.beginning] if min(row) <= 1 else []):
                 if e >= 0 and (best is None or self.weights[e] > self.weights[best]):
                     best = e
             for c, below in node.below.items():
@@ -205,7 +213,7 @@ class Lexicon:
                         d = min(d, before[j - 1] + 1)
                     step.append(d)
                 if min(step) <= 1:
-                    stack.append((below, c, step, row))
+                    stack.append((below, so_far + c, step, row))
         return best
 
 

@@ -5,7 +5,7 @@ import random
 from collections import Counter
 
 import corpus_pipeline
-from casemill.llm import decontaminate, near_dup, pii, quality
+from casemill.llm import decontaminate, near_dup, pii, quality, toxicity
 
 
 # ------------------------------------------------------------ pipeline, near duplicates
@@ -113,3 +113,38 @@ def test_disclosure_equals_brute_force(frame):
     spans = {(r["doc_id"], *map(int, s.split(":")[1:])) for r in pii.personal_data(frame(rows)).collect()
              for s in r["spans"].split(",") if s.startswith("term")}
     assert spans == want and len(want) > 50
+
+
+# ------------------------------------------------------------ 6
+
+def test_near_matches_of_beginnings_dropped_words_and_short_words():
+    p = toxicity.Toxicity()
+    found = {"idio": (100, 4.0), "idiot$": (60, 4.2), "moron": (90, 4.0), "moron$": (60, 4.1), "scum$": (50, 3.0)}
+    entries = toxicity._distinct(found)
+    entries += toxicity._near_only(found, entries, p)
+    names = [t for t, _ in entries]
+    assert {"idio", "moron", "scum$", "idiot~", "moron~"} == set(names)
+    hit = lambda w: (h := toxicity.Lexicon(entries, p).hit(w)) and (names[h[0]], h[1])
+    assert hit("moron") == hit("morons") == ("moron", True) and hit("idiot") == ("idio", True)
+    assert hit("mornon")[1] is hit("mroons")[1] is hit("m0rons")[1] is False
+    assert hit("idoit") == ("idiot~", False)
+    assert hit("scvm") == hit("scmu") == hit("scuum") == ("scum$", False)
+    assert hit("scm") is hit("scums") is hit("plain") is None
+
+
+def test_no_near_word_is_passed_over():
+    def edits(a, b):
+        d = {(i, j): i + j for i in range(len(a) + 1) for j in range(len(b) + 1) if not i * j}
+        for i in range(1, len(a) + 1):
+            for j in range(1, len(b) + 1):
+                d[i, j] = min(d[i - 1, j] + 1, d[i, j - 1] + 1, d[i - 1, j - 1] + (a[i - 1] != b[j - 1]))
+                if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                    d[i, j] = min(d[i, j], d[i - 2, j - 2] + 1)
+        return d[len(a), len(b)]
+
+    rnd = random.Random(6)
+    lexicon = toxicity.Lexicon([("abcab$", 3.0), ("bbacab$", 2.0), ("cabba", 2.5)], toxicity.Toxicity())
+    for _ in range(3000):
+        w = "".join(rnd.choice("abc") for _ in range(rnd.randint(4, 9)))
+        near = any(edits(w, e) <= 1 for e in ("abcab", "bbacab")) or any(edits(w[:n], "cabba") <= 1 for n in range(len(w) + 1))
+        assert (lexicon.hit(w) is not None) == near, w
