@@ -1,12 +1,15 @@
 """Secret scan: candidate strings, and a random forest that removes false positives.
 
 A candidate is a run of at least ``shortest`` characters of ``A-Za-z0-9+/_=.-`` that holds a digit or is assigned to
-a credential name. Its features: length, classes of characters, entropy, how usual its character transitions are in the
+a credential name, or the whole value assigned to such a name: what stands between quotation marks on a line, or an
+unbroken run without its last punctuation, of at least ``shortest_assigned`` characters. Candidates may overlap. Of names inside
+one unbroken value only the last one counts besides the first. Its features: length, classes of characters, entropy, how usual its character transitions are in the
 corpus, how much of it dictionary words of the corpus cover, hashed path, hashed neighbouring words, and the signs next
 to it. The forest is fitted on labelled findings, at most ``fit_rows`` of them (smallest hash first).
 
 Transitions are counted over all documents; the dictionary holds the ``dictionary`` most frequent words of all documents.
-Labelled findings are a table ``doc_id, first, end, is_secret``. Without one, findings that their surroundings decide are
+Labelled findings are a table ``doc_id, first, end, is_secret``; those that are no candidates become some if they lie
+in the text. Without one, findings that their surroundings decide are
 used: strings of high entropy assigned to a credential name are secrets; parts of mail addresses, digit strings and
 strings made of dictionary words are not. Others stay open and are left to the forest.
 
@@ -39,6 +42,7 @@ from casemill.session import stage
 @dataclass(frozen=True)
 class Secrets:
     shortest: int = 16
+    shortest_assigned: int = 6
     dictionary: int = 20_000
     fit_rows: int = 20_000
     trees: int = 24
@@ -53,6 +57,10 @@ _CANDIDATE = r"[A-Za-z0-9+/_=.\-]{%d,}"
 # Names that credentials are assigned to.
 _NAMES = r"(?:token|secret|passw(?:or)?d|pwd|credential|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer)"
 _ASSIGNED = re.compile(_NAMES + r"[A-Za-z_]*\s*(?:=>|[=:])\s*[\"'`]?$", re.IGNORECASE)
+_NAMED = re.compile(_NAMES + r"[A-Za-z_]*[\"'`]?\s*(?:=>|:=|[=:])\s*(?:(?:bearer|basic)\s+)?", re.IGNORECASE)
+_QUOTED = {q: re.compile(rf"(?:\\.|[^{q}\\\n])*+{q}") for q in "\"'`"}
+_UNBROKEN = re.compile(r"[^\s\"'`]+")
+_MAIL = re.compile(r"[^@\s]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
 _RUN = re.compile(r"[a-z]+")
 
 _CLASS = np.full(256, 31, np.int64)  # letters, upper case, digits, signs, white space, bytes above 127
@@ -123,21 +131,45 @@ def _features(value: str, before: str, after: str, path: str, logp: np.ndarray,
     return [float(np.log(n)), *[k / n for k in kinds], entropy, moves, switches, covered_by_words(value, words), *map(float, signs), *slots]
 
 
+def assigned_values(text: str, p: Secrets) -> list[tuple[int, int]]:
+    """Begin and end of the values assigned to credential names."""
+    out, last = set(), None
+    reach = -1  # end of the unbroken value before
+    for m in _NAMED.finditer(text):
+        a = m.end()
+        if text[a : a + 1] in _QUOTED and (q := _QUOTED[text[a]].match(text, a + 1)):
+            out.add((a + 1, q.end() - 1))
+        elif a < reach:
+            last = (a, reach)
+        elif u := _UNBROKEN.match(text, a + (text[a : a + 1] in _QUOTED)):
+            out |= {last} if last else set()
+            last, reach = None, u.start() + len(u[0].rstrip(".,;)]}"))
+            out.add((u.start(), reach))
+    out |= {last} if last else set()
+    return sorted(x for x in out if x[1] - x[0] >= p.shortest_assigned)
+
+
 FOUND = "doc_id bigint, first bigint, end bigint, hint int, x array<double>"
 
 
-def candidates(docs: DataFrame, path: str, logp: np.ndarray, words: set[str], p: Secrets) -> DataFrame:
-    """Candidates with features; ``hint`` is 1 or 0 where the surroundings decide, else null."""
+def candidates(docs: DataFrame, path: str, logp: np.ndarray, words: set[str], p: Secrets, given: bool = False) -> DataFrame:
+    """Candidates with features, or with ``given`` the spans of that column; ``hint`` is 1 or 0 where the surroundings decide, else null."""
     pattern = re.compile(_CANDIDATE % p.shortest)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc_id, text, where in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "path"))):
-                for m in pattern.finditer(text or ""):
-                    a, b = m.start(), m.end()
-                    value, before, after = m[0], text[max(0, a - 48) : a], text[b : b + 32]
-                    assigned = bool(_ASSIGNED.search(before))
+            given = batch.column("given").to_pylist() if "given" in batch.schema.names else [None] * batch.num_rows
+            for doc_id, text, where, marked in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "path")), given):
+                text = text or ""
+                if marked is None:
+                    values = set(assigned_values(text, p))
+                    spans = sorted(values | {m.span() for m in pattern.finditer(text)})
+                else:
+                    values = spans = [(s["first"], s["end"]) for s in marked if 0 <= s["first"] < s["end"] <= len(text)]
+                for a, b in spans:
+                    value, before, after = text[a:b], text[max(0, a - 48) : a], text[b : b + 32]
+                    assigned = (a, b) in values or bool(_ASSIGNED.search(before))
                     if not assigned and not any(map(str.isdigit, value)):
                         continue
                     x = _features(value, before, after, where, logp, words, p)
@@ -145,25 +177,32 @@ def candidates(docs: DataFrame, path: str, logp: np.ndarray, words: set[str], p:
                     hint = None
                     if before[-1:] == "@" or after[:1] == "@" or coverage >= 0.5 or not any(map(str.isalpha, value)):
                         hint = 0
-                    elif assigned and entropy >= p.entropy and any(map(str.isdigit, value)):
+                    elif (assigned and entropy >= min(p.entropy, 0.85 * np.log2(len(value))) and any(map(str.isdigit, value))
+                          and not _MAIL.fullmatch(value)):
                         hint = 1
                     rows.append((doc_id, a, b, hint, x))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.float64())]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)],
                                              names=["doc_id", "first", "end", "hint", "x"])
 
-    rows = docs.select("doc_id", "text", F.coalesce(F.col(path), F.lit("")).alias("path"))
+    marked = ["given"] if given else []
+    rows = docs.select("doc_id", "text", F.coalesce(F.col(path), F.lit("")).alias("path"), *marked)
     return stage(rows.mapInArrow(task, FOUND), "secret-candidates")
 
 
 def secret_scan(docs: DataFrame, findings: DataFrame | None = None, path: str = "source", p: Secrets = Secrets()) -> DataFrame:
     """``doc_id, first, end, n_chars, labelled, probability, is_secret`` for each candidate."""
-    found = candidates(docs, path, transitions(docs), dictionary(docs, p), p)
+    logp, words = transitions(docs), dictionary(docs, p)
+    found = candidates(docs, path, logp, words, p)
     if findings is None:
         found = found.withColumn("labelled", F.col("hint"))
     else:
         given = findings.groupBy("doc_id", "first", "end").agg(F.max(F.col("is_secret").cast("int")).alias("labelled"))
-        found = found.join(given, ["doc_id", "first", "end"], "left")
+        keys = ["doc_id", "first", "end"]
+        more = given.join(found.select(*keys).distinct(), keys, "left_anti").groupBy("doc_id").agg(
+            F.collect_list(F.struct(F.col("first").cast("bigint").alias("first"), F.col("end").cast("bigint").alias("end"))).alias("given"))
+        texts = docs.select("doc_id", "text", F.col(path).alias("path")).join(more, "doc_id")
+        found = found.union(candidates(texts, "path", logp, words, p, True)).join(given, keys, "left")
     found = found.select("doc_id", "first", "end", "labelled", "x")
     known = (found.where("labelled is not null").orderBy(F.xxhash64("doc_id", "first", F.lit(5)), "doc_id", "first").limit(p.fit_rows)
              .select(F.col("labelled").cast("double").alias("label"), array_to_vector("x").alias("features")))

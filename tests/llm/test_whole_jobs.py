@@ -5,7 +5,7 @@ import random
 from collections import Counter
 
 import corpus_pipeline
-from casemill.llm import decontaminate, near_dup, pii, quality, toxicity
+from casemill.llm import decontaminate, near_dup, pii, quality, secrets, toxicity
 
 
 # ------------------------------------------------------------ pipeline, near duplicates
@@ -148,3 +148,18 @@ def test_no_near_word_is_passed_over():
         w = "".join(rnd.choice("abc") for _ in range(rnd.randint(4, 9)))
         near = any(edits(w, e) <= 1 for e in ("abcab", "bbacab")) or any(edits(w[:n], "cabba") <= 1 for n in range(len(w) + 1))
         assert (lexicon.hit(w) is not None) == near, w
+
+
+# ------------------------------------------------------------ 2
+
+def test_short_and_split_secrets_are_candidates(spark, frame):
+    values = {'password = "Tr0ub4dor&3" here': "Tr0ub4dor&3", "pwd: hunter22, next": "hunter22", "{'api_key': 'a!b@c#d$e%1'}": "a!b@c#d$e%1",
+              "Authorization: Bearer ab12cd34": "ab12cd34", 'secret="two words 1"': "two words 1", "token=x9!": None, "no name abc123def": None}
+    rows = [(i, t, "a.py") for i, t in enumerate(values)] + [(100, "plain text with Zx81 in it", "a.py")]
+    got = {(r["doc_id"], r["first"], r["end"]) for r in secrets.secret_scan(frame(rows)).collect()}
+    assert got == {(i, t.index(v), t.index(v) + len(v)) for i, (t, v) in enumerate(values.items()) if v}
+    given = spark.createDataFrame([(100, 16, 20, True), (0, 12, 23, True), (100, 20, 900, True)], "doc_id bigint, first bigint, end bigint, is_secret boolean")
+    found = {(r["doc_id"], r["first"], r["end"]): r for r in secrets.secret_scan(frame(rows), given).collect()}
+    assert set(found) == got | {(100, 16, 20)} and found[(100, 16, 20)]["is_secret"]
+    # many names in one run stay linear
+    assert len(secrets.assigned_values("token=" * 50_000 + "abc12345", secrets.Secrets())) == 2
