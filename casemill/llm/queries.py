@@ -11,6 +11,7 @@ from casemill.llm.mixing import mixing_rates
 from casemill.llm.near_dup import near_duplicates
 from casemill.llm.pii import personal_data
 from casemill.llm.quality import COUNTS, quality
+from casemill.llm.queries_mining import ORACLE as MINING_ORACLE, QUERIES as MINING_QUERIES
 from casemill.llm.secrets import secret_scan
 from casemill.llm.substrings import remove_repeats
 from casemill.llm.suffixes import remove_earlier
@@ -18,8 +19,8 @@ from casemill.llm.token_shards import token_shards
 from casemill.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
+QUERIES: dict[str, Query] = {**MINING_QUERIES}
+ORACLE: dict[str, str] = {**MINING_ORACLE}
 
 
 def query(fn: Query) -> Query:
