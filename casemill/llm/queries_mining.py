@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from casemill.functions.arrays import let
+from casemill.llm.collocations import collocations
 from casemill.llm.runs import periodic_runs
 from casemill.llm.topk import top_k
 
@@ -94,3 +95,32 @@ scores AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c
 ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scores)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_collocations"] = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM lists GROUP BY lang),
+grams AS (SELECT lang, k, w[i:i + k - 1] AS g FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+    FROM lists, range(1, 5) AS t(k) WHERE len(w) >= k)),
+counts AS MATERIALIZED (SELECT lang, k, g, array_to_string(g, ' ') AS phrase, count(*) AS a FROM grams GROUP BY lang, k, g HAVING count(*) >= 30),
+cuts AS (SELECT c.lang, c.g, c.phrase, c.a, l.a AS l, r.a AS r, j,
+    CAST(2000000 * CAST(c.a AS HUGEINT) // (CAST(l.a AS HUGEINT) + r.a) AS BIGINT) AS score
+    FROM (SELECT *, unnest(range(1, k)) AS j FROM counts WHERE k > 1) c
+    JOIN counts l ON l.lang = c.lang AND l.g = c.g[1:j] JOIN counts r ON r.lang = c.lang AND r.g = c.g[j + 1:]),
+best AS (SELECT lang, g, any_value(phrase) AS phrase, any_value(a) AS a, min((score, j)) AS least FROM cuts GROUP BY lang, g),
+inner_parts AS (SELECT lang, a AS longer, unnest(list_transform(range(2, k), lambda m: list_transform(range(1, k - m + 2),
+    lambda i: g[i:i + m - 1]))) AS parts FROM counts WHERE k > 2),
+inside AS (SELECT lang, unnest(parts) AS g, longer FROM inner_parts),
+swallowed AS (SELECT DISTINCT lang, g FROM inside JOIN counts USING (lang, g) WHERE 100 * CAST(longer AS HUGEINT) >= 80 * CAST(a AS HUGEINT)),
+ranked AS (SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY b.least[1] DESC, b.a DESC, encode(b.phrase)) AS rank,
+    b.phrase, b.a, c.l, c.r, b.least[1] AS score FROM best b JOIN cuts c ON c.lang = b.lang AND c.g = b.g AND c.j = b.least[2]
+    ANTI JOIN swallowed s ON s.lang = b.lang AND s.g = b.g)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
