@@ -123,9 +123,9 @@ def encoded(chunks: DataFrame, ids: DataFrame) -> DataFrame:
 
     def write(left: pa.Table, right: pa.Table) -> pa.Table:
         tokens = left.column("tokens").combine_chunks().flatten().to_numpy()
-        place = right.column("place").to_numpy()
-        table = np.zeros(max(int(tokens.max(initial=-1)), int(place.max(initial=-1))) + 2, np.int32)
-        table[place] = right.column("id").to_numpy()
+        table = np.zeros(int(tokens.max(initial=-1)) + 2, np.int32)  # the last one is for -1
+        if right.num_rows:
+            table[right.column("place").to_numpy()] = right.column("id").to_numpy()
         return pa.table([left.column("chunk"), pa.array([table[tokens]], pa.list_(pa.int32()))], names=["chunk", "tokens"])
 
     both = chunks.select("chunk", "tokens").groupBy("chunk").cogroup(own.groupBy("of"))

@@ -137,11 +137,13 @@ def top_k(vectors: DataFrame, vector: str = "embedding", id_: str = "vec_id", p:
     deal = lambda count: F.pmod(F.xxhash64("row"), F.lit(count)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
     candidates = rows.withColumn("tile", deal(tiles)).withColumn("query_tile", every(query_tiles))
-    queries = rows.where(asks).withColumn("query_tile", deal(query_tiles)).withColumn("tile", every(tiles))
+    # names of its own for each column: both sides come from one table, and a cogroup must not take them for the same
+    queries = rows.where(asks).select(*[F.col(c).alias(f"q_{c}") for c in rows.columns], deal(query_tiles).alias("q_query_tile"), every(tiles).alias("q_tile"))
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         found: list[tuple] = []
-        sizes = set(left.column("size").to_pylist()) & set(right.column("size").to_pylist())
+        left = left.rename_columns([c.removeprefix("q_") for c in left.column_names])
+        sizes = set(left.column("size").to_pylist()) & set(right.column("size").to_pylist()) if left.num_rows and right.num_rows else ()
         for size in sorted(sizes):
             a, b = (t.filter(pc.equal(t.column("size"), size)) for t in (left, right))
             ids, rows_ = b.column("id").to_pylist(), b.column("row").to_numpy()
@@ -153,8 +155,7 @@ def top_k(vectors: DataFrame, vector: str = "embedding", id_: str = "vec_id", p:
         names = ["query_row", "query_id", "vec_id", "vec_row", "score"]
         return pa.table([pa.array([x[k] for x in found], pa.int64()) for k in range(5)], names=names)
 
-    keys = ["query_tile", "tile"]
-    found = queries.groupBy(*keys).cogroup(candidates.groupBy(*keys)).applyInArrow(compare, FOUND)
+    found = queries.groupBy("q_query_tile", "q_tile").cogroup(candidates.groupBy("query_tile", "tile")).applyInArrow(compare, FOUND)
     best = Window.partitionBy("query_row").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"), "vec_row")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= p.k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
