@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from decimal import Decimal
+from typing import Any
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from casemill.session import stage
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -30,33 +35,96 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
     )
 
 
-def describe(df: DataFrame, column: str) -> DataFrame:
-    """Count, mean, deviation, minimum, exact quartiles and maximum of a number column. Whole numbers are summed
-    exactly, others as doubles around their mean.
+BUCKETS = 1024
+
+
+def _buckets(kind: T.DataType, low: Any, high: Any) -> Column:
+    """Number of the part of [low, high] that ``v`` lies in, not falling with v; low is in the first and high in another part."""
+    v = F.col("v")
+    if isinstance(kind, T.DoubleType):
+        width = high / 2 - low / 2  # halves, as the whole range may be beyond a double
+        if not width:
+            return F.when(v == low, 0).otherwise(1).cast("bigint")
+        return F.least(F.floor((v / 2 - low / 2) / width * BUCKETS), F.lit(BUCKETS - 1)).cast("bigint")
+    scale = 10 ** (kind.scale if isinstance(kind, T.DecimalType) else 0)
+    whole = (v.cast("decimal(20,0)") if scale == 1 and not isinstance(kind, T.DecimalType) else v * F.lit(Decimal(scale))).cast("decimal(38,0)")
+    low, high = int(low * scale), int(high * scale)
+    return F.call_function("div", (whole - F.lit(Decimal(low))) * BUCKETS, F.lit(Decimal(high - low + 1))).cast("bigint")
 
-    Rows are counted per value first; the quartile step then works on the distinct values with their
-    frequencies, whose number is bounded by the range of the column and not by the number of rows.
+
+def order_statistics(values: DataFrame, ranks: Sequence[int], low: Any, high: Any) -> dict[int, Any]:
+    """The values at the given ranks (from 0) of a stored column ``v`` of finite numbers between ``low`` and ``high``.
+
+    Each step counts the rows of a range in ``BUCKETS`` parts and goes on with the parts that hold a rank, between their
+    own least and greatest value. A part with a single value, or a rank at its edge, is settled. A task sends a row a
+    part, so no step holds the distinct values anywhere; a thousandth of the rows is left after each.
     """
-    values = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    v, n = F.col("v"), F.col("n")
-    if df.schema[column].dataType.typeName() in ("float", "double", "decimal"):
-        middle = values.agg(F.sum(v.cast("double") * n) / F.sum(n)).scalar()
-        x, centre = v.cast("double") - middle, middle
-    else:
-        x, centre = v.cast("decimal(19,0)"), F.lit(0.0)
-    sums = values.agg(
-        F.sum(n).alias("count"), F.sum(x * n).alias("s1"), F.sum(x * x * n).alias("s2"),
-        F.min(v).alias("min"), F.max(v).alias("max"),
-        F.percentile(v, [0.25, 0.5, 0.75], n).alias("q"),
-    )
-    count, s1, s2 = F.col("count"), F.col("s1").cast("double"), F.col("s2").cast("double")
-    variance = F.try_divide(s2 - s1 * s1 / count, count - 1)
-    return sums.select(
-        "count", (s1 / count + centre).alias("mean"), F.sqrt(F.greatest(variance, F.lit(0.0))).alias("std"), "min",
-        F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max",
-    )
+    kind = values.schema["v"].dataType
+    found: dict[int, Any] = {}
+    open_ = [(low, high, 0, sorted(set(ranks)))] if ranks else []
+    while open_:
+        part = F.lit(None).cast("int")
+        bucket = F.lit(None).cast("bigint")
+        for i, (a, b, _, _) in enumerate(open_):
+            inside = (F.col("v") >= F.lit(a)) & (F.col("v") <= F.lit(b))
+            part = F.when(inside, i).otherwise(part)
+            bucket = F.when(inside, _buckets(kind, a, b)).otherwise(bucket)
+        rows = values.select("v", part.alias("part"), bucket.alias("bucket")).where("part is not null")
+        counts = rows.groupBy("part", "bucket").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("a"), F.max("v").alias("b"))
+        before = [x[2] for x in open_]
+        next_ = []
+        for i, _, n, a, b in sorted(tuple(r) for r in counts.collect()):
+            first, last = before[i], before[i] + n - 1
+            before[i] += n
+            rest = []
+            for r in (r for r in open_[i][3] if first <= r <= last):
+                if a == b or r in (first, last):
+                    found[r] = b if r == last else a
+                else:
+                    rest.append(r)
+            if rest:
+                next_.append((a, b, first, rest))
+        open_ = next_
+    return found
+
+
+def quantiles(values: DataFrame, shares: Sequence[float], count: int, low: Any, high: Any, minus: int = 0, plus: int = 0) -> list[float | None]:
+    """Exact quantiles, interpolated between neighbours. ``minus`` and ``plus`` rows are infinite; ``low`` and ``high``
+    bound the others."""
+    if not count:
+        return [None] * len(shares)
+    places = [(count - 1) * s for s in shares]
+    ends = [(math.floor(x), math.ceil(x)) for x in places]
+    at = {r for pair in ends for r in pair}
+    inner = [r - minus for r in at if minus <= r < count - plus]
+    known = order_statistics(values, inner, low, high)
+    value = {r: -math.inf if r < minus else math.inf if r >= count - plus else float(known[r - minus]) for r in at}
+    return [value[a] if a == b or value[a] == value[b] else value[a] + (value[b] - value[a]) * (x - a) for x, (a, b) in zip(places, ends)]
+
+
+def describe(df: DataFrame, column: str) -> DataFrame:
+    """Count, mean, deviation, minimum, exact quartiles and maximum of a number column. Null and NaN do not count;
+    decimals of more than 27 digits are taken as doubles. The column alone is stored and then read a few times."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.FloatType) or (isinstance(kind, T.DecimalType) and kind.precision > 27):
+        kind = T.DoubleType()
+    values = df.select(F.col(f"`{column}`").cast(kind).alias("v")).where("v is not null")
+    if isinstance(kind, T.DoubleType):
+        values = values.where(~F.isnan("v"))
+    values = stage(values, "profile-values")
+    v, x = F.col("v"), F.col("v").cast("double")
+    finite = F.abs(x) < math.inf
+    total = F.sum(x) if isinstance(kind, T.DoubleType) else F.sum(v.cast("decimal(38,%d)" % (kind.scale if isinstance(kind, T.DecimalType) else 0))).cast("double")
+    n, s, least, most, low, high, minus, plus = values.agg(
+        F.count(F.lit(1)), total, F.min(v), F.max(v), F.min(F.when(finite, v)), F.max(F.when(finite, v)),
+        F.count_if(x == -math.inf), F.count_if(x == math.inf)).first()
+    mean = s / n if n else None
+    spread_ = values.agg(F.sum((x - F.lit(mean)) * (x - F.lit(mean)))).first()[0] if n else None
+    std = math.sqrt(spread_ / (n - 1)) if n > 1 else None
+    row = (n, mean, std, least, *quantiles(values, (0.25, 0.5, 0.75), n, low, high, minus, plus), most)
+    number = T.DoubleType()
+    fields = [("count", T.LongType()), ("mean", number), ("std", number), ("min", kind), ("p25", number), ("p50", number), ("p75", number), ("max", kind)]
+    return df.sparkSession.createDataFrame([row], T.StructType([T.StructField(*f) for f in fields]))
 
 
 def date_range(df: DataFrame, column: str) -> DataFrame:

@@ -10,11 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from casemill.functions.arrays import key_of, sorted_match
 from casemill.params import DEFAULTS
+from casemill.session import stage
 
 LEVELS = (2, 5)  # leading hex digits looked at in each step
 _ONE = "_all"
-LITERALS = 1000
+SMALL_TABLE = 100_000  # keys that travel as an array, some MB at most
 
 
 def digest(id_column: Column, seed: int) -> Column:
@@ -48,21 +50,28 @@ def _cuts(rows: DataFrame, quota: Column, stratum: str) -> DataFrame:
     return cut
 
 
+def _matched(rows: DataFrame, known: DataFrame, key: str, name: str) -> DataFrame:
+    """``rows`` with the row of ``known(k, ...)`` whose key equals the column ``key``, as a struct ``_hit``.
+
+    Up to ``SMALL_TABLE`` keys travel as a sorted array, in which every row looks up its own: no text is shuffled, and keys
+    are compared in their own type. A longer table is joined.
+    """
+    known = stage(known, name)
+    n = known.count()
+    typed = key_of(F.col(f"`{key}`"))
+    if n > SMALL_TABLE:
+        small = known.select(F.col("k").alias("_k"), F.struct(*known.columns).alias("_hit"))
+        return rows.join(small, typed.eqNullSafe(F.col("_k")), "left").drop("_k")
+    table = known.agg(F.array_sort(F.collect_list(F.struct("k", *[c for c in known.columns if c != "k"])))).scalar()
+    # a column first: a subquery may not stand inside a function over arrays
+    return rows.withColumn("_table", table).withColumn("_hit", sorted_match(F.col("_table"), n, typed)).drop("_table")
+
+
 def _with_cut(rows: DataFrame, cut: DataFrame, stratum: str) -> DataFrame:
-    """Rows with the cut of their stratum. The cuts are one short row per stratum; as literals they turn into a filter
-    of the scan, so no text is shuffled. A label with too many values is joined."""
-    known = cut.limit(LITERALS + 1).collect()
-    if len(known) > LITERALS:
-        return rows.join(cut, rows[stratum].eqNullSafe(cut["_stratum"]), "left")
-    label = F.coalesce(F.concat(F.lit("="), F.col(stratum).cast("string")), F.lit(""))
-    text = lambda r: "" if r["_stratum"] is None else f"={r['_stratum']}"
-    if any(isinstance(r["_stratum"], float) for r in known):
-        return rows.join(F.broadcast(cut), rows[stratum].eqNullSafe(cut["_stratum"]), "left")
-    if not known:
-        return rows.withColumns({"_cut": F.lit(None).cast("string"), "_need": F.lit(None).cast("long")})
-    cuts = F.create_map(*[F.lit(x) for r in known for x in (text(r), r["_cut"])])
-    needs = F.create_map(*[F.lit(x) for r in known for x in (text(r), int(r["_need"]))])
-    return rows.withColumns({"_cut": cuts[label], "_need": needs[label]})
+    """Rows with the cut of their stratum."""
+    known = cut.select(key_of(F.col("_stratum")).alias("k"), "_cut", "_need")
+    out = _matched(rows, known, stratum, "sample-cuts")
+    return out.withColumns({"_cut": F.col("_hit._cut"), "_need": F.col("_hit._need")}).drop("_hit")
 
 
 def _split(df: DataFrame, id_column: str, quota: Column, seed: int, stratum: str) -> tuple[DataFrame, DataFrame]:
@@ -99,8 +108,6 @@ def stratified_split(
 def keep_frequent(df: DataFrame, label: str, min_rows: int) -> DataFrame:
     """Rows whose label has at least ``min_rows`` rows."""
     counts = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    frequent = counts.filter(F.col("_n") >= min_rows).select(label)
-    known = frequent.limit(LITERALS + 1).collect()
-    if len(known) > LITERALS:
-        return df.join(frequent, label, "left_semi")
-    return df.filter(F.col(label).isin([r[0] for r in known]) if known else F.lit(False))
+    frequent = counts.filter(F.col("_n") >= min_rows).select(key_of(F.col(label)).alias("k"))
+    found = _matched(df, frequent, label, "frequent-labels")
+    return found.filter(F.col("_hit").isNotNull()).select(*[F.col(f"`{c}`") for c in df.columns])

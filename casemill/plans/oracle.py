@@ -466,6 +466,7 @@ SELECT doc_id, CAST(text IS NOT NULL AS INTEGER) AS "Has_Narrative", CAST(length
   round(quantile_cont(v, 0.75), 6) AS p75, max(v) AS max FROM x"""
        for name, head in (
            ("describe_delay", CASES + ', x AS (SELECT "Resolution_Delay" AS v FROM cases)'),
+           ("describe_price", "WITH x AS (SELECT l_extendedprice AS v FROM lineitem)"),
            ("describe_text_length", "WITH x AS (SELECT CAST(length(text) AS INTEGER) AS v FROM documents)"))},
     "date_range": f"""{PREPROCESS} SELECT strftime(min(received), '%Y-%m-%d %H:%M:%S') AS "First",
   strftime(max(received), '%Y-%m-%d %H:%M:%S') AS "Last", CAST(count(*) - count(received) AS BIGINT) AS "Unparsed" FROM pre""",

@@ -300,6 +300,7 @@ query("distinct_and_nulls")(lambda spark, folder: profile.distinct_and_nulls(
 query("counts_with_nulls")(lambda spark, folder: counts.value_counts(
     _documents_with_labels(spark, folder), "quality", nulls=True))
 over_cases("describe_delay", ["Resolution_Delay"], lambda df: profile.describe(df, "Resolution_Delay"))
+query("describe_price")(lambda spark, folder: profile.describe(table(spark, folder, "lineitem"), "l_extendedprice"))
 query("describe_text_length")(lambda spark, folder: profile.describe(
     document_narratives(spark, folder).select(text.char_count(F.col(NARRATIVE)).alias("n")), "n"))
 

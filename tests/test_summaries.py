@@ -1,5 +1,7 @@
+import decimal
 import os
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,3 +144,27 @@ def test_run_all_writes_every_table(spark, data, tmp_path):
     assert set(os.listdir(staged)) - before == set()
     assert len(tables) == 39  # the 40th, word counts, needs the narrative column
     assert {p.name.removesuffix(".parquet") for p in tmp_path.iterdir()} == set(tables)
+
+
+def test_quantiles_are_exact(spark, monkeypatch):
+    monkeypatch.setattr(profile, "BUCKETS", 32)
+    rng = np.random.default_rng(3)
+    lists = {
+        "double": [rng.normal(size=501).tolist(), (10.0 ** rng.uniform(-300, 300, 200) * rng.choice([-1, 1], 200)).tolist(), [1.5], [2.0] * 90 + [3.0],
+                   [0.0, 5e-324, 5e-324, 1e-323], [-1.7e308, 1.7e308, 0.0, 3.0], [float("nan"), None, 1.0, 4.0]],
+        "bigint": [rng.integers(-50, 50, 301).tolist(), [-(1 << 63), (1 << 63) - 1, 0, 1, (1 << 53) + 1]],
+        "decimal(20,3)": [[decimal.Decimal(int(x)) / 1000 for x in rng.integers(-10**9, 10**9, 99)]],
+    }
+    for kind, cases in lists.items():
+        for values in cases:
+            df = spark.createDataFrame([(v,) for v in values], f"x {kind}").repartition(3)
+            row = profile.describe(df, "x").first()
+            real = sorted(v for v in values if v is not None and v == v)
+            want = np.percentile(np.array(real, float), [25, 50, 75])
+            assert row["count"] == len(real) and (row["min"], row["max"]) == (real[0], real[-1])
+            assert [row["p25"], row["p50"], row["p75"]] == pytest.approx(want.tolist(), rel=1e-12)
+    df = spark.createDataFrame([(float("inf"),), (float("-inf"),), (1.0,), (2.0,), (float("inf"),)], "x double")
+    row = profile.describe(df, "x").first()
+    assert (row["p25"], row["p50"], row["p75"]) == (1.0, 2.0, float("inf"))
+    row = profile.describe(df.filter("false"), "x").first()
+    assert row["count"] == 0 and row["p50"] is None and row["std"] is None

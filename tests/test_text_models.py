@@ -204,3 +204,25 @@ def test_word_counts(spark):
     assert [tuple(r) for r in words.top_words(df, "t").collect()] == [("loan", 2), ("bank", 1)]
     assert [tuple(r) for r in words.top_ngrams(df, "t", 2).collect()] == [("loan bank", 1), ("loan loan", 1)]
     assert words.top_words(df.filter("false"), "t").count() == 0
+
+
+@pytest.mark.parametrize("limit", [sampling.SMALL_TABLE, 0])
+def test_strata_of_any_type(spark, monkeypatch, limit):
+    monkeypatch.setattr(sampling, "SMALL_TABLE", limit)
+    n = F.col("id")
+    strata = {
+        "boolean": n % 2 == 0, "timestamp": F.timestamp_micros(n % 3 * 1_000_001 + 7), "decimal": (n % 4 / 8).cast("decimal(12,3)"),
+        "binary": F.unhex(F.lpad(F.hex(n % 3), 2, "0")), "double": F.when(n % 4 == 0, F.lit(float("nan"))).when(n % 4 == 1, -0.0).when(n % 4 == 2, 0.0).otherwise(1e300),
+        "null or text": F.when(n % 3 > 0, F.concat(F.lit("="), (n % 3).cast("string"))), "pair": F.struct((n % 2).alias("a"), F.lit(None).cast("string").alias("b")),
+        "many": F.concat(F.lit("s"), (n % 10_000).cast("string")) if limit else F.lit("one"),
+    }
+    for name, value in strata.items():
+        rows = 100_000 if name == "many" and limit else 1000
+        df = spark.range(rows).select("id", value.alias("a stratum"))
+        train, test = (x.groupBy("a stratum").count() for x in sampling.stratified_split(df, "a stratum", "id"))
+        total = {str(r[0]): r[1] for r in df.groupBy("a stratum").count().collect()}
+        assert {str(r[0]): r[1] for r in test.collect()} == {k: round(v * 0.2) for k, v in total.items()}, name
+        assert {str(r[0]): r[1] for r in train.collect()} == {k: v - round(v * 0.2) for k, v in total.items()}, name
+        if name in ("boolean", "binary", "double"):
+            kept = sampling.keep_frequent(df, "a stratum", 300)
+            assert kept.columns == df.columns and kept.count() == sum(v for v in total.values() if v >= 300)
