@@ -5,8 +5,8 @@ nothing without words). Two documents are linked if ``100 * |A n B| >= 85 * |A u
 with the smallest ``doc_id`` it can reach.
 
 Rows
-    Null text and text without words: empty set, linked with nothing, its own component. Rows with a null ``doc_id``
-    are left out: they can not be named in the result. Repeated rows give a result row each. Rows of one ``doc_id`` with
+    Null text and text without words: empty set, linked with nothing, its own component. Rows without ``doc_id`` are linked
+    with nothing: their component is null, and they are kept. Repeated rows give a result row each. Rows of one ``doc_id`` with
     different texts: each text reaches what its own set reaches. Empty table: no rows. Other columns are ignored.
 
 Method
@@ -15,14 +15,16 @@ Method
     * The signature is split into chunks so few that two signatures with at most ``errors`` different symbols have a
       chunk with one different symbol at most (pigeonhole). The allowed error is enumerated: a key for each chunk and
       each symbol left out. Documents that share a key are candidates; signatures and set sizes are compared next.
-    * Documents with equal sets are one representative from the start. In a bucket every member is first compared
-      with the members that lie in the largest buckets (the originals of a group of copies); confirmed links are
-      joined into components. Only pairs of different components are compared after that, in tiles of bounded size,
-      by a longer signature with the same margin, and handed on as lists. Pairs that would join what is already
-      joined are never made.
-    * Sets of representatives that share a bucket are computed once more from the texts and stored; a link is
-      confirmed by sending the set of one side, once, to each block of sets that holds some of the others. The joins
-      on the way to the texts are never broadcast, so the plan is the same at every size.
+    * Documents with equal sets (two digests of 64 bits) are one representative from the start. In a bucket every member
+      is first compared with the members that lie in the largest buckets (the originals of a group of copies); confirmed
+      links are joined into components.
+    * Where a bucket then still holds several components, its members are compared in tiles of bounded size, by a longer
+      signature with the same margin. A tile hands on no pairs, only which components may belong together, as a forest.
+    * Components that may belong together are a family. The full sets of a family meet once, in tiles of bounded size;
+      a tile counts common shingles through its own index, joins confirmed links at once and hands on a forest of them. So no
+      step sends more links than it has members, and every pair that a bucket holds is confirmed or refuted on full sets.
+    * Sets of representatives that share a bucket are computed once more from the texts and stored. The joins on the way to
+      the texts are never broadcast, so the plan is the same at every size.
 """
 
 from __future__ import annotations
@@ -32,10 +34,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from casemill.llm.components import components
-from casemill.llm.blocks import partitions
+from casemill.llm.blocks import flat, partitions
 from casemill.llm.textbatch import LOWER, U, chunks, column_bytes, contains, mix, words_of
 from casemill.session import stage
 
@@ -48,6 +50,7 @@ class NearDup:
     long_symbols: int = 384
     centres: int = 3
     tile: int = 2048
+    tile_shingles: int = 1_000_000
 
     def allowed(self, symbols: int) -> int:
         p = 1 - self.percent / 100
@@ -125,8 +128,7 @@ def signatures(docs: DataFrame, p: NearDup) -> DataFrame:
                     pa.array(b.view(np.int64)), pa.array(sig, pa.binary()),
                 ], names=["doc_id", "n_shingles", "set_a", "set_b", "signature"])
 
-    rows = docs.where("doc_id is not null").select("doc_id", "text")
-    return rows.mapInArrow(task, SIGNED)
+    return docs.select("doc_id", "text").mapInArrow(task, SIGNED)
 
 
 def _chunk_keys(sig: np.ndarray, p: NearDup) -> np.ndarray:
@@ -162,11 +164,11 @@ def _different(p: NearDup, a: str, b: str) -> F.Column:
     return F.size(F.filter(F.sequence(F.lit(0), F.lit(p.symbols - 1)), lambda i: F.substr(x, i * 2 + 1, F.lit(2)) != F.substr(y, i * 2 + 1, F.lit(2))))
 
 
-SETS = "rep bigint, values array<bigint>, long binary"
+SETS = "set_a bigint, set_b bigint, values array<bigint>, long binary"
 
 
-def stored_sets(docs: DataFrame, ids: DataFrame, p: NearDup) -> DataFrame:
-    """Sets and long signatures of the documents named by ``ids(doc_id)``, with a block number."""
+def stored_sets(docs: DataFrame, reps: DataFrame, p: NearDup) -> DataFrame:
+    """Sets and long signatures of the representatives ``reps(rep, id, set_a, set_b)``, with a block number."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, texts in chunks(batch.column("doc_id").to_pylist(), column_bytes(batch, "text")):
@@ -174,16 +176,18 @@ def stored_sets(docs: DataFrame, ids: DataFrame, p: NearDup) -> DataFrame:
                 edges = np.append(begin[:-1][np.diff(begin) > 0], begin[-1])
                 if len(edges) < 2:
                     continue
-                rep = _digests(values, edges)[0].view(np.int64)
                 long = [x.tobytes() for x in _signatures(values, edges, p.long_symbols, skip=p.symbols)]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(rep), pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(values.view(np.int64))),
-                    pa.array(long, pa.binary()),
-                ], names=["rep", "values", "long"])
+                    *[pa.array(x.view(np.int64)) for x in _digests(values, edges)],
+                    pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(values.view(np.int64))), pa.array(long, pa.binary()),
+                ], names=["set_a", "set_b", "values", "long"])
 
+    ids = reps.select(F.col("id").alias("doc_id")).distinct()
     rows = docs.where("doc_id is not null").select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi")
-    found = rows.mapInArrow(task, SETS).withColumn("block", _block(F.col("rep"), docs))
-    return stage(found, "near-sets")
+    found = rows.mapInArrow(task, SETS)
+    # texts that share an id, and repeated rows, give sets that are not asked for, or twice
+    named = found.join(reps.select("rep", "set_a", "set_b").hint("merge"), ["set_a", "set_b"]).dropDuplicates(["rep"])
+    return stage(named.select("rep", "values", "long").withColumn("block", _block(F.col("rep"), docs)), "near-sets")
 
 
 def _block(rep: F.Column, docs: DataFrame) -> F.Column:
@@ -216,32 +220,48 @@ def confirm(sets: DataFrame, wanted: DataFrame, p: NearDup) -> DataFrame:
     return here.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(check, "a bigint, b bigint")
 
 
-def across_components(members: DataFrame, p: NearDup) -> DataFrame:
-    """``a, others``: candidate pairs within a bucket that lie in different components, each once.
+class Joined:
+    """Labels that are merged by and by; ``pairs`` keeps one link for each merge."""
 
-    A bucket of more than ``tile`` members is compared in pairs of tiles, each a group of its own.
-    """
-    tiles = F.ceil(F.col("size") / p.tile).cast("int")
-    own = F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int")
-    rows = members.withColumn("tiles", tiles).withColumn("own", own)
+    def __init__(self, labels: np.ndarray) -> None:
+        self.names, self.label = np.unique(labels, return_inverse=True)
+        self.pairs: list[tuple[int, int]] = []
+
+    def merge(self, i: int, j: int, a: int, b: int) -> None:
+        x, y = self.label[i], self.label[j]
+        if x != y:
+            self.label[self.label == y] = x
+            self.pairs.append((a, b))
+
+    def table(self) -> pa.Table:
+        return pa.table([pa.array([x[k] for x in self.pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
+def _tiled(rows: DataFrame, tiles: F.Column) -> DataFrame:
+    """Every row once for each pair of tiles that its own tile belongs to."""
+    rows = rows.withColumn("tiles", tiles).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    rows = rows.select("key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "rep",
-                       "left_out", "component", "n_shingles", "signature", "long")
+    return rows.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other")).drop("other", "tiles")
+
+
+def families(members: DataFrame, p: NearDup) -> DataFrame:
+    """``a, b``: components that similar signatures in one bucket connect, as a forest of each tile."""
+    rows = _tiled(members, F.ceil(F.col("size") / p.tile).cast("int")).select(
+        "key", "low", "high", "own", "rep", "left_out", "component", "n_shingles", "signature", "long")
     edges = np.array([a for a, _ in p.chunks])
     allowed = p.allowed(p.long_symbols)
 
     def compare(group: pa.Table) -> pa.Table:
-        reps = group.column("rep").to_numpy()
         low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
-        own, comp, size = (group.column(c).to_numpy() for c in ("own", "component", "n_shingles"))
+        reps, own, comp, size = (group.column(c).to_numpy() for c in ("rep", "own", "component", "n_shingles"))
         sig, long = (np.frombuffer(b"".join(group.column(c).to_pylist()), np.uint8).reshape(len(reps), -1) for c in ("signature", "long"))
         at = group.column("left_out")[0].as_py()
         chunk = int(np.searchsorted(edges, at, side="right") - 1)
         a0, b0 = p.chunks[chunk]
-        found, many = [], []
+        joined = Joined(comp)
         right = np.flatnonzero(own == high)
         for i in np.flatnonzero(own == low):
-            j = right[(comp[right] != comp[i]) & (size[right] * 100 >= size[i] * p.percent) & (size[i] * 100 >= size[right] * p.percent)]
+            j = right[(joined.label[right] != joined.label[i]) & (size[right] * 100 >= size[i] * p.percent) & (size[i] * 100 >= size[right] * p.percent)]
             if low == high:
                 j = j[reps[j] > reps[i]]
             if not len(j):
@@ -257,34 +277,61 @@ def across_components(members: DataFrame, p: NearDup) -> DataFrame:
                 j = j[(earlier > 1).all(axis=1)]
             if len(j):
                 j = j[(long[j] != long[i]).sum(axis=1) <= allowed]
-            if len(j):
-                found.append(reps[i])
-                many.append(reps[j])
-        begin = np.cumsum([0] + [len(x) for x in many]).astype(np.int32)
-        flat = np.concatenate(many) if many else np.zeros(0, np.int64)
-        return pa.table([pa.array(np.array(found, np.int64)), pa.ListArray.from_arrays(pa.array(begin), pa.array(flat))], names=["a", "others"])
+            for k in j:
+                joined.merge(i, k, int(comp[i]), int(comp[k]))
+        return joined.table()
+
+    return rows.groupBy("key", "low", "high").applyInArrow(compare, "a bigint, b bigint")
+
+
+def links_in_families(members: DataFrame, p: NearDup) -> DataFrame:
+    """``a, b``: confirmed links between members ``(family, rep, component, values)`` of different components, as a
+    forest of each tile."""
+    sizes = members.groupBy("family").agg(F.sum(F.size("values")).alias("shingles"))
+    rows = members.join(sizes, "family").select("family", "rep", "component", "values", "shingles")
+    rows = _tiled(rows, F.ceil(F.col("shingles") / p.tile_shingles).cast("int"))
+
+    def confirm_all(group: pa.Table) -> pa.Table:
+        low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
+        reps, own, comp = (group.column(c).to_numpy() for c in ("rep", "own", "component"))
+        values, n = flat(group.column("values"))
+        begin = np.concatenate([[0], np.cumsum(n)])
+        _, name, times = np.unique(values, return_inverse=True, return_counts=True)
+        holders = np.repeat(np.arange(len(n)), n)[np.argsort(name, kind="stable")]
+        first = np.cumsum(times) - times
+        joined = Joined(comp)
+        # every pair has an end outside the largest component
+        for i in np.flatnonzero(joined.label != np.bincount(joined.label).argmax()):
+            mates = joined.label != joined.label[i]
+            mates &= (own == low if own[i] == high else own == high)
+            if not mates.any():
+                continue
+            shingles = name[begin[i] : begin[i + 1]]
+            size = times[shingles]
+            at = np.repeat(first[shingles] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+            common = np.bincount(holders[at], minlength=len(n))
+            for j in np.flatnonzero(mates & (100 * common >= p.percent * (n + n[i] - common))):
+                joined.merge(i, j, int(reps[i]), int(reps[j]))
+        return joined.table()
 
-    return rows.groupBy("key", "low", "high").applyInArrow(compare, "a bigint, others array<bigint>")
+    return rows.groupBy("family", "low", "high").applyInArrow(confirm_all, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every document."""
     signed = stage(signatures(docs, p), "near-signatures")
-    filled = signed.where("n_shingles > 0")
+    filled = signed.where("n_shingles > 0 and doc_id is not null")
     reps = stage(filled.groupBy("set_a", "set_b").agg(
         F.min("doc_id").alias("id"), F.min("n_shingles").alias("n_shingles"), F.min("signature").alias("signature"),
-    ).withColumn("rep", F.col("set_a")), "near-representatives")
+    ).withColumn("rep", F.monotonically_increasing_id()), "near-representatives")
     keys = bucket_keys(reps, p)
     sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = stage(keys.join(sizes, "key"), "near-buckets")
     weight = members.groupBy("rep").agg(F.sum("size").alias("weight"))
-    # the members of each bucket that lie in the largest buckets, best first; combined before the shuffle
-    best, ranked = None, members.join(weight, "rep").select("key", F.struct("weight", "rep").alias("w"))
-    for _ in range(p.centres):
-        top = ranked.groupBy("key").agg(F.max("w").alias("w"))
-        best = top if best is None else best.union(top)
-        ranked = ranked.join(top.withColumnRenamed("w", "top"), "key").where("w < top").drop("top")
-    stars = (members.join(best.select("key", F.col("w.rep").alias("a")), "key").where("rep <> a")
+    # the members of each bucket that lie in the largest buckets; a task hands on no more than these of a bucket
+    order = Window.partitionBy("key").orderBy(F.desc("weight"), F.desc("rep"))
+    best = members.join(weight, "rep").select("key", "weight", "rep").withColumn("place", F.row_number().over(order)).where(F.col("place") <= p.centres)
+    stars = (members.join(best.select("key", F.col("rep").alias("a")), "key").where("rep <> a")
              .select("a", F.col("rep").alias("b")).distinct())
     facts = reps.select("rep", "n_shingles", "signature")
     left, right = (facts.select(F.col("rep").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("signature").alias(f"s_{c}"))
@@ -292,20 +339,22 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     close = (stars.join(left, "a").join(right, "b")
              .where(f"n_a * 100 >= n_b * {p.percent} and n_b * 100 >= n_a * {p.percent}")
              .where(_different(p, "s_a", "s_b") <= p.errors))
-    inside = members.select("rep").distinct()
-    sets = stored_sets(docs, reps.join(inside, "rep").select(F.col("id").alias("doc_id")).distinct(), p)
+    sets = stored_sets(docs, reps.join(members.select("rep").distinct(), "rep", "left_semi"), p)
     first = stage(confirm(sets, close.groupBy("a").agg(F.collect_set("b").alias("others")), p), "near-links")
     found = components(first, "near-first")
     labelled = members.join(found.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    open_ = labelled.join(mixed.select("key"), "key", "left_semi").join(facts, "rep").join(sets.select("rep", "long").distinct(), "rep")
-    rest = stage(confirm(sets, across_components(open_, p), p), "near-links")
-    ids = reps.select("rep", "id")
-    links = first.union(rest).join(ids.select(F.col("rep").alias("a"), F.col("id").alias("x")), "a").join(
-        ids.select(F.col("rep").alias("b"), F.col("id").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    joined = components(links, "near-all")
-    classes = reps.select("set_a", "set_b", "id").join(joined, "id", "left").select(
-        "set_a", "set_b", F.coalesce("component", "id").alias("component"))
-    out = signed.join(classes, ["set_a", "set_b"], "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
-                      .alias("component_id")).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    open_ = stage(labelled.join(mixed.select("key"), "key", "left_semi"), "near-open")
+    related = families(open_.join(facts, "rep").join(sets.select("rep", "long"), "rep"), p)
+    family = components(related, "near-families").select(F.col("id").alias("component"), F.col("component").alias("family"))
+    asked = open_.select("rep", "component").distinct().join(family, "component").join(sets.select("rep", "values"), "rep")
+    rest = stage(links_in_families(asked, p), "near-links")
+    joined = components(first.union(rest), "near-all").withColumnRenamed("id", "rep")
+    # components of representatives are named by their smallest document
+    whole = reps.select("rep", "set_a", "set_b", "id").join(joined, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    names = whole.groupBy("component").agg(F.min("id").alias("component_id"))
+    classes = whole.join(names, "component").select("set_a", "set_b", "component_id")
+    named = F.col("n_shingles") > 0
+    shared = signed.where(named & F.col("doc_id").isNotNull()).join(classes, ["set_a", "set_b"]).select("doc_id", "n_shingles", "component_id")
+    alone = signed.where(~named | F.col("doc_id").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return shared.union(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True

@@ -259,7 +259,29 @@ def near(rows, percent=85):
 
 def test_near_duplicates(docs, odd_rows):
     got = table(near_dup.near_duplicates(docs), "doc_id", "n_shingles", "component_id", "kept")
-    assert got == near([r for r in odd_rows if r[0] is not None])
+    known, unknown = ([r for r in odd_rows if (r[0] is None) == x] for x in (False, True))
+    sizes = [(k, *r[1:]) for k, r in enumerate(unknown)]
+    assert got == near(known) + Counter((None, n, None, True) for (_, n, _, _), c in near(sizes).items() for _ in range(c))
+
+
+def test_large_family_mostly_below_the_limit(frame):
+    """Copies of one text with as many changes that most pairs are no link; a third of the rows has no id."""
+    import random
+
+    rnd = random.Random(8)
+    base = [f"w{i}" for i in range(250)]
+    rows = []
+    for i in range(400):
+        own = list(base)
+        for _ in range(rnd.randint(2, 7)):
+            own[rnd.randrange(250)] = f"x{rnd.random()}"
+        rows.append((i, " ".join(own), None))
+    nameless = [(None, t, s) for _, t, s in rows[:200]]
+    p = near_dup.NearDup(tile=64, tile_shingles=20_000)
+    got = table(near_dup.near_duplicates(frame(rows + nameless), p), "doc_id", "component_id", "kept")
+    want = Counter((i, c, k) for i, _, c, k in near(rows).elements())
+    assert got == want + Counter({(None, None, True): 200})
+    assert 5 < sum(k for _, _, k in want) < 390
 
 
 def test_chain_and_tiles_of_near_copies(frame):
