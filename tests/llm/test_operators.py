@@ -173,6 +173,21 @@ def test_mixing(docs, labels, frame):
     assert np.allclose(none["p_good"], 1 / 3)
 
 
+@pytest.mark.parametrize("size", ["sf0.01", "sf0.1"])
+def test_default_rates_meet_the_targets(spark, size):
+    read = lambda name: spark.read.parquet(f"/root/testdata/{size}/{name}.parquet")
+    rows = mixing.reached(mixing.mixing_rates(read("documents"), read("labels"))).collect()
+    assert [r["domain"] for r in rows] == list(mixing.DOMAINS)
+    assert all(abs(r["expected"] / r["target"] - 1) < 0.1 for r in rows)
+
+
+def test_targets_that_no_rates_meet_are_reported(spark, frame):
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(50)], "doc_id bigint, quality int, toxic int")
+    rates = mixing.mixing_rates(frame([(i, "plain prose " * 9, None) for i in range(60)]), labels)
+    found = {r["domain"]: r for r in mixing.reached(rates).collect()}
+    assert found["weak"]["expected"] < 0.5 * found["weak"]["target"] and found["good"]["expected"] > 0
+
+
 def test_rates_meet_the_targets(spark, frame):
     good, bad = "fine clear prose about rivers and hills ", "zzz### qqq!!! zzz### "
     rows = [(i, (good if i % 3 else bad) * (5 + i % 7), None) for i in range(600)]
