@@ -224,7 +224,7 @@ class Joined:
     """Labels that are merged by and by; ``pairs`` keeps one link for each merge."""
 
     def __init__(self, labels: np.ndarray) -> None:
-        self.names, self.label = np.unique(labels, return_inverse=True)
+        self.label = labels.copy()
         self.pairs: list[tuple[int, int]] = []
 
     def merge(self, i: int, j: int, a: int, b: int) -> None:
@@ -301,7 +301,8 @@ def links_in_families(members: DataFrame, p: NearDup) -> DataFrame:
         first = np.cumsum(times) - times
         joined = Joined(comp)
         # every pair has an end outside the largest component
-        for i in np.flatnonzero(joined.label != np.bincount(joined.label).argmax()):
+        known, many = np.unique(comp, return_counts=True)
+        for i in np.flatnonzero(comp != known[many.argmax()]):
             mates = joined.label != joined.label[i]
             mates &= (own == low if own[i] == high else own == high)
             if not mates.any():
