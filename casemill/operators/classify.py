@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -102,7 +103,10 @@ def _fit(train: DataFrame, tfidf: PipelineModel, p: Params, candidate: Candidate
         data = data.join(balance(train).select("label", "weight"), "label")
         estimator = estimator.setWeightCol("weight")
     names = IndexToString(inputCol="prediction", outputCol="y_pred", labels=indexer.labels)
-    return PipelineModel([*tfidf.stages, estimator.fit(data), names]), list(indexer.labels)
+    model = estimator.fit(data)
+    if model.summary.totalIterations >= p.max_iter:
+        warnings.warn(f"the fit was stopped after {p.max_iter} steps, before its tolerance was met", stacklevel=3)
+    return PipelineModel([*tfidf.stages, model, names]), list(indexer.labels)
 
 
 def train_classifier(

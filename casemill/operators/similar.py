@@ -20,7 +20,7 @@ DIGITS = 9
 
 def term_counts(df: DataFrame, text: str, id_column: str, p: Params) -> DataFrame:
     """``id, term, n`` for every term of every text."""
-    terms = with_terms(with_clean_text(df, text), ngram_max=p.ngram_max).select(F.col(id_column).cast("long").alias("id"), F.explode("terms").alias("term"))
+    terms = with_terms(with_clean_text(df, text), ngram_max=p.ngram_max).select(F.col(id_column).alias("id"), F.explode("terms").alias("term"))
     return terms.groupBy("id", "term").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -42,8 +42,8 @@ def lengths(vectors: DataFrame) -> DataFrame:
 def similar_texts(
     queries: DataFrame, corpus: DataFrame, text: str, n: int = DEFAULTS.similar_rows, p: Params = DEFAULTS,
 ) -> DataFrame:
-    """For every row ``(query_id, text)`` the ``n`` rows of ``(doc_id, text)`` with the largest cosine; ties by id. Ids are
-    whole numbers. Texts without a common term have similarity 0, and fill up in the order of their ids."""
+    """For every row ``(query_id, text)`` the ``n`` rows of ``(doc_id, text)`` with the largest cosine; ties by id. Ids may
+    have any type. Texts without a common term have similarity 0, and fill up in the order of their ids."""
     counts = stage(term_counts(corpus, text, "doc_id", p), "similar-terms")
     documents = corpus.agg(F.count(F.lit(1))).scalar()
     weights = stage(term_weights(counts, documents, p), "similar-weights")
@@ -58,9 +58,9 @@ def similar_texts(
     by_score = W.partitionBy("query_id").orderBy(F.desc("similarity"), F.asc("doc_id"))
     best = scored.withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= n).drop("rank")
     # the n smallest ids, as candidates with similarity 0
-    first = corpus.select(F.col("doc_id").cast("long").alias("doc_id")).orderBy("doc_id").limit(n)
+    first = corpus.select("doc_id").orderBy("doc_id").limit(n)
     ids = first.agg(F.array_sort(F.collect_list("doc_id"))).scalar()
-    filler = queries.select(F.col("query_id").cast("long").alias("query_id"), F.explode(ids).alias("doc_id"), F.lit(0.0).alias("similarity"))
+    filler = queries.select("query_id", F.explode(ids).alias("doc_id"), F.lit(0.0).alias("similarity"))
     both = best.unionByName(filler).groupBy("query_id", "doc_id").agg(F.max("similarity").alias("similarity"))
     ranked = both.withColumn("rank", F.row_number().over(by_score))
     return ranked.filter(F.col("rank") <= n)

@@ -532,6 +532,13 @@ SELECT doc_id, lang AS "Product", CASE WHEN rn <= q THEN 'test' ELSE 'train' END
     "rare_class_filter": """SELECT doc_id, lang AS "Product" FROM documents
   WHERE lang IN (SELECT lang FROM documents GROUP BY 1 HAVING count(*) >= 100)""",
     "similar_topn": SIMILAR,
+    "tfidf_weights": f"""WITH d0 AS (SELECT doc_id, {TOKENS} AS tok FROM documents),
+d1 AS (SELECT doc_id, unnest(tok || list_transform(range(1, len(tok)), lambda i: tok[i] || ' ' || tok[i + 1])) AS term FROM d0),
+c AS (SELECT doc_id, term, count(*) AS n FROM d1 GROUP BY 1, 2),
+v AS (SELECT term, ln((1 + (SELECT count(*) FROM documents)) / (1 + count(*))) + 1 AS idf FROM c GROUP BY 1 HAVING count(*) >= 3
+  QUALIFY row_number() OVER (ORDER BY sum(n) DESC, term) <= 2000),
+w AS (SELECT doc_id, term, n * idf AS w FROM c JOIN v USING (term))
+SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w""",
     "narrative_issue_length": mean_words("Issue") + " ORDER BY 2 DESC, 1 LIMIT 15",
     "column_fallback": """SELECT p_type AS "Product", round(avg(length(text)), 6) AS "Avg_Word_Count"
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN documents ON l_orderkey = doc_id GROUP BY 1""",
@@ -539,7 +546,8 @@ SELECT doc_id, lang AS "Product", CASE WHEN rn <= q THEN 'test' ELSE 'train' END
   WHERE quality IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL AND source IS NOT NULL""",
     "report_rows": f"""{PAIRS} SELECT label, round(pr, 2) AS precision, round(rc, 2) AS recall, round(f1, 2) AS f1_score,
   CAST(support AS BIGINT) AS support FROM pc""",
-    "report_headlines": f"""{PAIRS} SELECT 'new' AS format, round(avg(f1), 4) AS macro_f1, round(avg(pr), 4) AS macro_precision,
+    "report_headlines": f"""{PAIRS} SELECT 'new' AS format, round((SELECT sum(n) FILTER (WHERE y_true = y_pred) / sum(n) FROM pairs), 4) AS accuracy,
+  round(sum(f1 * support) / sum(support), 4) AS weighted_f1, round(avg(f1), 4) AS macro_f1, round(avg(pr), 4) AS macro_precision,
   round(avg(rc), 4) AS macro_recall FROM pc""",
     "training_class_counts": f"""{NAMED} SELECT CAST(count(DISTINCT "Issue") AS BIGINT) AS raw_classes,
   CAST(count(DISTINCT {canonical('"Issue"', 'Issue')}) AS BIGINT) AS canonical_classes FROM named""",

@@ -63,11 +63,13 @@ COLUMNS = {
 COSTLY = {"Narrative_Word_Count"}
 
 
-def cases(spark: SparkSession, folder: str, columns: Iterable[str]) -> DataFrame:
-    """The complaint view with the given columns."""
+def cases(spark: SparkSession, folder: str, columns: Iterable[str], spread_rows: bool = False) -> DataFrame:
+    """The complaint view with the given columns. ``spread_rows``: the order lines go to all cores before costly work per row."""
     wanted = {name: COLUMNS[name] for name in columns}
     needed = {t for tables, _ in wanted.values() for t in tables}
     rows = table(spark, folder, "lineitem")
+    if spread_rows:
+        rows = spread(rows)
     if "orders" in needed:
         rows = rows.join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     if "customer" in needed:

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from casemill.operators import classify, evaluate, predictions, sampling, similar, taxonomy, topics, words
+from casemill.operators import classify, evaluate, predictions, sampling, similar, tables, taxonomy, topics, words
 from casemill.params import Params
 from casemill.sources import reports
 
@@ -226,3 +226,73 @@ def test_strata_of_any_type(spark, monkeypatch, limit):
         if name in ("boolean", "binary", "double"):
             kept = sampling.keep_frequent(df, "a stratum", 300)
             assert kept.columns == df.columns and kept.count() == sum(v for v in total.values() if v >= 300)
+
+
+SCORES = """
+WITH met AS (SELECT c.id, c.n * t.idf AS w, t.weights FROM counts c JOIN terms t USING (term)),
+per AS (SELECT id, sqrt(sum(w * w)) AS length FROM met GROUP BY id),
+sums AS (SELECT id, k, sum(w * weights[k + 1]) AS s FROM met, (SELECT position AS k FROM classes) GROUP BY id, k),
+margins AS (SELECT t.id, label, intercept + coalesce(s / length, 0) AS m FROM texts t CROSS JOIN classes
+    LEFT JOIN sums ON sums.id = t.id AND k = position LEFT JOIN per ON per.id = t.id),
+shares AS (SELECT id, label, exp(m) / sum(exp(m)) OVER (PARTITION BY id) AS p FROM margins)
+SELECT id, max_by(label, p) AS label, max(p) AS p FROM shares GROUP BY id
+"""
+
+
+def test_models_as_tables(spark, letters, tmp_path):
+    import duckdb
+
+    p = Params(min_class_rows=10, max_iter=30, topics=3, topic_min_df=2, topic_words=4)
+    texts = classify.text_rows(letters, "narrative").withColumn("Issue", F.when(F.col("id") % 2 == 0, "other").otherwise("word"))
+    more = texts.limit(1).withColumn("clean_text", F.lit("qqqq zzzz")).withColumn("id", F.lit(-1).cast("long"))
+    texts = texts.unionByName(more)
+    product = classify.train_classifier(texts.where("id >= 0"), "Product", "id", taxonomy.canonical_product, p)
+    issue = classify.train_classifier(texts.where("id >= 0"), "Issue", "id", None, p)
+    model = classify.train_topics(texts, p)
+    tables.save_tables(tables.Analysis(tables.linear_table(product), tables.linear_table(issue), tables.topic_table(model)), str(tmp_path / "t"))
+    models = tables.load_tables(spark, str(tmp_path / "t"))
+    assert models.product.labels == product.classes
+    found = {r["id"]: r for r in tables.analyzed(texts, "id", models, {}, {}, p).collect()}
+    assert len(found) == texts.count() and -1 in found
+    for name, fitted in (("product", product), ("issue", issue)):
+        classify.save_classifier(fitted, str(tmp_path / name))
+        for again in (fitted, classify.load_classifier(spark, str(tmp_path / name))):
+            for r in classify.score_texts(again, texts, {}, p).collect():
+                mine = found[r["id"]][name]
+                assert (mine["label"], mine["decision"], mine["raw_label"]) == (r["prediction"]["label"], r["prediction"]["decision"], r["prediction"]["raw_label"])
+                assert mine["confidence"] == pytest.approx(r["prediction"]["confidence"], abs=1e-4)
+    counts = tables.term_counts(texts, "id", p)
+    counts.write.parquet(str(tmp_path / "counts"))
+    texts.select("id").write.parquet(str(tmp_path / "texts"))
+    con = duckdb.connect()
+    for view, path in (("counts", "counts"), ("texts", "texts"), ("terms", "t/product-terms"), ("classes", "t/product-classes")):
+        con.execute(f"CREATE VIEW {view} AS SELECT * FROM '{tmp_path}/{path}/*.parquet'")
+    for i, label, share in con.execute(SCORES).fetchall():
+        assert found[i]["product"]["confidence"] == pytest.approx(share, abs=1e-4) and (share < 0.5 or found[i]["product"]["label"] == label)
+    weights = {r["term"]: np.array(r["weights"]) for r in models.topics.collect()}
+    held = {}
+    for r in counts.collect():
+        held.setdefault(r["id"], []).append((r["term"], r["n"]))
+    for i, row in found.items():
+        theta = np.full(3, 1 / 3)
+        for _ in range(tables.TOPIC_STEPS):
+            new = np.full(3, 1 / 3)
+            for term, n in held.get(i, []):
+                if term in weights:
+                    new = new + n * theta * weights[term] / (theta * weights[term]).sum()
+            theta = new / new.sum()
+        assert row["confidence"] == pytest.approx(theta.max(), abs=1e-9)
+    classify.save_topics(model, str(tmp_path / "topics"))
+    again = classify.load_topics(spark, str(tmp_path / "topics"))
+    assert sorted(map(tuple, ((r["id"], r["topic_id"]) for r in again.predict(texts).collect()))) == sorted((r["id"], r["topic_id"]) for r in model.predict(texts).collect())
+
+
+def test_vocabulary_is_cut_by_frequency_then_term(spark):
+    rows = [(i, f"{'aa ' * (i % 3)} bb cc {'dd' if i % 2 else 'ee'}") for i in range(12)]
+    df = spark.createDataFrame(rows, "id long, clean_text string")
+    p = Params(min_df=2, ngram_max=1)
+    counts = tables.term_counts(df, "id", p)
+    for size, want in ((1, {"aa"}), (2, {"aa", "bb"}), (3, {"aa", "bb", "cc"}), (4, {"aa", "bb", "cc", "dd"}), (9, {"aa", "bb", "cc", "dd", "ee"}), (0, set())):
+        assert {r["term"] for r in tables.vocabulary(counts, F.lit(12), size, p).collect()} == want
+    squares = tables.weights(counts, tables.vocabulary(counts, F.lit(12), 3, p)).groupBy("id").agg(F.sum(F.col("weight") ** 2).alias("s"))
+    assert all(r["s"] == pytest.approx(1) for r in squares.collect())
