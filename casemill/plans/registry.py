@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -599,7 +600,8 @@ def _judged_texts(spark: SparkSession, folder: str) -> DataFrame:
 
 def _classifier(spark: SparkSession, folder: str, target: str) -> classify.Classifier:
     canonical, texts = {"Product": (taxonomy.canonical_product, _texts), "Issue": (taxonomy.canonical_issue, _judged_texts)}[target]
-    return _once(spark, folder, target, lambda: classify.train_classifier(texts(spark, folder), target, "doc_id", canonical, MODEL))
+    p = MODEL if target == "Product" else replace(MODEL, min_class_rows=2)  # labels are few in the smallest tables
+    return _once(spark, folder, target, lambda: classify.train_classifier(texts(spark, folder), target, "doc_id", canonical, p))
 
 
 @query("tfidf_classifier")
