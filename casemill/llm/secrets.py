@@ -57,7 +57,10 @@ _CANDIDATE = r"[A-Za-z0-9+/_=.\-]{%d,}"
 # Names that credentials are assigned to.
 _NAMES = r"(?:token|secret|passw(?:or)?d|pwd|credential|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer)"
 _ASSIGNED = re.compile(_NAMES + r"[A-Za-z_]*\s*(?:=>|[=:])\s*[\"'`]?$", re.IGNORECASE)
-_NAMED = re.compile(_NAMES + r"[A-Za-z_]*[\"'`]?\s*(?:=>|:=|[=:])\s*(?:(?:bearer|basic)\s+)?", re.IGNORECASE)
+_NAME = re.compile(_NAMES, re.IGNORECASE)
+# A whole run is tried once, and nothing in it is given back: the work is linear in the text.
+_LEFT_SIDE = re.compile(r"(?<![A-Za-z_-])[A-Za-z_-]++", re.IGNORECASE)
+_SIGN = re.compile(r"[\"'`]?\s*+(?:=>|:=|[=:])\s*+(?:(?:bearer|basic)\s++)?", re.IGNORECASE)
 _QUOTED = {q: re.compile(rf"(?:\\.|[^{q}\\\n])*+{q}") for q in "\"'`"}
 _UNBROKEN = re.compile(r"[^\s\"'`]+")
 _MAIL = re.compile(r"[^@\s]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
@@ -131,12 +134,26 @@ def _features(value: str, before: str, after: str, path: str, logp: np.ndarray,
     return [float(np.log(n)), *[k / n for k in kinds], entropy, moves, switches, covered_by_words(value, words), *map(float, signs), *slots]
 
 
+def _names_credential(run: str) -> bool:
+    """Whether a credential name stands in ``run`` with no hyphen after it."""
+    dash = run.rfind("-")
+    return any(m.end() > dash for m in _NAME.finditer(run, max(0, dash - len("private"))))
+
+
+def assignments(text: str) -> Iterator[int]:
+    """Where the values assigned to credential names begin."""
+    done = 0
+    for run in _LEFT_SIDE.finditer(text):
+        if run.start() >= done and (sign := _SIGN.match(text, run.end())) and _names_credential(run[0]):
+            done = sign.end()
+            yield done
+
+
 def assigned_values(text: str, p: Secrets) -> list[tuple[int, int]]:
     """Begin and end of the values assigned to credential names."""
     out, last = set(), None
     reach = -1  # end of the unbroken value before
-    for m in _NAMED.finditer(text):
-        a = m.end()
+    for a in assignments(text):
         if text[a : a + 1] in _QUOTED and (q := _QUOTED[text[a]].match(text, a + 1)):
             out.add((a + 1, q.end() - 1))
         elif a < reach:
