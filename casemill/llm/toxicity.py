@@ -49,7 +49,9 @@ class Toxicity:
 
 
 _OUTSIDE = re.compile(r"[^\w]+")
-_QUOTES = re.compile("[\"“”„«»‘’]")
+_MARKS = re.compile("[\"“”„«»‘’]")
+# Quotation marks that open, with those that close them.
+_CLOSED_BY = {'"': '"', "“": "”", "„": "“”", "«": "»", "»": "«", "‘": "’"}
 FEATURES = 11
 
 
@@ -219,19 +221,31 @@ class Lexicon:
 
 # ---------------------------------------------------------------- scores
 
+def quoted_words(text: str) -> set[int]:
+    """Numbers of the words between a mark that opens and one that closes it on the same line. A mark between two letters
+    is an apostrophe; one that nothing closes quotes nothing."""
+    out, n = set(), 0
+    for line in text.split("\n"):
+        opened, since = "", 0
+        for i, w in enumerate(line.split(), n):
+            n = i + 1
+            for m in _MARKS.finditer(w):
+                mark, a, b = m[0], m.start(), m.end()
+                if mark in "‘’" and w[a - 1 : a].isalnum() and w[b : b + 1].isalnum():
+                    continue
+                if opened and mark in _CLOSED_BY[opened]:
+                    out.update(range(since, i + 1))
+                    opened = ""
+                elif mark in _CLOSED_BY and opened in ("", "‘"):
+                    opened, since = mark, i
+    return out
+
+
 def features(text: str, lexicon: Lexicon) -> list[float]:
-    raw = text.split()
     words = plain_words(text)
     p, weights = lexicon.p, lexicon.weights
     hits = [(i, h) for i, w in enumerate(words) if w and (h := lexicon.hit(w))]
-    quoted = set()
-    if hits and _QUOTES.search(text):
-        inside = False
-        for i, w in enumerate(raw):
-            marks = len(_QUOTES.findall(w))
-            if inside or marks:
-                quoted.add(i)
-            inside ^= bool(marks % 2)
+    quoted = quoted_words(text) if hits and _MARKS.search(text) else set()
     abuse = [(i, weights[e] * (1.0 if exact else 0.5)) for i, (e, exact) in hits if i not in quoted]
     densest, low, total = 0.0, 0, 0.0
     for k, (i, v) in enumerate(abuse):
