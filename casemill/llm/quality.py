@@ -137,7 +137,8 @@ def without_boilerplate(docs: DataFrame, verdict: DataFrame, host: str = "source
             if t is None or gone is None or not len(gone):
                 return t
             hit = set(gone.tolist())
-            return "\n".join(x for x in t.split("\n") if not x.split() or line_hash(x.encode()) not in hit)
+            lines = [x.encode() for x in t.split("\n")]
+            return b"\n".join(x for x in lines if not x.split() or line_hash(x) not in hit).decode()
         return text.combine(lines, one)
 
     # the rows of docs travel as one column, so that none of their names can clash
