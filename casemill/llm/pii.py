@@ -168,8 +168,8 @@ def personal_data(docs: DataFrame, p: Pii = Pii()) -> DataFrame:
     def count(kind: str) -> Column:
         return F.size(F.filter("all", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
 
-    return out.select("doc_id", *[count(k) for k in KINDS], F.sha2(named(F.filter("all", lambda s: s["kind"] != "term")), 256).alias("base_sha256"),
-                      named(F.col("all")).alias("spans"))
+    return out.select("doc_id", *[count(k) for k in PATTERNS], F.sha2(named(F.filter("all", lambda s: s["kind"] != "term")), 256).alias("base_sha256"),
+                      named(F.col("all")).alias("spans"), count("term"))
 
 
 def sanitised(docs: DataFrame, p: Pii = Pii()) -> DataFrame:
