@@ -32,6 +32,7 @@ class Decontaminate:
     patterns: int = 20_000
     window: int = 15
     agree: float = 0.8
+    drop_from: int = 5
     broadcast_seeds: int = 1_000_000
 
 
@@ -108,6 +109,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, p: Decontaminate = Decontami
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, p: Decontaminate = Decontaminate()) -> DataFrame:
-    """The documents without an overlap; all columns stay. A document without id is kept."""
-    found = overlaps(docs, benchmark, p).select("doc_id").distinct()
+    """The documents without an overlap of ``drop_from`` equal words or more; all columns stay. A document without id is kept.
+    An item of fewer words, such as a single common one, is reported by ``overlaps`` but drops nothing."""
+    found = overlaps(docs, benchmark, p).where(F.col("n_equal") >= p.drop_from).select("doc_id").distinct()
     return docs.join(found, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
