@@ -1,6 +1,6 @@
 """Find keys that occur more than once over all documents, without a row per occurrence.
 
-Documents are dealt into blocks by ``doc_id``. A block names each of its keys once (bit 0 of the key tells whether
+Documents are dealt into blocks by a hash of id and text. A block names each of its keys once (bit 0 of the key tells whether
 it has the key more than once), so however often a key occurs, no more rows meet than there are blocks. Keys are
 dealt into buckets by their top bits. A bucket answers each block with those of its keys that are repeated.
 There are two blocks and half a bucket to each of ``spark.sql.shuffle.partitions``, which a user sets in proportion to
@@ -31,9 +31,10 @@ def buckets(df: DataFrame) -> int:
 
 
 def by_block(docs: DataFrame) -> DataFrame:
-    """Rows with their block number; a text is null-safe, a row without ``doc_id`` has a block too."""
+    """Rows with their block number. Rows that share an id, or have none, are spread by their texts; equal rows stay together,
+    and however many they are, a block names their keys once."""
     n = BLOCKS_PER_PARTITION * partitions(docs)
-    return docs.withColumn("block", F.pmod(F.hash("doc_id"), F.lit(n)).cast("int"))
+    return docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int"))
 
 
 def marked(keys: np.ndarray) -> np.ndarray:
