@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import LDA
@@ -124,19 +126,25 @@ def train_classifier(
 def tune_classifier(
     df: DataFrame, target: str, id_column: str, p: Params = DEFAULTS, grid: Sequence[Candidate] = GRID,
 ) -> tuple[Classifier, DataFrame]:
-    """Every grid point on raw labels and the same split; the first of the best hold-out accuracies wins."""
+    """Every grid point on raw labels and the same split; the first of the best hold-out accuracies wins. The points do not
+    depend on each other, so ``p.fits_at_once`` of them are fitted at the same time."""
     train, test = _prepare(labelled(df, target), id_column, p, p.tuning_sample)
     n = train.count()
     tfidf = {size: fit_tfidf(train, p, size) for size in {g.vocabulary for g in grid}}
-    best, best_accuracy, report = None, -1.0, []
-    for g in grid:
+
+    def point(g: Candidate) -> tuple[Classifier, float | None]:
         model, classes = _fit(train, tfidf[g.vocabulary], p, g, n)
         scored = model.transform(test).withColumn("probability", vector_to_array("probability"))
         scored = scored.select(id_column, F.col("label").alias("y_true"), "y_pred", "probability")
-        accuracy = evaluate.accuracy(evaluate.confusion(scored)).first()["accuracy"]
+        return Classifier(model, classes, scored), evaluate.accuracy(evaluate.confusion(scored)).first()["accuracy"]
+
+    with ThreadPoolExecutor(p.fits_at_once) as pool:
+        points = list(pool.map(inheritable_thread_target(df.sparkSession)(point), grid))
+    best, best_accuracy, report = None, -1.0, []
+    for g, (model, accuracy) in zip(grid, points):
         report.append((g.c, g.balanced, g.vocabulary, accuracy))
         if accuracy is not None and accuracy > best_accuracy:
-            best, best_accuracy = Classifier(model, classes, scored), accuracy
+            best, best_accuracy = model, accuracy
     schema = "c double, balanced boolean, vocabulary int, accuracy double"
     return best, df.sparkSession.createDataFrame(report, schema)
 

@@ -54,6 +54,7 @@ class Params:
     min_df: int = 3
     ngram_max: int = 2
     max_iter: int = 2000
+    fits_at_once: int = 3
     tolerance: float = 1e-4  # relative gain of the objective at which fitting ends
     topics: int = 10
     topic_vocabulary: int = 10_000
