@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from casemill.functions.text import STOP_WORDS
 from casemill.operators import evaluate, recommend, taxonomy
-from casemill.plans.registry import CLASSES, ISSUE_NAMES, P
+from casemill.plans.registry import CLASSES, ISSUE_NAMES, P, STEP_ORDER
 
 TIMELY, RESPONSE = "Timely response?", "Company response to consumer"
 ROWS = 'CAST(count(*) AS BIGINT)'
@@ -554,3 +554,15 @@ SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) A
     "class_balance": f"""WITH c AS (SELECT lang AS label, {ROWS} AS n FROM documents GROUP BY 1)
 SELECT label, n, round((SELECT avg(n) FROM c) / n, 6) AS weight FROM c""",
 }
+
+
+def first_of_each_id(sql: str) -> str:
+    """A statement over ``cases`` with only the first row of each id."""
+    assert sql.startswith(CASES)
+    order = ", ".join(f'"{c}" NULLS FIRST' for c in STEP_ORDER)
+    return (CASES.replace("WITH cases AS", "WITH deliveries AS") + f""", cases AS (SELECT * FROM deliveries
+  QUALIFY row_number() OVER (PARTITION BY "Complaint ID" ORDER BY {order}) = 1)""" + sql[len(CASES):])
+
+
+ORACLE |= {f"stepwise_{name}": first_of_each_id(ORACLE[query]) for name, query in {
+    "kpis": "kpis", "company_risk": "company_risk_score", "product_growth": "product_growth", "recommendations": "recommendations"}.items()}

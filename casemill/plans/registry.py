@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -13,12 +14,14 @@ from casemill.operators import (
     classify, counts, drivers, evaluate, forecast, growth, ingest, predictions, profile, recommend, risk, sampling,
     similar, tables, taxonomy, topics, words,
 )
+from casemill.operators.facts import CubeFacts
 from casemill.params import Params
 from casemill.plans.summaries import Analysis, run_all, staged_analysis
-from casemill.session import configure, spread, stage, staged_tables_removed
+from casemill.session import checkpoint_folder, configure, spread, stage, staged_tables_removed
 from casemill.sources import reports
 from casemill.sources.complaints import NARRATIVE, narratives, save_summary, summary_path
 from casemill.sources.star import cases, document_narratives, table
+from casemill.streaming import cubes
 
 # The floors and the growth threshold that suit the size of the tables.
 P = Params(growth_floor=100, emerging_growth=0.005)
@@ -206,6 +209,34 @@ def run_summaries(spark: SparkSession, folder: str, out: str | None = None) -> d
     return {**tables, "top_narrative_words": spark.read.parquet(summary_path(out, "top_narrative_words"))}
 
 
+STEP_YEARS = ((None, 1997), (1998, 1999), (2000, None))
+STEP_ORDER = ("Year", *[c for c in SUMMARY_COLUMNS if c != "Year"])
+
+
+def stepwise_cube(spark: SparkSession, folder: str) -> CubeFacts:
+    """All cases in three deliveries by year, the last of which brings the rows of 1995 again. Of the rows of one id the first
+    by year and the other columns counts."""
+    def add_up() -> CubeFacts:
+        rows, year = cases(spark, folder, ("Complaint ID", *SUMMARY_COLUMNS)), F.coalesce(F.col("Year"), F.lit(0))
+        target = f"{checkpoint_folder(spark).rstrip('/')}/casemill/steps-{uuid.uuid4().hex}"
+        for k, (since, until) in enumerate(STEP_YEARS):
+            due = (year >= (since or 0)) & (year <= (until or 9999))
+            due = due | (year == 1995) if until is None else due
+            cubes.add_step(rows.where(due), target, k, [F.col(c) for c in STEP_ORDER])
+            if k == 1:
+                cubes.merge_steps(spark, target)
+        return cubes.stored_cube(spark, target)
+
+    return _once(spark, folder, "stepwise", add_up)
+
+
+query("stepwise_kpis")(lambda spark, folder: counts.kpis(stepwise_cube(spark, folder)))
+query("stepwise_company_risk")(lambda spark, folder: Analysis(stepwise_cube(spark, folder), P).risk)
+query("stepwise_product_growth")(lambda spark, folder: Analysis(stepwise_cube(spark, folder), P).product_growth)
+query("stepwise_recommendations")(lambda spark, folder: recommend.recommendations(
+    Analysis(stepwise_cube(spark, folder), P).recommendation_rows))
+
+
 # Cleaning, features, profiles ----------------------------------------------------------------------
 
 

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from casemill.operators.ingest import dedupe_first, preprocess
 from casemill.sources.complaints import ROW_ORDER, read_raw_csv, save_table
+from casemill.streaming.cubes import add_step
 
 FILE, STEP = "_file", "step"
 
@@ -27,15 +28,19 @@ def raw_stream(spark: SparkSession, folder: str, files_per_step: int = 64) -> Da
 
 def ingest_available(
     spark: SparkSession, source: str, target: str, checkpoint: str, multi_line: bool = True,
-    files_per_step: int = 64,
+    files_per_step: int = 64, cube: str | None = None,
 ) -> StreamingQuery:
-    """Process what has arrived since the last call, add it to ``target``, and stop."""
+    """Process what has arrived since the last call, add it to ``target``, and stop. With ``cube`` the states of the new
+    rows are stored there too (``streaming.cubes``)."""
 
     def write(step: DataFrame, number: int) -> None:
         # at most files_per_step names
         files = sorted(unquote(r[FILE]) if "%" in r[FILE] else r[FILE] for r in step.distinct().collect())
         if files:
-            save_table(preprocess(read_raw_csv(step.sparkSession, files, multi_line)), f"{target.rstrip('/')}/{STEP}={number}")
+            path = f"{target.rstrip('/')}/{STEP}={number}"
+            save_table(preprocess(read_raw_csv(step.sparkSession, files, multi_line)), path)
+            if cube:
+                add_step(step.sparkSession.read.parquet(path), cube, number, [F.col(ROW_ORDER)])
 
     stream = raw_stream(spark, source, files_per_step)
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(
