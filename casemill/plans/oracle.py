@@ -556,6 +556,11 @@ SELECT label, n, round((SELECT avg(n) FROM c) / n, 6) AS weight FROM c""",
 }
 
 
+SHORT_LINES = """both_kinds AS (SELECT * FROM pre UNION ALL SELECT DATE '2021-05-01', NULL, n_name, 'Unknown', 'Unknown', 'Unknown', NULL,
+  'No public response', NULL, 'Unknown', 'Unknown', 'Normal Consumer', NULL, 'Unknown', NULL, NULL FROM nation)"""
+ORACLE["csv_ingest"] = f"{PREPROCESS}, {SHORT_LINES}" + ORACLE["preprocess"].removeprefix(PREPROCESS).replace("FROM pre", "FROM both_kinds")
+
+
 def first_of_each_id(sql: str) -> str:
     """A statement over ``cases`` with only the first row of each id."""
     assert sql.startswith(CASES)

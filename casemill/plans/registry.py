@@ -19,7 +19,7 @@ from casemill.params import Params
 from casemill.plans.summaries import Analysis, run_all, staged_analysis
 from casemill.session import checkpoint_folder, configure, spread, stage, staged_tables_removed
 from casemill.sources import reports
-from casemill.sources.complaints import NARRATIVE, narratives, save_summary, summary_path
+from casemill.sources.complaints import NARRATIVE, RAW_COLUMNS, ROW_ORDER, narratives, read_raw_csv, save_summary, summary_path
 from casemill.sources.star import cases, document_narratives, table
 from casemill.streaming import cubes
 
@@ -276,6 +276,27 @@ def _(spark, folder):
     return df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ingest.DATE_COLUMNS})
 
 
+def csv_deliveries(spark: SparkSession, folder: str) -> str:
+    """The raw complaints as CSV files with three headers, and a file of short lines (a date and a name) and overlong ones."""
+    raw = stage(raw_complaints(spark, folder).withColumn("Extra", F.lit("surplus")), "raw-complaints")
+    names = list(RAW_COLUMNS)
+    target = f"{checkpoint_folder(spark).rstrip('/')}/casemill/csv-{uuid.uuid4().hex}"
+    options = dict(header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    for k, order in enumerate((names, names[::-1], ["Extra", *names[3:], *names[:3]])):
+        raw.where(F.col("Complaint ID").cast("bigint") % 3 == k).select(*order).write.options(**options).csv(f"{target}/{k}")
+    lines = F.array_sort(F.collect_list(F.concat(F.lit("2021-05-01,"), "n_name")))
+    overlong = F.collect_list(F.concat_ws(",", *["n_name"] * (len(names) + 1)))
+    table(spark, folder, "nation").agg(F.concat_ws("\n", F.lit(",".join(names)), overlong, lines)).write.text(f"{target}/lines")
+    return f"{target}/*"
+
+
+@query("csv_ingest")
+def _(spark, folder):
+    """Raw files of several layouts, read by their own headers and processed. Short lines stay, overlong ones go."""
+    df = ingest.preprocess(read_raw_csv(spark, csv_deliveries(spark, folder))).drop("Extra", ROW_ORDER)
+    return df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ingest.DATE_COLUMNS})
+
+
 @query("trim_fill")
 def _(spark, folder):
     df = ingest.null_na_tokens(raw_complaints(spark, folder).select("Product", "Issue", "Sub-issue", "State", "Tags"))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import csv
+import io
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
@@ -18,6 +20,7 @@ RAW_COLUMNS = (
 NARRATIVE = "Consumer complaint narrative"
 ROW_ORDER = "_row_order"
 _REJECT = "_malformed"
+HEADERS_AT_ONCE, HEADER_LINES = 32, 100
 
 
 def require_columns(df: DataFrame, names: Iterable[str] = RAW_COLUMNS) -> DataFrame:
@@ -70,20 +73,34 @@ def read_raw_csv(spark: SparkSession, path: str | list[str], multi_line: bool =
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def _first_record(spark: SparkSession, path: str) -> str | None:
+    """The first record of a file, also if one of its names holds a line break; null for an empty file."""
+    hadoop, java = spark._jvm.org.apache.hadoop, spark._jvm.java.io
+    conf, at = spark._jsc.hadoopConfiguration(), hadoop.fs.Path(path)
+    stream = at.getFileSystem(conf).open(at)
+    try:
+        codec = hadoop.io.compress.CompressionCodecFactory(conf).getCodec(at)
+        reader = java.BufferedReader(java.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        record = reader.readLine()
+        for _ in range(HEADER_LINES):
+            if record is None or record.count('"') % 2 == 0:
+                return record
+            record = f"{record}\n{reader.readLine() or ''}"
+        raise ValueError(f"the header of {path} does not end")
+    finally:
+        stream.close()
+
+
 def _files_by_header(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
-    """The files of each header: one more pass over the raw lines, in which each task keeps the first line of a file. A row
-    per distinct header comes back, with the names of its files."""
-    first = F.substring_index(F.substring_index("value", "\n", 1), "\r", 1)
-    paths = [path] if isinstance(path, str) else path
-    lines = spark.read.text(paths, wholetext=False).withColumn("file", F.col("_metadata.file_path"))
-    lines = lines.withColumn("at", F.col("_metadata.file_block_start"))
-    heads = lines.where("at = 0").withColumn("n", F.monotonically_increasing_id()).groupBy("file").agg(
-        F.min_by(first, "n").alias("head"))
-    groups = heads.groupBy("head").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("head").collect()
+    """The files of each header. The files are listed anyway to be read; of each only the first record is looked at, many
+    files at a time, so the raw data are read once."""
+    files = sorted(unquote(f) if "%" in f else f for f in spark.read.text(path).inputFiles())
     found: dict[tuple[str, ...], list[str]] = {}
-    for r in groups:
-        names = next(csv.reader([r["head"].removeprefix("\ufeff")]), [])
-        found.setdefault(tuple(names), []).extend(r["files"])
+    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
+        for file, record in zip(files, pool.map(lambda f: _first_record(spark, f), files)):
+            if record is not None:
+                names = next(csv.reader(io.StringIO(record.removeprefix("\ufeff"), newline="")), [])
+                found.setdefault(tuple(names), []).append(file)
     if not found:
         raise ValueError(f"no rows under {path}")
     return found
@@ -98,7 +115,7 @@ def _read_as(spark: SparkSession, files: list[str], names: tuple[str, ...], mult
         F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("position")
     )
     reader = csv_options(spark.read.schema(raw_schema(names)), multi_line)
-    return drop_overlong(reader.csv([unquote(f) if "%" in f else f for f in files]).withColumn(ROW_ORDER, order))
+    return drop_overlong(reader.csv(files).withColumn(ROW_ORDER, order))
 
 
 def first_rows(df: DataFrame, n: int = 500_000) -> DataFrame:
