@@ -4,11 +4,13 @@ Texts are tokenised with a byte-level BPE vocabulary; each text is followed by t
 texts are cut into sequences of ``length`` ids, the last one filled up with end tokens. Sequences are numbered over all
 tasks, and a keyed Feistel network over the next power of four, walked until it falls below the number of sequences,
 gives each its slot: a permutation that needs no table and no sort of random numbers. Slots are range-partitioned into
-shards of ``slots`` sequences, written in slot order. Every sequence takes the same number of bytes, so slot s stands
+shards of ``slots`` sequences, written in slot order; slots are uniform, so the ranges are known without a sample. Every sequence takes the same number of bytes, so slot s stands
 at byte ``(s - first_slot) * stride`` of shard ``s div slots``: a reader starts anywhere and goes on sequentially
 (``sequences``), and an interrupted export continues with the shards it lacks (``missing``).
 
-Ids are little-endian ``uint16``; vocabularies above 65,536 ids are refused.
+``write_files`` writes each shard as a file of its own with a manifest; ``missing`` compares shards with either.
+
+Ids are little-endian ``uint16``, or ``uint32`` where the vocabulary or the end token needs more than 16 bits.
 
 Rows
     Null and empty texts give no tokens and no end token. Null ids, repeated rows and repeated ids are texts like any
@@ -46,9 +48,9 @@ class TokenShards:
     key: int = 20_240_229
     rounds: int = 6
 
-    @property
-    def stride(self) -> int:
-        return 2 * self.length
+
+def id_type(ranks: dict[bytes, int], p: TokenShards) -> np.dtype:
+    return np.dtype("<u2" if max(*ranks.values(), p.end) < 1 << 16 else "<u4")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -57,16 +59,17 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Tokenizer:
-    """Ids of a text as ``uint16`` bytes. Words come back often, so the ids of a word are looked up first."""
+    """Ids of a text as bytes. Words come back often, so the ids of a word are looked up first."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], kind: np.dtype = np.dtype("<u2")):
         import tiktoken
 
+        self.kind = kind
         self.encode = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.known: dict[str, bytes] = {}
 
     def direct(self, text: str) -> bytes:
-        return np.array(self.encode(text), np.uint16).tobytes()
+        return np.array(self.encode(text), self.kind).tobytes()
 
     def __call__(self, text: str) -> bytes:
         # A blank after a non-blank always begins a new piece of the pattern, so words are encoded on their own.
@@ -89,16 +92,15 @@ class Tokenizer:
 def packed(docs: DataFrame, p: TokenShards) -> DataFrame:
     """``part, at, tokens``: the sequences of each task."""
     ranks = read_ranks(p.vocabulary)
-    if max(*ranks.values(), p.end) >= 1 << 16:
-        raise ValueError("ids do not fit into 16 bits")
+    kind = id_type(ranks, p)
     blob = docs.sparkSession.sparkContext.broadcast(ranks)
-    end = np.array([p.end], np.uint16).tobytes()
+    end, stride = np.array([p.end], kind).tobytes(), kind.itemsize * p.length
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, part, at, rest = Tokenizer(blob.value), TaskContext.get().partitionId(), 0, b""
+        tokenizer, part, at, rest = Tokenizer(blob.value, kind), TaskContext.get().partitionId(), 0, b""
 
         def rows(data: bytes, first: int) -> pa.RecordBatch:
-            cut = [data[i : i + p.stride] for i in range(0, len(data), p.stride)]
+            cut = [data[i : i + stride] for i in range(0, len(data), stride)]
             return pa.RecordBatch.from_arrays([
                 pa.array(np.full(len(cut), part, np.int32)), pa.array(np.arange(first, first + len(cut))), pa.array(cut, pa.binary()),
             ], names=["part", "at", "tokens"])
@@ -109,20 +111,20 @@ def packed(docs: DataFrame, p: TokenShards) -> DataFrame:
                 text = text.as_py()
                 if text:
                     data += [tokenizer(text), end]
-                    size += len(data[-2]) + 2
+                    size += len(data[-2]) + len(end)
                 if size > 8 << 20:
                     whole = b"".join(data)
-                    full = len(whole) // p.stride * p.stride
+                    full = len(whole) // stride * stride
                     yield rows(whole[:full], at)
-                    at += full // p.stride
+                    at += full // stride
                     data, size = [whole[full:]], len(whole) - full
             rest = b"".join(data)
-            full = len(rest) // p.stride * p.stride
+            full = len(rest) // stride * stride
             if full:
                 yield rows(rest[:full], at)
-                at, rest = at + full // p.stride, rest[full:]
+                at, rest = at + full // stride, rest[full:]
         if rest:
-            yield rows(rest + end * ((p.stride - len(rest)) // 2), at)
+            yield rows(rest + end * ((stride - len(rest)) // len(end)), at)
 
     return docs.select("text").mapInArrow(task, "part int, at bigint, tokens binary")
 
@@ -170,9 +172,10 @@ def token_shards(docs: DataFrame, p: TokenShards = TokenShards()) -> DataFrame:
     """One row per shard: its first slot, number of slots, bytes per slot, and the ids of its slots in order."""
     sequences = packed(docs, p)
     path_friendly = stage(sequences, "token-sequences", compression="zstd")
-    rows, _ = numbered(path_friendly, p)
+    rows, n = numbered(path_friendly, p)
     rows = rows.withColumn("shard", F.floor(F.col("slot") / p.slots).cast("bigint"))
-    ranged = rows.repartitionByRange(partitions(docs), "shard").sortWithinPartitions("slot")
+    tasks, shards = partitions(docs), max(1, -(-n // p.slots))
+    ranged = rows.repartitionById(tasks, F.floor(F.col("shard") * tasks / shards).cast("int")).sortWithinPartitions("slot")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, first, parts = None, 0, []
@@ -181,7 +184,7 @@ def token_shards(docs: DataFrame, p: TokenShards = TokenShards()) -> DataFrame:
             payload = b"".join(parts)
             return pa.RecordBatch.from_arrays([
                 pa.array([shard], pa.int64()), pa.array([first], pa.int64()), pa.array([len(parts)], pa.int64()),
-                pa.array([p.stride], pa.int64()), pa.array([sha256(payload).hexdigest()]), pa.array([payload], pa.binary()),
+                pa.array([len(parts[0])], pa.int64()), pa.array([sha256(payload).hexdigest()]), pa.array([payload], pa.binary()),
             ], names=["shard", "first_slot", "n_slots", "stride", "payload_sha256", "payload"])
 
         for batch in batches:
@@ -206,6 +209,36 @@ def sequences(shards: DataFrame, from_slot: int | Column = 0) -> DataFrame:
     return rows.where(F.col("slot") >= from_slot)
 
 
+MANIFEST = "shard bigint, first_slot bigint, n_slots bigint, stride bigint, payload_sha256 string, file string"
+
+
+def write_files(shards: DataFrame, folder: str) -> DataFrame:
+    """One file per shard in a folder that all executors share, and the manifest: ``MANIFEST`` rows, stored as a table beside
+    them. A file gets its name only when it is whole, so a task may be repeated, and a reader finds slot s at byte
+    ``(s - first_slot) * stride``."""
+    folder = folder.rstrip("/")
+    columns = [c.split()[0] for c in MANIFEST.split(", ")][:-1]
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        files, base = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder.removeprefix("file:"))
+        files.create_dir(base, recursive=True)
+        attempt = TaskContext.get().taskAttemptId()
+        for batch in batches:
+            names = []
+            for shard, payload in zip(batch.column("shard").to_pylist(), batch.column("payload")):
+                names.append(f"shard-{shard:010d}.bin")
+                with files.open_output_stream(f"{base}/.{names[-1]}.{attempt}") as out:
+                    out.write(payload.as_buffer())
+                files.move(f"{base}/.{names[-1]}.{attempt}", f"{base}/{names[-1]}")
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in columns], pa.array(names, pa.string())], names=[*columns, "file"])
+
+    written = shards.select(*columns, "payload").mapInArrow(task, MANIFEST)
+    written.write.mode("append").parquet(f"{folder}/manifest")
+    return shards.sparkSession.read.schema(MANIFEST).parquet(f"{folder}/manifest")
+
+
 def missing(shards: DataFrame, written: DataFrame) -> DataFrame:
     """The shards an interrupted export still lacks."""
     return shards.join(written.select("shard"), "shard", "left_anti")

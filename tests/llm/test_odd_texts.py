@@ -5,7 +5,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from casemill.llm import blocks, decontaminate, pii, quality, secrets, toxicity
+from casemill.llm import blocks, decontaminate, pii, quality, secrets, token_shards, toxicity
 
 # the plain statement of what an assigned value stands behind, quadratic on long runs
 NAMED = re.compile(secrets._NAMES + r"[A-Za-z_]*[\"'`]?\s*(?:=>|:=|[=:])\s*(?:(?:bearer|basic)\s+)?", re.IGNORECASE)
@@ -63,3 +63,34 @@ def test_rows_without_id_are_spread(frame):
     docs = frame([(k if k % 3 else None, f"text {k}", "s") for k in range(3000)])
     sizes = sorted(r["count"] for r in blocks.by_block(docs).groupBy("block").count().collect())
     assert sizes[-1] < 2 * sizes[len(sizes) // 2]
+
+
+def test_shard_files_are_read_by_offset_and_resumed(spark, frame, tmp_path):
+    docs = frame([(k, f"text number {k} " * (k % 40 + 1), "s") for k in range(300)])
+    p = token_shards.TokenShards(length=32, slots=8)
+    shards = token_shards.token_shards(docs, p).cache()
+    folder = str(tmp_path / "shards")
+    first = token_shards.write_files(shards.where("shard % 3 > 0"), folder)
+    manifest = token_shards.write_files(token_shards.missing(shards, first), folder)
+    rows = manifest.collect()
+    assert len(rows) == shards.count() == len({r["shard"] for r in rows}) > 20
+    stored = {r["slot"]: bytes(r["tokens"]) for r in token_shards.sequences(shards).collect()}
+    for r in rows:
+        with open(f"{folder}/{r['file']}", "rb") as f:
+            for s in range(r["first_slot"], r["first_slot"] + r["n_slots"]):
+                f.seek((s - r["first_slot"]) * r["stride"])
+                assert f.read(r["stride"]) == stored[s]
+    assert not [x for x in (tmp_path / "shards").iterdir() if x.name.startswith(".shard")]
+
+
+def test_large_ids_take_four_bytes(frame, tmp_path):
+    import base64
+
+    import numpy as np
+    path = tmp_path / "ranks"
+    path.write_text("".join(f"{base64.b64encode(bytes([b])).decode()} {b + 70_000}\n" for b in range(256)))
+    p = token_shards.TokenShards(str(path), end=100_000, length=16, slots=4)
+    rows = token_shards.token_shards(frame([(1, "abc é", "s")]), p).collect()
+    ids = np.frombuffer(bytes(rows[0]["payload"]), "<u4")
+    assert rows[0]["stride"] == 64
+    assert ids.tolist() == [70_000 + b for b in "abc é".encode()] + [100_000] * 10
