@@ -13,6 +13,16 @@ def let(value: Column, fn: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), fn), F.lit(0))
 
 
+def counted(values: Column) -> Column:
+    """``array<struct<term, n>>``: each value of an array and how often it occurs, in the order of the values."""
+    def runs(s: Column) -> Column:
+        begins = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        return let(begins, lambda b: F.transform(b, lambda i, k: F.struct(
+            F.get(s, i).alias("term"), (F.coalesce(F.get(b, k + 1), F.size(s)) - i).cast("long").alias("n"))))
+
+    return F.when(F.size(values) > 0, let(F.sort_array(values), runs))
+
+
 def key_of(*columns: Column) -> Column:
     """The key of a sorted table: values of any orderable type, null, NaN and -0.0 compared as grouping does."""
     return F.struct(*[c.alias(f"v{i}") for i, c in enumerate(columns)])

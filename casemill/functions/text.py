@@ -73,8 +73,8 @@ def ascii_words(c: Column, min_length: int = 3) -> Column:
 
 
 def tokens(clean: Column, min_length: int = 2) -> Column:
-    """Words of cleaned text with at least ``min_length`` letters."""
-    return F.regexp_extract_all(clean, F.lit(rf"[a-z]{{{min_length},}}"), F.lit(0))
+    """Words of cleaned text (letters, one blank between words) with at least ``min_length`` letters."""
+    return F.filter(F.split(clean, " "), lambda w: F.length(w) >= min_length)
 
 
 def drop_stop_words(words: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:
@@ -88,9 +88,9 @@ def ngrams(words: Column, n: int) -> Column:
 
 
 def _ngrams(words: Column, n: int) -> Column:
-    starts = F.sequence(F.lit(1), F.size(words) - F.lit(n - 1))
-    joined = F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
-    return F.when(F.size(words) >= n, joined).otherwise(F.array().cast("array<string>"))
+    first = F.slice(words, F.lit(1), F.greatest(F.size(words) - F.lit(n - 1), F.lit(0)))
+    rest = lambda i: [part for j in range(1, n) for part in (F.lit(" "), F.get(words, i + F.lit(j)))]
+    return F.coalesce(F.transform(first, lambda w, i: F.concat(w, *rest(i))), F.array().cast("array<string>"))
 
 
 def ngrams_up_to(words: Column, n: int) -> Column:

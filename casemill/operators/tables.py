@@ -5,9 +5,6 @@ meets the table on its terms; products are added up per text before the shuffle,
 that holds it and nothing travels per class. Softmax, canonical labels, decision and candidates are column expressions
 over the sums. A topic model is ``term, weights`` (probability of the term in each topic); the topic weights of a text are
 the fixed point that explains its terms best. All models are scored in one pass over the terms.
-
-The vocabulary is cut without being collected: a histogram of the term frequencies gives the frequency at the cut, and
-only terms that stand at it are ordered.
 """
 
 from __future__ import annotations
@@ -17,43 +14,40 @@ from dataclasses import dataclass
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from casemill.functions.arrays import let
+from casemill.functions.arrays import counted, let
 from casemill.operators.classify import Classifier, TopicModel
 from casemill.operators.predictions import canonical_scores, confidence_decision, multi_issue_record, raw_label
 from casemill.operators.topics import dominant_topic
-from casemill.operators.vectors import TERMS, with_terms
+from casemill.operators.vectors import TERMS, frequent_terms, with_terms
 from casemill.params import DEFAULTS, Params
 from casemill.session import stage
 
 TOPIC_STEPS = 20
 
 
+def term_lists(df: DataFrame, id_column: str, p: Params = DEFAULTS) -> DataFrame:
+    """``id, terms``: the terms of every row with ``clean_text`` and how often it holds them, counted within the row."""
+    texts = df.where(F.col("clean_text").isNotNull())
+    return with_terms(texts, ngram_max=p.ngram_max).select(id_column, counted(F.col(TERMS)).alias(TERMS))
+
+
 def term_counts(df: DataFrame, id_column: str, p: Params = DEFAULTS) -> DataFrame:
     """``id, term, n`` for every term of every row with ``clean_text``. Ids are unique."""
-    terms = with_terms(df.where(F.col("clean_text").isNotNull()), ngram_max=p.ngram_max).select(id_column, F.explode(TERMS).alias("term"))
-    return terms.groupBy(id_column, "term").agg(F.count(F.lit(1)).alias("n"))
+    return term_lists(df, id_column, p).select(id_column, F.inline(TERMS))
 
 
 def vocabulary(counts: DataFrame, documents: Column, size: int, p: Params = DEFAULTS) -> DataFrame:
     """``term, idf`` of the ``size`` most frequent terms among those that ``min_df`` of all ``documents`` hold; ties by term."""
-    held = stage(counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("tf")).where(F.col("df") >= p.min_df), "terms-held")
-    steps = held.groupBy("tf").agg(F.count(F.lit(1)).alias("terms"))
-    upto = steps.withColumn("upto", F.sum("terms").over(W.orderBy(F.desc("tf"))))  # one row for each frequency that occurs
-    full = upto.where(F.col("upto") <= size).agg(F.max("upto").alias("taken"), F.min("tf").alias("least"))
-    cut = upto.where(F.col("upto") > size).agg(F.max("tf").alias("at"))
-    taken, at = F.coalesce(full.select("taken").scalar(), F.lit(0)), cut.scalar()
-    above = held.where(at.isNull() | (F.col("tf") > at))
-    edge = held.where(F.col("tf") == at).withColumn("place", F.row_number().over(W.partitionBy("tf").orderBy("term"))).where(F.col("place") <= size)
-    edge = edge.where(F.col("place") <= F.lit(size) - taken).drop("place")
-    return above.union(edge).select("term", (F.log((documents + 1) / (F.col("df") + 1)) + 1).alias("idf"))
+    found = frequent_terms(counts, size, p.min_df)
+    return found.select("term", (F.log((documents + 1) / (F.col("df") + 1)) + 1).alias("idf"))
 
 
 def weights(counts: DataFrame, terms: DataFrame) -> DataFrame:
-    """``id, term, weight``: counts times idf, scaled to length 1 per document."""
+    """``id, term, weight``: counts times idf, scaled to length 1 per document. Only terms of the vocabulary are shuffled."""
     id_column = next(c for c in counts.columns if c not in ("term", "n"))
-    raw = counts.join(terms, "term").select(id_column, "term", (F.col("n") * F.col("idf")).alias("w"))
-    length = raw.groupBy(id_column).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
-    return raw.join(length, id_column).select(id_column, "term", (F.col("w") / F.col("length")).alias("weight"))
+    raw = counts.join(stage(terms, "vocabulary"), "term").select(id_column, "term", (F.col("n") * F.col("idf")).alias("w"))
+    length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy(id_column)))
+    return raw.select(id_column, "term", (F.col("w") / length).alias("weight"))
 
 
 @dataclass(frozen=True)

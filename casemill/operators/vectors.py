@@ -1,16 +1,23 @@
-"""TF-IDF features: terms by column expressions, vocabulary and weights by Spark ML."""
+"""TF-IDF features: terms and vocabulary by DataFrame operations, weights by Spark ML.
+
+The number of different phrases grows nearly with the texts. So terms are counted within their text first, then added up
+by term, and the vocabulary is cut before anything is collected: a histogram of the term frequencies gives the frequency
+at the cut, and only terms that stand at it are ordered.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.feature import IDF, CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from casemill.functions import text
+from casemill.functions.arrays import counted
 from casemill.params import DEFAULTS, Params
+from casemill.session import stage
 
 TERMS, COUNTS, WEIGHTED, FEATURES = "terms", "term_counts", "weighted", "features"
 
@@ -24,9 +31,26 @@ def with_terms(
     return df.withColumn("_words", words).withColumn(TERMS, text.ngrams_up_to(F.col("_words"), ngram_max)).drop("_words")
 
 
+def frequent_terms(counts: DataFrame, size: int, min_df: int) -> DataFrame:
+    """``term, df, tf`` of the ``size`` most frequent terms among those in at least ``min_df`` documents; ties by term. ``counts``
+    has a row ``term, n`` for each document and term."""
+    held = stage(counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("tf")).where(F.col("df") >= min_df), "terms-held")
+    steps = held.groupBy("tf").agg(F.count(F.lit(1)).alias("terms"))
+    upto = steps.withColumn("upto", F.sum("terms").over(W.orderBy(F.desc("tf"))))  # one row for each frequency that occurs
+    full = upto.where(F.col("upto") <= size).agg(F.max("upto").alias("taken"), F.min("tf").alias("least"))
+    cut = upto.where(F.col("upto") > size).agg(F.max("tf").alias("at"))
+    taken, at = F.coalesce(full.select("taken").scalar(), F.lit(0)), cut.scalar()
+    above = held.where(at.isNull() | (F.col("tf") > at))
+    edge = held.where(F.col("tf") == at).withColumn("place", F.row_number().over(W.partitionBy("tf").orderBy("term"))).where(F.col("place") <= size)
+    return above.union(edge.where(F.col("place") <= F.lit(size) - taken).drop("place"))
+
+
 def fit_vocabulary(df: DataFrame, size: int, min_df: int, terms: str = TERMS) -> CountVectorizerModel:
-    """The ``size`` most frequent terms among those in at least ``min_df`` documents."""
-    return CountVectorizer(inputCol=terms, outputCol=COUNTS, vocabSize=size, minDF=float(min_df)).fit(df)
+    """The ``size`` most frequent terms among those in at least ``min_df`` documents; no more than these are collected."""
+    found = frequent_terms(df.select(F.inline(counted(F.col(terms)))), size, min_df).orderBy(F.desc("tf"), "term").collect()
+    if not found:
+        raise ValueError(f"no term is in {min_df} documents")
+    return CountVectorizerModel.from_vocabulary([r["term"] for r in found], inputCol=terms, outputCol=COUNTS)
 
 
 def fit_tfidf(df: DataFrame, p: Params = DEFAULTS, size: int | None = None) -> PipelineModel:

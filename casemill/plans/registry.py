@@ -665,7 +665,7 @@ def _(spark, folder):
 def _(spark, folder):
     """TF-IDF weights of the 2,000 most frequent terms in every document."""
     texts = _texts(spark, folder)
-    counts = tables.term_counts(texts, "doc_id", P)
+    counts = stage(tables.term_lists(texts, "doc_id", P), "term-lists").select("doc_id", F.inline("terms"))
     return tables.weights(counts, tables.vocabulary(counts, texts.agg(F.count(F.lit(1))).scalar(), 2000, P)).select("doc_id", "term", "weight")
 
 

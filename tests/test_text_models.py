@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from casemill.operators import classify, evaluate, predictions, sampling, similar, tables, taxonomy, topics, words
+from casemill.operators import classify, evaluate, predictions, sampling, similar, tables, taxonomy, topics, vectors, words
 from casemill.params import Params
 from casemill.sources import reports
 
@@ -296,3 +296,27 @@ def test_vocabulary_is_cut_by_frequency_then_term(spark):
         assert {r["term"] for r in tables.vocabulary(counts, F.lit(12), size, p).collect()} == want
     squares = tables.weights(counts, tables.vocabulary(counts, F.lit(12), 3, p)).groupBy("id").agg(F.sum(F.col("weight") ** 2).alias("s"))
     assert all(r["s"] == pytest.approx(1) for r in squares.collect())
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_terms_are_counted_within_their_text(spark):
+    df = spark.createDataFrame([(1, "bb aa bb"), (2, ""), (3, None), (4, "aa")], "id long, clean_text string")
+    counts = tables.term_counts(df, "id", Params(ngram_max=2))
+    assert sorted(map(tuple, counts.collect())) == [(1, "aa", 1), (1, "aa bb", 1), (1, "bb", 2), (1, "bb aa", 1), (4, "aa", 1)]
+    assert "Exchange" not in plan(counts)
+    # only terms of the vocabulary are shuffled, and once
+    found = tables.weights(counts, spark.createDataFrame([("aa", 1.0), ("bb", 2.0)], "term string, idf double"))
+    assert plan(found).count("Scan ExistingRDD") == 1
+
+
+def test_fitted_vocabulary_is_cut_by_frequency_then_term(spark):
+    df = spark.createDataFrame([([f"t{i:02}" for i in range(k, 40)],) for k in (0, 20, 20)], "terms array<string>")
+    found = vectors.fit_vocabulary(df, 25, 1)
+    assert found.vocabulary == [f"t{i}" for i in range(20, 40)] + [f"t0{i}" for i in range(5)]
+    row = found.transform(spark.createDataFrame([(["t39", "t39", "t19"],)], "terms array<string>")).first()
+    assert row["term_counts"].toArray().tolist() == [2.0 if i == 19 else 0.0 for i in range(25)]
+    with pytest.raises(ValueError):
+        vectors.fit_vocabulary(df, 25, 4)
