@@ -217,14 +217,17 @@ def stepwise_cube(spark: SparkSession, folder: str) -> CubeFacts:
     """All cases in three deliveries by year, the last of which brings the rows of 1995 again. Of the rows of one id the first
     by year and the other columns counts."""
     def add_up() -> CubeFacts:
-        rows, year = cases(spark, folder, ("Complaint ID", *SUMMARY_COLUMNS)), F.coalesce(F.col("Year"), F.lit(0))
+        year = F.coalesce(F.col("Year"), F.lit(0))
         target = f"{checkpoint_folder(spark).rstrip('/')}/casemill/steps-{uuid.uuid4().hex}"
-        for k, (since, until) in enumerate(STEP_YEARS):
-            due = (year >= (since or 0)) & (year <= (until or 9999))
-            due = due | (year == 1995) if until is None else due
-            cubes.add_step(rows.where(due), target, k, [F.col(c) for c in STEP_ORDER])
-            if k == 1:
-                cubes.merge_steps(spark, target)
+        with staged_tables_removed(spark):
+            # the joined view is stored once for all deliveries
+            rows = stage(cases(spark, folder, ("Complaint ID", *SUMMARY_COLUMNS)), "cases")
+            for k, (since, until) in enumerate(STEP_YEARS):
+                due = (year >= (since or 0)) & (year <= (until or 9999))
+                due = due | (year == 1995) if until is None else due
+                cubes.add_step(rows.where(due), target, k, [F.col(c) for c in STEP_ORDER])
+                if k == 1:
+                    cubes.merge_steps(spark, target)
         return cubes.stored_cube(spark, target)
 
     return _once(spark, folder, "stepwise", add_up)

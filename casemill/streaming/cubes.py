@@ -2,7 +2,8 @@
 
 ``add_step`` stores, under the number of the step, the additive states of the rows whose id no earlier step has, and those
 ids. Of the history only the ids are read; they stay where they are while the step is small enough to be sent to
-them. A step that is repeated finds the same rows new and overwrites what it stored, so it counts once however often it is tried.
+them. The ids alone tell which rows come again; whole rows are moved or sorted only where some do. A step that is repeated finds
+the same rows new and overwrites what it stored, so it counts once however often it is tried.
 ``merge_steps`` stores the sum of the steps so far beside them; readers take the last sum and the steps after it. What a
 failed job left without its success mark is never read.
 
@@ -33,17 +34,30 @@ def _committed(spark: SparkSession, folder: str, kind: str) -> dict[int, str]:
     return {int(p.getName().split("=")[1]): p.toString() for p in paths}
 
 
+def _first_rows(rows: DataFrame, earlier: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The first row of every id that the tables ``earlier`` do not hold."""
+    asked = rows.select(F.col(ID).alias("_asked"))
+    again = asked.groupBy(F.col("_asked").alias("_id")).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").select("_id", F.lit(False).alias("_known"))
+    if earlier:
+        known = rows.sparkSession.read.parquet(*earlier).select(F.col(ID).alias("_id"))
+        known = known.join(asked, F.col("_id").eqNullSafe(F.col("_asked")), "left_semi").select("_id", F.lit(True).alias("_known"))
+        again = again.union(known).groupBy("_id").agg(F.max("_known").alias("_known"))
+    again = stage(again, "step-ids-again")
+    if again.isEmpty():
+        return rows
+    same = F.col(ID).eqNullSafe(F.col("_id"))
+    several = dedupe_first(rows.join(again.where("not _known"), same, "left_semi"), [ID], order)
+    return rows.join(again, same, "left_anti").unionByName(several)
+
+
 def add_step(rows: DataFrame, target: str, step: int, order: Sequence[Column] = (), sets: Sequence[Sequence[str]] = CUBE_SETS) -> None:
-    """Add the processed ``rows`` of a step. Steps come in ascending order; the last one may be repeated."""
+    """Add the processed ``rows`` of a step, a stored table, since it is read a few times. Steps come in ascending order; the last
+    one may be repeated."""
     spark, target = rows.sparkSession, target.rstrip("/")
     columns = [c for c in rows.columns if c in CUBE_KEYS or c in ("Resolution_Delay", "Narrative_Word_Count", "Narrative_Length")]
     with staged_tables_removed(spark):
-        first = stage(dedupe_first(rows, [ID], order or [F.col(ID)]).select(ID, *columns), "step-rows")
         earlier = [path for k, path in _committed(spark, f"{target}/ids", STEP).items() if k < step]
-        if earlier:
-            asked, same = first.select(F.col(ID).alias("_asked")), F.col("_known").eqNullSafe(F.col("_asked"))
-            known = spark.read.parquet(*earlier).select(F.col(ID).alias("_known")).join(asked, same, "left_semi")
-            first = stage(first.join(known, F.col(ID).eqNullSafe(F.col("_known")), "left_anti"), "step-new-rows")
+        first = _first_rows(rows, earlier, order or [F.col(ID)]).select(ID, *columns)
         save_table(grouped_sets(first, sets), f"{target}/cube/{STEP}={step}")
         save_table(first.select(ID), f"{target}/ids/{STEP}={step}")
 

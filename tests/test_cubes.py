@@ -66,3 +66,17 @@ def test_ingest_keeps_a_cube(spark, tmp_path):
     found = {r["Product"]: r["rows"] for r in cubes.stored_cube(spark, cube_at).by("Product").collect()}
     assert found == {"sample": 3, "Loan": 1}
     assert rows_of(cubes.stored_cube(spark, cube_at).df) == rows_of(cube(stored_cases(spark, target)).df)
+
+
+def test_rows_are_moved_only_where_ids_come_again(spark, tmp_path):
+    rows = [(1, "b"), (1, "a"), (2, "c"), (None, "z"), (None, "y"), (3, "d")]
+    df = spark.createDataFrame(rows, "`Complaint ID` long, Product string")
+    order = [F.col("Product")]
+    df.where("Product = 'd'").select("Complaint ID").write.parquet(str(tmp_path / "ids"))
+    df.where("`Complaint ID` is null").select("Complaint ID").write.parquet(str(tmp_path / "none"))
+    found = lambda rows, *earlier: sorted(map(str, (tuple(r) for r in cubes._first_rows(rows, [str(tmp_path / e) for e in earlier], order).collect())))
+    assert found(df) == ["(1, 'a')", "(2, 'c')", "(3, 'd')", "(None, 'y')"]
+    assert found(df, "ids") == ["(1, 'a')", "(2, 'c')", "(None, 'y')"]
+    assert found(df, "ids", "none") == ["(1, 'a')", "(2, 'c')"]
+    once = cubes._first_rows(df.where("Product in ('a', 'c', 'y')"), [str(tmp_path / "ids")], order)
+    assert once.count() == 3 and "Exchange" not in once._jdf.queryExecution().executedPlan().toString()
