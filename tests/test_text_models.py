@@ -320,3 +320,13 @@ def test_fitted_vocabulary_is_cut_by_frequency_then_term(spark):
     assert row["term_counts"].toArray().tolist() == [2.0 if i == 19 else 0.0 for i in range(25)]
     with pytest.raises(ValueError):
         vectors.fit_vocabulary(df, 25, 4)
+
+
+def test_similar_texts_shuffle_the_documents_terms_once(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(similar, "stage", lambda df, name: seen.setdefault(name, df))
+    docs = spark.createDataFrame([(i, f"aa bb {'cc' if i % 2 else 'dd'} aa") for i in range(6)], "doc_id long, text string")
+    asked = spark.createDataFrame([(0, "aa cc")], "query_id long, text string")
+    found = similar.similar_texts(asked, docs, "text", 2, Params(min_df=2))
+    assert "Aggregate" not in plan(seen["similar-terms"])
+    assert [(r["doc_id"], r["rank"]) for r in found.orderBy("rank").collect()] == [(1, 1), (3, 2)]
