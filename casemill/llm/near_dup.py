@@ -16,8 +16,8 @@ Method
       chunk with one different symbol at most (pigeonhole). The allowed error is enumerated: a key for each chunk and
       each symbol left out. Documents that share a key are candidates; signatures and set sizes are compared next.
     * Documents with equal sets (two digests of 64 bits) are one representative from the start. In a bucket every member
-      is first compared with the members that lie in the largest buckets (the originals of a group of copies); confirmed
-      links are joined into components.
+      first meets the members that lie in the largest buckets (the originals of a group of copies) and is compared with the few
+      of them that it meets most often, so the pairs grow with the members only; confirmed links are joined into components.
     * Where a bucket then still holds several components, its members are compared in tiles of bounded size, by a longer
       signature with the same margin. A tile hands on no pairs, only which components may belong together, as a forest.
     * Components that may belong together are a family. The full sets of a family meet once, in tiles of bounded size;
@@ -318,6 +318,13 @@ def links_in_families(members: DataFrame, p: NearDup) -> DataFrame:
     return rows.groupBy("family", "low", "high").applyInArrow(confirm_all, "a bigint, b bigint")
 
 
+def first_pairs(met: DataFrame, p: NearDup) -> DataFrame:
+    """``a, b``: for each member ``rep`` the ``centres`` representatives ``a`` that it meets in the most buckets."""
+    pairs = met.where("rep <> a").groupBy("a", F.col("rep").alias("b")).agg(F.count(F.lit(1)).alias("shared"), F.max("weight").alias("weight"))
+    nearest = Window.partitionBy("b").orderBy(F.desc("shared"), F.desc("weight"), F.desc("a"))
+    return pairs.withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= p.centres).select("a", "b")
+
+
 def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every document."""
     signed = stage(signatures(docs, p), "near-signatures")
@@ -332,8 +339,7 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     # the members of each bucket that lie in the largest buckets; a task hands on no more than these of a bucket
     order = Window.partitionBy("key").orderBy(F.desc("weight"), F.desc("rep"))
     best = members.join(weight, "rep").select("key", "weight", "rep").withColumn("place", F.row_number().over(order)).where(F.col("place") <= p.centres)
-    stars = (members.join(best.select("key", F.col("rep").alias("a")), "key").where("rep <> a")
-             .select("a", F.col("rep").alias("b")).distinct())
+    stars = first_pairs(members.join(best.select("key", F.col("rep").alias("a"), "weight"), "key"), p)
     facts = reps.select("rep", "n_shingles", "signature")
     left, right = (facts.select(F.col("rep").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("signature").alias(f"s_{c}"))
                    for c in "ab")

@@ -279,6 +279,14 @@ def test_near_duplicates(docs, odd_rows):
     assert got == near(known) + Counter((None, n, None, True) for (_, n, _, _), c in near(sizes).items() for _ in range(c))
 
 
+def test_first_pairs_grow_with_the_members_only(spark):
+    """Every member of a group meets another centre in each bucket, and two of them in two buckets."""
+    met = [(f"{b}-{a}", b, a, 40 - a) for b in range(40) for a in range(40)] + [(f"{b}+{a}", b, a, 40 - a) for b in range(40) for a in (30, 31)]
+    found = near_dup.first_pairs(spark.createDataFrame(met, "key string, rep long, a long, weight long"), near_dup.NearDup())
+    got = table(found, "b", "a")
+    assert got == Counter((b, a) for b in range(40) for a in [x for x in (30, 31, 0, 1, 2) if x != b][:3])
+
+
 def test_large_family_mostly_below_the_limit(frame):
     """Copies of one text with as many changes that most pairs are no link; a third of the rows has no id."""
     import random
