@@ -20,6 +20,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A hot join key is split even when a later step then needs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM never compiles a method of more than 8,000 bytes. A stage whose one method would be longer runs as separate
+    # projections, whose code Spark splits.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

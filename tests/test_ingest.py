@@ -1,4 +1,5 @@
 import csv
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -129,3 +130,12 @@ def test_headers_of_two_lines_and_packed_files(spark, tmp_path):
     out = preprocess(read_raw_csv(spark, str(tmp_path)))  # strips the \r that is left where a line break in a name is a bare \n
     assert sorted((r["Complaint ID"], r["Odd\nname"], r["Product"]) for r in out.collect()) == [
         ("1", "surplus", "sample"), ("2", "surplus", "sample"), ("2", "surplus", "sample")]
+
+
+def test_no_method_of_the_stage_is_too_long_for_the_compiler(spark, tmp_path):
+    """HotSpot leaves methods of more than 8,000 bytes interpreted; the one of this stage is longer."""
+    write(tmp_path / "a.csv", [record()])
+    processed = preprocess(read_raw_csv(spark, str(tmp_path / "a.csv")))
+    code = spark._jvm.PythonSQLUtils.explainString(processed._jdf.queryExecution(), "codegen")
+    longest = max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code))
+    assert min(longest, int(spark.conf.get("spark.sql.codegen.hugeMethodLimit"))) <= 8000
