@@ -639,22 +639,27 @@ def _once(spark: SparkSession, folder: str, name: str, fit: Callable[[], object]
     return _models[key]
 
 
-def _texts(spark: SparkSession, folder: str, drop_empty: bool = False) -> DataFrame:
+def _texts(spark: SparkSession, folder: str) -> DataFrame:
     df = document_narratives(spark, folder)
-    return classify.text_rows(df, NARRATIVE, drop_empty).select(
+    return classify.text_rows(df, NARRATIVE).select(
         "doc_id", "clean_text", "Product", "Issue"
     )
 
 
+def _stored_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """The cleaned texts, stored once in a session: sampling, splitting, fitting and scoring go over them many times."""
+    return _once(spark, folder, "texts", lambda: stage(_texts(spark, folder), "clean-texts"))
+
+
 def _judged_texts(spark: SparkSession, folder: str) -> DataFrame:
     """The texts with what ``labels`` says of some of them as the issue: a source says nothing about a text's words."""
     judged = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "weak")
     labels_ = table(spark, folder, "labels").select("doc_id", judged.alias("Issue"))
-    return _texts(spark, folder).drop("Issue").join(labels_, "doc_id", "left")
+    return _stored_texts(spark, folder).drop("Issue").join(labels_, "doc_id", "left")
 
 
 def _classifier(spark: SparkSession, folder: str, target: str) -> classify.Classifier:
-    canonical, texts = {"Product": (taxonomy.canonical_product, _texts), "Issue": (taxonomy.canonical_issue, _judged_texts)}[target]
+    canonical, texts = {"Product": (taxonomy.canonical_product, _stored_texts), "Issue": (taxonomy.canonical_issue, _judged_texts)}[target]
     p = MODEL if target == "Product" else replace(MODEL, min_class_rows=2)  # labels are few in the smallest tables
     return _once(spark, folder, target, lambda: classify.train_classifier(texts(spark, folder), target, "doc_id", canonical, p))
 
@@ -674,14 +679,14 @@ def _(spark, folder):
 
 @query("classifier_grid")
 def _(spark, folder):
-    texts = _texts(spark, folder, drop_empty=True)
+    texts = _stored_texts(spark, folder).where(F.length("clean_text") > 0)
     return classify.tune_classifier(texts, "Product", "doc_id", MODEL)[1]
 
 
 @query("scored_texts")
 def _(spark, folder):
     model = _classifier(spark, folder, "Product")
-    return classify.score_texts(model, _texts(spark, folder), {}, MODEL).select("doc_id", "prediction.label", "prediction.decision")
+    return classify.score_texts(model, _stored_texts(spark, folder), {}, MODEL).select("doc_id", "prediction.label", "prediction.decision")
 
 
 def analysis_tables(spark: SparkSession, folder: str) -> tables.Analysis:
@@ -694,14 +699,14 @@ def analysis_tables(spark: SparkSession, folder: str) -> tables.Analysis:
 @query("analyzed_texts")
 def _(spark, folder):
     """Product, issue and topic of every text that is not empty, from the tables of three fitted models."""
-    found = tables.analyzed(_texts(spark, folder), "doc_id", analysis_tables(spark, folder), {}, {}, MODEL)
+    found = tables.analyzed(_stored_texts(spark, folder).select("doc_id", "clean_text"), "doc_id", analysis_tables(spark, folder), {}, {}, MODEL)
     return found.select(
         "doc_id", *[F.col(f"{m}.{c}").alias(f"{m}_{c}") for m in ("product", "issue") for c in ("label", "confidence", "decision")],
         F.size("multi_issue.additional_candidate_issues").alias("additional_issues"), "topic_id", "confidence")
 
 
 def _topic_model(spark, folder):
-    texts = _texts(spark, folder)
+    texts = _stored_texts(spark, folder)
     return _once(spark, folder, "topics", lambda: classify.train_topics(texts, MODEL)), texts
 
 

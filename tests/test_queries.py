@@ -3,6 +3,7 @@
 import pytest
 
 from casemill.plans.oracle import ORACLE
+from casemill.plans import registry
 from casemill.plans.registry import QUERIES
 from compare import connect, differences
 
@@ -36,3 +37,12 @@ def test_entry_runs(spark):
     from __spark_entry__ import entry
 
     assert entry(spark).count() > 0
+
+
+def test_models_read_texts_that_are_cleaned_once(spark, data):
+    """Sampling and splitting go over the rows many times; the texts are not cleaned again each time."""
+    judged = registry._judged_texts(spark, data)
+    for texts in (registry._stored_texts(spark, data), judged):
+        assert "regexp_replace" not in texts._jdf.queryExecution().optimizedPlan().toString()
+    assert registry._stored_texts(spark, data).inputFiles() == registry._stored_texts(spark, data).inputFiles()
+    assert sorted(registry._stored_texts(spark, data).collect()) == sorted(registry._texts(spark, data).collect())
