@@ -1,18 +1,22 @@
-"""Fitted text models as tables, and scoring as joins and aggregations over them: no model object, no Python in a task.
+"""Fitted text models as tables, and scoring over them without a model object.
 
-A linear model is ``term, idf, weights`` (one weight per class, in class order) and ``position, label, intercept``. A text
-meets the table on its terms; products are added up per text before the shuffle, so a frequent term costs a row per text
-that holds it and nothing travels per class. Softmax, canonical labels, decision and candidates are column expressions
-over the sums. A topic model is ``term, weights`` (probability of the term in each topic); the topic weights of a text are
-the fixed point that explains its terms best. All models are scored in one pass over the terms.
+A linear model is ``term, idf, weights`` (one weight per class, in class order) and ``position, label, intercept``. The
+tables, which the vocabulary bounds, go to every executor; a text meets them where it lies, in Arrow batches, so neither
+terms nor texts are shuffled. Softmax, canonical labels, decision and candidates are column expressions over the sums. A
+topic model is ``term, weights`` (probability of the term in each topic); the topic weights of a text are the fixed point
+that explains its terms best. All models are scored in one pass over the terms.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from casemill.functions.arrays import counted, let
 from casemill.operators.classify import Classifier, TopicModel
@@ -23,6 +27,7 @@ from casemill.params import DEFAULTS, Params
 from casemill.session import stage
 
 TOPIC_STEPS = 20
+TEXTS_AT_ONCE = 512  # texts whose sums a task holds at a time
 
 
 def term_lists(df: DataFrame, id_column: str, p: Params = DEFAULTS) -> DataFrame:
@@ -118,51 +123,94 @@ def _probability(sums: Column, length: Column, intercepts: Column) -> Column:
     return _softmax(F.zip_with(intercepts, F.coalesce(scaled, F.transform(intercepts, lambda _: F.lit(0.0))), lambda a, b: a + b))
 
 
-def topic_weights(terms: Column, k: int, steps: int = TOPIC_STEPS) -> Column:
-    """Weights of ``k`` topics for a text whose known terms are ``array<struct<n, weights>>``: starting from equal weights, each
-    step shares every term out among the topics by weight times probability, and adds 1 / k for each topic."""
-    def step(theta: Column, _: Column) -> Column:
-        def share(sums: Column, t: Column) -> Column:
-            parts = F.zip_with(theta, t["weights"], lambda a, b: a * b)
-            return let(parts, lambda part: let(
-                F.aggregate(part, F.lit(0.0), lambda s, x: s + x),
-                lambda total: F.when(total > 0, F.zip_with(sums, part, lambda s, x: s + t["n"] * x / total)).otherwise(sums)))
+def topic_weights(doc: np.ndarray, n: np.ndarray, share: np.ndarray, texts: int, steps: int = TOPIC_STEPS) -> np.ndarray:
+    """Weights of the topics for each text, whose known terms are rows of ``doc``, ``n`` and ``share`` (probability in each
+    topic): starting from equal weights, each step shares every term out among the topics by weight times probability, and
+    adds 1 / k for each topic."""
+    k = share.shape[1]
+    theta = np.full((texts, k), 1 / k)
+    for _ in range(steps):
+        part = theta[doc] * share
+        total = part.sum(axis=1)
+        part *= np.divide(n, total, out=np.zeros_like(total), where=total > 0)[:, None]
+        theta = 1 / k + np.stack([np.bincount(doc, part[:, t], texts) for t in range(k)], axis=1)
+        theta /= theta.sum(axis=1, keepdims=True)
+    return theta
 
-        found = F.aggregate(terms, F.array_repeat(F.lit(1.0 / k), k), share)
-        return let(found, lambda f: let(F.aggregate(f, F.lit(0.0), lambda s, x: s + x), lambda total: F.transform(f, lambda x: x / total)))
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.array_repeat(F.lit(1.0 / k), k), step)
+@dataclass(frozen=True)
+class _Known:
+    """What the models know of each term; zeros where a model does not hold it."""
+    terms: pa.Array
+    linear: list[tuple[np.ndarray, np.ndarray]]  # idf, weights
+    topics: np.ndarray
+
+
+def _known(models: Analysis, classes: list[int]) -> _Known:
+    """The tables of the models by term. The vocabulary, which fitting holds on the driver, bounds them."""
+    rows = [m.collect() for m in (models.product.terms, models.issue.terms, models.topics)]
+    at = {t: i for i, t in enumerate(dict.fromkeys(r["term"] for found in rows for r in found))}
+
+    def spread_out(found: list, column: str, width: int) -> np.ndarray:
+        out = np.zeros((len(at), width))
+        if found:
+            out[[at[r["term"]] for r in found]] = np.array([r[column] for r in found], dtype=float).reshape(len(found), -1)
+        return out
+
+    linear = [(spread_out(found, "idf", 1)[:, 0], spread_out(found, "weights", width)) for found, width in zip(rows, classes)]
+    return _Known(pa.array(at, pa.string()), linear, spread_out(rows[2], "weights", len(rows[2][0]["weights"]) if rows[2] else 1))
+
+
+def _lists(values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1) * values.shape[1], pa.int32()), pa.array(values.ravel().astype(float)))
+
+
+def _sums(terms: pa.Array, known: _Known) -> list[pa.Array]:
+    """For each linear model the products added up by class and the length, then the topic weights, of some texts."""
+    texts, size = len(terms), max(len(known.terms), 1)
+    lengths = pc.fill_null(pc.list_value_length(terms), 0).to_numpy(zero_copy_only=False)
+    at = pc.fill_null(pc.index_in(terms.flatten(), value_set=known.terms), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    doc = np.repeat(np.arange(texts), lengths)
+    pairs, n = np.unique((doc * size + at)[at >= 0], return_counts=True)
+    (doc, at), n, out = np.divmod(pairs, size), n.astype(float), []
+    for idf, weights in known.linear:
+        w = n * idf[at]
+        out.append(_lists(np.stack([np.bincount(doc, w * column[at], texts) for column in weights.T], axis=1)))
+        out.append(pa.array(np.sqrt(np.bincount(doc, w * w, texts)).astype(float)))
+    held = known.topics.any(axis=1)[at]
+    return [*out, _lists(topic_weights(doc[held], n[held], known.topics[at[held]], texts))]
+
+
+SUMS = "_product array<double>, _product_length double, _issue array<double>, _issue_length double, _topics array<double>"
 
 
 def analyzed(df: DataFrame, id_column: str, models: Analysis, product_names: dict[str, str], issue_names: dict[str, str],
              p: Params = DEFAULTS) -> DataFrame:
     """Product record, issue record, candidates, and topic of every row whose ``clean_text`` is not empty; ids are unique."""
-    rows = df.where(F.length("clean_text") > 0)
-    known = models.topics.select("term", F.col("weights").alias("t"))
-    labels, intercepts, sums = {}, {}, []
+    rows = with_terms(df.where(F.length("clean_text") > 0), ngram_max=p.ngram_max)
+    labels, intercepts = {}, {}
     for name, model in (("product", models.product), ("issue", models.issue)):
-        known = known.join(model.terms.select("term", F.col("idf").alias(f"{name}_idf"), F.col("weights").alias(f"{name}_w")), "term", "full_outer")
         classes = model.classes.orderBy("position").collect()
         labels[name] = [r["label"] for r in classes]
         intercepts[name] = F.array(*[F.lit(r["intercept"]) for r in classes])
-        w = F.col("n") * F.col(f"{name}_idf")
-        sums += [F.sum(w * F.get(f"{name}_w", F.lit(i))).alias(f"{name}_{i}") for i in range(len(classes))]
-        sums.append(F.sqrt(F.sum(w * w)).alias(f"{name}_length"))
-    first = models.topics.first()
-    k = len(first["weights"]) if first else 1
-    held = F.filter(F.collect_list(F.when(F.col("t").isNotNull(), F.struct("n", F.col("t").alias("weights")))), lambda x: x.isNotNull())
-    counts = term_counts(rows.select(id_column, "clean_text"), id_column, p)
-    met = counts.join(known, "term").groupBy(id_column).agg(*sums, held.alias("topic_terms"))
-    out = rows.join(met, id_column, "left")
+    known = df.sparkSession.sparkContext.broadcast(_known(models, [len(labels[name]) for name in ("product", "issue")]))
+
+    columns, schema = df.columns, T.StructType([*df.schema.fields, *T.StructType.fromDDL(SUMS).fields])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(i, TEXTS_AT_ONCE)
+                arrays = [*[part.column(c) for c in columns], *_sums(part.column(TERMS), known.value)]
+                yield pa.RecordBatch.from_arrays(arrays, schema.names)
+
+    out = rows.select(*columns, TERMS).mapInArrow(score, schema)
     names = {"product": product_names, "issue": issue_names}
     for name in ("product", "issue"):
-        parts = F.array(*[F.coalesce(F.col(f"{name}_{i}"), F.lit(0.0)) for i in range(len(labels[name]))])
-        out = out.withColumn("_p", _probability(parts, F.col(f"{name}_length"), intercepts[name]))
+        out = out.withColumn("_p", _probability(F.col(f"_{name}"), F.col(f"_{name}_length"), intercepts[name]))
         out = out.withColumn("_scores", canonical_scores(F.col("_p"), labels[name], names[name]))
         out = out.withColumn(name, confidence_decision(F.col("_scores"), raw_label(F.col("_p"), labels[name]), p))
         if name == "issue":
             out = out.withColumn("multi_issue", multi_issue_record(F.col("_scores"), p))
-    none = F.array().cast("array<struct<n:bigint,weights:array<double>>>")
-    out = out.withColumn("_topics", topic_weights(F.coalesce("topic_terms", none), k))
     out = out.withColumn("topic_id", dominant_topic(F.col("_topics"))).withColumn("confidence", F.array_max("_topics"))
     return out.select(*df.columns, "product", "issue", "multi_issue", "topic_id", "confidence")

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -330,3 +331,38 @@ def test_similar_texts_shuffle_the_documents_terms_once(spark, monkeypatch):
     found = similar.similar_texts(asked, docs, "text", 2, Params(min_df=2))
     assert "Aggregate" not in plan(seen["similar-terms"])
     assert [(r["doc_id"], r["rank"]) for r in found.orderBy("rank").collect()] == [(1, 1), (3, 2)]
+
+
+def test_texts_meet_the_models_where_they_lie(spark):
+    """No term and no text is shuffled; unknown terms, empty texts and terms of one model only count as such."""
+    schema = "term string, idf double, weights array<double>"
+    product = tables.LinearTable(spark.createDataFrame([("aa", 2.0, [1.0, -1.0]), ("bb", 1.0, [0.0, 3.0])], schema),
+                                 spark.createDataFrame([(0, "x", 0.5), (1, "y", 0.0)], "position int, label string, intercept double"))
+    issue = tables.LinearTable(spark.createDataFrame([("cc", 1.0, [1.0, 0.0, 0.0])], schema),
+                               spark.createDataFrame([(i, c, 0.0) for i, c in enumerate("pqr")], "position int, label string, intercept double"))
+    topic_rows = spark.createDataFrame([("aa", [0.9, 0.1]), ("zz", [0.0, 0.0])], "term string, weights array<double>")
+    texts = spark.createDataFrame([(1, "aa bb aa"), (2, "qq zz"), (3, ""), (4, None), (5, "cc")], "id long, clean_text string")
+    found = tables.analyzed(texts, "id", tables.Analysis(product, issue, topic_rows), {}, {}, Params(ngram_max=1))
+    assert "Exchange" not in plan(found)
+    assert found.select("id", "product.label", F.size("multi_issue.additional_candidate_issues"), F.round("confidence", 6)).count() == 3
+    rows = {r["id"]: r for r in found.collect()}
+    assert set(rows) == {1, 2, 5}
+    margin = (0.5 + 4 / math.sqrt(17)) - (-4 + 3) / math.sqrt(17)
+    assert rows[1]["product"]["label"] == "x" and rows[1]["product"]["confidence"] == pytest.approx(1 / (1 + math.exp(-margin)), abs=1e-4)
+    assert rows[2]["product"]["confidence"] == pytest.approx(1 / (1 + math.exp(-0.5)), abs=1e-4) and rows[2]["confidence"] == 0.5
+    assert rows[5]["issue"]["label"] == "p" and rows[5]["issue"]["confidence"] == pytest.approx(math.e / (math.e + 2), abs=1e-4)
+    assert rows[1]["topic_id"] == 0 and rows[1]["confidence"] > 0.6
+
+
+def rows_of(arrays):
+    return list(zip(*[a.to_pylist() for a in arrays]))
+
+
+def test_many_texts_are_scored_in_parts():
+    known = tables._Known(pa.array(["aa", "bb"]), [(np.array([1.0, 2.0]), np.array([[1.0], [3.0]]))] * 2, np.array([[0.3, 0.7], [0.6, 0.4]]))
+    terms = pa.array([["aa", "bb", "bb"], [], ["cc"], ["bb"], None, ["aa"]])
+    whole = rows_of(tables._sums(terms, known))
+    parts = [r for i in range(0, 6, 2) for r in rows_of(tables._sums(terms.slice(i, 2), known))]
+    assert whole == parts and whole[0][0] == [13.0] and whole[0][1] == pytest.approx(math.sqrt(17))
+    assert whole[2][4] == [0.5, 0.5] and whole[4][0] == [0.0]
+    assert [a.type for a in tables._sums(terms.slice(2, 1), known)] == [a.type for a in tables._sums(terms, known)]
