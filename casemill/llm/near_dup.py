@@ -158,6 +158,17 @@ def bucket_keys(reps: DataFrame, p: NearDup) -> DataFrame:
     return reps.select("rep", "signature").mapInArrow(task, "key bigint, rep bigint, left_out smallint")
 
 
+def shared_buckets(reps: DataFrame, p: NearDup) -> DataFrame:
+    """``key, rep, left_out, size`` of every bucket with two members or more.
+
+    Nearly all keys occur once, so a count per task would hold them all and save nothing: keys are made once, go to their
+    bucket and are counted there. The representatives are dealt evenly first, as each gives ``symbols`` rows.
+    """
+    dealt = reps.select("rep", "signature").repartition(partitions(reps), "rep")
+    size = F.count(F.lit(1)).over(Window.partitionBy("key"))
+    return bucket_keys(dealt, p).withColumn("size", size).where("size > 1")
+
+
 def _different(p: NearDup, a: str, b: str) -> F.Column:
     """Number of different symbols of two signatures."""
     x, y = F.hex(a), F.hex(b)
@@ -332,9 +343,7 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     reps = stage(filled.groupBy("set_a", "set_b").agg(
         F.min("doc_id").alias("id"), F.min("n_shingles").alias("n_shingles"), F.min("signature").alias("signature"),
     ).withColumn("rep", F.monotonically_increasing_id()), "near-representatives")
-    keys = bucket_keys(reps, p)
-    sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = stage(keys.join(sizes, "key"), "near-buckets")
+    members = stage(shared_buckets(reps, p), "near-buckets")
     weight = members.groupBy("rep").agg(F.sum("size").alias("weight"))
     # the members of each bucket that lie in the largest buckets; a task hands on no more than these of a bucket
     order = Window.partitionBy("key").orderBy(F.desc("weight"), F.desc("rep"))
@@ -352,7 +361,8 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup()) -> DataFrame:
     labelled = members.join(found.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
     open_ = stage(labelled.join(mixed.select("key"), "key", "left_semi"), "near-open")
-    related = families(open_.join(facts, "rep").join(sets.select("rep", "long"), "rep"), p)
+    # stored: the links are read in both directions, the tiles are compared once
+    related = stage(families(open_.join(facts, "rep").join(sets.select("rep", "long"), "rep"), p), "near-related")
     family = components(related, "near-families").select(F.col("id").alias("component"), F.col("component").alias("family"))
     asked = open_.select("rep", "component").distinct().join(family, "component").join(sets.select("rep", "values"), "rep")
     rest = stage(links_in_families(asked, p), "near-links")

@@ -1,6 +1,7 @@
 """Each operator against a brute-force version on odd rows, on an empty table and with clashing columns."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -307,6 +308,23 @@ def test_large_family_mostly_below_the_limit(frame):
     assert 5 < sum(k for _, _, k in want) < 390
 
 
+def test_bucket_keys_are_made_once_and_counted_in_their_bucket(spark):
+    p = near_dup.NearDup()
+    rnd = random.Random(11)
+    one, two = (bytes(rnd.randrange(256) for _ in range(p.symbols)) for _ in range(2))
+    near_one = bytes([one[0] ^ 1]) + one[1:]
+    reps = spark.createDataFrame([(1, one), (2, near_one), (3, two), (4, one)], "rep long, signature binary")
+    got = near_dup.shared_buckets(reps, p)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # the keys go to their bucket without a table of them in every task
+    assert plan.count("MapInArrow") == 1 and "Aggregate" not in plan
+    keys = [tuple(r) for r in near_dup.bucket_keys(reps, p).collect()]
+    size = Counter(k for k, _, _ in keys)
+    want = Counter((k, r, at, size[k]) for k, r, at in keys if size[k] > 1)
+    assert table(got, "key", "rep", "left_out", "size") == want
+    assert {r for _, r, _, _ in want} == {1, 2, 4} and {n for _, _, _, n in want} == {2, 3}
+
+
 def test_chain_and_tiles_of_near_copies(frame):
     import random
 
