@@ -20,7 +20,7 @@ from casemill.operators import evaluate
 from casemill.operators.predictions import canonical_scores, confidence_decision, multi_issue_record, raw_label
 from casemill.operators.sampling import keep_frequent, sample_rows, stratified_split
 from casemill.operators.topics import document_topics
-from casemill.operators.vectors import COUNTS, FEATURES, TERMS, WEIGHTED, fit_tfidf, fit_vocabulary, with_terms
+from casemill.operators.vectors import COUNTS, FEATURES, TERMS, WEIGHTED, fit_tfidf, fit_tfidfs, fit_vocabulary, with_terms
 from casemill.operators.words import with_clean_text
 from casemill.params import DEFAULTS, Params
 from casemill.session import stage
@@ -94,15 +94,20 @@ def _prepare(df: DataFrame, id_column: str, p: Params, sample: int) -> tuple[Dat
     return parts.filter(~F.col("_test")).drop("_test"), parts.filter("_test").drop("_test")
 
 
-def _fit(train: DataFrame, tfidf: PipelineModel, p: Params, candidate: Candidate, rows: int) -> tuple[PipelineModel, list[str]]:
-    indexer = StringIndexer(inputCol="label", outputCol="_y", stringOrderType="alphabetAsc").fit(train)
-    data = indexer.transform(tfidf.transform(train)).select(FEATURES, "_y", "label")
+def _features(train: DataFrame, tfidf: PipelineModel) -> DataFrame:
+    """The training rows as vectors, stored: a fit goes over them twice before it holds them."""
+    return stage(tfidf.transform(train).select(FEATURES, "label"), "features")
+
+
+def _fit(features: DataFrame, tfidf: PipelineModel, p: Params, candidate: Candidate, rows: int) -> tuple[PipelineModel, list[str]]:
+    indexer = StringIndexer(inputCol="label", outputCol="_y", stringOrderType="alphabetAsc").fit(features)
+    data = indexer.transform(features)
     estimator = LogisticRegression(
         featuresCol=FEATURES, labelCol="_y", family="multinomial", standardization=False,
         regParam=1.0 / (candidate.c * rows), maxIter=p.max_iter, tol=p.tolerance,
     )
     if candidate.balanced:
-        data = data.join(balance(train).select("label", "weight"), "label")
+        data = data.join(balance(features).select("label", "weight"), "label")
         estimator = estimator.setWeightCol("weight")
     names = IndexToString(inputCol="prediction", outputCol="y_pred", labels=indexer.labels)
     model = estimator.fit(data)
@@ -118,7 +123,7 @@ def train_classifier(
     """Train on canonical labels; vocabulary, weights and model come from the training rows only."""
     train, test = _prepare(labelled(df, target, canonical), id_column, p, p.training_sample)
     tfidf = fit_tfidf(train, p, candidate.vocabulary)
-    model, classes = _fit(train, tfidf, p, candidate, train.count())
+    model, classes = _fit(_features(train, tfidf), tfidf, p, candidate, train.count())
     scored = model.transform(test).withColumn("probability", vector_to_array("probability"))
     return Classifier(model, classes, scored.select(id_column, F.col("label").alias("y_true"), "y_pred", "probability"))
 
@@ -130,10 +135,11 @@ def tune_classifier(
     depend on each other, so ``p.fits_at_once`` of them are fitted at the same time."""
     train, test = _prepare(labelled(df, target), id_column, p, p.tuning_sample)
     n = train.count()
-    tfidf = {size: fit_tfidf(train, p, size) for size in {g.vocabulary for g in grid}}
+    tfidf = fit_tfidfs(train, p, sorted({g.vocabulary for g in grid}))
+    features = {size: _features(train, model) for size, model in tfidf.items()}
 
     def point(g: Candidate) -> tuple[Classifier, float | None]:
-        model, classes = _fit(train, tfidf[g.vocabulary], p, g, n)
+        model, classes = _fit(features[g.vocabulary], tfidf[g.vocabulary], p, g, n)
         scored = model.transform(test).withColumn("probability", vector_to_array("probability"))
         scored = scored.select(id_column, F.col("label").alias("y_true"), "y_pred", "probability")
         return Classifier(model, classes, scored), evaluate.accuracy(evaluate.confusion(scored)).first()["accuracy"]

@@ -53,16 +53,24 @@ def fit_vocabulary(df: DataFrame, size: int, min_df: int, terms: str = TERMS) ->
     return CountVectorizerModel.from_vocabulary([r["term"] for r in found], inputCol=terms, outputCol=COUNTS)
 
 
+def fit_tfidfs(df: DataFrame, p: Params, sizes: Sequence[int]) -> dict[int, PipelineModel]:
+    """``fit_tfidf`` for several vocabularies in one go: the terms have an order, so a smaller vocabulary is the beginning of a
+    larger one, and the weight of a term does not depend on the others."""
+    largest = fit_vocabulary(df, max(sizes), p.min_df)
+    weights = IDF(inputCol=COUNTS, outputCol=WEIGHTED).fit(largest.transform(df)).idf.toArray() + 1.0
+
+    def first(size: int) -> PipelineModel:
+        return PipelineModel(
+            [
+                CountVectorizerModel.from_vocabulary(largest.vocabulary[:size], inputCol=TERMS, outputCol=COUNTS),
+                ElementwiseProduct(scalingVec=Vectors.dense(weights[:size]), inputCol=COUNTS, outputCol=WEIGHTED),
+                Normalizer(inputCol=WEIGHTED, outputCol=FEATURES),
+            ]
+        )
+
+    return {size: first(size) for size in sizes}
+
+
 def fit_tfidf(df: DataFrame, p: Params = DEFAULTS, size: int | None = None) -> PipelineModel:
     """Counts times (1 + smoothed inverse document frequency), scaled to length 1. Fit it on training rows only."""
-    vocabulary = fit_vocabulary(df, size or p.vocabulary, p.min_df)
-    idf = IDF(inputCol=COUNTS, outputCol=WEIGHTED).fit(vocabulary.transform(df))
-    weights = Vectors.dense(idf.idf.toArray() + 1.0)
-    return PipelineModel(
-        [
-            vocabulary,
-            ElementwiseProduct(scalingVec=weights, inputCol=COUNTS, outputCol=WEIGHTED),
-            Normalizer(inputCol=WEIGHTED, outputCol=FEATURES),
-        ]
-    )
-
+    return fit_tfidfs(df, p, [size or p.vocabulary])[size or p.vocabulary]

@@ -176,6 +176,20 @@ def test_grid_takes_the_first_best(letters):
     assert table.count() == 2 and len(best.classes) == 4
 
 
+def test_vocabularies_of_a_grid_are_fitted_in_one_go(letters, monkeypatch):
+    calls, fit = [], vectors.fit_vocabulary
+    monkeypatch.setattr(vectors, "fit_vocabulary", lambda *a, **k: calls.append(a) or fit(*a, **k))
+    p = Params(min_df=2)
+    rows = vectors.with_terms(classify.text_rows(letters, "narrative", drop_empty=True)).cache()
+    both = vectors.fit_tfidfs(rows, p, [5, 12])
+    assert len(calls) == 1
+    for size, model in both.items():
+        alone = fit(rows, size, p.min_df)
+        assert model.stages[0].vocabulary == alone.vocabulary and len(alone.vocabulary) <= size
+        idf = vectors.IDF(inputCol=vectors.COUNTS, outputCol="w").fit(alone.transform(rows))
+        assert np.array_equal(model.stages[1].getScalingVec().toArray(), idf.idf.toArray() + 1.0)
+
+
 def test_rare_classes_leave(letters):
     texts = classify.text_rows(letters, "narrative")
     with pytest.raises(ValueError, match="Not enough classes"):
