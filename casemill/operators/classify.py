@@ -20,7 +20,7 @@ from casemill.operators import evaluate
 from casemill.operators.predictions import canonical_scores, confidence_decision, multi_issue_record, raw_label
 from casemill.operators.sampling import keep_frequent, sample_rows, stratified_split
 from casemill.operators.topics import document_topics
-from casemill.operators.vectors import COUNTS, FEATURES, TERMS, WEIGHTED, fit_tfidf, fit_tfidfs, fit_vocabulary, with_terms
+from casemill.operators.vectors import COUNTS, FEATURES, TERMS, WEIGHTED, apply_model, fit_tfidf, fit_tfidfs, fit_vocabulary, with_terms
 from casemill.operators.words import with_clean_text
 from casemill.params import DEFAULTS, Params
 from casemill.session import stage
@@ -50,8 +50,7 @@ class Classifier:
     def predict(self, df: DataFrame) -> DataFrame:
         """Probabilities (array in class order) and the predicted label for rows with ``clean_text``, or with terms
         made before."""
-        out = self.model.transform(df if TERMS in df.columns else with_terms(df))
-        out = out.withColumn("probability", vector_to_array("probability"))
+        out = apply_model(self.model, df).withColumn("probability", vector_to_array("probability"))
         return out.drop(*(() if TERMS in df.columns else (TERMS,)), COUNTS, WEIGHTED, FEATURES, "rawPrediction", "prediction", "_y")
 
 
@@ -82,21 +81,21 @@ def balance(df: DataFrame) -> DataFrame:
 
 
 def _prepare(df: DataFrame, id_column: str, p: Params, sample: int) -> tuple[DataFrame, DataFrame]:
-    """Training and test rows of at most ``sample`` labelled rows, with their terms. Both are stored, because fitting
-    reads them many times and the split should not be worked out again each time."""
+    """Training and test rows of at most ``sample`` labelled rows. Both are stored, because fitting reads them many times
+    and the split should not be worked out again each time."""
     rows = keep_frequent(sample_rows(df, sample, id_column, p.seed), "label", p.min_class_rows)
     rows = stage(rows.select(id_column, "label", "clean_text"), "labelled")
     if rows.select("label").distinct().limit(2).count() < 2:
         raise ValueError("Not enough classes remain to train a classifier")
     train, test = stratified_split(rows, "label", id_column, seed=p.seed)
     parts = train.withColumn("_test", F.lit(False)).unionByName(test.withColumn("_test", F.lit(True)))
-    parts = stage(with_terms(parts, ngram_max=p.ngram_max).drop("clean_text"), "training")
+    parts = stage(parts, "training")
     return parts.filter(~F.col("_test")).drop("_test"), parts.filter("_test").drop("_test")
 
 
 def _features(train: DataFrame, tfidf: PipelineModel) -> DataFrame:
     """The training rows as vectors, stored: a fit goes over them twice before it holds them."""
-    return stage(tfidf.transform(train).select(FEATURES, "label"), "features")
+    return stage(apply_model(tfidf, train).select(FEATURES, "label"), "features")
 
 
 def _fit(features: DataFrame, tfidf: PipelineModel, p: Params, candidate: Candidate, rows: int) -> tuple[PipelineModel, list[str]]:
@@ -124,7 +123,7 @@ def train_classifier(
     train, test = _prepare(labelled(df, target, canonical), id_column, p, p.training_sample)
     tfidf = fit_tfidf(train, p, candidate.vocabulary)
     model, classes = _fit(_features(train, tfidf), tfidf, p, candidate, train.count())
-    scored = model.transform(test).withColumn("probability", vector_to_array("probability"))
+    scored = apply_model(model, test).withColumn("probability", vector_to_array("probability"))
     return Classifier(model, classes, scored.select(id_column, F.col("label").alias("y_true"), "y_pred", "probability"))
 
 
@@ -140,7 +139,7 @@ def tune_classifier(
 
     def point(g: Candidate) -> tuple[Classifier, float | None]:
         model, classes = _fit(features[g.vocabulary], tfidf[g.vocabulary], p, g, n)
-        scored = model.transform(test).withColumn("probability", vector_to_array("probability"))
+        scored = apply_model(model, test).withColumn("probability", vector_to_array("probability"))
         scored = scored.select(id_column, F.col("label").alias("y_true"), "y_pred", "probability")
         return Classifier(model, classes, scored), evaluate.accuracy(evaluate.confusion(scored)).first()["accuracy"]
 

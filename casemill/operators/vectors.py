@@ -3,15 +3,21 @@
 The number of different phrases grows nearly with the texts. So terms are counted within their text first, then added up
 by term, and the vocabulary is cut before anything is collected: a histogram of the term frequencies gives the frequency
 at the cut, and only terms that stand at it are ordered.
+
+Classifiers count from the cleaned text itself, in Arrow batches where it lies: words are numbers there, a phrase is a pair
+of numbers, and only a phrase that is handed on (different ones of some texts, or none) becomes a string.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import IDF, CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from casemill.functions import text
@@ -20,6 +26,7 @@ from casemill.params import DEFAULTS, Params
 from casemill.session import stage
 
 TERMS, COUNTS, WEIGHTED, FEATURES = "terms", "term_counts", "weighted", "features"
+BYTES_AT_ONCE = 8 << 20  # text whose terms a task holds at a time, in bytes
 
 
 def with_terms(
@@ -34,7 +41,12 @@ def with_terms(
 def frequent_terms(counts: DataFrame, size: int, min_df: int) -> DataFrame:
     """``term, df, tf`` of the ``size`` most frequent terms among those in at least ``min_df`` documents; ties by term. ``counts``
     has a row ``term, n`` for each document and term."""
-    held = stage(counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("tf")).where(F.col("df") >= min_df), "terms-held")
+    return _most_frequent(counts.select("term", F.lit(1).alias("df"), F.col("n").alias("tf")), size, min_df)
+
+
+def _most_frequent(counts: DataFrame, size: int, min_df: int) -> DataFrame:
+    """``frequent_terms`` from ``term, df, tf`` of parts of the documents."""
+    held = stage(counts.groupBy("term").agg(F.sum("df").alias("df"), F.sum("tf").alias("tf")).where(F.col("df") >= min_df), "terms-held")
     steps = held.groupBy("tf").agg(F.count(F.lit(1)).alias("terms"))
     upto = steps.withColumn("upto", F.sum("terms").over(W.orderBy(F.desc("tf"))))  # one row for each frequency that occurs
     full = upto.where(F.col("upto") <= size).agg(F.max("upto").alias("taken"), F.min("tf").alias("least"))
@@ -45,9 +57,141 @@ def frequent_terms(counts: DataFrame, size: int, min_df: int) -> DataFrame:
     return above.union(edge.where(F.col("place") <= F.lit(size) - taken).drop("place"))
 
 
-def fit_vocabulary(df: DataFrame, size: int, min_df: int, terms: str = TERMS) -> CountVectorizerModel:
-    """The ``size`` most frequent terms among those in at least ``min_df`` documents; no more than these are collected."""
-    found = frequent_terms(df.select(F.inline(counted(F.col(terms)))), size, min_df).orderBy(F.desc("tf"), "term").collect()
+def _parts(texts: pa.Array) -> Iterator[pa.Array]:
+    """Neighbouring texts of some megabytes; a longer text is a part by itself."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    ends = [*(np.flatnonzero(np.diff(size // BYTES_AT_ONCE)) + 1), len(texts)]
+    for begin, end in zip([0, *ends], ends):
+        yield texts.slice(begin, end - begin)
+
+
+def _words(texts: pa.Array, stop_words: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The different words of some cleaned texts, then the number of each word that is kept and the text it stands in."""
+    lists = pc.split_pattern(texts, " ")
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    coded = lists.flatten().dictionary_encode()
+    kept = pc.and_not(pc.greater_equal(pc.utf8_length(coded.dictionary), 2), pc.is_in(coded.dictionary, value_set=stop_words))
+    word = coded.indices.to_numpy().astype(np.int64)
+    keep = kept.to_numpy(zero_copy_only=False)[word] if len(word) else np.zeros(0, bool)
+    return coded.dictionary, word[keep], np.repeat(np.arange(len(texts)), lengths)[keep]
+
+
+def _longer(begin: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
+    """Which phrases that begin at ``begin`` have an ``n``-th word in their text."""
+    inside = begin + n - 1 < len(doc)
+    inside[inside] = doc[begin[inside]] == doc[begin[inside] + n - 1]
+    return inside
+
+
+def _runs(ordered: np.ndarray) -> np.ndarray:
+    """Where a new value begins."""
+    return np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
+
+
+def _counted_terms(texts: pa.Array, ngram_max: int, stop_words: pa.Array) -> Iterator[pa.RecordBatch]:
+    """``term, df, tf`` of some texts, phrases of each length by themselves."""
+    names, word, doc = _words(texts, stop_words)
+    words, bits = names, len(texts).bit_length()
+    begin, phrase = np.arange(len(word)), word
+    for n in range(1, ngram_max + 1):
+        if n > 1:
+            inside = _longer(begin, doc, n)
+            begin = begin[inside]
+            found, phrase = np.unique(phrase[inside] * len(words) + word[begin + n - 1], return_inverse=True)
+            names = pc.binary_join_element_wise(names.take(pa.array(found // max(len(words), 1))), words.take(pa.array(found % max(len(words), 1))), " ")
+        held = np.sort(phrase << bits | doc[begin])  # one value for a phrase in a text
+        once = held[_runs(held)] >> bits
+        held >>= bits
+        at, first = _runs(held), _runs(once)
+        yield pa.RecordBatch.from_arrays([
+            names.take(pa.array(held[at])), pa.array(np.diff(np.append(first, len(once)))), pa.array(np.diff(np.append(at, len(held))))], ["term", "df", "tf"])
+
+
+def counted_terms(df: DataFrame, clean: str = "clean_text", ngram_max: int = DEFAULTS.ngram_max, stop_words: Sequence[str] = text.STOP_WORDS) -> DataFrame:
+    """``term, df, tf``: the terms of ``with_terms``, added up over some texts at a time; a term has several rows."""
+    stop = pa.array(stop_words, pa.string())
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _parts(batch.column(0)):
+                yield from _counted_terms(part, ngram_max, stop)
+
+    return df.select(clean).mapInArrow(count, "term string, df bigint, tf bigint")
+
+
+class _Vocabulary:
+    """Terms by their words: a phrase is found by the number of its beginning and the number of its last word."""
+
+    def __init__(self, terms: Sequence[str]) -> None:
+        split = [t.split(" ") for t in terms]
+        words = list(dict.fromkeys(w for s in split for w in s))
+        self.size, self.words = len(terms), pa.array(words, pa.string())
+        number, known = {w: i for i, w in enumerate(words)}, {(w,): i for i, w in enumerate(words)}
+        at = {tuple(s): i for i, s in enumerate(split)}
+        self.terms = [np.array([at.get((w,), -1) for w in words], np.int64)]  # by length: the term of a phrase, -1 if it only begins one
+        self.keys = []
+        for n in range(2, max(map(len, split), default=1) + 1):
+            phrases = list(dict.fromkeys(tuple(s[:n]) for s in split if len(s) >= n))
+            self.keys.append(pa.array([known[s[:-1]] * len(words) + number[s[-1]] for s in phrases], pa.int64()))
+            self.terms.append(np.array([at.get(s, -1) for s in phrases], np.int64))
+            known = {s: i for i, s in enumerate(phrases)}
+
+    def counts(self, texts: pa.Array, stop_words: pa.Array) -> pa.Array:
+        """A sparse vector for each text, in the layout of Spark's vectors."""
+        names, word, doc = _words(texts, stop_words)
+        word = _index(names, self.words)[word] if len(word) else word
+        begin = np.flatnonzero(word >= 0)
+        phrase, found = word[begin], []
+        for n, terms in enumerate(self.terms, 1):
+            if n > 1:
+                inside = _longer(begin, doc, n)
+                begin, phrase = begin[inside], phrase[inside]
+                last = word[begin + n - 1]
+                at = _index(pa.array(phrase * len(self.words) + last), self.keys[n - 2])
+                hit = (last >= 0) & (at >= 0)
+                begin, phrase = begin[hit], at[hit]
+            term = terms[phrase]
+            found.append((doc[begin] * self.size + term)[term >= 0])
+        held = np.sort(np.concatenate(found))
+        at = _runs(held)
+        doc, term = np.divmod(held[at], max(self.size, 1))
+        ends = np.searchsorted(doc, np.arange(len(texts) + 1)).astype(np.int32)
+        lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(v)) for v in (term.astype(np.int32), np.diff(np.append(at, len(held))).astype(float))]
+        kind, size = np.zeros(len(texts), np.int8), np.full(len(texts), self.size, np.int32)
+        return pa.StructArray.from_arrays([pa.array(kind), pa.array(size), *lists], ["type", "size", "indices", "values"])
+
+
+def _index(values: pa.Array, known: pa.Array) -> np.ndarray:
+    return pc.fill_null(pc.index_in(values, value_set=known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def with_counts(
+    df: DataFrame, vocabulary: CountVectorizerModel, clean: str = "clean_text", stop_words: Sequence[str] = text.STOP_WORDS,
+) -> DataFrame:
+    """How often each text holds the terms of the vocabulary: ``vocabulary.transform(with_terms(df))``, without the terms as strings."""
+    known, stop = _Vocabulary(vocabulary.vocabulary), pa.array(stop_words, pa.string())
+
+    def count(texts: pa.Array) -> pa.Array:
+        return pa.concat_arrays([known.counts(part, stop) for part in _parts(texts)])
+
+    return df.withColumn(COUNTS, F.arrow_udf(count, VectorUDT())(F.col(clean)))
+
+
+def apply_model(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """A model that begins with a vocabulary, over rows with terms made before or with ``clean_text``."""
+    if TERMS in df.columns:
+        return model.transform(df)
+    return PipelineModel(model.stages[1:]).transform(with_counts(df, model.stages[0]))
+
+
+def fit_vocabulary(df: DataFrame, size: int, min_df: int, terms: str = TERMS, ngram_max: int = DEFAULTS.ngram_max) -> CountVectorizerModel:
+    """The ``size`` most frequent terms among those in at least ``min_df`` documents; no more than these are collected. Rows
+    without ``terms`` are counted from ``clean_text``."""
+    if terms in df.columns:
+        frequent = frequent_terms(df.select(F.inline(counted(F.col(terms)))), size, min_df)
+    else:
+        frequent = _most_frequent(counted_terms(df, ngram_max=ngram_max), size, min_df)
+    found = frequent.orderBy(F.desc("tf"), "term").collect()
     if not found:
         raise ValueError(f"no term is in {min_df} documents")
     return CountVectorizerModel.from_vocabulary([r["term"] for r in found], inputCol=terms, outputCol=COUNTS)
@@ -56,8 +200,8 @@ def fit_vocabulary(df: DataFrame, size: int, min_df: int, terms: str = TERMS) ->
 def fit_tfidfs(df: DataFrame, p: Params, sizes: Sequence[int]) -> dict[int, PipelineModel]:
     """``fit_tfidf`` for several vocabularies in one go: the terms have an order, so a smaller vocabulary is the beginning of a
     larger one, and the weight of a term does not depend on the others."""
-    largest = fit_vocabulary(df, max(sizes), p.min_df)
-    weights = IDF(inputCol=COUNTS, outputCol=WEIGHTED).fit(largest.transform(df)).idf.toArray() + 1.0
+    largest = fit_vocabulary(df, max(sizes), p.min_df, ngram_max=p.ngram_max)
+    weights = IDF(inputCol=COUNTS, outputCol=WEIGHTED).fit(apply_model(PipelineModel([largest]), df)).idf.toArray() + 1.0
 
     def first(size: int) -> PipelineModel:
         return PipelineModel(

@@ -337,6 +337,53 @@ def test_fitted_vocabulary_is_cut_by_frequency_then_term(spark):
         vectors.fit_vocabulary(df, 25, 4)
 
 
+ODD_TEXTS = ["aa bb aa bb cc", None, "", "a b c", "aa the bb", "the", "bb", " aa  bb ", "cc aa bb aa bb cc dd", "aa" * 40, "dd aa bb cc aa bb cc", "aa bb"]
+
+
+def test_terms_are_counted_from_the_text(spark, monkeypatch):
+    """What is counted without making terms is what the terms of each text give; parts of any size give the same sums."""
+    texts = spark.createDataFrame([(i, t) for i, t in enumerate(ODD_TEXTS)], "id long, clean_text string")
+    stop = pa.array(vectors.text.STOP_WORDS, pa.string())
+    for n in (1, 2, 3):
+        found = vectors.counted_terms(texts.repartition(3), ngram_max=n).groupBy("term").agg(F.sum("df"), F.sum("tf"))
+        terms = [r["terms"] for r in vectors.with_terms(texts.na.drop(), ngram_max=n).collect()]
+        wanted = {t: (sum(t in x for x in terms), sum(x.count(t) for x in terms)) for x in terms for t in x}
+        assert {r[0]: (r[1], r[2]) for r in found.collect()} == wanted
+        for size in (1, 20):
+            monkeypatch.setattr(vectors, "BYTES_AT_ONCE", size)
+            parts, sums = list(vectors._parts(pa.array(ODD_TEXTS))), {}
+            assert len(parts) > 1 and pa.concat_arrays(parts).to_pylist() == ODD_TEXTS
+            for r in [r for part in parts for b in vectors._counted_terms(part, n, stop) for r in b.to_pylist()]:
+                df, tf = sums.get(r["term"], (0, 0))
+                sums[r["term"]] = df + r["df"], tf + r["tf"]
+            assert sums == wanted
+    assert [len(p) for p in vectors._parts(pa.array([], pa.string()))] == [0]
+
+
+def test_texts_become_the_vectors_of_their_terms(spark):
+    """Also phrases whose beginning is no term, terms no text holds, and texts without a known term."""
+    texts = spark.createDataFrame([(i, t) for i, t in enumerate(ODD_TEXTS) if t is not None], "id long, clean_text string")
+    for vocabulary in (["bb", "aa bb", "cc aa bb", "zz", "aa", "bb dd"], ["dd"], ["bb cc aa bb"], ["zz yy"]):
+        model = vectors.CountVectorizerModel.from_vocabulary(vocabulary, inputCol=vectors.TERMS, outputCol=vectors.COUNTS)
+        wanted = {r["id"]: r[vectors.COUNTS] for r in model.transform(vectors.with_terms(texts, ngram_max=4)).collect()}
+        assert {r["id"]: r[vectors.COUNTS] for r in vectors.with_counts(texts, model).collect()} == wanted
+    null = vectors.with_counts(spark.createDataFrame([(None,)], "clean_text string"), model).first()
+    assert null[vectors.COUNTS].numNonzeros() == 0
+
+
+def test_classifier_makes_no_terms_for_fitting_or_scoring(letters, monkeypatch):
+    stored, stage = {}, classify.stage
+    monkeypatch.setattr(classify, "stage", lambda df, name: stored.setdefault(name, stage(df, name)))
+    p, texts = Params(min_class_rows=10, max_iter=10), classify.text_rows(letters, "narrative")
+    model = classify.train_classifier(texts, "Product", "id", None, p)
+    assert "terms" not in stored["training"].columns
+    scored = model.predict(texts)
+    assert "ArrowEvalPython" in plan(scored) and plan(scored).count("ArrowEvalPython") == 1
+    columns = ["id", "probability", "y_pred"]
+    made = model.predict(vectors.with_terms(texts)).select(columns).orderBy("id").collect()
+    assert scored.select(columns).orderBy("id").collect() == made
+
+
 def test_similar_texts_shuffle_the_documents_terms_once(spark, monkeypatch):
     seen = {}
     monkeypatch.setattr(similar, "stage", lambda df, name: seen.setdefault(name, df))
