@@ -26,7 +26,7 @@ from casemill.params import DEFAULTS, Params
 from casemill.session import stage
 
 TERMS, COUNTS, WEIGHTED, FEATURES = "terms", "term_counts", "weighted", "features"
-BYTES_AT_ONCE = 8 << 20  # text whose terms a task holds at a time, in bytes
+BYTES_AT_ONCE = 2 << 20  # text whose terms a task holds at a time, in bytes
 
 
 def with_terms(
