@@ -7,20 +7,20 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from casemill.functions import text as text_functions
-from casemill.operators import evaluate
+from casemill.operators import evaluate, lda
 from casemill.operators.predictions import canonical_scores, confidence_decision, multi_issue_record, raw_label
 from casemill.operators.sampling import keep_frequent, sample_rows, stratified_split
 from casemill.operators.topics import document_topics
-from casemill.operators.vectors import COUNTS, FEATURES, TERMS, WEIGHTED, apply_model, fit_tfidf, fit_tfidfs, fit_vocabulary, with_terms
+from casemill.operators.vectors import COUNTS, FEATURES, TERMS, WEIGHTED, apply_model, fit_tfidf, fit_tfidfs, fit_vocabulary, term_numbers
 from casemill.operators.words import with_clean_text
 from casemill.params import DEFAULTS, Params
 from casemill.session import stage
@@ -186,13 +186,18 @@ def score_texts(classifier: Classifier, df: DataFrame, canonical: dict[str, str]
 
 @dataclass(frozen=True)
 class TopicModel:
-    model: PipelineModel
+    """The terms, their weights in each topic (topics x terms), the prior of the topics, and the strongest words of each."""
+    terms: list[str]
+    weights: np.ndarray
+    prior: np.ndarray
     words: DataFrame
 
     def distribution(self, df: DataFrame) -> DataFrame:
-        """Topic weights (array) for rows with ``clean_text``."""
-        out = self.model.transform(df if TERMS in df.columns else with_terms(df))
-        return out.withColumn("topics", vector_to_array("topicDistribution")).drop(TERMS, COUNTS, "topicDistribution")
+        """Topic weights (array) for rows with ``clean_text``; zeros for a text without a known term."""
+        found = lda.Topics(self.terms, self.weights, self.prior, text_functions.STOP_WORDS)
+        sent = df.sparkSession.sparkContext.broadcast(found)
+        weights = F.arrow_udf(lambda texts: sent.value.shares(texts), "array<double>")
+        return df.drop(TERMS).withColumn("topics", weights(F.col("clean_text")))
 
     def predict(self, df: DataFrame) -> DataFrame:
         return document_topics(self.distribution(df), "topics", self.words)
@@ -200,32 +205,30 @@ class TopicModel:
 
 def train_topics(df: DataFrame, p: Params = DEFAULTS, stop_words: Sequence[str] = text_functions.STOP_WORDS) -> TopicModel:
     """Latent topics of rows with ``clean_text``, with the strongest words of each."""
-    terms = stage(with_terms(df, ngram_max=p.ngram_max, stop_words=stop_words).select(TERMS), "topic-terms")
-    vocabulary = fit_vocabulary(terms, p.topic_vocabulary, p.topic_min_df)
-    counts = stage(vocabulary.transform(terms).select(COUNTS), "topic-counts")
-    lda = LDA(k=p.topics, seed=p.seed, maxIter=10, optimizer="online", subsamplingRate=1.0, featuresCol=COUNTS)
-    model = lda.fit(counts)
-    spark = df.sparkSession
-    names = spark.createDataFrame(list(enumerate(vocabulary.vocabulary)), "term int, word string")
-    strongest = model.describeTopics(p.topic_words).select(
-        F.col("topic").alias("topic_id"), F.posexplode("termIndices").alias("pos", "term")
-    )
-    words = strongest.join(names, "term").groupBy("topic_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "word"))), lambda s: s["word"]).alias("topic_words")
-    )
-    return TopicModel(PipelineModel([vocabulary, model]), words)
+    texts = df.select("clean_text")
+    terms = fit_vocabulary(texts, p.topic_vocabulary, p.topic_min_df, ngram_max=p.ngram_max, stop_words=stop_words).vocabulary
+    counts = stage(term_numbers(texts, terms, stop_words=stop_words), "topic-counts")
+    weights, prior = lda.fit_topics(counts, len(terms), p.topics, p.seed)
+    strongest = np.argsort(-weights, axis=1, kind="stable")[:, :p.topic_words]
+    rows = [(t, [terms[i] for i in found]) for t, found in enumerate(strongest)]
+    return TopicModel(list(terms), weights, prior, df.sparkSession.createDataFrame(rows, "topic_id int, topic_words array<string>"))
 
 
 def save_topics(topics: TopicModel, path: str) -> None:
     """The model and the words of each topic."""
-    folder = path.rstrip("/")
-    save_model(topics.model, f"{folder}/model")
+    folder, spark = path.rstrip("/"), topics.words.sparkSession
+    rows = [(i, t, w.tolist()) for i, (t, w) in enumerate(zip(topics.terms, topics.weights.T))]
+    spark.createDataFrame(rows, "position int, term string, weights array<double>").write.mode("overwrite").parquet(f"{folder}/terms")
+    spark.createDataFrame(list(enumerate(topics.prior.tolist())), "topic_id int, prior double").write.mode("overwrite").parquet(f"{folder}/prior")
     topics.words.write.mode("overwrite").parquet(f"{folder}/words")
 
 
 def load_topics(spark: SparkSession, path: str) -> TopicModel:
     folder = path.rstrip("/")
-    return TopicModel(PipelineModel.load(f"{folder}/model"), spark.read.parquet(f"{folder}/words"))
+    rows = spark.read.parquet(f"{folder}/terms").orderBy("position").collect()
+    prior = [r["prior"] for r in spark.read.parquet(f"{folder}/prior").orderBy("topic_id").collect()]
+    weights = np.array([r["weights"] for r in rows]).T
+    return TopicModel([r["term"] for r in rows], weights, np.array(prior), spark.read.parquet(f"{folder}/words"))
 
 
 def analyze_texts(
@@ -233,7 +236,6 @@ def analyze_texts(
     issue_names: dict[str, str], p: Params = DEFAULTS,
 ) -> DataFrame:
     """Product record, issue record with extra candidates, and topic of every text, as one projection."""
-    df = with_terms(df, ngram_max=p.ngram_max)  # once for all three models
     out = score_texts(product, df, product_names, p).withColumnRenamed("prediction", "product").drop("multi_issue")
     out = score_texts(issue, out, issue_names, p).withColumnRenamed("prediction", "issue")
     return topics.predict(out)

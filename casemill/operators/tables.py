@@ -15,7 +15,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from casemill.functions.arrays import counted, let
@@ -80,11 +79,8 @@ def linear_table(classifier: Classifier) -> LinearTable:
 
 def topic_table(topics: TopicModel) -> DataFrame:
     """``term, weights``: the probability of the term in each topic."""
-    found, model = topics.model.stages
-    assert isinstance(found, CountVectorizerModel)
-    matrix = model.topicsMatrix().toArray()
-    matrix = matrix / matrix.sum(axis=0)
-    rows = [(t, w.tolist()) for t, w in zip(found.vocabulary, matrix)]
+    shares = topics.weights / topics.weights.sum(axis=1, keepdims=True)
+    rows = [(t, w.tolist()) for t, w in zip(topics.terms, shares.T)]
     return stage(topics.words.sparkSession.createDataFrame(rows, "term string, weights array<double>"), "topic-table")
 
 

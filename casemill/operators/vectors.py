@@ -136,8 +136,8 @@ class _Vocabulary:
             self.terms.append(np.array([at.get(s, -1) for s in phrases], np.int64))
             known = {s: i for i, s in enumerate(phrases)}
 
-    def counts(self, texts: pa.Array, stop_words: pa.Array) -> pa.Array:
-        """A sparse vector for each text, in the layout of Spark's vectors."""
+    def held(self, texts: pa.Array, stop_words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text, term and how often the text holds the term, in the order of texts and terms."""
         names, word, doc = _words(texts, stop_words)
         word = _index(names, self.words)[word] if len(word) else word
         begin = np.flatnonzero(word >= 0)
@@ -154,9 +154,17 @@ class _Vocabulary:
             found.append((doc[begin] * self.size + term)[term >= 0])
         held = np.sort(np.concatenate(found))
         at = _runs(held)
-        doc, term = np.divmod(held[at], max(self.size, 1))
-        ends = np.searchsorted(doc, np.arange(len(texts) + 1)).astype(np.int32)
-        lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(v)) for v in (term.astype(np.int32), np.diff(np.append(at, len(held))).astype(float))]
+        return *np.divmod(held[at], max(self.size, 1)), np.diff(np.append(at, len(held)))
+
+    def lists(self, texts: pa.Array, stop_words: pa.Array, kind: type = np.int32) -> list[pa.Array]:
+        """For each text its terms and how often it holds them."""
+        doc, term, n = self.held(texts, stop_words)
+        ends = pa.array(np.searchsorted(doc, np.arange(len(texts) + 1)).astype(np.int32))
+        return [pa.ListArray.from_arrays(ends, pa.array(v)) for v in (term.astype(np.int32), n.astype(kind))]
+
+    def counts(self, texts: pa.Array, stop_words: pa.Array) -> pa.Array:
+        """A sparse vector for each text, in the layout of Spark's vectors."""
+        lists = self.lists(texts, stop_words, float)
         kind, size = np.zeros(len(texts), np.int8), np.full(len(texts), self.size, np.int32)
         return pa.StructArray.from_arrays([pa.array(kind), pa.array(size), *lists], ["type", "size", "indices", "values"])
 
@@ -177,6 +185,18 @@ def with_counts(
     return df.withColumn(COUNTS, F.arrow_udf(count, VectorUDT())(F.col(clean)))
 
 
+def term_numbers(df: DataFrame, terms: Sequence[str], clean: str = "clean_text", stop_words: Sequence[str] = text.STOP_WORDS) -> DataFrame:
+    """``term, n`` of each text: the numbers of the ``terms`` it holds, in ascending order, and how often it holds them."""
+    known, stop = _Vocabulary(terms), pa.array(stop_words, pa.string())
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _parts(batch.column(0)):
+                yield pa.RecordBatch.from_arrays(known.lists(part, stop), ["term", "n"])
+
+    return df.select(clean).mapInArrow(count, "term array<int>, n array<int>")
+
+
 def apply_model(model: PipelineModel, df: DataFrame) -> DataFrame:
     """A model that begins with a vocabulary, over rows with terms made before or with ``clean_text``."""
     if TERMS in df.columns:
@@ -184,13 +204,16 @@ def apply_model(model: PipelineModel, df: DataFrame) -> DataFrame:
     return PipelineModel(model.stages[1:]).transform(with_counts(df, model.stages[0]))
 
 
-def fit_vocabulary(df: DataFrame, size: int, min_df: int, terms: str = TERMS, ngram_max: int = DEFAULTS.ngram_max) -> CountVectorizerModel:
+def fit_vocabulary(
+    df: DataFrame, size: int, min_df: int, terms: str = TERMS, ngram_max: int = DEFAULTS.ngram_max,
+    stop_words: Sequence[str] = text.STOP_WORDS,
+) -> CountVectorizerModel:
     """The ``size`` most frequent terms among those in at least ``min_df`` documents; no more than these are collected. Rows
     without ``terms`` are counted from ``clean_text``."""
     if terms in df.columns:
         frequent = frequent_terms(df.select(F.inline(counted(F.col(terms)))), size, min_df)
     else:
-        frequent = _most_frequent(counted_terms(df, ngram_max=ngram_max), size, min_df)
+        frequent = _most_frequent(counted_terms(df, ngram_max=ngram_max, stop_words=stop_words), size, min_df)
     found = frequent.orderBy(F.desc("tf"), "term").collect()
     if not found:
         raise ValueError(f"no term is in {min_df} documents")

@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from casemill.operators import classify, evaluate, predictions, sampling, similar, tables, taxonomy, topics, vectors, words
+from casemill.operators import classify, evaluate, lda, predictions, sampling, similar, tables, taxonomy, topics, vectors, words
 from casemill.params import Params
 from casemill.sources import reports
 
@@ -427,3 +427,65 @@ def test_many_texts_are_scored_in_parts():
     assert whole == parts and whole[0][0] == [13.0] and whole[0][1] == pytest.approx(math.sqrt(17))
     assert whole[2][4] == [0.5, 0.5] and whole[4][0] == [0.0]
     assert [a.type for a in tables._sums(terms.slice(2, 1), known)] == [a.type for a in tables._sums(terms, known)]
+
+
+def plain_weights(term, n, beta, alpha):
+    """Topic weights of one text by plain steps."""
+    g = np.ones(len(alpha))
+    while True:
+        share = np.exp(lda.expected_log(g))
+        new = share * (beta[term].T @ (n / (beta[term] @ share))) + alpha
+        if np.abs(new - g).mean() <= 1e-9:
+            return new
+        g = new
+
+
+def test_topics_are_fitted_from_numbers(spark, letters, monkeypatch):
+    """Ten steps of the online rules over all texts, no text as strings of terms; weights as by plain steps."""
+    stored, stage = {}, classify.stage
+    monkeypatch.setattr(classify, "stage", lambda df, name: stored.setdefault(name, stage(df, name)))
+    texts = classify.text_rows(letters, "narrative").unionByName(classify.text_rows(letters, "narrative").limit(1).withColumn("clean_text", F.lit("")))
+    p = Params(topics=2, topic_min_df=2, topic_words=4)
+    model = classify.train_topics(texts, p)
+    assert set(stored) == {"topic-counts"} and stored["topic-counts"].columns == ["term", "n"]
+    rows = [(np.array(r["term"]), np.array(r["n"])) for r in stored["topic-counts"].collect() if r["term"]]
+    topics, alpha = np.random.default_rng(p.seed).gamma(lda.SHAPE, 1 / lda.SHAPE, (2, len(model.terms))), np.full(2, 0.5)
+    for number in range(1, lda.STEPS + 1):
+        beta, stats, logs = np.exp(lda.expected_log(topics)).T, np.zeros((len(model.terms), 2)), np.zeros(2)
+        for term, n in rows:
+            e = lda.expected_log(plain_weights(term, n, beta, alpha))
+            logs += e
+            stats[term] += np.outer(n / (beta[term] @ np.exp(e)), np.exp(e))
+        weight = (1024 + number) ** -0.51
+        topics = (1 - weight) * topics + weight * ((stats * beta).T + 0.5)
+        alpha = lda._next_prior(alpha, logs / len(rows), len(rows), weight)
+    assert np.allclose(model.weights, topics, rtol=0.02) and np.allclose(model.prior, alpha, rtol=0.01)
+    assert [r["topic_words"][0] for r in model.words.orderBy("topic_id").collect()] == [model.terms[i] for i in model.weights.argmax(axis=1)]
+
+
+def test_topics_of_texts_make_no_terms(spark, letters):
+    texts = classify.text_rows(letters, "narrative").unionByName(classify.text_rows(letters, "narrative").limit(1).select(
+        F.lit(-1).cast("long").alias("id"), "narrative", "Product", F.lit("qq").alias("clean_text")))
+    model = classify.train_topics(texts, Params(topics=3, topic_min_df=2))
+    alone = plan(model.distribution(texts.where("id >= 0").select("id", F.col("narrative").alias("clean_text"))))
+    assert "ArrowEvalPython" in alone and "transform(" not in alone
+    rows = model.distribution(texts).collect()
+    assert len(rows) == texts.count() and all(sum(r["topics"]) == pytest.approx(1 if r["id"] >= 0 else 0) for r in rows)
+
+
+def test_topic_weights_of_a_text_do_not_depend_on_its_neighbours(monkeypatch):
+    assert lda.digamma(np.array([1.0, 0.01])) == pytest.approx([-0.5772156649, -100.5608854579]) and lda.trigamma(1.0) == pytest.approx(math.pi**2 / 6)
+    rng = np.random.default_rng(1)
+    beta, alpha = np.exp(lda.expected_log(rng.gamma(0.3, 1.0, (4, 50)) + 0.01)).T, np.array([0.25, 0.1, 0.5, 0.05])
+    size = np.array([0, 1, 50, 7, 0, 20, 3])
+    begin = np.concatenate([[0], np.cumsum(size)])
+    term = np.concatenate([np.sort(rng.choice(50, s, replace=False)) for s in size])
+    n = rng.integers(1, 9, len(term)).astype(float)
+    whole = lda.topic_weights(begin, term, n, beta, alpha)
+    assert np.array_equal(whole[[0, 4]], [alpha, alpha]) and np.allclose(whole.sum(axis=1), alpha.sum() + np.add.reduceat(np.append(n, 0), begin[:-1]) * (size > 0))
+    for cells in (1, 30):
+        monkeypatch.setattr(lda, "CELLS", cells)
+        assert np.allclose(lda.topic_weights(begin, term, n, beta, alpha), whole, rtol=1e-9)
+    for i in (1, 2, 3, 5, 6):
+        part = slice(begin[i], begin[i + 1])
+        assert np.allclose(whole[i], plain_weights(term[part], n[part], beta, alpha), atol=0.05)
