@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from casemill.functions import text as text_functions
 from casemill.operators import evaluate, lda
 from casemill.operators.predictions import canonical_scores, confidence_decision, multi_issue_record, raw_label
-from casemill.operators.sampling import keep_frequent, sample_rows, stratified_split
+from casemill.operators.sampling import keep_frequent, stratified_split
 from casemill.operators.topics import document_topics
 from casemill.operators.vectors import COUNTS, FEATURES, TERMS, WEIGHTED, apply_model, fit_tfidf, fit_tfidfs, fit_vocabulary, term_numbers
 from casemill.operators.words import with_clean_text
@@ -55,7 +55,7 @@ class Classifier:
 
 
 def text_rows(df: DataFrame, narrative: str, drop_empty: bool = False) -> DataFrame:
-    """All rows with cleaned text. Only fitting a classifier takes a sample of them."""
+    """All rows with cleaned text."""
     return with_clean_text(df, narrative, drop_empty)
 
 
@@ -80,10 +80,10 @@ def balance(df: DataFrame) -> DataFrame:
     return sizes.select("label", "n", (total / F.col("n")).alias("weight"))
 
 
-def _prepare(df: DataFrame, id_column: str, p: Params, sample: int) -> tuple[DataFrame, DataFrame]:
-    """Training and test rows of at most ``sample`` labelled rows. Both are stored, because fitting reads them many times
+def _prepare(df: DataFrame, id_column: str, p: Params) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows of all labelled rows. Both are stored, because fitting reads them many times
     and the split should not be worked out again each time."""
-    rows = keep_frequent(sample_rows(df, sample, id_column, p.seed), "label", p.min_class_rows)
+    rows = keep_frequent(df, "label", p.min_class_rows)
     rows = stage(rows.select(id_column, "label", "clean_text"), "labelled")
     if rows.select("label").distinct().limit(2).count() < 2:
         raise ValueError("Not enough classes remain to train a classifier")
@@ -120,7 +120,7 @@ def train_classifier(
     p: Params = DEFAULTS, candidate: Candidate = Candidate(),
 ) -> Classifier:
     """Train on canonical labels; vocabulary, weights and model come from the training rows only."""
-    train, test = _prepare(labelled(df, target, canonical), id_column, p, p.training_sample)
+    train, test = _prepare(labelled(df, target, canonical), id_column, p)
     tfidf = fit_tfidf(train, p, candidate.vocabulary)
     model, classes = _fit(_features(train, tfidf), tfidf, p, candidate, train.count())
     scored = apply_model(model, test).withColumn("probability", vector_to_array("probability"))
@@ -132,7 +132,7 @@ def tune_classifier(
 ) -> tuple[Classifier, DataFrame]:
     """Every grid point on raw labels and the same split; the first of the best hold-out accuracies wins. The points do not
     depend on each other, so ``p.fits_at_once`` of them are fitted at the same time."""
-    train, test = _prepare(labelled(df, target), id_column, p, p.tuning_sample)
+    train, test = _prepare(labelled(df, target), id_column, p)
     n = train.count()
     tfidf = fit_tfidfs(train, p, sorted({g.vocabulary for g in grid}))
     features = {size: _features(train, model) for size, model in tfidf.items()}

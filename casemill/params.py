@@ -44,8 +44,6 @@ class Params:
     recommended_drivers: int = 5
     # Text models
     seed: int = 42
-    training_sample: int = 300_000
-    tuning_sample: int = 100_000
     confidence: float = 0.55
     alternatives: int = 2
     top_k_values: tuple[int, ...] = (1, 3, 5)

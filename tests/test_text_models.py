@@ -489,3 +489,13 @@ def test_topic_weights_of_a_text_do_not_depend_on_its_neighbours(monkeypatch):
     for i in (1, 2, 3, 5, 6):
         part = slice(begin[i], begin[i + 1])
         assert np.allclose(whole[i], plain_weights(term[part], n[part], beta, alpha), atol=0.05)
+
+
+def plenty(spark, n):
+    odd = F.col("id") % 2 == 0
+    return spark.range(n).select("id", F.when(odd, "a").otherwise("b").alias("Product"), F.when(odd, "aa cc").otherwise("bb cc").alias("clean_text"))
+
+
+def test_grid_is_tuned_on_all_rows(spark):
+    best, _ = classify.tune_classifier(plenty(spark, 100_100), "Product", "id", Params(max_iter=3), (classify.Candidate(1.0),))
+    assert best.test.count() == 20_020
