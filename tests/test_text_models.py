@@ -499,3 +499,8 @@ def plenty(spark, n):
 def test_grid_is_tuned_on_all_rows(spark):
     best, _ = classify.tune_classifier(plenty(spark, 100_100), "Product", "id", Params(max_iter=3), (classify.Candidate(1.0),))
     assert best.test.count() == 20_020
+
+
+def test_classifier_is_trained_on_all_rows(spark):
+    model = classify.train_classifier(plenty(spark, 300_100), "Product", "id", None, Params(max_iter=3))
+    assert model.test.count() == 60_020
