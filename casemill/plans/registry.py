@@ -17,8 +17,8 @@ from casemill.operators import (
 from casemill.operators.facts import CubeFacts
 from casemill.params import Params
 from casemill.plans.summaries import Analysis, run_all, staged_analysis
-from casemill.session import checkpoint_folder, configure, spread, stage, staged_tables_removed
-from casemill.sources import reports
+from casemill.session import checkpoint_folder, configure, shuffles_removed, spread, stage, staged_tables_removed
+from casemill.sources import reports, star
 from casemill.sources.complaints import NARRATIVE, RAW_COLUMNS, ROW_ORDER, narratives, read_raw_csv, save_summary, summary_path
 from casemill.sources.star import cases, document_narratives, table
 from casemill.streaming import cubes
@@ -219,13 +219,15 @@ def stepwise_cube(spark: SparkSession, folder: str) -> CubeFacts:
     def add_up() -> CubeFacts:
         year = F.coalesce(F.col("Year"), F.lit(0))
         target = f"{checkpoint_folder(spark).rstrip('/')}/casemill/steps-{uuid.uuid4().hex}"
-        with staged_tables_removed(spark):
-            # the joined view is stored once for all deliveries
-            rows = stage(cases(spark, folder, ("Complaint ID", *SUMMARY_COLUMNS)), "cases")
+        with staged_tables_removed(spark), shuffles_removed(spark):
+            # the joined view is stored once for all deliveries, part by part
+            n = star.part_count(spark, folder)
+            parts = [stage(cases(spark, folder, ("Complaint ID", *SUMMARY_COLUMNS), part=(i, n)), "cases") for i in range(n)]
             for k, (since, until) in enumerate(STEP_YEARS):
                 due = (year >= (since or 0)) & (year <= (until or 9999))
                 due = due | (year == 1995) if until is None else due
-                cubes.add_step(rows.where(due), target, k, [F.col(c) for c in STEP_ORDER])
+                rows = [part.where(due) for part in parts]
+                cubes.add_step(rows if n > 1 else rows[0], target, k, [F.col(c) for c in STEP_ORDER])
                 if k == 1:
                     cubes.merge_steps(spark, target)
         return cubes.stored_cube(spark, target)

@@ -91,3 +91,16 @@ def staged_tables_removed(spark: SparkSession) -> Iterator[None]:
         for path in paths:
             target = spark._jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Inside the block the shuffle files of a query go when it ends, and not when the driver happens to collect its garbage. Use
+    it where every query writes what later ones read."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -63,31 +63,53 @@ COLUMNS = {
 COSTLY = {"Narrative_Word_Count"}
 
 
-def cases(spark: SparkSession, folder: str, columns: Iterable[str], spread_rows: bool = False) -> DataFrame:
-    """The complaint view with the given columns. ``spread_rows``: the order lines go to all cores before costly work per row."""
+PART_BYTES = 256 << 20  # of order lines, as stored, that are joined at a time
+
+
+def part_count(spark: SparkSession, folder: str) -> int:
+    """Parts of the view that keep what a join has to move bounded."""
+    size = int(table(spark, folder, "lineitem")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return max(1, -(-size // PART_BYTES))
+
+
+def cases(
+    spark: SparkSession, folder: str, columns: Iterable[str], spread_rows: bool = False, part: tuple[int, int] = (0, 1),
+) -> DataFrame:
+    """The complaint view with the given columns. ``spread_rows``: the order lines go to all cores before costly work per row.
+    ``part``: number and count of parts, to which orders are dealt by their key; an id is in one of them.
+
+    Tables that hang on a table are joined to it first, so that an order line travels once for orders, parts and suppliers
+    each, and what belongs to its order comes in the first journey."""
     wanted = {name: COLUMNS[name] for name in columns}
     needed = {t for tables, _ in wanted.values() for t in tables}
-    rows = table(spark, folder, "lineitem")
+
+    def dealt(df: DataFrame, key: str) -> DataFrame:
+        number, count = part
+        return df if count == 1 else df.where(F.pmod(F.hash(F.col(key).cast("bigint")), F.lit(count)) == number)
+
+    rows = dealt(table(spark, folder, "lineitem"), "l_orderkey")
     if spread_rows:
         rows = spread(rows)
     if "orders" in needed:
-        rows = rows.join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    if "customer" in needed:
-        rows = rows.join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    if "part" in needed:
-        rows = rows.join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    if "supplier" in needed:
-        rows = rows.join(table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-    if "nation" in needed:
-        rows = rows.join(table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        orders = dealt(table(spark, folder, "orders"), "o_orderkey")
+        if "customer" in needed:
+            orders = orders.join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     if "documents" in needed:
         # The features are taken before the join, so that three integers travel and not the text.
-        documents = table(spark, folder, "documents").select("doc_id", "text")
+        documents = dealt(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
         features = (spread(documents) if COSTLY & set(wanted) else documents).select(
             "doc_id", "text", F.lit(1).alias("has_text"), text.char_count(F.col("text")).alias("n_chars_text"),
             text.word_count(F.col("text")).alias("n_words"),
         )
         rows = rows.join(features, F.col("l_orderkey") == F.col("doc_id"), "left")
+    if "part" in needed:
+        rows = rows.join(table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    if "supplier" in needed:
+        suppliers = table(spark, folder, "supplier")
+        if "nation" in needed:
+            suppliers = suppliers.join(table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        rows = rows.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
     return rows.select(*[expr().alias(name) for name, (_, expr) in wanted.items()])
 
 

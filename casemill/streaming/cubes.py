@@ -19,11 +19,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from casemill.operators.facts import CUBE_KEYS, CUBE_SETS, SET_ID, CubeFacts, grouped_sets
 from casemill.operators.ingest import dedupe_first
-from casemill.session import stage, staged_tables_removed
+from casemill.session import shuffles_removed, stage, staged_tables_removed
 from casemill.sources.complaints import save_table
 
 ID = "Complaint ID"
-STEP, SUM = "step", "upto"
+STEP, SUM, PART = "step", "upto", "_part"
 
 
 def _committed(spark: SparkSession, folder: str, kind: str) -> dict[int, str]:
@@ -34,12 +34,17 @@ def _committed(spark: SparkSession, folder: str, kind: str) -> dict[int, str]:
     return {int(p.getName().split("=")[1]): p.toString() for p in paths}
 
 
-def _first_rows(rows: DataFrame, earlier: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """The first row of every id that the tables ``earlier`` do not hold."""
+def _first_rows(rows: DataFrame, earlier: Sequence[str], order: Sequence[Column], part: int | None = None) -> DataFrame:
+    """The first row of every id that the tables ``earlier`` do not hold, of which only ``part`` is read."""
     asked = rows.select(F.col(ID).alias("_asked"))
     again = asked.groupBy(F.col("_asked").alias("_id")).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").select("_id", F.lit(False).alias("_known"))
     if earlier:
-        known = rows.sparkSession.read.parquet(*earlier).select(F.col(ID).alias("_id"))
+        spark = rows.sparkSession
+        if part is None:
+            known = spark.read.parquet(*earlier)
+        else:
+            known = spark.read.option("basePath", earlier[0].rsplit("/", 1)[0]).parquet(*earlier).where(F.col(PART) == part)
+        known = known.select(F.col(ID).alias("_id"))
         known = known.join(asked, F.col("_id").eqNullSafe(F.col("_asked")), "left_semi").select("_id", F.lit(True).alias("_known"))
         again = again.union(known).groupBy("_id").agg(F.max("_known").alias("_known"))
     again = stage(again, "step-ids-again")
@@ -50,16 +55,27 @@ def _first_rows(rows: DataFrame, earlier: Sequence[str], order: Sequence[Column]
     return rows.join(again, same, "left_anti").unionByName(several)
 
 
-def add_step(rows: DataFrame, target: str, step: int, order: Sequence[Column] = (), sets: Sequence[Sequence[str]] = CUBE_SETS) -> None:
+def add_step(
+    rows: DataFrame | Sequence[DataFrame], target: str, step: int, order: Sequence[Column] = (), sets: Sequence[Sequence[str]] = CUBE_SETS,
+) -> None:
     """Add the processed ``rows`` of a step, a stored table, since it is read a few times. Steps come in ascending order; the last
-    one may be repeated."""
-    spark, target = rows.sparkSession, target.rstrip("/")
-    columns = [c for c in rows.columns if c in CUBE_KEYS or c in ("Resolution_Delay", "Narrative_Word_Count", "Narrative_Length")]
-    with staged_tables_removed(spark):
+    one may be repeated. Instead of one table there may be parts that share no id, the same way in every step: then no more
+    than a part of the rows is moved at a time."""
+    parts = {None: rows} if isinstance(rows, DataFrame) else dict(enumerate(rows))
+    one = next(iter(parts.values()))
+    spark, target = one.sparkSession, target.rstrip("/")
+    columns = [c for c in one.columns if c in CUBE_KEYS or c in ("Resolution_Delay", "Narrative_Word_Count", "Narrative_Length")]
+    with staged_tables_removed(spark), shuffles_removed(spark):
         earlier = [path for k, path in _committed(spark, f"{target}/ids", STEP).items() if k < step]
-        first = _first_rows(rows, earlier, order or [F.col(ID)]).select(ID, *columns)
+        first = None
+        for number, part in parts.items():
+            found = _first_rows(part, earlier, order or [F.col(ID)], number)
+            new = found.select(ID, *columns) if found is part else stage(found.select(ID, *columns), "step-rows")  # read twice
+            new = new if number is None else new.withColumn(PART, F.lit(number))
+            first = new if first is None else first.unionByName(new)
         save_table(grouped_sets(first, sets), f"{target}/cube/{STEP}={step}")
-        save_table(first.select(ID), f"{target}/ids/{STEP}={step}")
+        ids = [PART] if PART in first.columns else []
+        save_table(first.select(ID, *ids), f"{target}/ids/{STEP}={step}", partition_by=ids)
 
 
 def _added_up(spark: SparkSession, target: str, upto: int | None = None) -> tuple[DataFrame, int]:

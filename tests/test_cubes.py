@@ -1,12 +1,17 @@
 """Cubes added up step by step against one cube over all rows."""
 
+import functools
+
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from casemill.operators.facts import cube
 from casemill.operators.ingest import dedupe_first
+from casemill.plans import registry
 from casemill.plans.registry import SUMMARY_COLUMNS, cases
 from casemill.plans.summaries import Analysis, analysis_tables, count_tables
+from casemill.session import shuffles_removed
+from casemill.sources import star
 from casemill.streaming import cubes
 from casemill.streaming.ingest import ingest_available, stored_cases
 from test_ingest import record, write
@@ -80,3 +85,38 @@ def test_rows_are_moved_only_where_ids_come_again(spark, tmp_path):
     assert found(df, "ids", "none") == ["(1, 'a')", "(2, 'c')"]
     once = cubes._first_rows(df.where("Product in ('a', 'c', 'y')"), [str(tmp_path / "ids")], order)
     assert once.count() == 3 and "Exchange" not in once._jdf.queryExecution().executedPlan().toString()
+
+
+def test_parts_of_a_step_equal_whole_steps(spark, steps, tmp_path):
+    """Parts that share no id, one of them empty; ids of an earlier step come again, and the last step is tried twice."""
+    order, part = [F.col(c) for c in ORDER[1:]], F.pmod(F.hash("Complaint ID"), F.lit(3))
+    for k in (0, 1, 2, 2):
+        rows = steps.where(F.col("step") == k).drop("step")
+        cubes.add_step(rows, str(tmp_path / "whole"), k, order)
+        cubes.add_step([rows.where(part == i) for i in range(4)], str(tmp_path / "parts"), k, order)
+    found, wanted = (cubes.stored_cube(spark, str(tmp_path / x)) for x in ("parts", "whole"))
+    assert rows_of(found.df) == rows_of(wanted.df)
+    assert found.by().first()["rows"] == dedupe_first(steps, ["Complaint ID"], order).count()
+
+
+def test_stepwise_cube_is_joined_in_parts(spark, data, monkeypatch):
+    whole = rows_of(registry.stepwise_cube(spark, data).df)
+    seen, stage = [], registry.stage
+    monkeypatch.setattr(registry, "stage", lambda df, name: seen.append(name) or stage(df, name))
+    monkeypatch.setattr(registry, "_models", {})
+    monkeypatch.setattr(star, "PART_BYTES", 40_000)
+    n = star.part_count(spark, data)
+    assert rows_of(registry.stepwise_cube(spark, data).df) == whole and n > 1 and seen == ["cases"] * n
+    parts = [cases(spark, data, SUMMARY_COLUMNS, part=(i, n)) for i in range(n)]
+    assert rows_of(functools.reduce(DataFrame.union, parts)) == rows_of(cases(spark, data, SUMMARY_COLUMNS))
+
+
+def test_shuffles_go_with_their_query(spark, tmp_path):
+    """Inside the block no shuffle file is left once a query has ended; the setting is as before afterwards."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    with shuffles_removed(spark):
+        df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+        df.write.parquet(str(tmp_path / "a"))
+        assert spark.conf.get(key) == "true" and df.count() == 7 and df.collect() == df.collect()
+    assert spark.conf.get(key) == before
