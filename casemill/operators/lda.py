@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from casemill.operators.vectors import _parts, _Vocabulary
+from casemill.operators.vectors import Vocabulary, _parts
 
 # Those of Spark's LDA.
 STEPS = 10
@@ -169,7 +169,7 @@ class Topics:
     """A fitted model that takes texts; the numbers of its terms are made once in a process."""
 
     def __init__(self, terms: Sequence[str], topics: np.ndarray, alpha: np.ndarray, stop_words: Sequence[str]) -> None:
-        self.known, self.stop_words = _Vocabulary(terms), pa.array(stop_words, pa.string())
+        self.known, self.stop_words = Vocabulary(terms), pa.array(stop_words, pa.string())
         self.beta, self.alpha = np.exp(expected_log(topics)).T.copy(), alpha
 
     def _shares(self, texts: pa.Array) -> np.ndarray:

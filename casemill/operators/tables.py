@@ -4,7 +4,7 @@ A linear model is ``term, idf, weights`` (one weight per class, in class order)
 tables, which the vocabulary bounds, go to every executor; a text meets them where it lies, in Arrow batches, so neither
 terms nor texts are shuffled. Softmax, canonical labels, decision and candidates are column expressions over the sums. A
 topic model is ``term, weights`` (probability of the term in each topic); the topic weights of a text are the fixed point
-that explains its terms best. All models are scored in one pass over the terms.
+that explains its terms best. All models are scored in one pass over the terms, which are numbers there and never strings.
 """
 
 from __future__ import annotations
@@ -18,10 +18,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from casemill.functions.arrays import counted, let
+from casemill.functions.text import STOP_WORDS
 from casemill.operators.classify import Classifier, TopicModel
 from casemill.operators.predictions import canonical_scores, confidence_decision, multi_issue_record, raw_label
 from casemill.operators.topics import dominant_topic
-from casemill.operators.vectors import TERMS, frequent_terms, with_terms
+from casemill.operators.vectors import TERMS, Vocabulary, frequent_terms, with_terms
 from casemill.params import DEFAULTS, Params
 from casemill.session import stage
 
@@ -162,13 +163,19 @@ def _lists(values: np.ndarray) -> pa.Array:
 
 
 def _sums(terms: pa.Array, known: _Known) -> list[pa.Array]:
-    """For each linear model the products added up by class and the length, then the topic weights, of some texts."""
+    """For each linear model the products added up by class and the length, then the topic weights, of some texts given as
+    lists of terms."""
     texts, size = len(terms), max(len(known.terms), 1)
     lengths = pc.fill_null(pc.list_value_length(terms), 0).to_numpy(zero_copy_only=False)
     at = pc.fill_null(pc.index_in(terms.flatten(), value_set=known.terms), -1).to_numpy(zero_copy_only=False).astype(np.int64)
     doc = np.repeat(np.arange(texts), lengths)
     pairs, n = np.unique((doc * size + at)[at >= 0], return_counts=True)
-    (doc, at), n, out = np.divmod(pairs, size), n.astype(float), []
+    return _sums_of(*np.divmod(pairs, size), n, texts, known)
+
+
+def _sums_of(doc: np.ndarray, at: np.ndarray, n: np.ndarray, texts: int, known: _Known) -> list[pa.Array]:
+    """``_sums`` of texts ``doc`` that hold the term ``at`` ``n`` times."""
+    n, out = n.astype(float), []
     for idf, weights in known.linear:
         w = n * idf[at]
         out.append(_lists(np.stack([np.bincount(doc, w * column[at], texts) for column in weights.T], axis=1)))
@@ -183,24 +190,27 @@ SUMS = "_product array<double>, _product_length double, _issue array<double>, _i
 def analyzed(df: DataFrame, id_column: str, models: Analysis, product_names: dict[str, str], issue_names: dict[str, str],
              p: Params = DEFAULTS) -> DataFrame:
     """Product record, issue record, candidates, and topic of every row whose ``clean_text`` is not empty; ids are unique."""
-    rows = with_terms(df.where(F.length("clean_text") > 0), ngram_max=p.ngram_max)
+    rows = df.where(F.length("clean_text") > 0)
     labels, intercepts = {}, {}
     for name, model in (("product", models.product), ("issue", models.issue)):
         classes = model.classes.orderBy("position").collect()
         labels[name] = [r["label"] for r in classes]
         intercepts[name] = F.array(*[F.lit(r["intercept"]) for r in classes])
-    known = df.sparkSession.sparkContext.broadcast(_known(models, [len(labels[name]) for name in ("product", "issue")]))
+    tables_ = _known(models, [len(labels[name]) for name in ("product", "issue")])
+    numbers, stop = Vocabulary(tables_.terms.to_pylist()), pa.array(STOP_WORDS, pa.string())
+    known = df.sparkSession.sparkContext.broadcast((tables_, numbers))
 
     columns, schema = df.columns, T.StructType([*df.schema.fields, *T.StructType.fromDDL(SUMS).fields])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables_, numbers = known.value
         for batch in batches:
             for i in range(0, batch.num_rows, TEXTS_AT_ONCE):
                 part = batch.slice(i, TEXTS_AT_ONCE)
-                arrays = [*[part.column(c) for c in columns], *_sums(part.column(TERMS), known.value)]
-                yield pa.RecordBatch.from_arrays(arrays, schema.names)
+                sums = _sums_of(*numbers.held(part.column("clean_text"), stop), part.num_rows, tables_)
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in columns], *sums], schema.names)
 
-    out = rows.select(*columns, TERMS).mapInArrow(score, schema)
+    out = rows.mapInArrow(score, schema)
     names = {"product": product_names, "issue": issue_names}
     for name in ("product", "issue"):
         out = out.withColumn("_p", _probability(F.col(f"_{name}"), F.col(f"_{name}_length"), intercepts[name]))

@@ -119,7 +119,7 @@ def counted_terms(df: DataFrame, clean: str = "clean_text", ngram_max: int = DEF
     return df.select(clean).mapInArrow(count, "term string, df bigint, tf bigint")
 
 
-class _Vocabulary:
+class Vocabulary:
     """Terms by their words: a phrase is found by the number of its beginning and the number of its last word."""
 
     def __init__(self, terms: Sequence[str]) -> None:
@@ -177,7 +177,7 @@ def with_counts(
     df: DataFrame, vocabulary: CountVectorizerModel, clean: str = "clean_text", stop_words: Sequence[str] = text.STOP_WORDS,
 ) -> DataFrame:
     """How often each text holds the terms of the vocabulary: ``vocabulary.transform(with_terms(df))``, without the terms as strings."""
-    known, stop = _Vocabulary(vocabulary.vocabulary), pa.array(stop_words, pa.string())
+    known, stop = Vocabulary(vocabulary.vocabulary), pa.array(stop_words, pa.string())
 
     def count(texts: pa.Array) -> pa.Array:
         return pa.concat_arrays([known.counts(part, stop) for part in _parts(texts)])
@@ -187,7 +187,7 @@ def with_counts(
 
 def term_numbers(df: DataFrame, terms: Sequence[str], clean: str = "clean_text", stop_words: Sequence[str] = text.STOP_WORDS) -> DataFrame:
     """``term, n`` of each text: the numbers of the ``terms`` it holds, in ascending order, and how often it holds them."""
-    known, stop = _Vocabulary(terms), pa.array(stop_words, pa.string())
+    known, stop = Vocabulary(terms), pa.array(stop_words, pa.string())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -504,3 +504,17 @@ def test_grid_is_tuned_on_all_rows(spark):
 def test_classifier_is_trained_on_all_rows(spark):
     model = classify.train_classifier(plenty(spark, 300_100), "Product", "id", None, Params(max_iter=3))
     assert model.test.count() == 60_020
+
+
+def test_analyzed_texts_make_no_terms(spark, letters):
+    """Sums from the texts are those from their terms, also for texts that are null, empty or of unknown words."""
+    known = tables._Known(pa.array(["aa", "bb", "aa bb", "cc aa bb"]), [(np.arange(1.0, 5.0), np.arange(8.0).reshape(4, 2))] * 2, np.array([[0.3, 0.7], [0.6, 0.4], [0.0, 0.0], [0.9, 0.1]]))
+    texts = spark.createDataFrame(list(enumerate(ODD_TEXTS)), "id long, clean_text string").orderBy("id")
+    made = [r["terms"] for r in vectors.with_terms(texts, ngram_max=3).orderBy("id").collect()]
+    numbers = vectors.Vocabulary(known.terms.to_pylist()).held(pa.array(ODD_TEXTS), pa.array(vectors.text.STOP_WORDS))
+    assert rows_of(tables._sums_of(*numbers, len(ODD_TEXTS), known)) == rows_of(tables._sums(pa.array(made), known))
+    schema = "term string, idf double, weights array<double>"
+    linear = tables.LinearTable(spark.createDataFrame([("card", 2.0, [1.0, -1.0])], schema), spark.createDataFrame([(0, "x", 0.5), (1, "y", 0.0)], "position int, label string, intercept double"))
+    models = tables.Analysis(linear, linear, spark.createDataFrame([("card", [0.9, 0.1])], "term string, weights array<double>"))
+    found = tables.analyzed(letters.select("id", F.col("narrative").alias("clean_text")), "id", models, {}, {})
+    assert "split(" not in plan(found) and found.count() == letters.count()
