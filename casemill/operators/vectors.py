@@ -4,12 +4,15 @@ The number of different phrases grows nearly with the texts. So terms are counte
 by term, and the vocabulary is cut before anything is collected: a histogram of the term frequencies gives the frequency
 at the cut, and only terms that stand at it are ordered.
 
-Classifiers count from the cleaned text itself, in Arrow batches where it lies: words are numbers there, a phrase is a pair
-of numbers, and only a phrase that is handed on (different ones of some texts, or none) becomes a string.
+Models count from the cleaned text itself, in Arrow batches where it lies: words are numbers there, a phrase is a pair
+of numbers, and only a phrase that is handed on (different ones of some texts, or none) becomes a string. Most different
+phrases are rare and stay behind: a first pass adds up occurrences by a hash of the phrase, and only phrases whose sum, which
+is no smaller than their own count, can reach the vocabulary are counted by themselves.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -27,6 +30,8 @@ from casemill.session import stage
 
 TERMS, COUNTS, WEIGHTED, FEATURES = "terms", "term_counts", "weighted", "features"
 BYTES_AT_ONCE = 2 << 20  # text whose terms a task holds at a time, in bytes
+BUCKETS, SLICE = 1 << 20, 1 << 14  # sums by hash, and how many of them travel as one row; powers of two
+_NEXT, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 def with_terms(
@@ -46,7 +51,15 @@ def frequent_terms(counts: DataFrame, size: int, min_df: int) -> DataFrame:
 
 def _most_frequent(counts: DataFrame, size: int, min_df: int) -> DataFrame:
     """``frequent_terms`` from ``term, df, tf`` of parts of the documents."""
-    held = stage(counts.groupBy("term").agg(F.sum("df").alias("df"), F.sum("tf").alias("tf")).where(F.col("df") >= min_df), "terms-held")
+    return _cut(stage(_added_up(counts).where(F.col("df") >= min_df), "terms-held"), size)
+
+
+def _added_up(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("term").agg(F.sum("df").alias("df"), F.sum("tf").alias("tf"))
+
+
+def _cut(held: DataFrame, size: int) -> DataFrame:
+    """The ``size`` most frequent of the stored terms; ties by term."""
     steps = held.groupBy("tf").agg(F.count(F.lit(1)).alias("terms"))
     upto = steps.withColumn("upto", F.sum("terms").over(W.orderBy(F.desc("tf"))))  # one row for each frequency that occurs
     full = upto.where(F.col("upto") <= size).agg(F.max("upto").alias("taken"), F.min("tf").alias("least"))
@@ -88,18 +101,73 @@ def _runs(ordered: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
 
 
-def _counted_terms(texts: pa.Array, ngram_max: int, stop_words: pa.Array) -> Iterator[pa.RecordBatch]:
-    """``term, df, tf`` of some texts, phrases of each length by themselves."""
+def _hashes(words: pa.Array) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, words.cast(pa.binary()).to_pylist()), np.uint64, len(words))
+
+
+def _buckets(code: np.ndarray, count: int) -> np.ndarray:
+    code = (code ^ (code >> np.uint64(32))) * _MIX
+    return (code >> np.uint64(65 - count.bit_length())).astype(np.int64)
+
+
+def _bucket_sums(texts: pa.Array, ngram_max: int, stop_words: pa.Array, out: np.ndarray) -> None:
+    """Adds to ``out`` how often phrases of each bucket stand in some texts."""
+    names, word, doc = _words(texts, stop_words)
+    hashes = _hashes(names)
+    begin, code = np.arange(len(word)), hashes[word]
+    for n in range(1, ngram_max + 1):
+        if n > 1:
+            inside = _longer(begin, doc, n)
+            begin = begin[inside]
+            code = code[inside] * _NEXT + hashes[word[begin + n - 1]]
+        out += np.bincount(_buckets(code, len(out)), minlength=len(out))
+
+
+def bucket_sums(df: DataFrame, clean: str, ngram_max: int, stop_words: Sequence[str]) -> np.ndarray:
+    """Occurrences of the terms of all texts by their bucket: no term occurs more often than the sum of its bucket says."""
+    stop, schema, count, width = pa.array(stop_words, pa.string()), "slice int, n binary", BUCKETS, SLICE
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros(count, np.int64)
+        for batch in batches:
+            for part in _parts(batch.column(0)):
+                _bucket_sums(part, ngram_max, stop, out)
+        rows = out.reshape(-1, width)
+        at = np.flatnonzero(rows.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array([r.tobytes() for r in rows[at]], pa.binary())], ["slice", "n"])
+
+    def total(rows: pa.Table) -> pa.Table:
+        n = sum(np.frombuffer(r.as_py(), np.int64) for r in rows.column("n"))
+        return pa.table({"slice": pa.array(rows.column("slice").to_pylist()[:1], pa.int32()), "n": pa.array([n.tobytes()], pa.binary())})
+
+    found = df.select(clean).mapInArrow(add, schema).groupBy("slice").applyInArrow(total, schema).toArrow()
+    out = np.zeros((count // width, width), np.int64)
+    for at, n in zip(found.column("slice").to_pylist(), found.column("n").to_pylist()):
+        out[at] = np.frombuffer(n, np.int64)
+    return out.ravel()
+
+
+def _counted_terms(texts: pa.Array, ngram_max: int, stop_words: pa.Array, asked: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """``term, df, tf`` of some texts, phrases of each length by themselves; only those of the buckets ``asked`` for."""
     names, word, doc = _words(texts, stop_words)
     words, bits = names, len(texts).bit_length()
     begin, phrase = np.arange(len(word)), word
+    hashes = None if asked is None else _hashes(names)
+    code = None if asked is None else hashes[word]
     for n in range(1, ngram_max + 1):
         if n > 1:
             inside = _longer(begin, doc, n)
             begin = begin[inside]
-            found, phrase = np.unique(phrase[inside] * len(words) + word[begin + n - 1], return_inverse=True)
+            phrase = phrase[inside] * len(words) + word[begin + n - 1]
+            if asked is not None:
+                code = code[inside] * _NEXT + hashes[word[begin + n - 1]]
+                if n == ngram_max:  # no longer phrase begins with one that is not asked for
+                    kept = asked[_buckets(code, len(asked))]
+                    begin, phrase, code = begin[kept], phrase[kept], code[kept]
+            found, phrase = np.unique(phrase, return_inverse=True)
             names = pc.binary_join_element_wise(names.take(pa.array(found // max(len(words), 1))), words.take(pa.array(found % max(len(words), 1))), " ")
-        held = np.sort(phrase << bits | doc[begin])  # one value for a phrase in a text
+        held = phrase << bits | doc[begin]  # one value for a phrase in a text
+        held = np.sort(held if asked is None else held[asked[_buckets(code, len(asked))]])
         once = held[_runs(held)] >> bits
         held >>= bits
         at, first = _runs(held), _runs(once)
@@ -107,18 +175,37 @@ def _counted_terms(texts: pa.Array, ngram_max: int, stop_words: pa.Array) -> Ite
             names.take(pa.array(held[at])), pa.array(np.diff(np.append(first, len(once)))), pa.array(np.diff(np.append(at, len(held))))], ["term", "df", "tf"])
 
 
-def counted_terms(df: DataFrame, clean: str = "clean_text", ngram_max: int = DEFAULTS.ngram_max, stop_words: Sequence[str] = text.STOP_WORDS) -> DataFrame:
-    """``term, df, tf``: the terms of ``with_terms``, added up over some texts at a time; a term has several rows."""
+def counted_terms(
+    df: DataFrame, clean: str = "clean_text", ngram_max: int = DEFAULTS.ngram_max, stop_words: Sequence[str] = text.STOP_WORDS,
+    asked: np.ndarray | None = None,
+) -> DataFrame:
+    """``term, df, tf``: the terms of ``with_terms``, added up over some texts at a time; a term has several rows. ``asked``: the
+    buckets whose terms are counted, else all."""
     stop = pa.array(stop_words, pa.string())
+    sent = None if asked is None else df.sparkSession.sparkContext.broadcast(asked)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _parts(batch.column(0)):
-                yield from _counted_terms(part, ngram_max, stop)
+                yield from _counted_terms(part, ngram_max, stop, sent and sent.value)
 
     return df.select(clean).mapInArrow(count, "term string, df bigint, tf bigint")
 
 
+def _frequent_in_texts(df: DataFrame, size: int, min_df: int, ngram_max: int, stop_words: Sequence[str], clean: str = "clean_text") -> DataFrame:
+    """``frequent_terms`` of cleaned texts. A first guess at the frequency at the cut comes from the buckets; all terms at or above
+    it are counted. Where fewer than ``size`` of them are in ``min_df`` documents, the guess is lowered, down to all terms."""
+    sums = bucket_sums(df, clean, ngram_max, stop_words)
+    least = int(np.partition(sums, -size)[-size]) // 2 if 0 < size <= BUCKETS else 1
+    while True:
+        least = max(least, 1)
+        counts = _added_up(counted_terms(df, clean, ngram_max, stop_words, sums >= least))
+        held = stage(counts.where((F.col("df") >= min_df) & (F.col("tf") >= least)), "terms-held")
+        if least == 1 or held.count() >= size:
+            return _cut(held, size)
+        least //= 8
+
+
 class Vocabulary:
     """Terms by their words: a phrase is found by the number of its beginning and the number of its last word."""
 
@@ -213,7 +300,7 @@ def fit_vocabulary(
     if terms in df.columns:
         frequent = frequent_terms(df.select(F.inline(counted(F.col(terms)))), size, min_df)
     else:
-        frequent = _most_frequent(counted_terms(df, ngram_max=ngram_max, stop_words=stop_words), size, min_df)
+        frequent = _frequent_in_texts(df, size, min_df, ngram_max, stop_words)
     found = frequent.orderBy(F.desc("tf"), "term").collect()
     if not found:
         raise ValueError(f"no term is in {min_df} documents")

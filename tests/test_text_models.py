@@ -518,3 +518,25 @@ def test_analyzed_texts_make_no_terms(spark, letters):
     models = tables.Analysis(linear, linear, spark.createDataFrame([("card", [0.9, 0.1])], "term string, weights array<double>"))
     found = tables.analyzed(letters.select("id", F.col("narrative").alias("clean_text")), "id", models, {}, {})
     assert "split(" not in plan(found) and found.count() == letters.count()
+
+
+def test_rare_terms_stay_behind(spark, monkeypatch):
+    """The vocabulary is that of counting every term, however buckets fall together and however high the first guess is."""
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(f"w{chr(97 + min(int(w), 25))}{'x' * (int(w) // 26 % 20)}" for w in rng.zipf(1.3, 40))) for i in range(80)]
+    rows += [(100 + i, "once " * 300 + f"only{chr(97 + i)} " * 200) for i in range(3)] + [(200, None), (201, "")]
+    texts = spark.createDataFrame(rows, "id long, clean_text string")
+    made = vectors.with_terms(texts.na.drop(), ngram_max=3)
+    shown, count = [], vectors.counted_terms
+    monkeypatch.setattr(vectors, "counted_terms", lambda *a: shown.append(count(*a)) or shown[-1])
+    for bits in (20, 9):
+        monkeypatch.setattr(vectors, "BUCKETS", 1 << bits)
+        monkeypatch.setattr(vectors, "SLICE", 1 << 8)
+        for size, min_df in ((5, 3), (40, 2), (10, 50), (100_000, 1)):
+            shown.clear()
+            found = vectors.fit_vocabulary(texts, size, min_df, ngram_max=3).vocabulary
+            assert found == vectors.fit_vocabulary(made, size, min_df, ngram_max=3).vocabulary
+            if (bits, size) == (20, 5):
+                assert shown[0].count() < count(texts, "clean_text", 3).count() / 4
+            if (size, min_df) == (10, 50):
+                assert len(shown) > 1
