@@ -23,7 +23,7 @@ from casemill.operators.topics import document_topics
 from casemill.operators.vectors import COUNTS, FEATURES, TERMS, WEIGHTED, apply_model, fit_tfidf, fit_tfidfs, fit_vocabulary, term_numbers
 from casemill.operators.words import with_clean_text
 from casemill.params import DEFAULTS, Params
-from casemill.session import stage
+from casemill.session import stage, unstage
 
 
 @dataclass(frozen=True)
@@ -82,7 +82,7 @@ def balance(df: DataFrame) -> DataFrame:
 
 def _prepare(df: DataFrame, id_column: str, p: Params) -> tuple[DataFrame, DataFrame]:
     """Training and test rows of all labelled rows. Both are stored, because fitting reads them many times
-    and the split should not be worked out again each time."""
+    and the split should not be worked out again each time; only the split stays."""
     rows = keep_frequent(df, "label", p.min_class_rows)
     rows = stage(rows.select(id_column, "label", "clean_text"), "labelled")
     if rows.select("label").distinct().limit(2).count() < 2:
@@ -90,6 +90,7 @@ def _prepare(df: DataFrame, id_column: str, p: Params) -> tuple[DataFrame, DataF
     train, test = stratified_split(rows, "label", id_column, seed=p.seed)
     parts = train.withColumn("_test", F.lit(False)).unionByName(test.withColumn("_test", F.lit(True)))
     parts = stage(parts, "training")
+    unstage(rows)
     return parts.filter(~F.col("_test")).drop("_test"), parts.filter("_test").drop("_test")
 
 
@@ -122,7 +123,9 @@ def train_classifier(
     """Train on canonical labels; vocabulary, weights and model come from the training rows only."""
     train, test = _prepare(labelled(df, target, canonical), id_column, p)
     tfidf = fit_tfidf(train, p, candidate.vocabulary)
-    model, classes = _fit(_features(train, tfidf), tfidf, p, candidate, train.count())
+    features = _features(train, tfidf)
+    model, classes = _fit(features, tfidf, p, candidate, train.count())
+    unstage(features)
     scored = apply_model(model, test).withColumn("probability", vector_to_array("probability"))
     return Classifier(model, classes, scored.select(id_column, F.col("label").alias("y_true"), "y_pred", "probability"))
 
@@ -145,6 +148,8 @@ def tune_classifier(
 
     with ThreadPoolExecutor(p.fits_at_once) as pool:
         points = list(pool.map(inheritable_thread_target(df.sparkSession)(point), grid))
+    for stored in features.values():
+        unstage(stored)
     best, best_accuracy, report = None, -1.0, []
     for g, (model, accuracy) in zip(grid, points):
         report.append((g.c, g.balanced, g.vocabulary, accuracy))
@@ -209,6 +214,7 @@ def train_topics(df: DataFrame, p: Params = DEFAULTS, stop_words: Sequence[str]
     terms = fit_vocabulary(texts, p.topic_vocabulary, p.topic_min_df, ngram_max=p.ngram_max, stop_words=stop_words).vocabulary
     counts = stage(term_numbers(texts, terms, stop_words=stop_words), "topic-counts")
     weights, prior = lda.fit_topics(counts, len(terms), p.topics, p.seed)
+    unstage(counts)
     strongest = np.argsort(-weights, axis=1, kind="stable")[:, :p.topic_words]
     rows = [(t, [terms[i] for i in found]) for t, found in enumerate(strongest)]
     return TopicModel(list(terms), weights, prior, df.sparkSession.createDataFrame(rows, "topic_id int, topic_words array<string>"))

@@ -79,6 +79,17 @@ def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
 _scopes: list[list[str]] = []
 
 
+def unstage(df: DataFrame) -> None:
+    """Remove a table that ``stage`` stored; nothing may read it any more."""
+    for path in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        _delete(df.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 @contextlib.contextmanager
 def staged_tables_removed(spark: SparkSession) -> Iterator[None]:
     """Remove at the end what ``stage`` stores inside the block. Use it where the results are written before it ends."""
@@ -89,8 +100,7 @@ def staged_tables_removed(spark: SparkSession) -> Iterator[None]:
     finally:
         _scopes.remove(paths)
         for path in paths:
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+            _delete(spark, path)
 
 
 @contextlib.contextmanager

@@ -1,4 +1,5 @@
 import math
+import os
 
 import numpy as np
 import pyarrow as pa
@@ -444,6 +445,7 @@ def test_topics_are_fitted_from_numbers(spark, letters, monkeypatch):
     """Ten steps of the online rules over all texts, no text as strings of terms; weights as by plain steps."""
     stored, stage = {}, classify.stage
     monkeypatch.setattr(classify, "stage", lambda df, name: stored.setdefault(name, stage(df, name)))
+    monkeypatch.setattr(classify, "unstage", lambda df: None)
     texts = classify.text_rows(letters, "narrative").unionByName(classify.text_rows(letters, "narrative").limit(1).withColumn("clean_text", F.lit("")))
     p = Params(topics=2, topic_min_df=2, topic_words=4)
     model = classify.train_topics(texts, p)
@@ -540,3 +542,18 @@ def test_rare_terms_stay_behind(spark, monkeypatch):
                 assert shown[0].count() < count(texts, "clean_text", 3).count() / 4
             if (size, min_df) == (10, 50):
                 assert len(shown) > 1
+
+
+def test_fits_leave_only_the_split(spark, letters, monkeypatch):
+    stored, stage = {}, classify.stage
+    monkeypatch.setattr(classify, "stage", lambda df, name: stored.setdefault(name, []).append(out := stage(df, name)) or out)
+    p, texts = Params(min_class_rows=10, max_iter=3, topics=2, topic_min_df=2), classify.text_rows(letters, "narrative")
+    folders = lambda: {name: [os.path.dirname(d.inputFiles()[0].removeprefix("file:")).replace("///", "/") for d in found] for name, found in stored.items()}
+    monkeypatch.setattr(classify, "unstage", lambda df, f=classify.unstage: at.update(folders()) or f(df))
+    at: dict[str, list[str]] = {}
+    model = classify.train_classifier(texts, "Product", "id", None, p)
+    classify.tune_classifier(texts.where(F.length("clean_text") > 0), "Product", "id", p, (classify.Candidate(), classify.Candidate(vocabulary=9)))
+    classify.train_topics(texts, p)
+    left = {name: [os.path.exists(f) for f in found] for name, found in {**at, **folders()}.items()}
+    assert left == {"labelled": [False] * 2, "training": [True] * 2, "features": [False] * 3, "topic-counts": [False]}
+    assert model.test.count() == 32
